@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import ORACLE, QUERIES
 
-_MODULES = ["q_worklists", "q_merge"]
+_MODULES = ["q_worklists", "q_merge", "q_ingest"]
 
 
 def load_all() -> None:

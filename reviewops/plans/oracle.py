@@ -87,3 +87,71 @@ def with_reviews(body: str, *ctes: str) -> str:
     """``WITH <review ctes>[, extra ctes] <body>``."""
     extra = "".join(",\n" + c for c in ctes)
     return f"WITH {REVIEW_CTES}{extra}\n{body}"
+
+
+# SQL type of every review column (for NULL defaults in table-shaped selects).
+_SQL_TYPES = {
+    "RefreshDate": "DATE", "ReviewDate": "DATE", "EstResponseDate": "DATE",
+    "OverallSatisfaction": "DOUBLE", "EmpathyScore": "DOUBLE", "HelpfulnessScore": "DOUBLE",
+    "IndividualityScore": "DOUBLE", "OverallScore": "DOUBLE", "WeightedScore": "DOUBLE",
+    "ContractTerminationKununuOnly": "INTEGER", "ResponseTimeDays": "INTEGER",
+    "last_modified": "TIMESTAMP",
+}
+
+
+def table_select(overrides: dict[str, str]) -> str:
+    """Select list in table order: given expressions, typed NULL elsewhere."""
+    out = []
+    for c in [x.strip() for x in COLS.split(",")]:
+        t = _SQL_TYPES.get(c, "VARCHAR")
+        out.append(f"CAST({overrides[c]} AS {t}) AS {c}" if c in overrides
+                   else f"CAST(NULL AS {t}) AS {c}")
+    return ", ".join(out)
+
+
+FEED_CTES = r"""
+feed0 AS (
+  SELECT *, CASE WHEN doc_id % 50 = 7 THEN 'xing' WHEN doc_id % 3 = 0 THEN 'indeed'
+                 WHEN doc_id % 3 = 1 THEN 'Glassdoor' ELSE 'KUNUNU' END AS fportal
+  FROM base
+),
+feed AS (
+  SELECT doc_id, fportal AS portal,
+    CASE WHEN lower(fportal) = 'glassdoor' THEN lang ELSE 'all' END AS lang,
+    (doc_id // 3) // 20 AS page,
+    CAST(row_number() OVER (PARTITION BY fportal, CASE WHEN lower(fportal) = 'glassdoor' THEN lang
+         ELSE 'all' END, (doc_id // 3) // 20 ORDER BY doc_id) - 1 AS INTEGER) AS pos,
+    CAST(doc_id AS VARCHAR) AS id,
+    url,
+    split_part(text, chr(10), 1) AS title,
+    CASE WHEN doc_id % 97 = 5 THEN 'n/a'
+         ELSE CAST(rdate AS VARCHAR) || 'T' || lpad(CAST(doc_id % 24 AS VARCHAR), 2, '0') || ':'
+              || lpad(CAST(doc_id % 60 AS VARCHAR), 2, '0') || ':'
+              || lpad(CAST((doc_id * 7) % 60 AS VARCHAR), 2, '0')
+              || CASE WHEN doc_id % 2 = 0 THEN '.' || CAST(doc_id % 1000 AS VARCHAR) ELSE '' END
+    END AS datetime,
+    CAST(1 + doc_id % 5 AS VARCHAR) AS rating,
+    CASE WHEN doc_id % 12 = 2 THEN '' ELSE text END AS text,
+    source AS reviewer,
+    CASE WHEN doc_id % 2 = 0 THEN 'Current Employee' ELSE 'Former Employee' END AS reviewer_employee_type,
+    n_name AS location,
+    CASE WHEN doc_id % 4 < 2 THEN split_part(text, ' ', 1) END AS pros,
+    CASE WHEN doc_id % 8 < 4 THEN lang END AS cons,
+    CASE WHEN doc_id % 10 = 9 THEN NULL ELSE doc_id % 2 = 0 END AS is_current_job,
+    n_name AS company_city,
+    CASE WHEN doc_id % 5 >= 2 THEN reply WHEN doc_id % 5 = 1 THEN '' END AS reply_text,
+    1 + doc_id % 4 AS salary_rating,
+    CASE WHEN doc_id % 4 = 0 THEN '' WHEN doc_id % 4 = 1 THEN NULL ELSE split_part(text, ' ', 2) END AS salary_text,
+    1 + doc_id % 5 AS work_life_rating,
+    CASE WHEN doc_id % 4 = 0 THEN '' WHEN doc_id % 4 = 1 THEN NULL ELSE split_part(text, ' ', 3) END AS work_life_text,
+    try_strptime(split_part(CASE WHEN doc_id % 97 = 5 THEN 'n/a'
+         ELSE CAST(rdate AS VARCHAR) || 'T' || lpad(CAST(doc_id % 24 AS VARCHAR), 2, '0') || ':'
+              || lpad(CAST(doc_id % 60 AS VARCHAR), 2, '0') || ':'
+              || lpad(CAST((doc_id * 7) % 60 AS VARCHAR), 2, '0') END, '.', 1),
+         '%Y-%m-%dT%H:%M:%S') AS ts
+  FROM feed0
+)"""
+
+
+def with_feed(body: str, *ctes: str) -> str:
+    return with_reviews(body, FEED_CTES, *ctes)

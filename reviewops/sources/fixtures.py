@@ -122,3 +122,102 @@ def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = reviews(spark, sf_dir).filter(_c("ReviewDate") >= F.lit(MERGE_INCOMING_FROM))
     return r.withColumn("OverallSatisfaction", _c("OverallSatisfaction") + 10)
+
+
+# --------------------------------------------------------------------------
+# Feed fixture: one review per document, as the feed service would send it.
+# Within a portal, review k = doc_id div 3 sits on page k div 20 at position
+# k % 20; Glassdoor pages are per language.  ``feed_flat`` is the typed form,
+# ``feed_pages`` the landed JSON pages built from it.
+
+def feed_flat(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE_ASOF) -> DataFrame:
+    b = review_base(spark, sf_dir)
+    doc = _c("doc_id")
+    text = _c("text")
+    k = F.floor(doc / 3)
+    rdate = review_date_of(doc, asof)
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    ts = F.concat(rdate.cast("string"), F.lit("T"), two(doc % 24), F.lit(":"), two(doc % 60),
+                  F.lit(":"), two((doc * 7) % 60),
+                  F.when(doc % 2 == 0, F.concat(F.lit("."), (doc % 1000).cast("string")))
+                  .otherwise(F.lit("")))
+    portal = (F.when(doc % 50 == 7, "xing").when(doc % 3 == 0, "indeed")
+              .when(doc % 3 == 1, "Glassdoor").otherwise("KUNUNU"))
+    rating_text = lambda m: (F.when(doc % 4 == 0, F.lit(""))
+                             .when(doc % 4 == 1, F.lit(None))
+                             .otherwise(F.split_part(text, F.lit(" "), F.lit(m))))
+    return b.select(
+        doc.alias("doc_id"),
+        portal.alias("portal"),
+        F.when(F.lower(portal) == "glassdoor", _c("lang")).otherwise(F.lit("all")).alias("lang"),
+        F.floor(k / 20).alias("page"),
+        (k % 20).cast("int").alias("pos"),
+        doc.cast("string").alias("id"),
+        _c("url"),
+        F.split_part(text, F.lit(NL), F.lit(1)).alias("title"),
+        F.when(doc % 97 == 5, F.lit("n/a")).otherwise(ts).alias("datetime"),
+        (1 + doc % 5).cast("string").alias("rating"),
+        F.when(doc % 12 == 2, F.lit("")).otherwise(text).alias("text"),
+        _c("source").alias("reviewer"),
+        F.when(doc % 2 == 0, F.lit("Current Employee")).otherwise(F.lit("Former Employee"))
+        .alias("reviewer_employee_type"),
+        _c("n_name").alias("location"),
+        F.when(doc % 4 < 2, F.split_part(text, F.lit(" "), F.lit(1))).alias("pros"),
+        F.when(doc % 8 < 4, _c("lang")).alias("cons"),
+        F.when(doc % 10 == 9, F.lit(None).cast("boolean")).otherwise(doc % 2 == 0)
+        .alias("is_current_job"),
+        _c("n_name").alias("company_city"),
+        F.when(doc % 5 >= 2, _c("reply")).when(doc % 5 == 1, F.lit("")).alias("reply_text"),
+        (1 + doc % 4).alias("salary_rating"),
+        rating_text(2).alias("salary_text"),
+        (1 + doc % 5).alias("work_life_rating"),
+        rating_text(3).alias("work_life_text"),
+    )
+
+
+def feed_pages(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE_ASOF) -> DataFrame:
+    """Landed pages (``portal, lang, page, body``) built from ``feed_flat``.
+    Reviews are joined with a raw line feed between them, as a pretty-printed
+    service response would be."""
+    f = feed_flat(spark, sf_dir, asof)
+    c = _c
+    is_kununu = F.lower(c("portal")) == "kununu"
+    review = F.struct(
+        c("id"), c("url"), c("title"), c("datetime"), c("rating").cast("int").alias("rating"),
+        c("text"), c("reviewer"), c("reviewer_employee_type"), c("location"), c("pros"), c("cons"),
+        c("is_current_job"),
+        F.when(is_kununu, F.struct(c("company_city").alias("city"))).alias("company"),
+        F.when(is_kununu, F.struct(c("reply_text").alias("text"))).alias("reply"),
+        F.when(is_kununu, F.struct(c("salary_rating").alias("rating"),
+                                   c("salary_text").alias("text"))).alias("salary_rating"),
+        F.when(is_kununu, F.struct(c("work_life_rating").alias("rating"),
+                                   c("work_life_text").alias("text"))).alias("work_life_rating"),
+    )
+    items = f.select("portal", "lang", "page",
+                     F.struct(c("pos"), F.to_json(review).alias("j")).alias("it"))
+    return (items.groupBy("portal", "lang", "page")
+            .agg(F.sort_array(F.collect_list("it")).alias("items"))
+            .select("portal", "lang", "page",
+                    F.concat(F.lit('{"reviews": ['),
+                             F.array_join(F.transform("items", lambda x: x["j"]), ",\n"),
+                             F.lit("]}")).alias("body")))
+
+
+# Fetched employment blocks for kununu reviews (page fetch per review).
+EMPLOYMENT_CLASS = "employment-info"
+
+
+def employment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = feed_flat(spark, sf_dir).filter(F.lower(_c("portal")) == "kununu")
+    doc = _c("doc_id")
+    dept = F.concat(F.lit("Angestellte/r im Bereich "), F.initcap(_c("lang")), F.lit(" bei Firma"),
+                    F.when(doc % 4 == 0, F.concat(F.lit(", bis "), (2015 + doc % 9).cast("string"),
+                                                  F.lit(" "))).otherwise(F.lit("")))
+    title = F.when(doc % 6 == 2, F.concat(F.lit("Ex-"), _c("reviewer"))).otherwise(_c("reviewer"))
+    block = F.concat(F.lit(f'<div class="{EMPLOYMENT_CLASS}"><b>'), title, F.lit("</b>"),
+                     F.when(doc % 9 == 1, F.lit("")).otherwise(
+                         F.concat(F.lit("<span>"), dept, F.lit("</span>"))),
+                     F.lit("</div>"))
+    html = F.concat(F.lit("<html><body>"),
+                    F.when(doc % 10 == 3, F.lit("")).otherwise(block), F.lit("</body></html>"))
+    return f.select(_c("id").alias("ID"), html.alias("html"))
