@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import ORACLE, QUERIES
 
-_MODULES = ["q_worklists", "q_merge", "q_ingest"]
+_MODULES = ["q_worklists", "q_merge", "q_ingest", "q_enrich"]
 
 
 def load_all() -> None:

@@ -221,3 +221,89 @@ def employment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.concat(F.lit("<html><body>"),
                     F.when(doc % 10 == 3, F.lit("")).otherwise(block), F.lit("</body></html>"))
     return f.select(_c("id").alias("ID"), html.alias("html"))
+
+
+# --------------------------------------------------------------------------
+# Model answers (ledger rows) derived per review.  Content is free text with
+# one flat JSON object; key spellings vary, some answers have no object, some
+# miss a key, some carry a non-numeric score or an off-list aspect.
+
+def _arr(values: list[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
+def _review_id(doc: Column) -> Column:
+    return F.concat(F.lower(portal_of(doc)), F.lit("-"), doc.cast("string"))
+
+
+def answer_content(doc: Column, text: Column, place: Column, toxic: Column) -> Column:
+    from ..schema import NEGATIVE_ASPECTS, POSITIVE_ASPECTS
+
+    q = lambda s: F.concat(F.lit('"'), s, F.lit('"'))
+    rkey = F.when(doc % 3 == 0, "Response").when(doc % 3 == 1, "response").otherwise("RESPONSE")
+    clean = F.replace(F.replace(F.replace(F.substring(text, 1, 100), F.lit('"'), F.lit("")),
+                                F.lit("\\"), F.lit("")), F.lit(NL), F.lit("\\n"))
+    rval = F.when(doc % 29 == 0, F.lit("(Leer)")).when(doc % 31 == 0, F.lit("")).otherwise(clean)
+    ckey = F.when(doc % 2 == 0, "Country").otherwise("country")
+    pos = F.when(doc % 53 == 0, F.lit("Great pizza")).otherwise(
+        F.element_at(_arr(POSITIVE_ASPECTS), (1 + doc % 18).cast("int")))
+    neg = F.element_at(_arr(NEGATIVE_ASPECTS), (1 + (doc * 7) % 18).cast("int"))
+    sens = F.when(toxic == 1, "Yes").otherwise("No")
+    emp = F.when(doc % 23 == 0, F.lit('"n/a"')).otherwise((1 + doc % 5).cast("string"))
+    hlp = F.when(doc % 37 == 0, F.lit("")).otherwise(
+        F.concat(F.lit(', "HelpfulnessScore": '), (1 + doc % 4).cast("string")))
+    ind = ((doc * 3) % 7).cast("string")
+    obj = F.concat(
+        F.lit("{"), q(rkey), F.lit(": "), q(rval),
+        F.lit(', "StateRegion": '), q(F.concat(F.lit("Region "), (doc % 7).cast("string"))),
+        F.lit(", "), q(ckey), F.lit(": "), q(F.coalesce(place, F.lit("?"))),
+        F.lit(', "MainPositiveAspect": '), q(pos), F.lit(', "MainAreaOfImprovement": '), q(neg),
+        F.lit(', "SensitiveTopic": '), q(sens), F.lit(', "EmpathyScore": '), emp, hlp,
+        F.lit(', "IndividualityScore": '), ind, F.lit("}"))
+    return F.when(doc % 19 == 0, F.lit("no object here")).otherwise(
+        F.concat(F.lit("Sure: "), obj, F.lit(" bye")))
+
+
+def model_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reply and completion answers, one attempt each, for every review."""
+    b = review_base(spark, sf_dir)
+    doc = _c("doc_id")
+    status = F.when(doc % 41 == 0, 500).when(doc % 43 == 0, 429).otherwise(200)
+    content = answer_content(doc, _c("text"), _c("n_name"), _c("toxic"))
+    one = b.select(_review_id(doc).alias("ID"), F.lit(None).cast("string").alias("field"),
+                   F.lit(1).alias("attempt"), status.alias("status"), content.alias("content"))
+    return (one.withColumn("kind", F.lit("reply"))
+            .unionByName(one.withColumn("kind", F.lit("completion")))
+            .select("ID", "kind", "field", "attempt", "status", "content"))
+
+
+# A verified English translation body used by the fixture.
+EN_TRANSLATION = "This is the English text of the review and it is from the team"
+
+
+def translation_answers(spark: SparkSession, sf_dir: str, requests: DataFrame) -> DataFrame:
+    """Two attempts per translation request: the untranslated source (or a
+    failed call), then either an English text or still-foreign text."""
+    doc = F.split_part(_c("ID"), F.lit("-"), F.lit(2)).cast("long")
+    a1 = requests.select("ID", "field",
+                         F.lit(1).alias("attempt"),
+                         F.when(doc % 11 == 5, 500).otherwise(200).alias("status"),
+                         F.col("source").alias("content"))
+    a2 = requests.select("ID", "field", F.lit(2).alias("attempt"), F.lit(200).alias("status"),
+                         F.when(doc % 4 == 3, F.lit("le la les des du et une qui"))
+                         .otherwise(F.lit(EN_TRANSLATION)).alias("content"))
+    return a1.unionByName(a2).withColumn("kind", F.lit("translation"))
+
+
+def page_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetch attempts keyed to review IDs: 404 when page_id % 9 = 0; a 500
+    when page_id % 9 = 1, retried with success when page_id % 27 = 1."""
+    pages = load(spark, sf_dir, "pages").select("page_id", "html")
+    pid = _c("page_id")
+    rid = _review_id(pid).alias("ID")
+    first = pages.select(rid, F.lit(1).alias("attempt"),
+                         F.when(pid % 9 == 0, 404).when(pid % 9 == 1, 500).otherwise(200).alias("status"),
+                         F.when(pid % 9 >= 2, _c("html")).alias("html"))
+    retry = pages.filter(pid % 27 == 1).select(rid, F.lit(2).alias("attempt"),
+                                               F.lit(200).alias("status"), _c("html"))
+    return first.unionByName(retry)
