@@ -34,7 +34,7 @@ def answer_object(content: Column) -> Column:
 def answer_get(obj: Column, key: str) -> Column:
     """Case-insensitive lookup; the last key that matches wins; NULL if absent."""
     hits = F.filter(F.map_entries(obj), lambda e: F.lower(e["key"]) == key.lower())
-    return F.element_at(hits, -1)["value"]
+    return F.try_element_at(hits, F.lit(-1))["value"]
 
 
 def answer_has(obj: Column, key: str) -> Column:

@@ -1,11 +1,12 @@
-"""Set-based replacements for per-row model calls: language, place, aspect
+r"""Set-based replacements for per-row model calls: language, place, aspect
 categories, sensitive flag, rubric floors, plus the validity checks.
 
-Token-count operators are row-local: the text is split once into a token
-array and each category count is a higher-order ``filter`` over that array
-against a small literal word list.  No explode, join or shuffle is needed, so
-a review cannot skew a task by being long or common, and whole texts are
-always used.
+Token-count operators are row-local: a "token" is a maximal run of letters
+of the lower-cased text, and a category count is the number of tokens in a
+small literal word list, computed as one compiled-regex pass on the JVM
+(``(?<!\p{L})(?:w1|w2|...)(?!\p{L})``).  No explode, join or shuffle is
+needed, so a review cannot skew a task by being long or common, and whole
+texts are always used.
 """
 
 from __future__ import annotations
@@ -90,13 +91,44 @@ BLOCK_MIN_REPLIES = 2
 
 
 def tokens(text: Column) -> Column:
+    """Lower-cased maximal letter runs of a text (used where the tokens
+    themselves are needed; counting uses ``count_words``)."""
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), TOKEN_SPLIT),
                     lambda t: t != "")
 
 
-def _count_in(toks: Column, words: list[str]) -> Column:
+def _esc(w: str) -> str:
+    return "".join("\\" + ch if ch in r".^$*+?()[]{}|\/" else ch for ch in w)
+
+
+def word_pattern(words: list[str]) -> str:
+    """Regex matching exactly the tokens (maximal letter runs) in ``words``.
+    A first-letter look-ahead makes most positions fail on one class test
+    before the alternation is tried."""
+    ws = sorted(set(words), key=len, reverse=True)
+    first = "".join(sorted({_esc(w[0]) for w in ws}))
+    alts = "|".join(_esc(w) for w in ws)
+    return f"(?=[{first}])(?<!\\p{{L}})(?:{alts})(?!\\p{{L}})"
+
+
+def _lower(text: Column) -> Column:
+    return F.lower(F.coalesce(text, F.lit("")))
+
+
+def count_words(lower_text: Column, words: list[str]) -> Column:
+    """Number of tokens of an already lower-cased text that are in ``words``:
+    one compiled-regex pass on the JVM, no per-token lambda."""
+    return F.size(F.regexp_extract_all(lower_text, F.lit(word_pattern(words)), 0))
+
+
+def _matches(lower_text: Column, words: list[str]) -> Column:
+    return F.regexp_extract_all(lower_text, F.lit(word_pattern(words)), 0)
+
+
+def _count_in(hits: Column, words: list[str]) -> Column:
+    """Count within a (small) array of matched words."""
     lit = F.array(*[F.lit(w) for w in words])
-    return F.size(F.filter(toks, lambda t: F.array_contains(lit, t)))
+    return F.size(F.filter(hits, lambda t: F.array_contains(lit, t)))
 
 
 def _argmax(counts: list[tuple[str, Column]], default: Column) -> Column:
@@ -106,6 +138,11 @@ def _argmax(counts: list[tuple[str, Column]], default: Column) -> Column:
     return F.when(best["n"] > 0, best["l"]).otherwise(default)
 
 
+def _language_counts(text: Column) -> list[tuple[str, Column]]:
+    low = _lower(text)
+    return [(lang, count_words(low, STOPWORDS[lang])) for lang in CORE_LANGUAGES]
+
+
 def detect_language(df: DataFrame, place_language: DataFrame | None = None) -> DataFrame:
     """Adds ``detected_lang`` (a core code or ``Other``).
 
@@ -114,9 +151,7 @@ def detect_language(df: DataFrame, place_language: DataFrame | None = None) -> D
     ``Location, lang``, a small dimension, broadcast); without a place, ``Other``.
     """
     text = F.concat_ws("\n", F.col("ReviewTitle"), strip_labels(F.col("Portal"), F.col("ReviewText")))
-    toks = tokens(text)
-    counts = [(lang, _count_in(toks, STOPWORDS[lang])) for lang in CORE_LANGUAGES]
-    out = df.withColumn("_lang_hit", _argmax(counts, F.lit(None).cast("string")))
+    out = df.withColumn("_lang_hit", _argmax(_language_counts(text), F.lit(None).cast("string")))
     if place_language is not None:
         pl = F.broadcast(place_language.select(F.col("Location").alias("_loc"),
                                                F.col("lang").alias("_place_lang")))
@@ -131,9 +166,7 @@ def detect_language(df: DataFrame, place_language: DataFrame | None = None) -> D
 
 def text_language(text: Column) -> Column:
     """Language of a bare string (used to verify translations)."""
-    toks = tokens(text)
-    counts = [(lang, _count_in(toks, STOPWORDS[lang])) for lang in CORE_LANGUAGES]
-    return _argmax(counts, F.lit("Other"))
+    return _argmax(_language_counts(text), F.lit("Other"))
 
 
 def fill_language(df: DataFrame) -> DataFrame:
@@ -176,14 +209,23 @@ def places_from_nation(nation: DataFrame, region: DataFrame) -> DataFrame:
 def classify_aspects(df: DataFrame) -> DataFrame:
     """Best positive and negative category by keyword count in the review
     text; ``Uncategorized`` when nothing matches (adds ``pos_aspect``,
-    ``neg_aspect``)."""
-    toks = tokens(strip_labels(F.col("Portal"), F.col("ReviewText")))
-    pos = [(a, _count_in(toks, POSITIVE_KEYWORDS[a])) for a in POSITIVE_ASPECTS
+    ``neg_aspect``).
+
+    One regex pass per kind collects every keyword hit into a column (kept in
+    its own projection, so it is computed once); the per-category counts then
+    run over that short array only."""
+    low = _lower(strip_labels(F.col("Portal"), F.col("ReviewText")))
+    all_pos = [w for ws in POSITIVE_KEYWORDS.values() for w in ws]
+    all_neg = [w for ws in NEGATIVE_KEYWORDS.values() for w in ws]
+    hits = df.withColumn("_pos_hits", _matches(low, all_pos)) \
+             .withColumn("_neg_hits", _matches(low, all_neg))
+    pos = [(a, _count_in(F.col("_pos_hits"), POSITIVE_KEYWORDS[a])) for a in POSITIVE_ASPECTS
            if a in POSITIVE_KEYWORDS]
-    neg = [(a, _count_in(toks, NEGATIVE_KEYWORDS[a])) for a in NEGATIVE_ASPECTS
+    neg = [(a, _count_in(F.col("_neg_hits"), NEGATIVE_KEYWORDS[a])) for a in NEGATIVE_ASPECTS
            if a in NEGATIVE_KEYWORDS]
-    return df.withColumn("pos_aspect", _argmax(pos, F.lit("Uncategorized"))) \
-             .withColumn("neg_aspect", _argmax(neg, F.lit("Uncategorized")))
+    return hits.withColumn("pos_aspect", _argmax(pos, F.lit("Uncategorized"))) \
+               .withColumn("neg_aspect", _argmax(neg, F.lit("Uncategorized"))) \
+               .drop("_pos_hits", "_neg_hits")
 
 
 def validate_aspects(df: DataFrame) -> DataFrame:
@@ -200,8 +242,7 @@ def validate_aspects(df: DataFrame) -> DataFrame:
 
 def sensitive_flag(text: Column) -> Column:
     """``Yes`` when any sensitive word occurs as a token, else ``No``."""
-    lit = F.array(*[F.lit(w) for w in SENSITIVE_WORDS])
-    return F.when(F.exists(tokens(text), lambda t: F.array_contains(lit, t)), F.lit("Yes")) \
+    return F.when(_lower(text).rlike(word_pattern(SENSITIVE_WORDS)), F.lit("Yes")) \
         .otherwise(F.lit("No"))
 
 

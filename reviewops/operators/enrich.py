@@ -370,3 +370,13 @@ def infer_replies(requests: DataFrame, client: ClientFn, ledger: DataFrame | Non
                 yield out[[f.name for f in LEDGER_SCHEMA.fields]]
 
     return req.mapInPandas(run, LEDGER_SCHEMA)
+
+
+def echo_client(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Deterministic stand-in model for tests and fixtures: answers every
+    request with a fixed-shape object derived from its hash."""
+    tag = pdf["request_hash"].str.slice(0, 12)
+    content = ('Sure: {"Response": "Reply ' + tag + '", "SensitiveTopic": "No", '
+               '"EmpathyScore": 4, "HelpfulnessScore": 4, "IndividualityScore": 5} bye')
+    return pd.DataFrame({"ID": pdf["ID"], "kind": pdf["kind"], "request_hash": pdf["request_hash"],
+                         "attempt": 1, "status": 200, "content": content})

@@ -294,3 +294,12 @@ _LINES = (f"list_distinct(list_filter(list_transform(string_split(Response, {G.N
     "blk AS (SELECT ID, count(*) AS blocks FROM lines WHERE line IN (SELECT line FROM per_line) GROUP BY ID)"))
 def q_individuality_score(spark, sf):
     return C.individuality_score(reviews(spark, sf))
+
+
+@register("infer_replies")
+def q_infer_replies(spark, sf):
+    """Reply requests of the unanswered work-list run through the injected
+    client (``mapInPandas``, Arrow batches); no SQL twin (rows-only check)."""
+    rows = C.fill_language(C.detect_language(_unanswered(spark, sf))).drop("detected_lang")
+    return E.infer_replies(E.reply_requests(rows), E.echo_client,
+                           partitions=spark.sparkContext.defaultParallelism)

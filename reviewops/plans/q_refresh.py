@@ -16,6 +16,7 @@ from ..schema import CORE_LANGUAGES, FIXTURE_ASOF, WIDTHS
 from ..sources import usage
 from ..sources.feed import feed_scan
 from ..sources.fixtures import feed_pages, page_fetches, reviews
+from ..session import ensure_parallelism
 from ..sources.tables import load
 from . import sqlgen as G
 from .oracle import table_select, with_feed, with_reviews
@@ -46,7 +47,7 @@ AD_DIV = '<(div)\\s[^>]*class="ad"[^>]*>'
 @register("html_block_text", with_reviews(
     f"SELECT page_id, {_html_text_sql(_inner_sql('html', ARTICLE, 'article'))} AS text FROM pages"))
 def q_html_block_text(spark, sf):
-    p = load(spark, sf, "pages")
+    p = ensure_parallelism(load(spark, sf, "pages"), "page_id")
     return p.select("page_id", block_text(F.col("html"), Selector(tag="article")).alias("text"))
 
 

@@ -66,3 +66,15 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (never a machine-local tmp)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def ensure_parallelism(df, *keys: str):
+    """Hash-partition ``df`` on ``keys`` when it has fewer partitions than the
+    session's default parallelism (e.g. a small single-row-group file read as
+    one task before CPU-heavy row-local work).  With many input splits, as on
+    a cluster, this is a no-op; when it applies, the partitioning is on the
+    join key, so a following shuffle join on that key reuses it."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import COLUMNS, FIXTURE_ASOF
+from ..session import ensure_parallelism
 from .tables import load
 
 NL = "\n"
@@ -38,7 +39,8 @@ def assistant_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def review_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = ensure_parallelism(
+        load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     labels = load(spark, sf_dir, "labels").select("doc_id", "toxic")
     pages = load(spark, sf_dir, "pages").select(_c("page_id").alias("doc_id"), "url")
     reply = assistant_replies(spark, sf_dir).select(
@@ -298,7 +300,7 @@ def translation_answers(spark: SparkSession, sf_dir: str, requests: DataFrame) -
 def page_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fetch attempts keyed to review IDs: 404 when page_id % 9 = 0; a 500
     when page_id % 9 = 1, retried with success when page_id % 27 = 1."""
-    pages = load(spark, sf_dir, "pages").select("page_id", "html")
+    pages = ensure_parallelism(load(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
     pid = _c("page_id")
     rid = _review_id(pid).alias("ID")
     first = pages.select(rid, F.lit(1).alias("attempt"),
