@@ -157,3 +157,15 @@ def refresh_worklist_distinct(table: DataFrame, asof: _dt.date,
     bucket = (F.when(_c("_new"), "new").when(_c("_sens"), "sensitive").otherwise("oldest"))
     return (f.filter(_c("_new") | _c("_sens") | _c("_old"))
             .select(*[_c(c) for c in S.COLUMN_NAMES], bucket.alias("bucket")))
+
+
+def mark_posted(table: DataFrame, posted: DataFrame) -> DataFrame:
+    """Set ``ResponsePostedYesNo = 'Yes'`` on every table row whose ID was
+    posted; all other rows unchanged.  Full rows come from the table, so a
+    narrow posting frame can never replace a wide row.  One left join against
+    the distinct posted IDs (AQE broadcasts them when the measured set is
+    small)."""
+    ids = posted.select("ID").distinct().withColumn("_posted", F.lit(True))
+    j = table.join(ids, "ID", "left")
+    return j.select(*[F.when(_c("_posted"), F.lit("Yes")).otherwise(_c(c)).alias(c)
+                      if c == "ResponsePostedYesNo" else _c(c) for c in table.columns])

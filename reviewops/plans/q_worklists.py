@@ -9,6 +9,7 @@ from ..schema import FIXTURE_ASOF
 from ..sources.fixtures import reviews
 from .oracle import COLS, with_reviews
 from .registry import register
+from .sqlgen import row_select
 
 SINCE = _dt.date(2024, 1, 11)
 
@@ -139,3 +140,15 @@ def q_refresh_worklist(spark, sf):
     f" FROM ({_REFRESH_PARTS})) WHERE rn = 1"))
 def q_refresh_worklist_distinct(spark, sf):
     return W.refresh_worklist_distinct(reviews(spark, sf), FIXTURE_ASOF)
+
+
+_QUEUE = ("SELECT ID FROM reviews WHERE ResponsePostedYesNo = 'No' AND OnlineYesNo = 'Yes'"
+          " AND ApprovalStatus = 'Approved' OR ApprovalStatus = 'ApplyNewResponse'")
+
+
+@register("mark_posted", with_reviews(
+    "SELECT " + row_select({"ResponsePostedYesNo": f"CASE WHEN ID IN ({_QUEUE}) THEN 'Yes'"
+                                                   " ELSE ResponsePostedYesNo END"}) + " FROM reviews"))
+def q_mark_posted(spark, sf):
+    r = reviews(spark, sf)
+    return W.mark_posted(r, W.posting_queue(r))
