@@ -282,14 +282,16 @@ def apply_translation(rows: DataFrame, answers: DataFrame,
     ``DeveloperComment = 'Check lang'``; a failed request sets
     ``'<code>(translation)'`` (the last failure wins)."""
     a = answers.filter((_c("kind") == "translation") & (_c("attempt") <= tries))
-    good = a.filter(_is_2xx(_c("status")) & (_c("lang") == "EN"))
-    firsts = good.groupBy("ID").agg(
-        F.min_by("content", F.when(_c("field") == "ReviewTextEN", _c("attempt"))).alias("_rev"),
-        F.min_by("content", F.when(_c("field") == "ResponseEN", _c("attempt"))).alias("_resp"))
-    errs = a.filter(~_is_2xx(_c("status"))).groupBy("ID").agg(
-        F.max_by("status", "attempt").alias("_err"))
-    tried = a.groupBy("ID").agg(F.collect_set("field").alias("_fields"))
-    j = rows.join(firsts, "ID", "left").join(errs, "ID", "left").join(tried, "ID", "left")
+    ok = _is_2xx(_c("status"))
+    good = ok & (_c("lang") == "EN")
+    # one aggregation over the ledger (partial per task): first verified
+    # attempt per field, last failing status, fields tried (at most two)
+    per_id = a.groupBy("ID").agg(
+        F.min_by("content", F.when(good & (_c("field") == "ReviewTextEN"), _c("attempt"))).alias("_rev"),
+        F.min_by("content", F.when(good & (_c("field") == "ResponseEN"), _c("attempt"))).alias("_resp"),
+        F.max_by("status", F.when(~ok, _c("attempt"))).alias("_err"),
+        F.collect_set("field").alias("_fields"))
+    j = rows.join(per_id, "ID", "left")
     is_en = F.coalesce(_c("Language") == "EN", F.lit(False))
     labels_only = blank_or_null(strip_labels(_c("Portal"), _c("ReviewText")))
     rev_needed = ~is_en & blank_or_null(_c("ReviewTextEN")) & ~labels_only

@@ -19,8 +19,9 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import COLUMNS, FIXTURE_ASOF
+from ..schema import COLUMNS, FIXTURE_ASOF, REVIEW_SCHEMA
 from ..session import ensure_parallelism
+from .materialize import materialized
 from .tables import load
 
 NL = "\n"
@@ -63,7 +64,18 @@ def review_date_of(doc: Column, asof: _dt.date) -> Column:
     return F.date_sub(F.lit(asof), ((doc * 7) % 45).cast("int"))
 
 
+BASE_TABLES = ("documents", "labels", "pages", "conversations", "nation")
+
+
 def reviews(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE_ASOF) -> DataFrame:
+    """The review table for ``sf_dir``: derived once, stored as Parquet under
+    the checkpoint folder, read like the production table."""
+    if asof != FIXTURE_ASOF:
+        return derive_reviews(spark, sf_dir, asof)
+    return materialized(spark, sf_dir, "reviews", BASE_TABLES, derive_reviews, REVIEW_SCHEMA)
+
+
+def derive_reviews(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE_ASOF) -> DataFrame:
     """The canonical 35-column review table derived from the driver tables."""
     b = review_base(spark, sf_dir)
     doc = _c("doc_id")
@@ -178,6 +190,17 @@ def feed_flat(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE_ASOF) -
 
 
 def feed_pages(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE_ASOF) -> DataFrame:
+    """Landed pages for ``sf_dir``, written once as JSON lines (the landing
+    format) and read back through the landed-page schema."""
+    from .feed import LANDED_SCHEMA
+
+    if asof != FIXTURE_ASOF:
+        return derive_feed_pages(spark, sf_dir, asof)
+    return materialized(spark, sf_dir, "landed", BASE_TABLES, derive_feed_pages, LANDED_SCHEMA,
+                        fmt="json")
+
+
+def derive_feed_pages(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE_ASOF) -> DataFrame:
     """Landed pages (``portal, lang, page, body``) built from ``feed_flat``.
     Reviews are joined with a raw line feed between them, as a pretty-printed
     service response would be."""
@@ -266,7 +289,18 @@ def answer_content(doc: Column, text: Column, place: Column, toxic: Column) -> C
         F.concat(F.lit("Sure: "), obj, F.lit(" bye")))
 
 
+ANSWER_LEDGER_SCHEMA = "ID string, kind string, field string, attempt int, status int, content string"
+
+
 def model_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The answer ledger for ``sf_dir`` (derived once, stored as Parquet)."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    return materialized(spark, sf_dir, "answers", BASE_TABLES, derive_model_answers,
+                        _parse_datatype_string(ANSWER_LEDGER_SCHEMA))
+
+
+def derive_model_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reply and completion answers, one attempt each, for every review."""
     b = review_base(spark, sf_dir)
     doc = _c("doc_id")
