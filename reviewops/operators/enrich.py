@@ -382,3 +382,11 @@ def echo_client(pdf: pd.DataFrame) -> pd.DataFrame:
                '"EmpathyScore": 4, "HelpfulnessScore": 4, "IndividualityScore": 5} bye')
     return pd.DataFrame({"ID": pdf["ID"], "kind": pdf["kind"], "request_hash": pdf["request_hash"],
                          "attempt": 1, "status": 200, "content": content})
+
+
+def outcome_log(applied: DataFrame) -> DataFrame:
+    """Run-log rows ``(ID, reason)`` for rows an apply step left (partly)
+    unchanged: failed request, unparsable answer, missing key.  Input is an
+    ``apply_*(..., with_outcome=True)`` result."""
+    bad = ~_c("outcome").isin("answered", "no answer", "regenerated", "no reply needed")
+    return applied.filter(bad).select("ID", _c("outcome").alias("reason"))

@@ -12,7 +12,9 @@ every merge write also cuts the lineage):
 4. audit: CSV backup and duplicate-key report
 
 Model answers come from the answer ledger (``infer_replies`` appends to it);
-the pipeline itself makes no remote call.
+the pipeline itself makes no remote call.  Each stage's rows are staged with
+``DataFrame.checkpoint()`` (files under the shared ``spark.checkpoint.dir``)
+before they are merged, like the staging table of the original merge.
 """
 
 from __future__ import annotations
@@ -27,14 +29,15 @@ from ..operators import classify as C
 from ..operators import enrich as E
 from ..operators import merge as M
 from ..operators import worklists as W
-from ..sinks.table import csv_backup, dupes_report, read_table, table_replace_sink
+from ..sinks.table import csv_backup, dupes_report, read_table, run_log, table_replace_sink
 
 
 def reply_stage(table: DataFrame, answers: DataFrame, asof: _dt.date,
-                lookback_days: int = S.UNANSWERED_LOOKBACK_DAYS) -> DataFrame:
+                lookback_days: int = S.UNANSWERED_LOOKBACK_DAYS,
+                with_outcome: bool = False) -> DataFrame:
     rows = W.unanswered(table, since=asof - _dt.timedelta(days=lookback_days))
     rows = C.fill_language(C.detect_language(rows)).drop("detected_lang")
-    return E.apply_reply(rows, answers, asof)
+    return E.apply_reply(rows, answers, asof, with_outcome=with_outcome)
 
 
 def regenerate_stage(table: DataFrame, answers: DataFrame, asof: _dt.date,
@@ -53,21 +56,27 @@ def translation_stage(table: DataFrame, translations: DataFrame,
 
 def run_batch(spark: SparkSession, table_root: str, answers: DataFrame, translations: DataFrame,
               asof: _dt.date, backup_dir: str | None = None, dupes_path: str | None = None,
-              at: _dt.datetime | None = None) -> dict:
+              at: _dt.datetime | None = None, log_path: str | None = None) -> dict:
     """Run the batch; returns the versions written per stage."""
     out = {}
+    at = at or _dt.datetime.combine(asof, _dt.time())
     table = read_table(spark, table_root)
-    out["reply"] = table_replace_sink(M.merge_update(table, reply_stage(table, answers, asof)),
-                                      table_root)
+    # staged with a reliable checkpoint (spark.checkpoint.dir): computed once,
+    # used by the log and the merge, and never recomputed after executor loss
+    replied = reply_stage(table, answers, asof, with_outcome=bool(log_path)).checkpoint()
+    if log_path:
+        run_log(E.outcome_log(replied), log_path, "reply", at)
+        replied = replied.drop("outcome")
+    out["reply"] = table_replace_sink(M.merge_update(table, replied), table_root)
     table = read_table(spark, table_root)
-    out["regenerate"] = table_replace_sink(
-        M.merge_update(table, regenerate_stage(table, answers, asof)), table_root)
+    regenerated = regenerate_stage(table, answers, asof).checkpoint()
+    out["regenerate"] = table_replace_sink(M.merge_update(table, regenerated), table_root)
     table = read_table(spark, table_root)
-    out["translate"] = table_replace_sink(
-        M.merge_upsert(table, translation_stage(table, translations)), table_root)
+    translated = translation_stage(table, translations).checkpoint()
+    out["translate"] = table_replace_sink(M.merge_upsert(table, translated), table_root)
     table = read_table(spark, table_root)
     if backup_dir:
-        out["backup"] = csv_backup(table, backup_dir, at or _dt.datetime.combine(asof, _dt.time()))
+        out["backup"] = csv_backup(table, backup_dir, at)
     if dupes_path:
         dupes_report(table, dupes_path, asof)
     return out

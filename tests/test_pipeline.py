@@ -25,7 +25,8 @@ def test_run_batch(spark, tmpdir_path):
         spark, SF001, E.translation_requests(W.translate_candidates(before)))
     out = run_batch(spark, root, answers, translations, ASOF,
                     backup_dir=os.path.join(tmpdir_path, "backups"),
-                    dupes_path=os.path.join(tmpdir_path, "dupes"))
+                    dupes_path=os.path.join(tmpdir_path, "dupes"),
+                    log_path=os.path.join(tmpdir_path, "log"))
     assert (out["reply"], out["regenerate"], out["translate"]) == (2, 3, 4)
     after = T.read_table(spark, root)
     assert after.count() == base.count()
@@ -34,3 +35,6 @@ def test_run_batch(spark, tmpdir_path):
     assert pending > before.filter(F.col("ApprovalStatus") == "Pending").count()
     assert n_unanswered > 0
     assert os.path.exists(os.path.join(out["backup"], "_SUCCESS"))
+    log = spark.read.parquet(os.path.join(tmpdir_path, "log"))
+    reasons = {r["reason"] for r in log.select("reason").distinct().collect()}
+    assert reasons <= {"request failed", "unparsable answer", "missing key"} and reasons
