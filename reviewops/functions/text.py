@@ -16,6 +16,7 @@ NL = "\n"
 INDEED_LABELS = ["Pros: ", "Cons: "]
 KUNUNU_RATING_LABEL = r"(\S+) rating: [1-5]/5 "
 FEED_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
+FEED_TS_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
 
 
 def blank_or_null(c: Column) -> Column:
@@ -103,10 +104,12 @@ def compose_kununu_text(review_json: Column, body: Column) -> Column:
 
 
 def parse_feed_ts(c: Column) -> Column:
-    """Feed timestamp: drop everything from the first ``.``, parse
-    ``yyyy-MM-ddTHH:mm:ss``; malformed -> NULL."""
-    return F.try_to_timestamp(F.split_part(c, F.lit("."), F.lit(1)),
-                              F.lit(FEED_TS_FORMAT)).cast("timestamp_ntz")
+    """Feed timestamp: drop everything from the first ``.``, then accept only
+    the shape ``yyyy-MM-ddTHH:mm:ss`` (1-2 digit fields, as ``strptime``) and
+    convert it as wall-clock time (``TIMESTAMP_NTZ``, no time zone involved);
+    malformed or impossible values -> NULL."""
+    head = F.split_part(c, F.lit("."), F.lit(1))
+    return F.when(head.rlike(FEED_TS_SHAPE), head.try_cast("timestamp_ntz"))
 
 
 def unescape_newline(c: Column) -> Column:
@@ -121,3 +124,13 @@ def try_double(c: Column) -> Column:
 
 def try_int(c: Column) -> Column:
     return c.try_cast("int")
+
+
+def ts_literal(value) -> Column:
+    """A wall-clock timestamp literal (``TIMESTAMP_NTZ``) built from its ISO
+    text, so it does not depend on the Python or session time zone."""
+    import datetime as _dt
+
+    if isinstance(value, _dt.date) and not isinstance(value, _dt.datetime):
+        value = _dt.datetime.combine(value, _dt.time())
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")

@@ -70,7 +70,7 @@ def _msg(role: str, content: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
 
-def language_content(df_cols=None) -> Column:
+def language_content() -> Column:
     text = strip_labels(_c("Portal"), _c("ReviewText"))
     return F.concat(
         F.lit(LANG_TITLE), F.coalesce(_c("ReviewTitle"), F.lit("")),

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import text as TX
-from ..functions.html import Selector, block_text, css, element_inner, html_to_text
+from ..functions.html import Selector, element_inner, html_to_text
 from .merge import dedupe_incoming
 
 VALID = ["indeed", "glassdoor", "kununu"]
@@ -55,8 +55,7 @@ def drop_pinned_first(feed: DataFrame, asof: _dt.date,
                       max_age_days: int = S.PINNED_REVIEW_MAX_AGE_DAYS) -> DataFrame:
     """On every first-portal page drop position 0 when it is older than
     ``asof - 7 days`` (a pinned top review).  Needs column ``ts``."""
-    limit = F.lit(_dt.datetime.combine(asof, _dt.time()) - _dt.timedelta(days=max_age_days)) \
-        .cast("timestamp_ntz")
+    limit = TX.ts_literal(_dt.datetime.combine(asof, _dt.time()) - _dt.timedelta(days=max_age_days))
     pinned = (_p() == "indeed") & (_c("pos") == 0) & (_c("ts") < limit)
     return feed.filter(~F.coalesce(pinned, F.lit(False)))
 
@@ -74,7 +73,7 @@ def feed_prefix(feed: DataFrame, since: _dt.datetime, scope: str) -> DataFrame:
     """
     keys = ["portal", "lang"] + (["page"] if scope == "page" else [])
     seq = F.struct(_c("page"), _c("pos"))
-    old = _c("ts") < F.lit(since).cast("timestamp_ntz")
+    old = _c("ts") < TX.ts_literal(since)
     cuts = feed.groupBy(*keys).agg(F.min(F.when(old, seq)).alias("_cut"))
     if scope == "feed":
         cuts = F.broadcast(cuts)
@@ -199,5 +198,3 @@ def supplement_kununu(table: DataFrame, fetched: DataFrame, sel: Selector) -> Da
             out.append(F.col(name))
     return j.select(*out)
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["css", "block_text"]

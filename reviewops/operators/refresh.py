@@ -10,6 +10,11 @@ attempts, a partial aggregation.  Per review:
   reply missing -> posted ``No``; review block missing (portals 1, 2) -> a
   parse error: posted flag and reply untouched
 * anything else       -> row untouched
+
+Page lookups ("reply element inside the review block") need balanced nested
+tags, which regular expressions cannot pair; they use the small stdlib parser
+in ``functions.htmlparse`` as an Arrow-batched ``pandas_udf``, applied after
+the join so only the fetched pages of the work-list are parsed.
 """
 
 from __future__ import annotations
@@ -17,11 +22,13 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.html import Selector, css, element_inner, html_to_text
+from ..functions import htmlparse as HP
+from ..functions.html import Selector, css
 
 
 @dataclass(frozen=True)
@@ -57,32 +64,40 @@ def first_terminal_attempt(fetches: DataFrame, attempts: int = S.REFRESH_ATTEMPT
                     F.col("_t.html").alias("_html")))
 
 
-def _page_columns(portal: Column, html: Column, pages: dict[str, PortalPage]):
-    """(parse_ok, reply_found, reply_text) for the row's portal."""
-    parse_ok, found, text = F.lit(None), F.lit(None), F.lit(None)
-    ok_cases, found_cases, text_cases = [], [], []
-    for name, pg in pages.items():
-        scope = element_inner(html, pg.review) if pg.review is not None else html
-        review_ok = scope.isNotNull()
-        reply = element_inner(scope, pg.reply)
-        inner = element_inner(reply, pg.reply_text) if pg.reply_text is not None else reply
-        is_p = F.lower(portal) == name
-        ok_cases.append((is_p, review_ok))
-        found_cases.append((is_p, reply.isNotNull()))
-        # a reply without its inner text element is a parse error after the
-        # posted flag was already set
-        text_cases.append((is_p, F.when(inner.isNotNull(), html_to_text(inner))))
-    for cases, dst in ((ok_cases, "ok"), (found_cases, "found"), (text_cases, "text")):
-        expr = None
-        for cond, val in cases:
-            expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-        if dst == "ok":
-            parse_ok = expr
-        elif dst == "found":
-            found = expr
-        else:
-            text = expr
-    return parse_ok, found, text
+def _sel(sel: Selector | None):
+    if sel is None:
+        return None
+    return (sel.tag if sel.tag.isalnum() else None, sel.attr, sel.value)
+
+
+def page_parser(pages: dict[str, PortalPage]):
+    """Arrow-batched parser: per row ``(review block found, reply found, reply
+    text)`` for the row's portal; NULLs for unknown portals or no page.  A
+    reply without its inner text element yields NULL text: the posted flag is
+    set but the reply is not taken (a parse error after that step)."""
+    spec = {name: (_sel(pg.review), _sel(pg.reply), _sel(pg.reply_text))
+            for name, pg in pages.items()}
+
+    @F.pandas_udf("parse_ok boolean, found boolean, text string")
+    def parse_pages(portal: pd.Series, html: pd.Series) -> pd.DataFrame:
+        ok, found, txt = [], [], []
+        for p, h in zip(portal, html):
+            s = spec.get(str(p).lower()) if (p is not None and h is not None) else None
+            if s is None:
+                ok.append(None), found.append(None), txt.append(None)
+                continue
+            root = HP.parse(h)
+            scope = HP.find(root, *s[0]) if s[0] else root
+            if scope is None:
+                ok.append(False), found.append(None), txt.append(None)
+                continue
+            reply = HP.find(scope, *s[1])
+            inner = reply if (reply is None or s[2] is None) else HP.find(reply, *s[2])
+            ok.append(True), found.append(reply is not None)
+            txt.append(HP.text(inner) if inner is not None else None)
+        return pd.DataFrame({"parse_ok": ok, "found": found, "text": txt})
+
+    return parse_pages
 
 
 def apply_refresh(rows: DataFrame, fetches: DataFrame, asof: _dt.date,
@@ -91,7 +106,9 @@ def apply_refresh(rows: DataFrame, fetches: DataFrame, asof: _dt.date,
     status, html = F.col("_status"), F.col("_html")
     ok2xx = status.between(200, 299)
     gone = status == 404
-    parse_ok, found, text = _page_columns(F.col("Portal"), html, pages)
+    # exact nested-HTML lookup, run only on the fetched rows of the work-list
+    parsed = page_parser(pages)(F.col("Portal"), html)
+    parse_ok, found, text = parsed["parse_ok"], parsed["found"], parsed["text"]
     seen = ok2xx & F.coalesce(parse_ok, F.lit(False))
     posted = seen & F.coalesce(found, F.lit(False))
     with_text = posted & text.isNotNull()

@@ -75,7 +75,10 @@ def ensure_parallelism(df, *keys: str):
     one task before CPU-heavy row-local work).  With many input splits, as on
     a cluster, this is a no-op; when it applies, the partitioning is on the
     join key, so a following shuffle join on that key reuses it."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD access (e.g. a Connect session): leave as is
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)

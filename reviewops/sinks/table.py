@@ -7,9 +7,11 @@ current version (a job's files become visible together at commit); whole-row
 replacements (update / upsert / replace) write the next version, so a table
 is never overwritten while it is being read and a failed job leaves the
 previous version current.  Writing a version also cuts the lineage of the
-pipeline that produced it.  Optionally the table is hash-bucketed by ``ID``
-(``repartition(n, 'ID')`` before the write) so the next merge's key joins see
-co-partitioned input.
+pipeline that produced it.  Optionally a version is written hash-clustered and
+sorted by ``ID`` (``repartition(n, 'ID')`` + ``sortWithinPartitions('ID')``):
+Parquet min/max statistics then let key lookups skip row groups.  Skipping the
+shuffle of a later join would need ``bucketBy`` with a persistent catalog,
+which this file-based layout does not assume.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import ts_literal
 from ..operators.audit import duplicate_ids
 from ..schema import REVIEW_SCHEMA
 
@@ -69,7 +72,7 @@ def table_replace_sink(df: DataFrame, root: str, buckets: int | None = None) ->
     v = (current_version(spark, root) or 0) + 1
     out = df.select(*[f.name for f in REVIEW_SCHEMA.fields])
     if buckets:
-        out = out.repartition(buckets, "ID")
+        out = out.repartition(buckets, "ID").sortWithinPartitions("ID")
     out.write.mode("errorifexists").parquet(version_path(root, v))
     return v
 
@@ -107,5 +110,5 @@ def dupes_report(table: DataFrame, path: str, asof: _dt.date) -> DataFrame:
 
 def run_log(events: DataFrame, path: str, stage: str, at: _dt.datetime) -> None:
     """Append ``(ts, stage, ID, reason)`` rows (named fields, Parquet)."""
-    events.select(F.lit(at).cast("timestamp_ntz").alias("ts"), F.lit(stage).alias("stage"),
+    events.select(ts_literal(at).alias("ts"), F.lit(stage).alias("stage"),
                   F.col("ID"), F.col("reason")).write.mode("append").parquet(path)

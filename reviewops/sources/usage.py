@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import ts_literal
+
 REPORT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()),
@@ -29,6 +31,5 @@ def usage_report_scan(spark: SparkSession, path: str) -> DataFrame:
 def usage_window(records: DataFrame, start: _dt.datetime, end: _dt.datetime) -> DataFrame:
     """Records in ``[start, end)``; the filter reaches the Parquet/JSON scan."""
     ts = F.col("ts")
-    return records.filter((ts >= F.lit(start).cast("timestamp_ntz"))
-                          & (ts < F.lit(end).cast("timestamp_ntz"))) \
+    return records.filter((ts >= ts_literal(start)) & (ts < ts_literal(end))) \
         .select("event_id", "ts", "user_id", "event_type", "value")

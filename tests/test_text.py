@@ -35,7 +35,8 @@ def test_strip_labels_indeed_and_other(spark):
 
 def test_parse_feed_ts(spark):
     for s, ok in [("2024-01-05T10:11:12.345", True), ("2024-01-05T10:11:12", True),
-                  ("2024-01-05 10:11:12", False), ("garbage", False)]:
+                  ("2024-01-05 10:11:12", False), ("garbage", False), ("2024-02-30T00:00:00", False),
+                  ("2024-01-05T10:11:12Z", False), ("2024-01-05", False), ("2024-3-5T1:2:3", True)]:
         got = _one(spark, TX.parse_feed_ts(F.col("a")), s, None)
         assert (got is not None) == ok, s
 
