@@ -92,3 +92,10 @@ def text(node: Node) -> str:
         else:
             todo.extend(reversed(n.children))
     return "".join(out)
+
+
+def selector_spec(sel) -> tuple[str | None, str | None, str | None] | None:
+    """``functions.html.Selector`` -> (tag or None for any, attr, value)."""
+    if sel is None:
+        return None
+    return (sel.tag if sel.tag.isalnum() else None, sel.attr, sel.value)

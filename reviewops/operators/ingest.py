@@ -16,12 +16,14 @@ from __future__ import annotations
 
 import datetime as _dt
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import text as TX
-from ..functions.html import Selector, element_inner, html_to_text
+from ..functions import htmlparse as HP
+from ..functions.html import Selector
 from .merge import dedupe_incoming
 
 VALID = ["indeed", "glassdoor", "kununu"]
@@ -165,15 +167,33 @@ def extract_new_reviews(feed: DataFrame, since: _dt.datetime, asof: _dt.date) ->
 # Employment block of a kununu review page (job title, former flag,
 # department, contract end year).
 
+def employment_parser(sel: Selector):
+    """Arrow-batched exact lookup of the employment block and its bold and
+    span parts (nested markup): ``ok, title, dept``."""
+    spec = HP.selector_spec(sel)
+
+    @F.pandas_udf("ok boolean, title string, dept string")
+    def parse_blocks(html: pd.Series) -> pd.DataFrame:
+        ok, title, dept = [], [], []
+        for h in html:
+            block = HP.find(HP.parse(h), *spec) if h is not None else None
+            b = HP.find(block, "b", None, None) if block is not None else None
+            s = HP.find(block, "span", None, None) if block is not None else None
+            good = b is not None and s is not None
+            ok.append(good)
+            title.append(HP.text(b) if good else None)
+            dept.append(HP.text(s) if good else None)
+        return pd.DataFrame({"ok": ok, "title": title, "dept": dept})
+
+    return parse_blocks
+
+
 def employment_block(html: Column, sel: Selector) -> dict[str, Column]:
     """Columns set from the block; all NULL unless the block, its bold part
-    and its span all exist."""
-    block = element_inner(html, sel)
-    bold = element_inner(block, Selector(tag="b"))
-    span = element_inner(block, Selector(tag="span"))
-    ok = block.isNotNull() & bold.isNotNull() & span.isNotNull()
-    title = html_to_text(bold)
-    dept_text = html_to_text(span)
+    and its span all exist.  Department = text between ``im Bereich `` and
+    `` bei``; contract year = first `` 2ddd `` in the span."""
+    parsed = employment_parser(sel)(html)
+    ok, title, dept_text = parsed["ok"], parsed["title"], parsed["dept"]
     department = F.when(dept_text.contains("im Bereich"), F.split_part(
         F.split_part(dept_text, F.lit("im Bereich "), F.lit(2)), F.lit(" bei"), F.lit(1)))
     year = F.regexp_extract(dept_text, r" (2[0-9]{3}) ", 1)

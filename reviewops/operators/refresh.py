@@ -64,18 +64,13 @@ def first_terminal_attempt(fetches: DataFrame, attempts: int = S.REFRESH_ATTEMPT
                     F.col("_t.html").alias("_html")))
 
 
-def _sel(sel: Selector | None):
-    if sel is None:
-        return None
-    return (sel.tag if sel.tag.isalnum() else None, sel.attr, sel.value)
-
-
 def page_parser(pages: dict[str, PortalPage]):
     """Arrow-batched parser: per row ``(review block found, reply found, reply
     text)`` for the row's portal; NULLs for unknown portals or no page.  A
     reply without its inner text element yields NULL text: the posted flag is
     set but the reply is not taken (a parse error after that step)."""
-    spec = {name: (_sel(pg.review), _sel(pg.reply), _sel(pg.reply_text))
+    spec = {name: (HP.selector_spec(pg.review), HP.selector_spec(pg.reply),
+                   HP.selector_spec(pg.reply_text))
             for name, pg in pages.items()}
 
     @F.pandas_udf("parse_ok boolean, found boolean, text string")

@@ -53,3 +53,21 @@ def test_apply_refresh_real_portals(spark):
     assert view("gone") == ("No", ASOF, "Yes", "r", "Approved")
     assert view("flaky") == ("Yes", ASOF, "Yes", "Danke\nTeam & Co", "Approved")
     assert view("never") == ("Yes", None, "No", "old", "Pending")  # no terminal attempt
+
+
+def test_employment_block_nested_markup(spark):
+    from reviewops.functions.html import css
+    from reviewops.operators.ingest import supplement_kununu
+
+    cls = "index__employmentInfoBlock__wuOtj p-tiny-regular"
+    page = (f'<div class="{cls}"><div><b>Ex-Fahrer/in</b></div><div class="x">'
+            '<span>Hat bis 2021 im Bereich Logistik bei Firma gearbeitet.</span></div></div>')
+    no_span = f'<div class="{cls}"><b>Fahrer</b></div>'
+    rows = schema_conform(spark.createDataFrame([("a", "kununu"), ("b", "kununu"), ("c", "kununu")],
+                                                "ID string, Portal string"))
+    fetched = spark.createDataFrame([("a", page), ("b", no_span)], "ID string, html string")
+    out = {r["ID"]: r.asDict() for r in supplement_kununu(rows, fetched, css(cls, "div")).collect()}
+    a = out["a"]
+    assert (a["JobTitle"], a["CurrentFormerEmployee"], a["Department"],
+            a["ContractTerminationKununuOnly"]) == ("Ex-Fahrer/in", "Former", "Logistik", 2021)
+    assert out["b"]["JobTitle"] is None and out["c"]["JobTitle"] is None
