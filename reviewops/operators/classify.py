@@ -148,13 +148,14 @@ def detect_language(df: DataFrame, place_language: DataFrame | None = None) -> D
 
     Counts stop words of each core language in title + label-stripped text;
     the largest count wins.  With no hit the place decides (``place_language``:
-    ``Location, lang``, a small dimension, broadcast); without a place, ``Other``.
+    ``Location, lang``; joined without a forced broadcast, AQE broadcasts it
+    when its measured size is small); without a place, ``Other``.
     """
     text = F.concat_ws("\n", F.col("ReviewTitle"), strip_labels(F.col("Portal"), F.col("ReviewText")))
     out = df.withColumn("_lang_hit", _argmax(_language_counts(text), F.lit(None).cast("string")))
     if place_language is not None:
-        pl = F.broadcast(place_language.select(F.col("Location").alias("_loc"),
-                                               F.col("lang").alias("_place_lang")))
+        pl = place_language.select(F.col("Location").alias("_loc"),
+                                   F.col("lang").alias("_place_lang"))
         out = out.join(pl, out["Location"] == pl["_loc"], "left").drop("_loc")
         fallback = F.coalesce(F.col("_place_lang"), F.lit("Other"))
     else:
@@ -185,12 +186,13 @@ def reply_language(language: Column, portal: Column) -> Column:
 def geo_enrich(df: DataFrame, places: DataFrame) -> DataFrame:
     """Location -> StateRegion, Country for rows with a Location.
 
-    ``places`` (``place, state_region, country``) is a place dimension; it is
-    broadcast only because its size is bounded by the caller (see
-    ``places_from_nation``: 25 rows).  Rows without a match keep their values.
+    ``places`` (``place, state_region, country``) is a place dimension.  It
+    is not force-broadcast: AQE broadcasts it when its measured size is below
+    the threshold and shuffles otherwise.  Rows without a match keep their
+    values.
     """
-    p = F.broadcast(places.select(F.col("place").alias("_place"), F.col("state_region").alias("_sr"),
-                                  F.col("country").alias("_co")))
+    p = places.select(F.col("place").alias("_place"), F.col("state_region").alias("_sr"),
+                      F.col("country").alias("_co"))
     j = df.join(p, df["Location"] == p["_place"], "left")
     has_loc = nonblank(F.col("Location")) & F.col("_place").isNotNull()
     return j.select(*[

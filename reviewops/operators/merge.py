@@ -10,11 +10,11 @@ Semantics (whole-row replacement, NULLs included; by column name):
 Physical shape: every join is on ``ID`` and only the ``ID`` column of the other
 side takes part, so the wide text columns never cross a shuffle for the key
 test.  The table side is anti-joined against the *incoming* IDs, which AQE
-turns into a broadcast when the measured batch is small; a table bucketed by
-``ID`` (see ``reviewops.sinks.table``) is not shuffled at all.  The incoming
-key must be unique and non-null (the staging primary key): ``check_unique_keys``
-enforces it with one aggregation (partial counts per task, so a hot key cannot
-overload one task) and reports at most 20 offending keys.
+turns into a broadcast when the measured batch is small, so the table itself
+is then only scanned, not shuffled.  The incoming key must be unique and
+non-null (the staging primary key): ``guard_unique_keys`` (lazy, fails the job)
+or ``check_unique_keys`` (eager, lists at most 20 keys) enforce it with one
+aggregation (partial counts per task, so a hot key cannot overload one task).
 """
 
 from __future__ import annotations
@@ -33,15 +33,23 @@ def _ids(df: DataFrame, key: str) -> DataFrame:
     return df.select(key)
 
 
+def known_ids(incoming: DataFrame, table: DataFrame, key: str = "ID") -> DataFrame:
+    """IDs of the batch that the table already holds.  The table's ID column
+    is the probe side and the batch's IDs the build side, so a small batch is
+    broadcast (AQE, measured size) and the big table is only scanned; the
+    result is at most as large as the batch."""
+    return _ids(table, key).join(_ids(incoming, key), key, "left_semi")
+
+
 def existing_keys(incoming: DataFrame, table: DataFrame, key: str = "ID") -> DataFrame:
     """``ID IN (SELECT ID FROM table)``."""
-    return incoming.join(_ids(table, key), key, "left_semi")
+    return incoming.join(known_ids(incoming, table, key), key, "left_semi")
 
 
 def new_keys(incoming: DataFrame, table: DataFrame, key: str = "ID") -> DataFrame:
-    """``ID NOT IN (SELECT ID FROM table)`` for a non-null key (plain anti join;
-    the null-aware form could only broadcast)."""
-    return incoming.join(_ids(table, key), key, "left_anti")
+    """``ID NOT IN (SELECT ID FROM table)`` for a non-null key (plain anti join
+    against the batch's known IDs; the null-aware form could only broadcast)."""
+    return incoming.join(known_ids(incoming, table, key), key, "left_anti")
 
 
 def duplicate_keys(df: DataFrame, key: str = "ID") -> DataFrame:
