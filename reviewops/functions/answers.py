@@ -32,9 +32,15 @@ def answer_object(content: Column) -> Column:
 
 
 def answer_get(obj: Column, key: str) -> Column:
-    """Case-insensitive lookup; the last key that matches wins; NULL if absent."""
+    """Case-insensitive lookup with the semantics of a parsed JSON object fed
+    into a case-insensitive dictionary: an exact duplicate key keeps its first
+    position and its last value; among keys equal ignoring case, the one
+    positioned last wins.  NULL if absent.  (The parsed map keeps exact
+    duplicate entries, so both rules are applied here.)"""
     hits = F.filter(F.map_entries(obj), lambda e: F.lower(e["key"]) == key.lower())
-    return F.try_element_at(hits, F.lit(-1))["value"]
+    winner = F.try_element_at(F.array_distinct(F.transform(hits, lambda e: e["key"])), F.lit(-1))
+    same = F.filter(hits, lambda e: e["key"] == winner)
+    return F.try_element_at(same, F.lit(-1))["value"]
 
 
 def answer_has(obj: Column, key: str) -> Column:
