@@ -113,7 +113,7 @@ def _to_table(feed: DataFrame, cols: dict[str, Column], keep: tuple[str, ...]) -
     return feed.select(*table_cols, *keep)
 
 
-def normalize_indeed(feed: DataFrame, asof: _dt.date, keep: tuple[str, ...] = ()) -> DataFrame:
+def _indeed_cols(asof: _dt.date) -> dict[str, Column]:
     cols = _common("Indeed", asof)
     cols.update({
         "JobTitle": _c("reviewer"),
@@ -121,10 +121,10 @@ def normalize_indeed(feed: DataFrame, asof: _dt.date, keep: tuple[str, ...] = ()
         "Location": _c("location"),
         "ReviewText": TX.compose_indeed_text(_c("pros"), _c("cons"), _c("text")),
     })
-    return _to_table(feed.filter(_p() == "indeed"), cols, keep)
+    return cols
 
 
-def normalize_glassdoor(feed: DataFrame, asof: _dt.date, keep: tuple[str, ...] = ()) -> DataFrame:
+def _glassdoor_cols(asof: _dt.date) -> dict[str, Column]:
     cols = _common("Glassdoor", asof)
     cols.update({
         "JobTitle": _c("reviewer"),
@@ -132,10 +132,10 @@ def normalize_glassdoor(feed: DataFrame, asof: _dt.date, keep: tuple[str, ...] =
         "Location": _c("location"),
         "ReviewText": TX.compose_glassdoor_text(_c("pros"), _c("cons")),
     })
-    return _to_table(feed.filter(_p() == "glassdoor"), cols, keep)
+    return cols
 
 
-def normalize_kununu(feed: DataFrame, asof: _dt.date, keep: tuple[str, ...] = ()) -> DataFrame:
+def _kununu_cols(asof: _dt.date) -> dict[str, Column]:
     reply = _c("reply.text")
     has_reply = TX.nonblank(reply)
     cols = _common("kununu", asof)
@@ -146,13 +146,36 @@ def normalize_kununu(feed: DataFrame, asof: _dt.date, keep: tuple[str, ...] = ()
         "ResponsePostedYesNo": F.when(has_reply, F.lit("Yes")).otherwise(F.lit("No")),
         "ApprovalStatus": F.when(has_reply, F.lit("Approved")),
     })
-    return _to_table(feed.filter(_p() == "kununu"), cols, keep)
+    return cols
+
+
+PORTAL_COLUMNS = {"indeed": _indeed_cols, "glassdoor": _glassdoor_cols, "kununu": _kununu_cols}
+
+
+def normalize_indeed(feed: DataFrame, asof: _dt.date, keep: tuple[str, ...] = ()) -> DataFrame:
+    return _to_table(feed.filter(_p() == "indeed"), _indeed_cols(asof), keep)
+
+
+def normalize_glassdoor(feed: DataFrame, asof: _dt.date, keep: tuple[str, ...] = ()) -> DataFrame:
+    return _to_table(feed.filter(_p() == "glassdoor"), _glassdoor_cols(asof), keep)
+
+
+def normalize_kununu(feed: DataFrame, asof: _dt.date, keep: tuple[str, ...] = ()) -> DataFrame:
+    return _to_table(feed.filter(_p() == "kununu"), _kununu_cols(asof), keep)
 
 
 def normalize(feed: DataFrame, asof: _dt.date, keep: tuple[str, ...] = ()) -> DataFrame:
-    return (normalize_indeed(feed, asof, keep)
-            .unionByName(normalize_glassdoor(feed, asof, keep))
-            .unionByName(normalize_kununu(feed, asof, keep)))
+    """All portals in one pass: one ``CASE lower(portal)`` per column (no
+    union of per-portal branches, so the feed is read and windowed once)."""
+    per = {p: fn(asof) for p, fn in PORTAL_COLUMNS.items()}
+    cols = {}
+    for f in S.REVIEW_SCHEMA.fields:
+        expr = None
+        for p, pc in per.items():
+            val = pc.get(f.name, F.lit(None)).cast(f.dataType)
+            expr = F.when(_p() == p, val) if expr is None else expr.when(_p() == p, val)
+        cols[f.name] = expr
+    return _to_table(feed.filter(_p().isin(VALID)), cols, keep)
 
 
 def extract_new_reviews(feed: DataFrame, since: _dt.datetime, asof: _dt.date) -> DataFrame:

@@ -7,11 +7,15 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_cartesian_or_nested_loop(spark):
+def test_no_cartesian_nested_loop_or_window(spark):
+    """No pair-producing joins; no window operator (a window sends a whole
+    partition key to one task; picks per key use min_by/max_by instead)."""
+    import re
     for name, fn in QUERIES.items():
         p = _plan(fn(spark, SF001))
         assert "CartesianProduct" not in p, name
         assert "BroadcastNestedLoopJoin" not in p, name
+        assert not re.search(r"\bWindow\b", p), name
 
 
 def test_worklist_filter_reaches_scan(spark):
