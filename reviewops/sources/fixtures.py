@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..schema import COLUMNS, FIXTURE_ASOF, REVIEW_SCHEMA
 from ..session import ensure_parallelism
-from .materialize import materialized
+from .materialize import materialize_path, materialized
 from .tables import load
 
 NL = "\n"
@@ -200,6 +200,11 @@ def feed_pages(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE_ASOF)
                         fmt="json")
 
 
+def landed_dir(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of landed JSON-lines pages for ``sf_dir`` (the streaming source)."""
+    return materialize_path(spark, sf_dir, "landed", BASE_TABLES, derive_feed_pages, fmt="json")
+
+
 def derive_feed_pages(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE_ASOF) -> DataFrame:
     """Landed pages (``portal, lang, page, body``) built from ``feed_flat``.
     Reviews are joined with a raw line feed between them, as a pretty-printed

@@ -37,9 +37,9 @@ def fingerprint(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> st
     return h.hexdigest()[:16]
 
 
-def materialized(spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...],
-                 build: Callable[[SparkSession, str], DataFrame], schema: T.StructType,
-                 fmt: str = "parquet") -> DataFrame:
+def materialize_path(spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...],
+                     build: Callable[[SparkSession, str], DataFrame], fmt: str = "parquet") -> str:
+    """Path of the written derivation (written now if no complete copy exists)."""
     key = (spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", ""),
            sf_dir, name)
     path = _PATHS.get(key)
@@ -49,4 +49,11 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, tables: tuple[str,
         if not fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
             build(spark, sf_dir).write.mode("overwrite").format(fmt).save(path)
         _PATHS[key] = path
+    return path
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...],
+                 build: Callable[[SparkSession, str], DataFrame], schema: T.StructType,
+                 fmt: str = "parquet") -> DataFrame:
+    path = materialize_path(spark, sf_dir, name, tables, build, fmt)
     return spark.read.schema(schema).format(fmt).load(path)
