@@ -20,6 +20,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import ts_literal
 from ..operators.audit import duplicate_ids
@@ -91,14 +92,24 @@ def table_sink(df: DataFrame, root: str) -> int:
 def csv_backup(table: DataFrame, directory: str, at: _dt.datetime) -> str:
     """Whole table as CSV with header under ``backup_<YYYY-MM-DD_HH-MM>``;
     quoting set so text with quotes, newlines and edge spaces reads back
-    equal (read with ``read_csv_backup``).  CSV cannot tell NULL from ''."""
+    equal (read with ``read_csv_backup``).  NULL is written as an empty field
+    and '' as ``""``, so the two stay apart."""
     path = f"{directory.rstrip('/')}/backup_{at.strftime('%Y-%m-%d_%H-%M')}"
     table.write.options(**CSV_OPTIONS).mode("errorifexists").csv(path)
     return path
 
 
+# Marker for a quoted empty field while reading: the reader would otherwise
+# match ``""`` against ``nullValue`` ('') and return NULL for ''.
+_EMPTY_MARK = "\u0000"
+
+
 def read_csv_backup(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REVIEW_SCHEMA).options(**CSV_OPTIONS).csv(path)
+    raw = spark.read.schema(REVIEW_SCHEMA).options(**CSV_OPTIONS, emptyValue=_EMPTY_MARK).csv(path)
+    return raw.select(*[
+        F.when(F.col(f.name) == _EMPTY_MARK, F.lit("")).otherwise(F.col(f.name)).alias(f.name)
+        if isinstance(f.dataType, T.StringType) else F.col(f.name)
+        for f in REVIEW_SCHEMA.fields])
 
 
 def dupes_report(table: DataFrame, path: str, asof: _dt.date) -> DataFrame:
