@@ -3,8 +3,9 @@ categories, sensitive flag, rubric floors, plus the validity checks.
 
 Token-count operators are row-local: a "token" is a maximal run of letters
 of the lower-cased text, and a category count is the number of tokens in a
-small literal word list, computed as one compiled-regex pass on the JVM
-(``(?<!\p{L})(?:w1|w2|...)(?!\p{L})``).  No explode, join or shuffle is
+small literal word list, computed with compiled regexes on the JVM
+(``(?<!\p{L})(?:w1|w2|...)(?!\p{L})``): one pass over the whole text collects
+the hits of all lists, and the per-list counts run over those hits.  No explode, join or shuffle is
 needed, so a review cannot skew a task by being long or common, and whole
 texts are always used.
 """
@@ -138,9 +139,18 @@ def _argmax(counts: list[tuple[str, Column]], default: Column) -> Column:
     return F.when(best["n"] > 0, best["l"]).otherwise(default)
 
 
-def _language_counts(text: Column) -> list[tuple[str, Column]]:
-    low = _lower(text)
-    return [(lang, count_words(low, STOPWORDS[lang])) for lang in CORE_LANGUAGES]
+ALL_STOPWORDS = [w for lang in CORE_LANGUAGES for w in STOPWORDS[lang]]
+
+
+def stopword_hits(text: Column) -> Column:
+    """The stop-word tokens of a text, space-joined: one regex pass over the
+    whole text.  Every language's words are in the union, so counting a
+    language over this short string equals counting it over the text."""
+    return F.array_join(_matches(_lower(text), ALL_STOPWORDS), " ")
+
+
+def _language_counts(hits: Column) -> list[tuple[str, Column]]:
+    return [(lang, count_words(hits, STOPWORDS[lang])) for lang in CORE_LANGUAGES]
 
 
 def detect_language(df: DataFrame, place_language: DataFrame | None = None) -> DataFrame:
@@ -152,7 +162,10 @@ def detect_language(df: DataFrame, place_language: DataFrame | None = None) -> D
     when its measured size is small); without a place, ``Other``.
     """
     text = F.concat_ws("\n", F.col("ReviewTitle"), strip_labels(F.col("Portal"), F.col("ReviewText")))
-    out = df.withColumn("_lang_hit", _argmax(_language_counts(text), F.lit(None).cast("string")))
+    # the hits get their own projection, so the full-text pass runs once
+    out = df.withColumn("_stop_hits", stopword_hits(text)).withColumn(
+        "_lang_hit", _argmax(_language_counts(F.col("_stop_hits")), F.lit(None).cast("string"))
+    ).drop("_stop_hits")
     if place_language is not None:
         pl = place_language.select(F.col("Location").alias("_loc"),
                                    F.col("lang").alias("_place_lang"))
@@ -167,7 +180,7 @@ def detect_language(df: DataFrame, place_language: DataFrame | None = None) -> D
 
 def text_language(text: Column) -> Column:
     """Language of a bare string (used to verify translations)."""
-    return _argmax(_language_counts(text), F.lit("Other"))
+    return _argmax(_language_counts(stopword_hits(text)), F.lit("Other"))
 
 
 def fill_language(df: DataFrame) -> DataFrame:

@@ -54,6 +54,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir() if hasattr(
             spark.sparkContext, "getCheckpointDir") else None
     if not current:
+        # A machine-local folder is only valid when driver and executors
+        # share the machine; a cluster must name a shared folder.
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: set it to a folder on shared "
+                             "storage that every executor can reach")
         current = tempfile.mkdtemp(prefix="reviewops-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     try:

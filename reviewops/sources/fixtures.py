@@ -18,6 +18,7 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import COLUMNS, FIXTURE_ASOF, REVIEW_SCHEMA
 from ..session import ensure_parallelism
@@ -237,7 +238,18 @@ def derive_feed_pages(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE
 EMPLOYMENT_CLASS = "employment-info"
 
 
+FETCHED_PAGE_SCHEMA = T.StructType([T.StructField("ID", T.StringType()),
+                                     T.StructField("html", T.StringType())])
+
+
 def employment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetched kununu review pages (``ID, html``), stored once like a fetch
+    ledger and read back."""
+    return materialized(spark, sf_dir, "employment-pages", BASE_TABLES, derive_employment_pages,
+                        FETCHED_PAGE_SCHEMA)
+
+
+def derive_employment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = feed_flat(spark, sf_dir).filter(F.lower(_c("portal")) == "kununu")
     doc = _c("doc_id")
     dept = F.concat(F.lit("Angestellte/r im Bereich "), F.initcap(_c("lang")), F.lit(" bei Firma"),
