@@ -155,10 +155,22 @@ def latest_answer(answers: DataFrame, kind: str) -> DataFrame:
         .select("ID", F.col("_a.status").alias("_status"), F.col("_a.content").alias("_content"))
 
 
+# Keys looked up in a parsed answer (each once per row, see ``_apply``).
+ANSWER_KEYS = ("Response", "SensitiveTopic", "StateRegion", "Country", "MainpositiveAspect",
+               "MainAreaofImprovement", "EmpathyScore", "HelpfulnessScore", "IndividualityScore")
+
+
+def _has(k: str) -> Column:
+    return _c(f"_has_{k}")
+
+
+def _get(k: str) -> Column:
+    return _c(f"_get_{k}")
+
+
 def _reply_steps(asof: _dt.date) -> dict[str, Column]:
-    status, obj = _c("_status"), answer_object(_c("_content"))
-    has = lambda k: answer_has(obj, k)
-    get = lambda k: answer_get(obj, k)
+    status, obj = _c("_status"), _c("_obj")
+    has, get = _has, _get
     answered = status.isNotNull()
     failed = answered & ~_is_2xx(status)
     ok = answered & _is_2xx(status) & obj.isNotNull()
@@ -212,6 +224,12 @@ def _reply_steps(asof: _dt.date) -> dict[str, Column]:
 def _apply(rows: DataFrame, answers: DataFrame, kind: str, steps: dict[str, Column],
            with_outcome: bool) -> DataFrame:
     j = rows.join(latest_answer(answers, kind), "ID", "left")
+    # The answer is parsed once and every key looked up once, each in its own
+    # projection: the decision table refers to these columns many times, and
+    # the optimizer does not inline an expensive expression used repeatedly.
+    j = j.withColumn("_obj", answer_object(_c("_content")))
+    j = j.select("*", *[answer_has(_c("_obj"), k).alias(f"_has_{k}") for k in ANSWER_KEYS],
+                 *[answer_get(_c("_obj"), k).alias(f"_get_{k}") for k in ANSWER_KEYS])
     cols = [steps[c].cast(rows.schema[c].dataType).alias(c) if c in steps else _c(c)
             for c in rows.columns]
     if with_outcome:
@@ -226,9 +244,8 @@ def apply_reply(rows: DataFrame, answers: DataFrame, asof: _dt.date,
 
 
 def _completion_steps() -> dict[str, Column]:
-    status, obj = _c("_status"), answer_object(_c("_content"))
-    has = lambda k: answer_has(obj, k)
-    get = lambda k: answer_get(obj, k)
+    status, obj = _c("_status"), _c("_obj")
+    has, get = _has, _get
     answered = status.isNotNull()
     failed = answered & ~_is_2xx(status)
     ok = answered & _is_2xx(status) & obj.isNotNull() & _c("Response").isNotNull()
