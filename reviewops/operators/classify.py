@@ -292,7 +292,8 @@ def individuality_score(df: DataFrame, reply_col: str = "Response",
 
     Shape: replies are keyed by ``sha2`` of their text (duplicate test =
     one partial-aggregated count); lines are de-duplicated inside each reply
-    before exploding (no shuffle), counted per line (partial aggregation, so a
+    before exploding (no shuffle) and keyed by their SHA-256 bytes, so no line
+    text crosses a shuffle; they are counted per line (partial aggregation, so a
     boiler-plate line shared by a third of all replies is pre-combined in every
     task), and joined back on the line; AQE's skew join splits a hot line on
     the probe side.
@@ -302,13 +303,15 @@ def individuality_score(df: DataFrame, reply_col: str = "Response",
     keyed = base.filter(nonblank(F.col("_reply"))).withColumn(
         "_h", F.sha2(F.col("_reply"), 256))
     dup = keyed.groupBy("_h").agg(F.count(F.lit(1)).alias("_uses"))
+    # a line travels through the shuffles as its 32-byte SHA-256, not as text
     lines = keyed.select("ID", "_h", F.explode(F.array_distinct(F.filter(
         F.transform(F.split(F.col("_reply"), "\n"), lambda x: F.trim(x)),
-        lambda x: F.length(x) >= min_chars))).alias("_line"))
+        lambda x: F.length(x) >= min_chars))).alias("_line")) \
+        .select("ID", "_h", F.unhex(F.sha2(F.col("_line"), 256)).alias("_lk"))
     # distinct replies per line: a text reused by several IDs counts once
-    per_line = lines.select("_h", "_line").distinct() \
-        .groupBy("_line").agg(F.count(F.lit(1)).alias("_n"))
-    blocks = lines.join(per_line.filter(F.col("_n") >= min_replies), "_line", "left_semi") \
+    per_line = lines.select("_h", "_lk").distinct() \
+        .groupBy("_lk").agg(F.count(F.lit(1)).alias("_n"))
+    blocks = lines.join(per_line.filter(F.col("_n") >= min_replies), "_lk", "left_semi") \
         .groupBy("ID").agg(F.count(F.lit(1)).alias("_blocks"))
     scored = keyed.join(dup, "_h").join(blocks, "ID", "left").select(
         "ID",
