@@ -16,7 +16,8 @@ def spark():
 
     from reviewops.session import BASE_CONF, ensure_checkpoint_dir
 
-    b = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+    b = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8") \
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="reviewops-test-wh-"))
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()

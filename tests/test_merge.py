@@ -63,3 +63,19 @@ def test_partition_count_does_not_change_result(spark):
     base = rows(M.merge_upsert(t, i), "ID", "OverallSatisfaction")
     more = rows(M.merge_upsert(t.repartition(7), i.repartition(3)), "ID", "OverallSatisfaction")
     assert base == more
+
+
+def test_row_level_merge_needs_a_table_format(spark, tmpdir_path):
+    """``merge_into_table`` is for formats with row-level MERGE (Delta,
+    Iceberg); on a plain Parquet table Spark refuses it and writes nothing."""
+    name = "reviewops_merge_plain"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} (ID string, x int) USING parquet LOCATION '{tmpdir_path}/t'")
+    try:
+        spark.createDataFrame([("a", 1)], "ID string, x int").write.insertInto(name)
+        incoming = spark.createDataFrame([("a", 2), ("b", 3)], "ID string, x int")
+        with pytest.raises(Exception, match="does not support MERGE"):
+            M.merge_into_table(incoming, name, insert_new=True, update_existing=True)
+        assert rows(spark.table(name)) == [("a", 1)]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
