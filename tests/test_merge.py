@@ -58,6 +58,18 @@ def test_row_diff(spark):
     assert got == [("a", "removed", None), ("b", "changed", "Response"), ("c", "added", None)]
 
 
+def test_row_diff_edges(spark):
+    """NULL -> '' is a change; -0.0 vs 0.0 differs in the row fingerprint but
+    is equal by value, so the exact compare drops it; identical rows vanish."""
+    schema = "ID string, s string, d double, t string"
+    b = spark.createDataFrame([("n", None, 1.0, "x"), ("z", "k", 0.0, "x"), ("same", "k", 2.0, None),
+                               ("two", "p", 3.0, "q")], schema)
+    a = spark.createDataFrame([("n", "", 1.0, "x"), ("z", "k", -0.0, "x"), ("same", "k", 2.0, None),
+                               ("two", "p2", 3.5, "q")], schema)
+    got = rows(A.row_diff(b, a), "ID", "status", "changed_columns")
+    assert got == [("n", "changed", "s"), ("two", "changed", "s,d")]
+
+
 def test_partition_count_does_not_change_result(spark):
     t, i = merge_target(spark, SF001), merge_incoming(spark, SF001)
     base = rows(M.merge_upsert(t, i), "ID", "OverallSatisfaction")
