@@ -38,15 +38,15 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
+def _versions(spark: SparkSession, root: str, complete_only: bool = True) -> list[int]:
     fs, p, jvm = _fs(spark, root)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("version=") and fs.exists(
-                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+        if name.startswith("version=") and (not complete_only or fs.exists(
+                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
             out.append(int(name.split("=", 1)[1]))
     return sorted(out)
 
@@ -68,9 +68,11 @@ def read_table(spark: SparkSession, root: str) -> DataFrame:
 
 
 def table_replace_sink(df: DataFrame, root: str, buckets: int | None = None) -> int:
-    """Write ``df`` as the next version; returns the new version number."""
+    """Write ``df`` as the next version; returns the new version number.
+    The number is past every version folder, complete or not, so a write that
+    died part-way (no ``_SUCCESS``; never read) does not block the retry."""
     spark = df.sparkSession
-    v = (current_version(spark, root) or 0) + 1
+    v = max(_versions(spark, root, complete_only=False), default=0) + 1
     out = df.select(*[f.name for f in REVIEW_SCHEMA.fields])
     if buckets:
         out = out.repartition(buckets, "ID").sortWithinPartitions("ID")

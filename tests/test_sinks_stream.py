@@ -67,3 +67,22 @@ def test_stream_equals_batch(spark, tmpdir_path):
                        checkpoint=os.path.join(tmpdir_path, "ckpt2"))
     q2.awaitTermination(300)
     assert T.read_table(spark, root).count() == batch.count()
+
+
+def test_failed_version_write_does_not_block_retry(spark, tmpdir_path):
+    """A replacement that died part-way leaves a version folder without
+    ``_SUCCESS``: readers skip it and the retry writes past it."""
+    root = os.path.join(tmpdir_path, "table")
+    r = reviews(spark, SF001)
+    assert T.table_replace_sink(r.filter(F.col("Portal") == "Indeed"), root) == 1
+    # a crashed job: data files in place, no commit marker
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    broken = T.version_path(root, 2)
+    os.makedirs(broken)
+    pq.write_table(pa.table({"ID": ["x-1"], "Portal": ["Indeed"]}),
+                   os.path.join(broken, "part-00000.parquet"))
+    assert T.current_version(spark, root) == 1
+    assert T.read_table(spark, root).count() == r.filter(F.col("Portal") == "Indeed").count()
+    assert T.table_replace_sink(r.filter(F.col("Portal") == "kununu"), root) == 3
+    assert rows(T.read_table(spark, root), "ID") == rows(r.filter(F.col("Portal") == "kununu"), "ID")
