@@ -97,7 +97,11 @@ def csv_backup(table: DataFrame, directory: str, at: _dt.datetime) -> str:
     equal (read with ``read_csv_backup``).  NULL is written as an empty field
     and '' as ``""``, so the two stay apart."""
     path = f"{directory.rstrip('/')}/backup_{at.strftime('%Y-%m-%d_%H-%M')}"
-    table.write.options(**CSV_OPTIONS).mode("errorifexists").csv(path)
+    fs, p, jvm = _fs(table.sparkSession, path)
+    # a complete backup is never replaced; one left by a crashed write is
+    mode = "errorifexists" if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")) \
+        else "overwrite"
+    table.write.options(**CSV_OPTIONS).mode(mode).csv(path)
     return path
 
 
