@@ -10,6 +10,7 @@ from ..functions import text as TX
 from ..operators import classify as C
 from ..operators import enrich as E
 from ..operators import worklists as W
+from .. import schema as S
 from ..schema import FIXTURE_ASOF
 from ..sources.fixtures import model_answers, reviews, translation_answers
 from ..sources.tables import load
@@ -296,10 +297,27 @@ def q_individuality_score(spark, sf):
     return C.individuality_score(reviews(spark, sf))
 
 
-@register("infer_replies")
+# The test client answers from the SHA-256 of the request JSON; both engines
+# render the request struct as compact JSON in field order.
+_REQ_JSON = ("to_json({'messages': [{'role': 'user', 'content': content}], 'max_tokens': "
+             f"{S.REPLY_MAX_TOKENS}, 'temperature': 1.0, 'top_p': 0.0, 'n': 1,"
+             " 'presence_penalty': presence_penalty, 'frequency_penalty': 0.0})")
+
+
+@register("infer_replies", with_reviews(
+    "SELECT ID, 'reply' AS kind, h AS request_hash, 1 AS attempt, 200 AS status,"
+    " 'Sure: {\"Response\": \"Reply ' || substr(h, 1, 12) || '\", \"SensitiveTopic\": \"No\", '"
+    " || '\"EmpathyScore\": 4, \"HelpfulnessScore\": 4, \"IndividualityScore\": 5} bye' AS content"
+    f" FROM (SELECT ID, sha256({_REQ_JSON}) AS h FROM (SELECT ID, {_REPLY_CONTENT} AS content,"
+    " CASE WHEN ApprovalStatus = 'Regenerate' THEN 1.0 ELSE 0.0 END AS presence_penalty"
+    " FROM filled WHERE Language IS NOT NULL))",
+    UNANSWERED,
+    f"filled AS (SELECT * REPLACE (coalesce(Language, upper({G.detect_language()})) AS Language)"
+    " FROM rows)"))
 def q_infer_replies(spark, sf):
     """Reply requests of the unanswered work-list run through the injected
-    client (``mapInPandas``, Arrow batches); no SQL twin (rows-only check)."""
+    client (``mapInPandas``, Arrow batches); the deterministic test client
+    makes the result a function of the request, so SQL can check it."""
     rows = C.fill_language(C.detect_language(_unanswered(spark, sf))).drop("detected_lang")
     return E.infer_replies(E.reply_requests(rows), E.echo_client,
                            partitions=spark.sparkContext.defaultParallelism)
