@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import blank_or_null, nonblank, strip_labels
 from ..schema import CORE_LANGUAGES, NEGATIVE_ASPECTS, POSITIVE_ASPECTS
+from .hotkeys import hot_keys, join_splitting_hot_keys
 
 TOKEN_SPLIT = r"[^\p{L}]+"
 
@@ -295,25 +296,33 @@ def individuality_score(df: DataFrame, reply_col: str = "Response",
     before exploding (no shuffle) and keyed by their SHA-256 bytes, so no line
     text crosses a shuffle; they are counted per line (partial aggregation, so a
     boiler-plate line shared by a third of all replies is pre-combined in every
-    task), and joined back on the line; AQE's skew join splits a hot line on
-    the probe side.
+    task), and joined back on the line.  Both join-backs broadcast the hot keys
+    (a reply or line holding >= 1/HOT_KEY_BOUND of the rows; at most
+    HOT_KEY_BOUND of them) and shuffle only the rest.
     """
     r = F.col(reply_col)
     base = df.select("ID", r.alias("_reply"))
     keyed = base.filter(nonblank(F.col("_reply"))).withColumn(
         "_h", F.sha2(F.col("_reply"), 256))
     dup = keyed.groupBy("_h").agg(F.count(F.lit(1)).alias("_uses"))
+    # one reply text may stand for a third of all rows: its key is joined by
+    # broadcast (operators.hotkeys), the rest by shuffle
+    hot_h = hot_keys(dup, "_h", "_uses", dup.agg(F.sum("_uses")).scalar())
+    with_uses = join_splitting_hot_keys(keyed, dup, "_h", "inner", hot_h)
     # a line travels through the shuffles as its 32-byte SHA-256, not as text
     lines = keyed.select("ID", "_h", F.explode(F.array_distinct(F.filter(
         F.transform(F.split(F.col("_reply"), "\n"), lambda x: F.trim(x)),
         lambda x: F.length(x) >= min_chars))).alias("_line")) \
         .select("ID", "_h", F.unhex(F.sha2(F.col("_line"), 256)).alias("_lk"))
-    # distinct replies per line: a text reused by several IDs counts once
-    per_line = lines.select("_h", "_lk").distinct() \
-        .groupBy("_lk").agg(F.count(F.lit(1)).alias("_n"))
-    blocks = lines.join(per_line.filter(F.col("_n") >= min_replies), "_lk", "left_semi") \
+    # per line: distinct replies (a text reused by several IDs counts once)
+    # and rows (for the hot-line split); both partially aggregated
+    per_line = (lines.groupBy("_lk", "_h").agg(F.count(F.lit(1)).alias("_c"))
+                .groupBy("_lk").agg(F.count(F.lit(1)).alias("_n"), F.sum("_c").alias("_rows")))
+    hot_lk = hot_keys(per_line, "_lk", "_rows", per_line.agg(F.sum("_rows")).scalar())
+    block_lines = per_line.filter(F.col("_n") >= min_replies).select("_lk")
+    blocks = join_splitting_hot_keys(lines, block_lines, "_lk", "left_semi", hot_lk) \
         .groupBy("ID").agg(F.count(F.lit(1)).alias("_blocks"))
-    scored = keyed.join(dup, "_h").join(blocks, "ID", "left").select(
+    scored = with_uses.join(blocks, "ID", "left").select(
         "ID",
         F.when(F.col("_reply").contains("(Leer)") | (F.col("_uses") > 1), F.lit(1.0))
         .when(F.coalesce(F.col("_blocks"), F.lit(0)) >= 5, F.lit(2.0))

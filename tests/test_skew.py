@@ -51,3 +51,50 @@ def test_individuality_boilerplate_in_a_third_of_replies(spark):
     # one shared block -> <= 1 block -> 5 for everyone; no row lost or duplicated
     assert by_score == {5.0: 3000}
     assert "partial_count" in _plan(got)
+
+
+def test_identical_reply_in_a_third_of_rows_is_split(spark):
+    """The same reply text for a third of all reviews makes one join key hot.
+    Identical rows compress well, so AQE's byte-based skew split would not
+    see it; the hot key is joined by broadcast instead (automatic broadcasts
+    off here, so any broadcast is the explicit split) and scores stay exact."""
+    same = "Danke fuer Ihr Feedback, wir melden uns bald bei Ihnen persoenlich"
+    n = 6000
+    df = spark.range(n).select(
+        F.concat(F.lit("r"), F.col("id")).alias("ID"),
+        F.when(F.col("id") % 3 == 0, F.lit(same))
+        .otherwise(F.concat(F.lit("Eigene Antwort Nummer "), F.col("id").cast("string")))
+        .alias("Response")).repartition(8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = C.individuality_score(schema_conform(df))
+        collected = got.collect()  # runs this frame's own adaptive plan
+        assert len(collected) == n
+        by_score = {}
+        for r in collected:
+            by_score[r["individuality"]] = by_score.get(r["individuality"], 0) + 1
+        assert by_score == {1.0: n // 3, 5.0: n - n // 3}
+        final = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [_h" in final
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_split_join_equals_plain_join(spark):
+    """Hot keys (one with a third of the rows, one absent from the other
+    side) and cold keys: the split join returns exactly the plain join."""
+    from reviewops.operators.hotkeys import hot_keys, join_splitting_hot_keys
+    big = spark.range(N).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .when(F.col("id") % 5 == 0, F.lit("hot-unmatched"))
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string"))).alias("k"),
+        F.col("id"))
+    counts = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    other = counts.filter(F.col("k") != "hot-unmatched").filter(
+        (F.col("k") == "hot") | (F.length("k") % 2 == 0)).select("k", F.col("n").alias("m"))
+    hot = hot_keys(counts.filter(F.col("n") > 1000), "k", "n", F.lit(N))
+    assert sorted(r["k"] for r in hot.collect()) == ["hot", "hot-unmatched"]
+    for how in ("inner", "left_semi"):
+        got = join_splitting_hot_keys(big, other, "k", how, hot)
+        assert rows(got) == rows(big.join(other, "k", how).select(*got.columns)), how
