@@ -103,14 +103,34 @@ def _esc(w: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?()[]{}|\/" else ch for ch in w)
 
 
+def _prefix_alternation(words: list[str]) -> str:
+    """Alternation over ``words`` factored by common prefixes (``the|this|to``
+    -> ``t(?:h(?:e|is)|o)``): the same set of strings, but at each position
+    only the branches of the letters actually read are tried."""
+    root: dict = {}
+    for w in set(words):
+        node = root
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[None] = {}
+
+    def build(node: dict) -> str:
+        end = None in node
+        alts = [_esc(ch) + build(node[ch]) for ch in sorted(k for k in node if k is not None)]
+        if not alts:
+            return ""
+        body = alts[0] if (len(alts) == 1 and not end) else "(?:" + "|".join(alts) + ")"
+        return body + ("?" if end else "")
+
+    return build(root)
+
+
 def word_pattern(words: list[str]) -> str:
     """Regex matching exactly the tokens (maximal letter runs) in ``words``.
-    A first-letter look-ahead makes most positions fail on one class test
-    before the alternation is tried."""
-    ws = sorted(set(words), key=len, reverse=True)
-    first = "".join(sorted({_esc(w[0]) for w in ws}))
-    alts = "|".join(_esc(w) for w in ws)
-    return f"(?=[{first}])(?<!\\p{{L}})(?:{alts})(?!\\p{{L}})"
+    A first-letter look-ahead makes most positions fail on one class test;
+    the word alternation is prefix-factored."""
+    first = "".join(sorted({_esc(w[0]) for w in words}))
+    return f"(?=[{first}])(?<!\\p{{L}})(?:{_prefix_alternation(words)})(?!\\p{{L}})"
 
 
 def _lower(text: Column) -> Column:
