@@ -11,11 +11,18 @@ import re
 import sys
 
 
+_SHUFFLE = re.compile(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|"
+                      r"RoundRobinPartitioning)")
+
+
 def shape(plan: str) -> dict:
+    lines = plan.splitlines()
+    reused = [ln for ln in lines if "ReusedExchange" in ln]
+    fresh = [ln for ln in lines if "ReusedExchange" not in ln]
     return {
-        "shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|"
-                                   r"RoundRobinPartitioning)", plan)),
-        "broadcasts": plan.count("BroadcastExchange"),
+        "shuffles": sum(1 for ln in fresh if _SHUFFLE.search(ln)),
+        "reused": len(reused),
+        "broadcasts": sum(ln.count("BroadcastExchange") for ln in fresh),
         "joins": len(re.findall(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin)", plan)),
         "aggregates": len(re.findall(r"(HashAggregate|SortAggregate|ObjectHashAggregate)\(keys=\[[^\]]",
                                      plan)),
@@ -48,7 +55,8 @@ def main(argv):
            "fixtures read as plain scans. The single shuffle of `html_block_text` is",
            "`ensure_parallelism` spreading a one-row-group test file (a no-op with many input",
            "splits); the one of `infer_replies` is the `repartition(n, ID)` bounding concurrent",
-           "model calls.", "",
+           "model calls. `shuffles` and `broadcasts` count exchanges that run; `reused` counts",
+           "exchanges whose output an identical exchange already produced.", "",
            "| query | " + " | ".join(cols) + " |", "|---|" + "---|" * len(cols)]
     for name, s in rows:
         out.append(f"| `{name}` | " + " | ".join(str(s[c]) for c in cols) + " |")

@@ -322,15 +322,17 @@ def individuality_score(df: DataFrame, reply_col: str = "Response",
     """
     r = F.col(reply_col)
     base = df.select("ID", r.alias("_reply"))
-    keyed = base.filter(nonblank(F.col("_reply"))).withColumn(
+    texts = base.filter(nonblank(F.col("_reply"))).withColumn(
         "_h", F.sha2(F.col("_reply"), 256))
+    # the text itself never crosses a shuffle: only its hash and the flag
+    keyed = texts.select("ID", "_h", F.col("_reply").contains("(Leer)").alias("_empty_mark"))
     dup = keyed.groupBy("_h").agg(F.count(F.lit(1)).alias("_uses"))
     # one reply text may stand for a third of all rows: its key is joined by
     # broadcast (operators.hotkeys), the rest by shuffle
-    hot_h = hot_keys(dup, "_h", "_uses", dup.agg(F.sum("_uses")).scalar())
+    hot_h = hot_keys(dup, "_h", "_uses", keyed.agg(F.count(F.lit(1))).scalar())
     with_uses = join_splitting_hot_keys(keyed, dup, "_h", "inner", hot_h)
     # a line travels through the shuffles as its 32-byte SHA-256, not as text
-    lines = keyed.select("ID", "_h", F.explode(F.array_distinct(F.filter(
+    lines = texts.select("ID", "_h", F.explode(F.array_distinct(F.filter(
         F.transform(F.split(F.col("_reply"), "\n"), lambda x: F.trim(x)),
         lambda x: F.length(x) >= min_chars))).alias("_line")) \
         .select("ID", "_h", F.unhex(F.sha2(F.col("_line"), 256)).alias("_lk"))
@@ -338,13 +340,13 @@ def individuality_score(df: DataFrame, reply_col: str = "Response",
     # and rows (for the hot-line split); both partially aggregated
     per_line = (lines.groupBy("_lk", "_h").agg(F.count(F.lit(1)).alias("_c"))
                 .groupBy("_lk").agg(F.count(F.lit(1)).alias("_n"), F.sum("_c").alias("_rows")))
-    hot_lk = hot_keys(per_line, "_lk", "_rows", per_line.agg(F.sum("_rows")).scalar())
+    hot_lk = hot_keys(per_line, "_lk", "_rows", lines.agg(F.count(F.lit(1))).scalar())
     block_lines = per_line.filter(F.col("_n") >= min_replies).select("_lk")
     blocks = join_splitting_hot_keys(lines, block_lines, "_lk", "left_semi", hot_lk) \
         .groupBy("ID").agg(F.count(F.lit(1)).alias("_blocks"))
     scored = with_uses.join(blocks, "ID", "left").select(
         "ID",
-        F.when(F.col("_reply").contains("(Leer)") | (F.col("_uses") > 1), F.lit(1.0))
+        F.when(F.col("_empty_mark") | (F.col("_uses") > 1), F.lit(1.0))
         .when(F.coalesce(F.col("_blocks"), F.lit(0)) >= 5, F.lit(2.0))
         .when(F.col("_blocks") >= 3, F.lit(3.0))
         .when(F.col("_blocks") == 2, F.lit(4.0))
