@@ -98,3 +98,35 @@ def test_split_join_equals_plain_join(spark):
     for how in ("inner", "left_semi"):
         got = join_splitting_hot_keys(big, other, "k", how, hot)
         assert rows(got) == rows(big.join(other, "k", how).select(*got.columns)), how
+
+
+def test_take_while_with_one_feed_holding_a_third(spark):
+    """One portal feed holds a third of all landed reviews: the per-feed cut
+    is a partially aggregated minimum broadcast back, and the kept rows equal
+    a plain-Python take-while in (page, pos) order."""
+    import datetime as dt
+
+    from reviewops.operators import ingest as I
+    since = dt.datetime(2024, 1, 10)
+    data = []
+    for i in range(3000):
+        feed = ("indeed", "de") if i % 3 == 0 else (("kununu", f"l{i % 7}") if i % 2 else ("indeed", f"x{i % 5}"))
+        data.append((feed[0], feed[1], i))
+    df = spark.createDataFrame(data, "portal string, lang string, i long")
+    df = df.select("portal", "lang", (F.col("i") % 97).alias("page"), (F.col("i") % 13).alias("pos"),
+                   # newest first along (page, pos), old from page 60 on in every feed
+                   F.when(F.col("i") % 97 >= 60, F.lit(dt.datetime(2024, 1, 1)))
+                   .otherwise(F.lit(dt.datetime(2024, 1, 20))).alias("ts"), "i").repartition(8)
+    got = I.feed_prefix(df, since, "feed")
+    expected = set()
+    by_feed = {}
+    for p, lang, i in data:
+        by_feed.setdefault((p, lang), []).append((i % 97, i % 13, i))
+    for rows_ in by_feed.values():
+        for page, pos, i in sorted(rows_):
+            if page >= 60:
+                break
+            expected.add(i)
+    assert {r["i"] for r in got.select("i").collect()} == expected
+    plan = _plan(got)
+    assert "partial_min" in plan and "BroadcastHashJoin" in plan
