@@ -26,8 +26,13 @@ def nonblank(c: str) -> str:
     return f"(coalesce({c}, '') <> '')"
 
 
+# Python's str.isspace set in RE2 syntax (RE2 has no \\u escapes).
+_PY_WS_RE2 = ("\\t\\n\\x{0b}\\f\\r\\x{1c}-\\x{1f} \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
+              "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}")
+
+
 def strip_labels(portal: str = "Portal", text: str = "ReviewText") -> str:
-    k = (f"regexp_replace(regexp_replace({text}, '(\\S+) rating: [1-5]/5 ', '', 'g'),"
+    k = (f"regexp_replace(regexp_replace({text}, '([^{_PY_WS_RE2}]+) rating: [1-5]/5 ', '', 'g'),"
          f" '\\n{{2,}}', {NL}, 'g')")
     return (f"(CASE lower({portal}) WHEN 'indeed' THEN replace(replace({text}, 'Pros: ', ''), 'Cons: ', '')"
             f" WHEN 'kununu' THEN (CASE WHEN {k} = {NL} THEN '' ELSE {k} END) ELSE {text} END)")
