@@ -77,9 +77,11 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 def ensure_parallelism(df, *keys: str):
     """Hash-partition ``df`` on ``keys`` when it has fewer partitions than the
     session's default parallelism (e.g. a small single-row-group file read as
-    one task before CPU-heavy row-local work).  With many input splits, as on
-    a cluster, this is a no-op; when it applies, the partitioning is on the
-    join key, so a following shuffle join on that key reuses it."""
+    one task before CPU-heavy row-local work such as the Python HTML parser).
+    Any input with at least as many splits as the cluster has cores -- every
+    large input -- is left alone; below that, one shuffle buys parallel
+    parsing, which costs far more per byte than the shuffle.  The partitioning
+    is on the join key, so a following shuffle join on that key reuses it."""
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() >= target:
