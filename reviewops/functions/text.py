@@ -14,11 +14,11 @@ NL = "\n"
 # The English labels the ingest adds and language detection
 # must ignore, and the timestamp format of the feed service.
 INDEED_LABELS = ["Pros: ", "Cons: "]
-# The whitespace of Python's ``str.isspace`` (its regex ``\s``),
-# wider than Java's ASCII ``\s``: a rating label's word stops at any of them.
-PY_WHITESPACE = [r"\t", r"\n", r"\x0B", r"\f", r"\r", r"\x1C-\x1F", " ", r"\x85", r"\xA0",
-                 r"\u1680", r"\u2000-\u200A", r"\u2028", r"\u2029", r"\u202F", r"\u205F", r"\u3000"]
-KUNUNU_RATING_LABEL = f"([^{''.join(PY_WHITESPACE)}]+) rating: [1-5]/5 "
+# A rating label's word stops at Python's whitespace (``str.isspace``, the
+# reference's ``\s``): Java's Unicode mode ``\S`` (not White_Space) minus
+# U+001C..U+001F, which Python also counts as space.  An explicit class of
+# the same characters is ten times slower on the JVM.
+KUNUNU_RATING_LABEL = r"(?U)([\S&&[^\x1C-\x1F]]+) rating: [1-5]/5 "
 FEED_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 FEED_TS_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
 
