@@ -63,7 +63,7 @@ _REPLY_CONTENT = (
 
 @register("reply_requests", with_reviews(
     f"SELECT ID, 'reply' AS kind, {G.reply_language()} AS reply_lang, {_REPLY_CONTENT} AS content,"
-    " CASE WHEN ApprovalStatus = 'Regenerate' THEN 1.0 ELSE 0.0 END AS presence_penalty"
+    " CAST(CASE WHEN ApprovalStatus = 'Regenerate' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS presence_penalty"
     " FROM rows WHERE Language IS NOT NULL", UNANSWERED))
 def q_reply_requests(spark, sf):
     return E.reply_requests(_unanswered(spark, sf)).select(
@@ -270,9 +270,9 @@ def q_sensitive_flag(spark, sf):
 
 
 @register("empathy_floor", with_reviews(
-    "SELECT ID, CASE WHEN (Response = '' OR Response IS NULL) THEN 1.0"
+    "SELECT ID, CAST(CASE WHEN (Response = '' OR Response IS NULL) THEN 1.0"
     f" WHEN length(Response) < {C.SHORT_REPLY_CHARS} AND NOT regexp_matches(Response, {G.q(C.GREETING_PATTERN)})"
-    " THEN 2.0 END AS empathy_floor FROM reviews"))
+    " THEN 2.0 END AS DOUBLE) AS empathy_floor FROM reviews"))
 def q_empathy_floor(spark, sf):
     r = reviews(spark, sf)
     return r.select("ID", C.empathy_floor(F.col("Response")).alias("empathy_floor"))
@@ -283,10 +283,10 @@ _LINES = (f"list_distinct(list_filter(list_transform(string_split(Response, {G.N
 
 
 @register("individuality_score", with_reviews(
-    "SELECT k.ID, CASE WHEN contains(k.Response, '(Leer)') OR d.uses > 1 THEN 1.0"
+    "SELECT k.ID, CAST(CASE WHEN contains(k.Response, '(Leer)') OR d.uses > 1 THEN 1.0"
     " WHEN coalesce(b.blocks, 0) >= 5 THEN 2.0 WHEN b.blocks >= 3 THEN 3.0 WHEN b.blocks = 2 THEN 4.0"
-    " ELSE 5.0 END AS individuality FROM keyed k JOIN dup d USING (h) LEFT JOIN blk b USING (ID)"
-    " UNION ALL SELECT ID, 1.0 FROM reviews WHERE Response = '' OR Response IS NULL",
+    " ELSE 5.0 END AS DOUBLE) AS individuality FROM keyed k JOIN dup d USING (h) LEFT JOIN blk b USING (ID)"
+    " UNION ALL SELECT ID, CAST(1.0 AS DOUBLE) FROM reviews WHERE Response = '' OR Response IS NULL",
     f"keyed AS (SELECT ID, Response, sha256(Response) AS h FROM reviews WHERE {G.nonblank('Response')})",
     "dup AS (SELECT h, count(*) AS uses FROM keyed GROUP BY h)",
     f"lines AS (SELECT ID, h, unnest({_LINES}) AS line FROM keyed)",
