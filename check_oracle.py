@@ -1,5 +1,5 @@
 """Run every registered query on Spark and its SQL twin on DuckDB; compare
-column names, row counts and order-insensitive values.
+column names, column type families, row counts and order-insensitive values.
 
     python check_oracle.py [sf_dir] [name ...]
 """
@@ -48,6 +48,33 @@ def duck(sf_dir: str):
     return con
 
 
+def _spark_kind(t) -> str:
+    """Type family of a Spark column (integer widths kept apart)."""
+    name = t.simpleString()
+    for prefix, kind in [("string", "string"), ("bigint", "bigint"), ("int", "int"),
+                         ("smallint", "smallint"), ("tinyint", "tinyint"), ("double", "float"),
+                         ("float", "float"), ("decimal", "decimal"), ("timestamp", "timestamp"),
+                         ("date", "date"), ("boolean", "boolean"), ("array", "list"),
+                         ("struct", "struct"), ("map", "map"), ("binary", "binary")]:
+        if name.startswith(prefix):
+            return kind
+    return name
+
+
+def _duck_kind(t) -> str:
+    name = str(t).upper()
+    exact = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "SMALLINT": "smallint",
+             "TINYINT": "tinyint", "DOUBLE": "float", "FLOAT": "float", "DATE": "date",
+             "BOOLEAN": "boolean", "BLOB": "binary"}
+    if name in exact:
+        return exact[name]
+    for prefix, kind in [("DECIMAL", "decimal"), ("TIMESTAMP", "timestamp"), ("STRUCT", "struct"),
+                         ("MAP", "map")]:
+        if name.startswith(prefix):
+            return kind
+    return "list" if name.endswith("[]") else name
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     df = fn(spark, sf_dir)
@@ -56,14 +83,19 @@ def compare(spark, con, name, fn, sql, sf_dir):
     t1 = time.time()
     if sql is None:
         return dict(name=name, status="rows-only", rows=len(s_rows), spark_s=round(t1 - t0, 2))
-    res = con.execute(sql)
-    d_names = [c[0] for c in res.description]
-    d_rows = res.fetchall()
+    rel = con.sql(sql)
+    d_names, d_types = list(rel.columns), list(rel.types)
+    d_rows = rel.fetchall()
     sn, sr = _rows(s_names, s_rows)
     dn, dr = _rows(d_names, d_rows)
-    ok = sn == dn and sr == dr
+    s_kinds = {f.name: _spark_kind(f.dataType) for f in df.schema.fields}
+    d_kinds = dict(zip(d_names, (_duck_kind(t) for t in d_types)))
+    kinds = {c: (s_kinds[c], d_kinds.get(c)) for c in s_kinds if s_kinds[c] != d_kinds.get(c)}
+    ok = sn == dn and sr == dr and not kinds
     info = dict(name=name, status="ok" if ok else "MISMATCH", rows=len(sr), duck_rows=len(dr),
                 spark_s=round(t1 - t0, 2))
+    if kinds:
+        info["types"] = kinds
     if not ok:
         if sn != dn:
             info["cols"] = (sn, dn)
