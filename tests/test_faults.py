@@ -68,3 +68,30 @@ def test_usage_report_gzip_json(spark, tmpdir_path):
     df = usage_report_scan(spark, path)
     got = usage_window(df, dt.datetime(2024, 5, 2), dt.datetime(2024, 5, 4))
     assert rows(got, "event_id") == [(1,), (2,)]
+
+
+def test_cluster_without_shared_checkpoint_folder_is_refused():
+    """Off local mode an unset ``spark.checkpoint.dir`` is an error: a
+    machine-local temp folder would not survive executor loss."""
+    import pytest
+
+    from reviewops.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+        def set(self, key, value):
+            raise AssertionError("must not set a local folder on a cluster")
+
+    class Context:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="shared storage"):
+        ensure_checkpoint_dir(Session())
