@@ -33,12 +33,15 @@ _MULT = _U(0x9E3779B97F4A7C15)
 _INV = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``_k, _j, _id, _text`` of every row; a null text reads as empty."""
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """``_k, _j, _id, _text`` of every row; a null text reads as empty.  With ``carry`` also
+    ``_row``, a struct of all columns but the text, and ``_none``, whether the text is null."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rest = [F.struct(*[F.col(f"`{x}`") for x in docs.columns if x != text_col]).alias("_row"),
+            F.col(text_col).isNull().alias("_none")] if carry else []
     return docs.select(F.xxhash64(F.col(id_col), text).alias("_k"),
                        F.hash(text, F.col(id_col)).alias("_j"),
-                       F.col(id_col).alias("_id"), text.alias("_text"))
+                       F.col(id_col).alias("_id"), text.alias("_text"), *rest)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
