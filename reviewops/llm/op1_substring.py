@@ -162,7 +162,8 @@ def substring_dedup(docs: DataFrame, min_words: int = 35, id_col: str = "doc_id"
     anchors = text.select("_k", "_j", "_text").mapInArrow(_emit_anchors(n), ANCHORS)
 
     # Level 1: anchors that occur more than once.
-    repeated = anchors.groupBy("h").count().filter("count > 1").select("h")
+    # Staged, so that the join reads plain shuffles on both sides, which AQE splits at hot anchors.
+    repeated = c.stage(anchors.groupBy("h").count().filter("count > 1").select("h"), "repeated")
     alive = c.stage(anchors.join(repeated, "h", "left_semi"), "anchors")
 
     # Level 2: classes of equal runs round an anchor.
