@@ -1,15 +1,18 @@
 """Feed rows -> canonical review rows.
 
-Input: one row per review as produced by ``sources.feed.feed_scan`` (or any
-frame with the same field names): ``portal, lang, page, pos, raw`` plus the
-typed review fields.  Steps, in the order the extract applies them:
+Input: landed pages (``extract_landed``), or one row per review as produced by
+``sources.feed.feed_scan`` (or any frame with the same field names): ``run_id,
+portal, lang, page, pos, raw`` plus the typed review fields.  Every feed run is
+cut on its own, so runs landed together do not end each other.  Steps, in the
+order the extract applies them:
 
 1. ``portal_guard``      - unknown portal (case-insensitive) -> rejected rows
 2. ``drop_pinned_first`` - first-portal pages: position 0 older than asof-7d
 3. ``feed_prefix``       - take-while: stop at the first review older than
    ``since`` (whole feed for portals 1 and 3, per page for portal 2)
 4. ``normalize``         - one ``select`` per portal into the table schema
-5. ``dedupe_incoming``   - first occurrence per ID (``operators.merge``)
+5. ``dedupe_incoming``   - first occurrence per ID (``operators.merge``) in feed
+   order: run, portal, language as fetched, page, position
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..sources.feed import PAGE_KEYS, page_scan, typed_reviews
 from ..functions import text as TX
 from ..functions import htmlparse as HP
 from ..functions.html import Selector
@@ -29,6 +33,9 @@ from .merge import dedupe_incoming
 VALID = ["indeed", "glassdoor", "kununu"]
 # Take-while scope per portal: the whole feed, or one page (per language).
 PREFIX_SCOPE = {"indeed": "feed", "glassdoor": "page", "kununu": "feed"}
+# The order in which a run fetches the languages of portal 2.
+LANGUAGE_ORDER = ["de", "en", "nl", "it", "es", "fr", "pt"]
+FEED_KEYS = ["run_id", "portal", "lang"]
 
 
 def _c(n: str) -> Column:
@@ -64,25 +71,58 @@ def drop_pinned_first(feed: DataFrame, asof: _dt.date,
 
 def feed_prefix(feed: DataFrame, since: _dt.datetime, scope: str) -> DataFrame:
     """Take-while in feed order ``(page, pos)``: keep reviews before the first
-    one older than ``since`` within each scope.
-
-    ``scope='feed'``: one cut per (portal, lang) -- the cut table has one row
-    per feed, a fixed small bound, so it is broadcast.  ``scope='page'``: one
-    cut per landed page; the table grows with the pages but each key covers at
-    most one page of reviews, so a plain equi-join (AQE may broadcast it from
-    the measured size) cannot skew.  Needs column ``ts``; an unparsable
-    timestamp is not "old" (the reference would have failed on it).
+    one older than ``since`` within each scope of one run.
+
+    ``scope='feed'``: one cut per (run, portal, lang).  ``scope='page'``: one cut
+    per landed page.  Cuts come from a partial aggregate; their join is plain,
+    so AQE broadcasts them only where their measured size allows it and splits
+    a feed that holds a large share of the rows.  Needs column ``ts``; an
+    unparsable timestamp is not "old" (the reference would have failed on it).
+    The extract itself works on whole pages (``page_window``).
     """
-    keys = ["portal", "lang"] + (["page"] if scope == "page" else [])
+    keys = FEED_KEYS + (["page"] if scope == "page" else [])
     seq = F.struct(_c("page"), _c("pos"))
     old = _c("ts") < TX.ts_literal(since)
-    cuts = feed.groupBy(*keys).agg(F.min(F.when(old, seq)).alias("_cut"))
-    if scope == "feed":
-        cuts = F.broadcast(cuts)
+    cuts = feed.filter(old).groupBy(*keys).agg(F.min(seq).alias("_cut"))
     joined = feed.join(cuts, keys, "left")
     return joined.filter(_c("_cut").isNull() | (seq < _c("_cut"))).drop("_cut")
 
 
+def page_window(landed: DataFrame, since: _dt.datetime, asof: _dt.date) -> DataFrame:
+    """Per landed page of a supported portal: ``items`` (pos, raw) after the
+    pinned drop and up to the page's first old review, and ``cut``, that
+    review's position.  Row-local: nothing is exploded or shuffled."""
+    limit = TX.ts_literal(_dt.datetime.combine(asof, _dt.time())
+                          - _dt.timedelta(days=S.PINNED_REVIEW_MAX_AGE_DAYS))
+    pages = page_scan(landed).filter(_p().isin(VALID)).select(*PAGE_KEYS, F.transform(
+        "reviews", lambda raw, pos: F.struct(
+            pos.alias("pos"), raw.alias("raw"),
+            TX.parse_feed_ts(F.get_json_object(raw, "$.datetime")).alias("ts"))).alias("items"))
+    pinned = lambda x: F.coalesce(
+        (_p() == "indeed") & (x["pos"] == 0) & (x["ts"] < limit), F.lit(False))
+    pages = pages.withColumn("items", F.filter("items", lambda x: ~pinned(x)))
+    pages = pages.withColumn("cut", F.array_min(F.transform(
+        F.filter("items", lambda x: x["ts"] < TX.ts_literal(since)), lambda x: x["pos"])))
+    return pages.withColumn("items", F.filter(
+        "items", lambda x: F.col("cut").isNull() | (x["pos"] < F.col("cut"))))
+
+
+def feed_cuts(pages: DataFrame) -> DataFrame:
+    """``run_id, portal, lang, cut_page``: the first page of each run's feed with
+    an old review, for portals that stop there (one row per feed at most)."""
+    return (pages.filter((_p() != "glassdoor") & _c("cut").isNotNull())
+            .groupBy(*FEED_KEYS).agg(F.min("page").alias("cut_page")))
+
+
+def rows_before_cuts(pages: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Feed rows of ``page_window`` pages up to their feed's cut: pages after the
+    cut page go, the cut page itself already ends at its old review."""
+    kept = (pages.join(cuts, FEED_KEYS, "left")
+            .filter(_c("cut_page").isNull() | (_c("page") <= _c("cut_page"))))
+    return typed_reviews(kept.select(*PAGE_KEYS, F.explode("items").alias("i"))
+                         .select(*PAGE_KEYS, "i.pos", "i.raw"))
+
+
 def extract_window(feed: DataFrame, since: _dt.datetime, asof: _dt.date) -> DataFrame:
     """Guard, pinned drop and take-while per portal rule; returns feed rows."""
     valid, _ = portal_guard(feed)
@@ -178,12 +218,27 @@ def normalize(feed: DataFrame, asof: _dt.date, keep: tuple[str, ...] = ()) -> Da
     return _to_table(feed.filter(_p().isin(VALID)), cols, keep)
 
 
+def first_in_feed_order(window: DataFrame, asof: _dt.date) -> DataFrame:
+    """Table rows of the windowed feed rows, the first occurrence per ID in the
+    order in which runs fetch: run, portal, language, page, position."""
+    lang = F.array_position(F.array(*[F.lit(x) for x in LANGUAGE_ORDER]), F.lower("lang"))
+    order = F.struct(_c("run_id"), _p().alias("portal"),
+                     F.coalesce(F.nullif(lang, F.lit(0)), F.lit(len(LANGUAGE_ORDER) + 1)).alias("nth"),
+                     _c("lang"), _c("page"), _c("pos"), _c("raw"))
+    return dedupe_incoming(normalize(window.withColumn("_ord", order), asof, keep=("_ord",)), "_ord")
+
+
+def extract_landed(landed: DataFrame, since: _dt.datetime, asof: _dt.date) -> DataFrame:
+    """The whole extract from landed pages: the take-while is row-local on each
+    page, and only one cut page per run and feed is joined back."""
+    pages = page_window(landed, since, asof)
+    return first_in_feed_order(rows_before_cuts(pages, feed_cuts(pages)), asof)
+
+
 def extract_new_reviews(feed: DataFrame, since: _dt.datetime, asof: _dt.date) -> DataFrame:
-    """The whole extract: guard -> pinned -> take-while -> normalize -> first
-    occurrence per ID in feed order ``(page, pos)``."""
-    window = extract_window(feed, since, asof).withColumn(
-        "_ord", F.struct(_c("page"), _c("pos")))
-    return dedupe_incoming(normalize(window, asof, keep=("_ord",)), "_ord")
+    """The same extract from feed rows: guard -> pinned -> take-while ->
+    normalize -> first occurrence per ID."""
+    return first_in_feed_order(extract_window(feed, since, asof), asof)
 
 
 # ---------------------------------------------------------------------------

@@ -27,7 +27,7 @@ reviews AS (
     portal AS Portal,
     lower(portal) || '-' || CAST(doc_id AS VARCHAR) AS ID,
     url AS Link,
-    substr(text, 1, 60) AS ReviewTitle,
+    'Review ' || CAST(doc_id AS VARCHAR) || ' by ' || source AS ReviewTitle,
     CASE WHEN doc_id % 17 = 0 THEN NULL
          ELSE CAST(rdate + CAST(doc_id % 5 AS INTEGER) AS DATE) END AS RefreshDate,
     rdate AS ReviewDate,
@@ -116,14 +116,14 @@ feed0 AS (
   FROM base
 ),
 feed AS (
-  SELECT doc_id, fportal AS portal,
+  SELECT doc_id, CASE WHEN ((doc_id // 3) // 20) % 2 = 0 THEN 'run-1' ELSE 'run-2' END AS run_id, fportal AS portal,
     CASE WHEN lower(fportal) = 'glassdoor' THEN lang ELSE 'all' END AS lang,
-    (doc_id // 3) // 20 AS page,
+    ((doc_id // 3) // 20) // 2 AS page,
     CAST(row_number() OVER (PARTITION BY fportal, CASE WHEN lower(fportal) = 'glassdoor' THEN lang
          ELSE 'all' END, (doc_id // 3) // 20 ORDER BY doc_id) - 1 AS INTEGER) AS pos,
     CAST(doc_id AS VARCHAR) AS id,
     url,
-    split_part(text, chr(10), 1) AS title,
+    source || ' ' || lang AS title,
     CASE WHEN doc_id % 97 = 5 THEN 'n/a'
          ELSE CAST(rdate AS VARCHAR) || 'T' || lpad(CAST(doc_id % 24 AS VARCHAR), 2, '0') || ':'
               || lpad(CAST(doc_id % 60 AS VARCHAR), 2, '0') || ':'
@@ -131,19 +131,19 @@ feed AS (
               || CASE WHEN doc_id % 2 = 0 THEN '.' || CAST(doc_id % 1000 AS VARCHAR) ELSE '' END
     END AS datetime,
     CAST(1 + doc_id % 5 AS VARCHAR) AS rating,
-    CASE WHEN doc_id % 12 = 2 THEN '' ELSE text END AS text,
+    CASE WHEN doc_id % 12 = 2 THEN '' WHEN doc_id % 5 = 1 THEN replace(text, chr(10), ' ') ELSE text END AS text,
     source AS reviewer,
     CASE WHEN doc_id % 2 = 0 THEN 'Current Employee' ELSE 'Former Employee' END AS reviewer_employee_type,
     n_name AS location,
-    CASE WHEN doc_id % 4 < 2 THEN split_part(text, ' ', 1) END AS pros,
+    CASE WHEN doc_id % 4 < 2 THEN url END AS pros,
     CASE WHEN doc_id % 8 < 4 THEN lang END AS cons,
     CASE WHEN doc_id % 10 = 9 THEN NULL ELSE doc_id % 2 = 0 END AS is_current_job,
     n_name AS company_city,
     CASE WHEN doc_id % 5 >= 2 THEN reply WHEN doc_id % 5 = 1 THEN '' END AS reply_text,
     1 + doc_id % 4 AS salary_rating,
-    CASE WHEN doc_id % 4 = 0 THEN '' WHEN doc_id % 4 = 1 THEN NULL ELSE split_part(text, ' ', 2) END AS salary_text,
+    CASE WHEN doc_id % 4 = 0 THEN '' WHEN doc_id % 4 = 1 THEN NULL ELSE source END AS salary_text,
     1 + doc_id % 5 AS work_life_rating,
-    CASE WHEN doc_id % 4 = 0 THEN '' WHEN doc_id % 4 = 1 THEN NULL ELSE split_part(text, ' ', 3) END AS work_life_text,
+    CASE WHEN doc_id % 4 = 0 THEN '' WHEN doc_id % 4 = 1 THEN NULL ELSE lang END AS work_life_text,
     try_strptime(split_part(CASE WHEN doc_id % 97 = 5 THEN 'n/a'
          ELSE CAST(rdate AS VARCHAR) || 'T' || lpad(CAST(doc_id % 24 AS VARCHAR), 2, '0') || ':'
               || lpad(CAST(doc_id % 60 AS VARCHAR), 2, '0') || ':'

@@ -32,16 +32,18 @@ VALID = "lower(portal) IN ('indeed', 'glassdoor', 'kununu')"
 
 
 @register("feed_scan", with_feed(
-    "SELECT portal, lang, page, pos, id, title, datetime, rating, text FROM feed"))
+    "SELECT run_id, portal, lang, page, pos, id, title, datetime, rating, text FROM feed"))
 def q_feed_scan(spark, sf):
-    return _feed(spark, sf).select("portal", "lang", "page", "pos", "id", "title", "datetime",
+    return _feed(spark, sf).select("run_id", "portal", "lang", "page", "pos", "id", "title", "datetime",
                                    "rating", "text")
 
 
 @register("feed_body_clean", with_feed(
-    "SELECT portal, lang, page, count(*) AS reviews FROM feed GROUP BY portal, lang, page"))
+    "SELECT run_id, portal, lang, page, count(*) AS reviews, CAST(sum(length(text)) AS BIGINT) AS characters FROM feed"
+    " GROUP BY run_id, portal, lang, page"))
 def q_feed_body_clean(spark, sf):
-    return _feed(spark, sf).groupBy("portal", "lang", "page").agg(F.count(F.lit(1)).alias("reviews"))
+    return _feed(spark, sf).groupBy("run_id", "portal", "lang", "page").agg(
+        F.count(F.lit(1)).alias("reviews"), F.sum(F.length("text")).alias("characters"))
 
 
 @register("portal_guard", with_feed(
@@ -67,11 +69,11 @@ _OLD = "ts < TIMESTAMP '2024-01-10 00:00:00'"
 
 
 @register("feed_prefix_global", with_feed(
-    f"SELECT np.portal, np.page, np.pos, np.id FROM np LEFT JOIN cuts USING (portal, lang)"
+    f"SELECT np.portal, np.page, np.pos, np.id FROM np LEFT JOIN cuts USING (run_id, portal, lang)"
     f" WHERE cut IS NULL OR {_SEQ.replace('page', 'np.page').replace('pos', 'np.pos')} < cut",
     f"np AS (SELECT * FROM feed WHERE lower(portal) IN ('indeed', 'kununu') AND {_NOT_PINNED})",
-    f"cuts AS (SELECT portal, lang, min(CASE WHEN {_OLD} THEN {_SEQ} END) AS cut"
-    " FROM np GROUP BY portal, lang)"))
+    f"cuts AS (SELECT run_id, portal, lang, min(CASE WHEN {_OLD} THEN {_SEQ} END) AS cut"
+    " FROM np GROUP BY run_id, portal, lang)"))
 def q_feed_prefix_global(spark, sf):
     valid, _ = I.portal_guard(_feed(spark, sf))
     f = I.drop_pinned_first(I.feed_ts(valid), FIXTURE_ASOF)
@@ -80,11 +82,11 @@ def q_feed_prefix_global(spark, sf):
 
 
 @register("feed_prefix_page", with_feed(
-    f"SELECT np.portal, np.page, np.pos, np.id FROM np LEFT JOIN cuts USING (portal, lang, page)"
+    f"SELECT np.portal, np.page, np.pos, np.id FROM np LEFT JOIN cuts USING (run_id, portal, lang, page)"
     f" WHERE cut IS NULL OR {_SEQ.replace('page', 'np.page').replace('pos', 'np.pos')} < cut",
     "np AS (SELECT * FROM feed WHERE lower(portal) = 'glassdoor')",
-    f"cuts AS (SELECT portal, lang, page, min(CASE WHEN {_OLD} THEN {_SEQ} END) AS cut"
-    " FROM np GROUP BY portal, lang, page)"))
+    f"cuts AS (SELECT run_id, portal, lang, page, min(CASE WHEN {_OLD} THEN {_SEQ} END) AS cut"
+    " FROM np GROUP BY run_id, portal, lang, page)"))
 def q_feed_prefix_page(spark, sf):
     f = I.feed_ts(_feed(spark, sf)).filter(F.lower("portal") == "glassdoor")
     return I.feed_prefix(f, SINCE, "page").select("portal", "page", "pos", "id")
@@ -149,16 +151,16 @@ def q_null_template(spark, sf):
     f" UNION ALL SELECT {table_select(_GLASSDOOR)} FROM win WHERE lower(portal) = 'glassdoor'"
     f" UNION ALL SELECT {table_select(_KUNUNU)} FROM win WHERE lower(portal) = 'kununu'",
     f"np AS (SELECT * FROM feed WHERE {VALID} AND {_NOT_PINNED})",
-    f"gcut AS (SELECT portal, lang, min(CASE WHEN {_OLD} THEN {_SEQ} END) AS cut FROM np"
-    " WHERE lower(portal) <> 'glassdoor' GROUP BY portal, lang)",
-    f"pcut AS (SELECT portal, lang, page, min(CASE WHEN {_OLD} THEN {_SEQ} END) AS cut FROM np"
-    " WHERE lower(portal) = 'glassdoor' GROUP BY portal, lang, page)",
-    "win AS (SELECT np.* FROM np LEFT JOIN gcut USING (portal, lang) WHERE lower(np.portal) <> 'glassdoor'"
+    f"gcut AS (SELECT run_id, portal, lang, min(CASE WHEN {_OLD} THEN {_SEQ} END) AS cut FROM np"
+    " WHERE lower(portal) <> 'glassdoor' GROUP BY run_id, portal, lang)",
+    f"pcut AS (SELECT run_id, portal, lang, page, min(CASE WHEN {_OLD} THEN {_SEQ} END) AS cut FROM np"
+    " WHERE lower(portal) = 'glassdoor' GROUP BY run_id, portal, lang, page)",
+    "win AS (SELECT np.* FROM np LEFT JOIN gcut USING (run_id, portal, lang) WHERE lower(np.portal) <> 'glassdoor'"
     " AND (gcut.cut IS NULL OR np.page * 1000000 + np.pos < gcut.cut)"
-    " UNION ALL SELECT np.* FROM np LEFT JOIN pcut USING (portal, lang, page)"
+    " UNION ALL SELECT np.* FROM np LEFT JOIN pcut USING (run_id, portal, lang, page)"
     " WHERE lower(np.portal) = 'glassdoor' AND (pcut.cut IS NULL OR np.page * 1000000 + np.pos < pcut.cut))"))
 def q_extract_new_reviews(spark, sf):
-    return I.extract_new_reviews(_feed(spark, sf), SINCE, FIXTURE_ASOF)
+    return I.extract_landed(feed_pages(spark, sf), SINCE, FIXTURE_ASOF)
 
 
 @register("parse_feed_ts", with_feed("SELECT id, datetime, ts FROM feed"))

@@ -101,7 +101,7 @@ def answer_obj(content: str) -> str:
 
 
 def answer_content() -> str:
-    clean = f"replace(replace(replace(substr(text, 1, 100), '\"', ''), '\\', ''), {NL}, '\\n')"
+    clean = f"replace(replace(replace(text, '\"', ''), '\\', ''), {NL}, '\\n')"
     rkey = "CASE doc_id % 3 WHEN 0 THEN 'Response' WHEN 1 THEN 'response' ELSE 'RESPONSE' END"
     rval = f"CASE WHEN doc_id % 29 = 0 THEN '(Leer)' WHEN doc_id % 31 = 0 THEN '' ELSE {clean} END"
     ckey = "CASE WHEN doc_id % 2 = 0 THEN 'Country' ELSE 'country' END"

@@ -26,6 +26,8 @@ from .materialize import materialize_path, materialized
 from .tables import load
 
 NL = "\n"
+# Stands for a raw line end while a page is built (JSON writes it as an escape).
+RAW_MARK = "\u0001"
 
 
 def _c(name: str) -> Column:
@@ -89,7 +91,7 @@ def derive_reviews(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE_AS
         "Portal": portal,
         "ID": F.concat(F.lower(portal), F.lit("-"), doc.cast("string")),
         "Link": _c("url"),
-        "ReviewTitle": F.substring(text, 1, 60),
+        "ReviewTitle": F.concat(F.lit("Review "), doc.cast("string"), F.lit(" by "), _c("source")),
         "RefreshDate": F.when(doc % 17 == 0, F.lit(None)).otherwise(
             F.date_add(rdate, (doc % 5).cast("int"))),
         "ReviewDate": rdate,
@@ -141,9 +143,10 @@ def merge_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------
 # Feed fixture: one review per document, as the feed service would send it.
-# Within a portal, review k = doc_id div 3 sits on page k div 20 at position
-# k % 20; Glassdoor pages are per language.  ``feed_flat`` is the typed form,
-# ``feed_pages`` the landed JSON pages built from it.
+# Within a portal, review k = doc_id div 3 sits on the (k div 20)-th landed page
+# at position k % 20; landed pages alternate between two runs.  Glassdoor pages
+# are per language.  ``feed_flat`` is the typed form, ``feed_pages`` the landed
+# JSON pages built from it.
 
 def feed_flat(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE_ASOF) -> DataFrame:
     b = review_base(spark, sf_dir)
@@ -158,18 +161,19 @@ def feed_flat(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE_ASOF) -
                   .otherwise(F.lit("")))
     portal = (F.when(doc % 50 == 7, "xing").when(doc % 3 == 0, "indeed")
               .when(doc % 3 == 1, "Glassdoor").otherwise("KUNUNU"))
-    rating_text = lambda m: (F.when(doc % 4 == 0, F.lit(""))
-                             .when(doc % 4 == 1, F.lit(None))
-                             .otherwise(F.split_part(text, F.lit(" "), F.lit(m))))
+    rating_text = lambda c: (F.when(doc % 4 == 0, F.lit(""))
+                             .when(doc % 4 == 1, F.lit(None)).otherwise(c))
+    landed_page = F.floor(k / 20)
     return b.select(
         doc.alias("doc_id"),
+        F.when(landed_page % 2 == 0, "run-1").otherwise("run-2").alias("run_id"),
         portal.alias("portal"),
         F.when(F.lower(portal) == "glassdoor", _c("lang")).otherwise(F.lit("all")).alias("lang"),
-        F.floor(k / 20).alias("page"),
+        F.floor(landed_page / 2).alias("page"),
         (k % 20).cast("int").alias("pos"),
         doc.cast("string").alias("id"),
         _c("url"),
-        F.split_part(text, F.lit(NL), F.lit(1)).alias("title"),
+        F.concat(_c("source"), F.lit(" "), _c("lang")).alias("title"),
         F.when(doc % 97 == 5, F.lit("n/a")).otherwise(ts).alias("datetime"),
         (1 + doc % 5).cast("string").alias("rating"),
         F.when(doc % 12 == 2, F.lit("")).otherwise(text).alias("text"),
@@ -177,16 +181,16 @@ def feed_flat(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE_ASOF) -
         F.when(doc % 2 == 0, F.lit("Current Employee")).otherwise(F.lit("Former Employee"))
         .alias("reviewer_employee_type"),
         _c("n_name").alias("location"),
-        F.when(doc % 4 < 2, F.split_part(text, F.lit(" "), F.lit(1))).alias("pros"),
+        F.when(doc % 4 < 2, _c("url")).alias("pros"),
         F.when(doc % 8 < 4, _c("lang")).alias("cons"),
         F.when(doc % 10 == 9, F.lit(None).cast("boolean")).otherwise(doc % 2 == 0)
         .alias("is_current_job"),
         _c("n_name").alias("company_city"),
         F.when(doc % 5 >= 2, _c("reply")).when(doc % 5 == 1, F.lit("")).alias("reply_text"),
         (1 + doc % 4).alias("salary_rating"),
-        rating_text(2).alias("salary_text"),
+        rating_text(_c("source")).alias("salary_text"),
         (1 + doc % 5).alias("work_life_rating"),
-        rating_text(3).alias("work_life_text"),
+        rating_text(_c("lang")).alias("work_life_text"),
     )
 
 
@@ -207,15 +211,17 @@ def landed_dir(spark: SparkSession, sf_dir: str) -> str:
 
 
 def derive_feed_pages(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE_ASOF) -> DataFrame:
-    """Landed pages (``portal, lang, page, body``) built from ``feed_flat``.
-    Reviews are joined with a raw line feed between them, as a pretty-printed
-    service response would be."""
+    """Landed pages (``run_id, portal, lang, page, body``) built from
+    ``feed_flat``.  Reviews are joined with a raw line feed between them, as a
+    pretty-printed service response would be, and every fifth review has raw
+    CR LF inside its text: without cleaning such a body is no JSON."""
     f = feed_flat(spark, sf_dir, asof)
     c = _c
     is_kununu = F.lower(c("portal")) == "kununu"
     review = F.struct(
         c("id"), c("url"), c("title"), c("datetime"), c("rating").cast("int").alias("rating"),
-        c("text"), c("reviewer"), c("reviewer_employee_type"), c("location"), c("pros"), c("cons"),
+        F.when(c("doc_id") % 5 == 1, F.replace(c("text"), F.lit(NL), F.lit(RAW_MARK)))
+        .otherwise(c("text")).alias("text"), c("reviewer"), c("reviewer_employee_type"), c("location"), c("pros"), c("cons"),
         c("is_current_job"),
         F.when(is_kununu, F.struct(c("company_city").alias("city"))).alias("company"),
         F.when(is_kununu, F.struct(c("reply_text").alias("text"))).alias("reply"),
@@ -224,11 +230,11 @@ def derive_feed_pages(spark: SparkSession, sf_dir: str, asof: _dt.date = FIXTURE
         F.when(is_kununu, F.struct(c("work_life_rating").alias("rating"),
                                    c("work_life_text").alias("text"))).alias("work_life_rating"),
     )
-    items = f.select("portal", "lang", "page",
-                     F.struct(c("pos"), F.to_json(review).alias("j")).alias("it"))
-    return (items.groupBy("portal", "lang", "page")
+    json = F.replace(F.to_json(review), F.lit("\\u0001"), F.lit("\r\n"))
+    items = f.select("run_id", "portal", "lang", "page", F.struct(c("pos"), json.alias("j")).alias("it"))
+    return (items.groupBy("run_id", "portal", "lang", "page")
             .agg(F.sort_array(F.collect_list("it")).alias("items"))
-            .select("portal", "lang", "page",
+            .select("run_id", "portal", "lang", "page",
                     F.concat(F.lit('{"reviews": ['),
                              F.array_join(F.transform("items", lambda x: x["j"]), ",\n"),
                              F.lit("]}")).alias("body")))
@@ -283,7 +289,7 @@ def answer_content(doc: Column, text: Column, place: Column, toxic: Column) -> C
 
     q = lambda s: F.concat(F.lit('"'), s, F.lit('"'))
     rkey = F.when(doc % 3 == 0, "Response").when(doc % 3 == 1, "response").otherwise("RESPONSE")
-    clean = F.replace(F.replace(F.replace(F.substring(text, 1, 100), F.lit('"'), F.lit("")),
+    clean = F.replace(F.replace(F.replace(text, F.lit('"'), F.lit("")),
                                 F.lit("\\"), F.lit("")), F.lit(NL), F.lit("\\n"))
     rval = F.when(doc % 29 == 0, F.lit("(Leer)")).when(doc % 31 == 0, F.lit("")).otherwise(clean)
     ckey = F.when(doc % 2 == 0, "Country").otherwise("country")

@@ -1,8 +1,12 @@
 """Streaming ingest: landed feed pages -> new reviews appended to the table.
 
 ``readStream`` picks up new landed files (JSON lines, ``LANDED_SCHEMA``);
-each micro-batch is scanned, windowed and normalised exactly like the batch
-extract, then only rows whose ID is not yet in the table are appended.  The
+each micro-batch is windowed and normalised like the batch extract, then only
+rows whose ID is not yet in the table are appended.  A run's feed may arrive
+over several micro-batches: the page at which it ends is kept in a small table
+next to the checkpoint (one row per run, feed and micro-batch), and later pages
+of that feed are dropped.  So any split of a run into files gives the batch
+result, as long as the fetcher lands its pages in the order it reads them.  The
 anti join against the table is the state, so no watermark is needed and late
 reviews are accepted; a replayed micro-batch (after a failure between the
 table commit and the checkpoint commit) appends nothing twice.  The stream
@@ -14,27 +18,41 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ingest import extract_new_reviews
+from ..operators.ingest import FEED_KEYS, feed_cuts, first_in_feed_order, page_window, rows_before_cuts
 from ..operators.merge import new_keys
 from ..session import scratch_path
 from ..sinks.table import read_table, table_sink
-from ..sources.feed import LANDED_SCHEMA, feed_scan
+from ..sources.feed import LANDED_SCHEMA
 
 
 def stream_ingest(spark: SparkSession, landed_dir: str, table_root: str, since: _dt.datetime,
                   asof: _dt.date, checkpoint: str | None = None,
-                  available_now: bool = True) -> StreamingQuery:
-    src = spark.readStream.schema(LANDED_SCHEMA).json(landed_dir)
-
-    def batch(pages: DataFrame, epoch_id: int) -> None:
-        session = pages.sparkSession
-        rows = extract_new_reviews(feed_scan(pages), since, asof)
+                  available_now: bool = True, files_per_batch: int | None = None) -> StreamingQuery:
+    """``files_per_batch`` bounds the landed files of one micro-batch (default: all that are new)."""
+    src = spark.readStream.schema(LANDED_SCHEMA)
+    if files_per_batch:
+        src = src.option("maxFilesPerTrigger", files_per_batch)
+    src = src.json(landed_dir)
+    checkpoint = checkpoint or scratch_path(spark, "streams", "ingest")
+    ended = checkpoint.rstrip("/") + "-cuts"
+
+    def batch(landed: DataFrame, epoch_id: int) -> None:
+        session = landed.sparkSession
+        pages = page_window(landed, since, asof)
+        cuts = feed_cuts(pages)
+        # A replayed micro-batch adds the same rows again; the minimum ignores them.
+        cuts.write.mode("append").parquet(ended)
+        runs = pages.select(*FEED_KEYS).distinct()
+        known = (session.read.schema(cuts.schema).parquet(ended).join(runs, FEED_KEYS, "left_semi")
+                 .groupBy(*FEED_KEYS).agg(F.min("cut_page").alias("cut_page")))
+        rows = first_in_feed_order(rows_before_cuts(pages, known), asof)
         fresh = new_keys(rows, read_table(session, table_root).select("ID"))
         table_sink(fresh, table_root)
 
     w = src.writeStream.foreachBatch(batch).option(
-        "checkpointLocation", checkpoint or scratch_path(spark, "streams", "ingest"))
+        "checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

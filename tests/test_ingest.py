@@ -18,9 +18,9 @@ def _write_landed(path, records):
             f.write(json.dumps(r) + "\n")
 
 
-def _page(portal, page, reviews, lang="all", raw=None):
+def _page(portal, page, reviews, lang="all", raw=None, run="run-1"):
     body = raw if raw is not None else json.dumps({"reviews": reviews}, indent=1)
-    return {"portal": portal, "lang": lang, "page": page, "body": body}
+    return {"run_id": run, "portal": portal, "lang": lang, "page": page, "body": body}
 
 
 def _rev(i, ts, **kw):
@@ -69,6 +69,59 @@ def test_json_pages_end_to_end(spark, tmpdir_path):
     assert rows(rejected, "id") == [("30",)]
 
 
+NEW, OLD = "2024-01-29T00:00:00", "2023-01-01T00:00:00"
+SINCE = dt.datetime(2024, 1, 10)
+
+
+def _ids(df):
+    return sorted(r.ID for r in df.select("ID").collect())
+
+
+def _both(landed):
+    """IDs kept by the extract from pages and from feed rows (they must agree)."""
+    got = _ids(I.extract_landed(landed, SINCE, ASOF))
+    assert got == _ids(I.extract_new_reviews(feed_scan(landed), SINCE, ASOF))
+    return got
+
+
+def test_runs_landed_together_do_not_cut_each_other(spark, tmpdir_path):
+    first = [_page("kununu", 0, [_rev("a", NEW), _rev("b", OLD)], run="run-1"),
+             _page("kununu", 1, [_rev("z", NEW)], run="run-1")]
+    second = [_page("kununu", 0, [_rev("c", NEW), _rev("d", NEW)], run="run-2"),
+              _page("kununu", 1, [_rev("e", NEW), _rev("f", NEW)], run="run-2")]
+    one, two, both = (os.path.join(tmpdir_path, x) for x in ("one", "two", "both"))
+    for path, pages in ((one, first), (two, second), (both, first + second)):
+        _write_landed(path, pages)
+    assert _both(landed_scan(spark, one)) == ["a"]
+    assert _both(landed_scan(spark, two)) == ["c", "d", "e", "f"]
+    assert _both(landed_scan(spark, both)) == ["a", "c", "d", "e", "f"]
+
+
+def test_first_copy_is_that_of_the_first_run_and_language(spark, tmpdir_path):
+    """The German pages are fetched before the English ones, whatever the page."""
+    mine = lambda text: [_rev("q", NEW, pros=text, is_current_job=True)]
+    _write_landed(tmpdir_path, [
+        _page("glassdoor", 0, mine("late run"), "de", run="run-2"), _page("glassdoor", 0, mine("english"), "en"),
+        _page("glassdoor", 1, mine("deutsch"), "de"), _page("glassdoor", 0, mine("other"), "xx")])
+    landed = landed_scan(spark, tmpdir_path)
+    for out in (I.extract_landed(landed, SINCE, ASOF), I.extract_new_reviews(feed_scan(landed), SINCE, ASOF)):
+        assert [r.ReviewText for r in out.collect()] == ["Pros: deutsch"]
+
+
+def test_pages_without_run_id_are_one_run(spark, tmpdir_path):
+    pages = [_page("kununu", 0, [_rev("a", NEW), _rev("b", OLD)]), _page("kununu", 1, [_rev("z", NEW)])]
+    for p in pages:
+        del p["run_id"]
+    _write_landed(tmpdir_path, pages)
+    assert _both(landed_scan(spark, tmpdir_path)) == ["a"]
+
+
+def test_extract_from_pages_reads_them_twice_at_most(spark):
+    """Once for the cut pages, once for the rows; no feed row is shuffled before the dedupe."""
+    plan = I.extract_landed(feed_pages(spark, SF001), SINCE, ASOF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 2 and "Window" not in plan
+
+
 def test_fixture_pages_roundtrip(spark):
     pages = feed_pages(spark, SF001)
     feed = feed_scan(pages)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF001, rows
 from reviewops.operators import ingest as I
 from reviewops.sinks import table as T
-from reviewops.sources.feed import feed_scan
+from reviewops.sources.feed import LANDED_SCHEMA, feed_scan
 from reviewops.sources.fixtures import feed_pages, reviews
 from reviewops.streaming.ingest import stream_ingest
 
@@ -69,6 +69,30 @@ def test_stream_equals_batch(spark, tmpdir_path):
     assert T.read_table(spark, root).count() == batch.count()
 
 
+def test_stream_over_many_micro_batches_equals_batch(spark, tmpdir_path):
+    """A run that arrives in several files ends at its first old review, in
+    whatever micro-batch that was seen; other runs go on."""
+    import json
+
+    new, old = "2024-01-29T00:00:00", "2023-01-01T00:00:00"
+    rev = lambda i, ts: {"id": i, "url": i, "title": i, "datetime": ts, "rating": 4, "text": "t"}
+    pages = [("run-1", 0, [rev("a", new), rev("b", old)]), ("run-2", 0, [rev("c", new)]), ("run-1", 1, [rev("z", new)]),
+             ("run-2", 1, [rev("d", new), rev("a", new)]), ("run-2", 2, [rev("e", old)]), ("run-2", 3, [rev("y", new)])]
+    landed = os.path.join(tmpdir_path, "landed")
+    os.makedirs(landed)
+    for k, (run, page, reviews_) in enumerate(pages):
+        path = os.path.join(landed, f"part-{k}.json")
+        with open(path, "w") as f:
+            f.write(json.dumps({"run_id": run, "portal": "kununu", "lang": "all", "page": page,
+                                "body": json.dumps({"reviews": reviews_})}) + "\n")
+        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+    root = os.path.join(tmpdir_path, "table")
+    stream_ingest(spark, landed, root, SINCE, ASOF, checkpoint=os.path.join(tmpdir_path, "ckpt"),
+                  files_per_batch=1).awaitTermination(300)
+    batch = I.extract_landed(spark.read.schema(LANDED_SCHEMA).json(landed), SINCE, ASOF)
+    assert rows(T.read_table(spark, root), "ID") == rows(batch, "ID") == [("a",), ("c",), ("d",)]
+
+
 def test_failed_version_write_does_not_block_retry(spark, tmpdir_path):
     """A replacement that died part-way leaves a version folder without
     ``_SUCCESS``: readers skip it and the retry writes past it."""
