@@ -3,28 +3,21 @@
 An element is addressed by tag plus one attribute value (``class`` or any
 ``attr="value"``); its inner HTML is taken up to the first closing tag of the
 same name (nested same-name tags are not balanced).  Text = inner HTML with
-``<br>`` -> newline, tags removed and the common named entities decoded
-(``&amp;`` last, so ``&amp;lt;`` decodes once).
+``<br>`` -> newline, tags removed, and named and numeric entities decoded (each
+once, so ``&amp;lt;`` gives ``&lt;``).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Named entities decoded in extracted text (&amp; handled last).
-ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-]
+# Named entities: Python's HTML table; a no-break space reads as a space, and
+# ``&apos;`` is not in that table.
+ENTITIES = {k: chr(v) for k, v in name2codepoint.items()} | {"nbsp": " ", "apos": "'"}
 
 
 @dataclass(frozen=True)
@@ -62,9 +55,29 @@ def element_inner(html: Column, sel: Selector) -> Column:
 def html_to_text(inner: Column) -> Column:
     t = F.regexp_replace(inner, r"(?i)<br\s*/?>", "\n")
     t = F.regexp_replace(t, r"(?s)<[^>]*>", "")
-    for ent, ch in ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return F.replace(t, F.lit("&amp;"), F.lit("&"))
+    return F.when(t.contains("&"), decode_entities(t)).otherwise(t)
+
+
+def decode_entities(text: Column) -> Column:
+    """Named (``&uuml;``), decimal (``&#8211;``) and hexadecimal (``&#x2013;``)
+    references; anything else after ``&`` stays as it is."""
+    table = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def decoded(part: Column) -> Column:
+        ref = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        digits = F.regexp_replace(ref, "^#[xX]?", "")
+        point = F.when(F.lower(F.substring(ref, 2, 1)) == "x", F.conv(digits, 16, 10)) \
+            .otherwise(digits).try_cast("int")
+        valid = ref.startswith("#") & (point > 0) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+        # a code point is four big-endian bytes
+        number = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, point).otherwise(63)), 8, "0")), "UTF-32")
+        char = F.when(valid, F.when(point == 160, " ").otherwise(number)).otherwise(
+            F.when(~ref.startswith("#"), F.try_element_at(table, ref)))
+        rest = F.substring(part, F.length(ref) + 2, F.length(part))
+        return F.when((ref != "") & char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), part))
+
+    parts = F.split(text, "&")
+    return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(decoded(p))), "")
 
 
 def block_text(html: Column, sel: Selector) -> Column:

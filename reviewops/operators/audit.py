@@ -42,10 +42,16 @@ def width_violations(table: DataFrame, widths: dict[str, int] = WIDTHS) -> DataF
 def row_diff(before: DataFrame, after: DataFrame, key: str = "ID") -> DataFrame:
     """Per key: ``added`` / ``removed`` / ``changed`` with the changed column
     names (comma-separated, table order).  Unchanged keys are not listed.
-    One full outer join on the key."""
+    One full outer join on the key; of text columns only the SHA-256 takes part."""
     cols = [c for c in before.columns if c in after.columns and c != key]
-    b = before.select(key, F.struct(*cols).alias("b"))
-    a = after.select(key, F.struct(*cols).alias("a"))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        kinds = dict(df.dtypes)
+        return df.select(key, F.struct(*[
+            F.unhex(F.sha2(F.col(c), 256)).alias(c) if kinds[c] == "string" else F.col(c)
+            for c in cols]).alias(name))
+
+    b, a = side(before, "b"), side(after, "a")
     j = b.join(a, key, "full_outer")
     changed = F.concat_ws(",", *[F.when(~F.col("b")[c].eqNullSafe(F.col("a")[c]), F.lit(c))
                                  for c in cols])

@@ -60,7 +60,7 @@ POSITIVE_KEYWORDS: dict[str, list[str]] = {
     "Communication": ["communication", "kommunikation", "informed"],
 }
 NEGATIVE_KEYWORDS: dict[str, list[str]] = {
-    "Poor Salary": ["underpaid", "unterbezahlt", "lowpaid", "mal"],
+    "Poor Salary": ["underpaid", "unterbezahlt", "lowpaid"],
     "Hard work / workload": ["workload", "overtime", "überstunden", "stress", "exhausting"],
     "Boring tasks": ["boring", "monotonous", "langweilig", "eintönig"],
     "Old office / working place": ["office", "building", "büro", "gebäude"],
@@ -188,9 +188,12 @@ def detect_language(df: DataFrame, place_language: DataFrame | None = None) -> D
         "_lang_hit", _argmax(_language_counts(F.col("_stop_hits")), F.lit(None).cast("string"))
     ).drop("_stop_hits")
     if place_language is not None:
-        pl = place_language.select(F.col("Location").alias("_loc"),
-                                   F.col("lang").alias("_place_lang"))
-        out = out.join(pl, out["Location"] == pl["_loc"], "left").drop("_loc")
+        pl = place_language.groupBy(F.col("Location").alias("_loc")).agg(
+            F.min("lang").alias("_place_lang"))
+        # only undecided rows with a place can match; the others are spread
+        key = F.when(F.col("_lang_hit").isNull() & nonblank(F.col("Location")), F.col("Location")) \
+            .otherwise(F.concat(F.lit("\u0000"), F.xxhash64("ID").cast("string")))
+        out = out.join(pl, key == pl["_loc"], "left").drop("_loc")
         fallback = F.coalesce(F.col("_place_lang"), F.lit("Other"))
     else:
         fallback = F.lit("Other")
@@ -223,11 +226,17 @@ def geo_enrich(df: DataFrame, places: DataFrame) -> DataFrame:
     ``places`` (``place, state_region, country``) is a place dimension.  It
     is not force-broadcast: AQE broadcasts it when its measured size is below
     the threshold and shuffles otherwise.  Rows without a match keep their
-    values.
+    values.  A place listed twice counts once (its smallest entry), so no
+    review is doubled; rows without a Location join on keys of their own that
+    match nothing, so they are spread over all tasks; a big city is a skewed
+    key of a plain join, which AQE splits.
     """
-    p = places.select(F.col("place").alias("_place"), F.col("state_region").alias("_sr"),
-                      F.col("country").alias("_co"))
-    j = df.join(p, df["Location"] == p["_place"], "left")
+    p = (places.groupBy(F.col("place").alias("_place"))
+         .agg(F.min(F.struct(F.col("state_region").alias("sr"), F.col("country").alias("co"))).alias("_p"))
+         .select("_place", F.col("_p.sr").alias("_sr"), F.col("_p.co").alias("_co")))
+    key = F.when(nonblank(F.col("Location")), F.col("Location")).otherwise(
+        F.concat(F.lit("\u0000"), F.xxhash64("ID").cast("string")))
+    j = df.join(p, key == p["_place"], "left")
     has_loc = nonblank(F.col("Location")) & F.col("_place").isNotNull()
     return j.select(*[
         F.when(has_loc, F.col("_sr")).otherwise(F.col(c)).alias(c) if c == "StateRegion" else

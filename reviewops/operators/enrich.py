@@ -2,8 +2,11 @@
 
 The model itself is injected (see ``infer_replies``); everything around it is
 set-based: requests are columns built from the row, answers are a ledger
-``(ID, kind, field, attempt, status, content)`` joined back on ``ID`` and
-applied with one ``CASE`` per column.
+(``LEDGER_SCHEMA``) joined back on ``ID`` -- and, where the requests are given, on
+their hash, so that an answer to an earlier request is never applied -- with
+one ``CASE`` per column.  The ledger holds all days: it is first reduced to the
+work-list's IDs and to status and attempt numbers, and only the picked
+attempts' text is fetched.
 
 Decision table of the reply stage (each step needs the previous one; a
 missing answer key stops at that step, leaving earlier columns set):
@@ -58,18 +61,28 @@ def _is_2xx(status: Column) -> Column:
 # Requests
 
 def request_struct(messages: Column, max_tokens: int, temperature: float,
-                   presence_penalty: Column | float = 0.0) -> Column:
+                   presence_penalty: Column | float = 0.0, generation: Column | None = None) -> Column:
+    """``generation`` (left out of the JSON where null) tells requests apart that
+    ask for a new answer to the same messages."""
+    generation = F.lit(None).cast("string") if generation is None else generation
     pp = presence_penalty if isinstance(presence_penalty, Column) else F.lit(float(presence_penalty))
     return F.struct(messages.alias("messages"), F.lit(max_tokens).alias("max_tokens"),
                     F.lit(float(temperature)).alias("temperature"), F.lit(0.0).alias("top_p"),
                     F.lit(1).alias("n"), pp.alias("presence_penalty"),
-                    F.lit(0.0).alias("frequency_penalty"))
+                    F.lit(0.0).alias("frequency_penalty"), generation.alias("generation"))
 
 
 def _msg(role: str, content: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
 
+def _messages(system: str | None, *user: Column) -> Column:
+    """The system message, if one is given (its wording is the caller's), then the
+    user messages.  It is part of the request, so a changed prompt is a new request."""
+    first = [_msg("system", F.lit(system))] if system else []
+    return F.array(*first, *[_msg("user", u) for u in user])
+
+
 def language_content() -> Column:
     text = strip_labels(_c("Portal"), _c("ReviewText"))
     return F.concat(
@@ -79,12 +92,12 @@ def language_content() -> Column:
         .otherwise(F.lit("")))
 
 
-def language_requests(rows: DataFrame) -> DataFrame:
+def language_requests(rows: DataFrame, system: str | None = None) -> DataFrame:
     """One request per row whose Language is unknown."""
     content = language_content()
     return rows.filter(_c("Language").isNull()).select(
         "ID", F.lit("language").alias("kind"), content.alias("content"),
-        request_struct(F.array(_msg("user", content)), S.LANGUAGE_MAX_TOKENS, 0).alias("request"))
+        request_struct(_messages(system, content), S.LANGUAGE_MAX_TOKENS, 0).alias("request"))
 
 
 def reply_content(lang: Column) -> Column:
@@ -96,30 +109,32 @@ def reply_content(lang: Column) -> Column:
         F.when(nonblank(lang), F.concat(F.lit(REPLY_LANG), lang, F.lit(")"))).otherwise(F.lit("")))
 
 
-def reply_requests(rows: DataFrame) -> DataFrame:
+def reply_requests(rows: DataFrame, system: str | None = None) -> DataFrame:
     """Rows need a known Language (run ``fill_language`` first); regeneration
-    requests carry presence penalty 1."""
+    requests carry presence penalty 1 and, as their generation, the SHA-256 of
+    the reply to be replaced: a second regeneration is a new request."""
     lang = reply_language(_c("Language"), _c("Portal"))
     content = reply_content(lang)
-    pp = F.when(_c("ApprovalStatus") == "Regenerate", F.lit(1.0)).otherwise(F.lit(0.0))
+    again = _c("ApprovalStatus") == "Regenerate"
+    pp = F.when(again, F.lit(1.0)).otherwise(F.lit(0.0))
+    generation = F.when(again, F.sha2(F.coalesce(_c("Response"), F.lit("")), 256))
     return rows.filter(_c("Language").isNotNull()).select(
         "ID", F.lit("reply").alias("kind"), lang.alias("reply_lang"), content.alias("content"),
         pp.alias("presence_penalty"),
-        request_struct(F.array(_msg("user", content)), S.REPLY_MAX_TOKENS, 1, pp).alias("request"))
+        request_struct(_messages(system, content), S.REPLY_MAX_TOKENS, 1, pp, generation).alias("request"))
 
 
-def completion_requests(rows: DataFrame) -> DataFrame:
+def completion_requests(rows: DataFrame, system: str | None = None) -> DataFrame:
     """Review (+ place) and the posted reply as two user messages."""
     review = F.concat(_c("ReviewText"), F.when(nonblank(_c("Location")), F.concat(
         F.lit(COMPLETION_PLACE), _c("Location"), F.lit(")"))).otherwise(F.lit("")))
     return rows.filter(_c("Response").isNotNull()).select(
         "ID", F.lit("completion").alias("kind"), review.alias("review_content"),
         _c("Response").alias("reply_content"),
-        request_struct(F.array(_msg("user", review), _msg("user", _c("Response"))),
-                       S.REPLY_MAX_TOKENS, 0).alias("request"))
+        request_struct(_messages(system, review, _c("Response")), S.REPLY_MAX_TOKENS, 0).alias("request"))
 
 
-def translation_requests(rows: DataFrame) -> DataFrame:
+def translation_requests(rows: DataFrame, system: str | None = None) -> DataFrame:
     """One request per (ID, field) still blank, for rows not in English.
     Review text that is only rating labels is copied, not translated; blank
     source text is never sent."""
@@ -132,27 +147,42 @@ def translation_requests(rows: DataFrame) -> DataFrame:
         lambda x: x.isNotNull())
     return rows.filter(not_en).select("ID", F.inline(items)).select(
         "ID", F.lit("translation").alias("kind"), "field", "source",
-        request_struct(F.array(_msg("user", _c("source"))), S.REPLY_MAX_TOKENS, 0).alias("request"))
+        request_struct(_messages(system, _c("source")), S.REPLY_MAX_TOKENS, 0).alias("request"))
 
 
 # ---------------------------------------------------------------------------
 # Answers
 
-ANSWER_SCHEMA = T.StructType([
+LEDGER_SCHEMA = T.StructType([
     T.StructField("ID", T.StringType()),
     T.StructField("kind", T.StringType()),
     T.StructField("field", T.StringType()),
+    T.StructField("request_hash", T.StringType()),
     T.StructField("attempt", T.IntegerType()),
     T.StructField("status", T.IntegerType()),
     T.StructField("content", T.StringType()),
 ])
 
 
+# Answers whose requests are not known (applied by ID alone).
+ANSWER_SCHEMA = T.StructType([f for f in LEDGER_SCHEMA.fields if f.name != "request_hash"])
+
+
+def asked(answers: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Ledger rows that answer ``wanted``: those of its IDs, or, where it has them,
+    of its (ID, request hash) pairs."""
+    keys = [k for k in ("ID", "request_hash") if k in wanted.columns]
+    return answers.join(wanted.select(*keys), keys, "left_semi")
+
+
 def latest_answer(answers: DataFrame, kind: str) -> DataFrame:
-    """Last attempt per ID for one request kind (``max_by``: partial agg)."""
-    a = answers.filter(_c("kind") == kind)
-    return a.groupBy("ID").agg(F.max_by(F.struct("status", "content"), "attempt").alias("_a")) \
-        .select("ID", F.col("_a.status").alias("_status"), F.col("_a.content").alias("_content"))
+    """Last attempt per ID for one request kind.  The pick is made on numbers and
+    a content hash (a total order, so ties cannot flip); its text is joined last."""
+    a = answers.filter(_c("kind") == kind).withColumn("_h", F.xxhash64("content"))
+    last = a.groupBy("ID").agg(F.max(F.struct("attempt", "status", "_h")).alias("_l")).select("ID", "_l.*")
+    text = a.select("ID", "attempt", "status", "_h", "content").dropDuplicates(["ID", "attempt", "status", "_h"])
+    return last.join(text, ["ID", "attempt", "status", "_h"]).select(
+        "ID", _c("status").alias("_status"), _c("content").alias("_content"))
 
 
 # Keys looked up in a parsed answer (each once per row, see ``_apply``).
@@ -222,8 +252,9 @@ def _reply_steps(asof: _dt.date) -> dict[str, Column]:
 
 
 def _apply(rows: DataFrame, answers: DataFrame, kind: str, steps: dict[str, Column],
-           with_outcome: bool) -> DataFrame:
-    j = rows.join(latest_answer(answers, kind), "ID", "left")
+           with_outcome: bool, requests: DataFrame | None) -> DataFrame:
+    wanted = rows.select("ID") if requests is None else with_request_hash(requests).select("ID", "request_hash")
+    j = rows.join(latest_answer(asked(answers, wanted), kind), "ID", "left")
     # The answer is parsed once and every key looked up once, each in its own
     # projection: the decision table refers to these columns many times, and
     # the optimizer does not inline an expensive expression used repeatedly.
@@ -238,9 +269,10 @@ def _apply(rows: DataFrame, answers: DataFrame, kind: str, steps: dict[str, Colu
 
 
 def apply_reply(rows: DataFrame, answers: DataFrame, asof: _dt.date,
-                with_outcome: bool = False) -> DataFrame:
-    """Apply reply answers (kind ``reply``) per the decision table above."""
-    return _apply(rows, answers, "reply", _reply_steps(asof), with_outcome)
+                with_outcome: bool = False, requests: DataFrame | None = None) -> DataFrame:
+    """Apply reply answers (kind ``reply``) per the decision table above: those to
+    ``requests``, or the last one per ID if no requests are given."""
+    return _apply(rows, answers, "reply", _reply_steps(asof), with_outcome, requests)
 
 
 def _completion_steps() -> dict[str, Column]:
@@ -283,30 +315,38 @@ def _completion_steps() -> dict[str, Column]:
 S_SCORE_KEYS = ("EmpathyScore", "HelpfulnessScore", "IndividualityScore")
 
 
-def apply_completion(rows: DataFrame, answers: DataFrame, with_outcome: bool = False) -> DataFrame:
+def apply_completion(rows: DataFrame, answers: DataFrame, with_outcome: bool = False,
+                     requests: DataFrame | None = None) -> DataFrame:
     """Apply completion answers (kind ``completion``): place (only with a
     Location), sensitive flag, aspects, scores as numbers.  The language of
     rows still without one is filled by ``fill_language`` afterwards."""
-    return _apply(rows, answers, "completion", _completion_steps(), with_outcome)
+    return _apply(rows, answers, "completion", _completion_steps(), with_outcome, requests)
 
 
 def apply_translation(rows: DataFrame, answers: DataFrame,
                       tries: int = S.TRANSLATION_TRIES) -> DataFrame:
     """English rows copy both originals into the EN columns.  Other rows take,
-    per field, the first attempt (<= ``tries``) whose answer is verified
-    English (``lang`` column of the ledger, e.g. from ``text_language``);
-    rating-only review text is copied; a field that never verified sets
+    per field, the first of ``tries`` answers that is verified English (``lang``
+    column of the ledger, e.g. from ``text_language``; a failed call uses up no
+    try); rating-only review text is copied; a field that never verified sets
     ``DeveloperComment = 'Check lang'``; a failed request sets
     ``'<code>(translation)'`` (the last failure wins)."""
-    a = answers.filter((_c("kind") == "translation") & (_c("attempt") <= tries))
+    a = asked(answers.filter(_c("kind") == "translation"), rows.select("ID")).withColumn("_h", F.xxhash64("content"))
     ok = _is_2xx(_c("status"))
-    good = ok & (_c("lang") == "EN")
-    # one aggregation over the ledger (partial per task): first verified
-    # attempt per field, last failing status, fields tried (at most two)
-    per_id = a.groupBy("ID").agg(
-        F.min_by("content", F.when(good & (_c("field") == "ReviewTextEN"), _c("attempt"))).alias("_rev"),
-        F.min_by("content", F.when(good & (_c("field") == "ResponseEN"), _c("attempt"))).alias("_resp"),
-        F.max_by("status", F.when(~ok, _c("attempt"))).alias("_err"),
+    # numbers first: the calls of one field that were answered, in order (a
+    # client's bounded retries), the last failure, the fields tried (two at most)
+    per_field = a.groupBy("ID", "field").agg(
+        F.sort_array(F.collect_list(F.when(ok, F.struct(
+            "attempt", F.coalesce(_c("lang") == "EN", F.lit(False)).alias("en"), "_h")))).alias("calls"),
+        F.max(F.when(~ok, F.struct("attempt", "status"))).alias("err"))
+    first = F.try_element_at(F.filter(F.slice("calls", 1, tries), lambda x: x["en"]), F.lit(1))
+    picked = per_field.select("ID", "field", "err", first["attempt"].alias("attempt"), first["_h"].alias("_h"))
+    text = a.filter(ok).select("ID", "field", "attempt", "_h", "content").dropDuplicates(["ID", "field", "attempt", "_h"])
+    found = picked.join(text, ["ID", "field", "attempt", "_h"], "left")
+    per_id = found.groupBy("ID").agg(
+        F.max(F.when(_c("field") == "ReviewTextEN", _c("content"))).alias("_rev"),
+        F.max(F.when(_c("field") == "ResponseEN", _c("content"))).alias("_resp"),
+        F.max(F.struct(_c("err.attempt").alias("attempt"), "field", _c("err.status").alias("status")))["status"].alias("_err"),
         F.collect_set("field").alias("_fields"))
     j = rows.join(per_id, "ID", "left")
     is_en = F.coalesce(_c("Language") == "EN", F.lit(False))
@@ -337,7 +377,7 @@ def request_errors(rows: DataFrame, answers: DataFrame) -> DataFrame:
     """Failed requests per ID and kind: last failing status and the comment
     the apply step writes."""
     bad = answers.filter(~_is_2xx(_c("status")))
-    last = bad.groupBy("ID", "kind").agg(F.max_by("status", "attempt").alias("status"))
+    last = bad.groupBy("ID", "kind").agg(F.max(F.struct("attempt", "status"))["status"].alias("status"))
     comment = F.when(_c("kind") == "translation",
                      F.concat(_c("status").cast("string"), F.lit("(translation)"))) \
         .otherwise(_c("status").cast("string"))
@@ -350,16 +390,6 @@ def request_errors(rows: DataFrame, answers: DataFrame) -> DataFrame:
 
 ClientFn = Callable[[pd.DataFrame], pd.DataFrame]
 
-LEDGER_SCHEMA = T.StructType([
-    T.StructField("ID", T.StringType()),
-    T.StructField("kind", T.StringType()),
-    T.StructField("request_hash", T.StringType()),
-    T.StructField("attempt", T.IntegerType()),
-    T.StructField("status", T.IntegerType()),
-    T.StructField("content", T.StringType()),
-])
-
-
 def with_request_hash(requests: DataFrame) -> DataFrame:
     return requests.withColumn("request_json", F.to_json(_c("request"))) \
         .withColumn("request_hash", F.sha2(_c("request_json"), 256))
@@ -367,38 +397,74 @@ def with_request_hash(requests: DataFrame) -> DataFrame:
 
 def infer_replies(requests: DataFrame, client: ClientFn, ledger: DataFrame | None = None,
                   partitions: int | None = None) -> DataFrame:
-    """Run ``client`` over requests not yet in the answer ledger.
-
-    ``client`` gets a pandas frame ``ID, kind, request_hash, request_json``
-    (one Arrow batch) and returns ``ID, kind, request_hash, attempt, status,
-    content``; retries and back-off live inside it.  Requests already answered
-    (same ID and request hash) are skipped by an anti join, so a re-run or a
-    retried task never pays twice once its answers are appended to the ledger.
-    ``partitions`` bounds the number of concurrent callers.
+    """Run ``client`` over requests without an answer in the ledger.
+
+    ``client`` gets a pandas frame ``ID, kind, field, request_hash,
+    request_json`` (one Arrow batch) and returns the ledger's columns, with
+    ``attempt`` counted from 1; see ``retrying`` for bounded retries.  A request
+    is done once the ledger holds a 2xx row for its ID, field and hash: a re-run
+    or a retried task never pays twice for it, while failed calls are asked
+    again, their attempts counted on from the ledger's.  ``partitions`` bounds
+    the number of concurrent callers.
     """
-    req = with_request_hash(requests).select("ID", "kind", "request_hash", "request_json")
+    req = with_request_hash(requests)
+    field = _c("field") if "field" in req.columns else F.lit(None).cast("string")
+    req = req.select("ID", "kind", field.alias("field"), "request_hash", "request_json")
     if ledger is not None:
-        req = req.join(ledger.select("ID", "request_hash"), ["ID", "request_hash"], "left_anti")
+        past = asked(ledger, req).groupBy("ID", "field", "request_hash").agg(
+            F.max("attempt").alias("_past"), F.bool_or(_is_2xx(_c("status"))).alias("_done")) \
+            .select(_c("ID").alias("_i"), _c("field").alias("_f"), _c("request_hash").alias("_r"), "_past", "_done")
+        req = req.join(past, (_c("ID") == _c("_i")) & _c("field").eqNullSafe(_c("_f"))
+                       & (_c("request_hash") == _c("_r")), "left") \
+            .filter(~F.coalesce(_c("_done"), F.lit(False)))
+    else:
+        req = req.withColumn("_past", F.lit(0))
+    req = req.select("ID", "kind", "field", "request_hash", "request_json",
+                     F.coalesce("_past", F.lit(0)).cast("int").alias("_past"))
     if partitions:
         req = req.repartition(partitions, "ID")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                out = client(pdf)
+                out = client(pdf.drop(columns="_past"))
+                past = pdf.set_index(["ID", pdf["field"].fillna(""), "request_hash"])["_past"]
+                keys = list(zip(out["ID"], out["field"].fillna(""), out["request_hash"], strict=True))
+                out = out.assign(attempt=[a + past[k] for a, k in zip(out["attempt"], keys, strict=True)])
                 yield out[[f.name for f in LEDGER_SCHEMA.fields]]
 
     return req.mapInPandas(run, LEDGER_SCHEMA)
 
 
+def retrying(client: ClientFn, tries: int = 3, wait: Callable[[int], None] | None = None) -> ClientFn:
+    """``client`` with up to ``tries`` calls per request: what was not answered (no
+    2xx) is asked again after ``wait(call number)``.  Every call is a ledger row."""
+
+    def call(pdf: pd.DataFrame) -> pd.DataFrame:
+        done, left = [], pdf
+        for n in range(1, tries + 1):
+            out = client(left).assign(attempt=n)
+            done.append(out)
+            failed = out[~out["status"].between(200, 299)]
+            if not len(failed):
+                break
+            again = set(zip(failed["ID"], failed["request_hash"], strict=True))
+            left = left[[k in again for k in zip(left["ID"], left["request_hash"], strict=True)]]
+            if wait and n < tries:
+                wait(n)
+        return pd.concat(done, ignore_index=True)
+
+    return call
+
+
 def echo_client(pdf: pd.DataFrame) -> pd.DataFrame:
     """Deterministic stand-in model for tests and fixtures: answers every
     request with a fixed-shape object derived from its hash."""
     tag = pdf["request_hash"].str.slice(0, 12)
     content = ('Sure: {"Response": "Reply ' + tag + '", "SensitiveTopic": "No", '
                '"EmpathyScore": 4, "HelpfulnessScore": 4, "IndividualityScore": 5} bye')
-    return pd.DataFrame({"ID": pdf["ID"], "kind": pdf["kind"], "request_hash": pdf["request_hash"],
-                         "attempt": 1, "status": 200, "content": content})
+    return pd.DataFrame({"ID": pdf["ID"], "kind": pdf["kind"], "field": pdf["field"],
+                         "request_hash": pdf["request_hash"], "attempt": 1, "status": 200, "content": content})
 
 
 def outcome_log(applied: DataFrame) -> DataFrame:

@@ -4,10 +4,11 @@ A shuffle join sends every row of a key to one task.  Adaptive execution
 splits a skewed partition only when its *bytes* stand out, and rows that repeat
 one value (the same reply text a third of the time) compress to almost
 nothing, so that split cannot be relied on.  Here the split is explicit: a key
-is *hot* when it holds at least ``1 / HOT_KEY_BOUND`` of all rows, so there are
-at most ``HOT_KEY_BOUND`` hot keys -- a proven bound -- and those are joined by
-broadcast, leaving the rows where they are.  Every other key shuffles as usual
-and holds fewer than ``total / HOT_KEY_BOUND`` rows.
+is *hot* when it holds at least ``1 / HOT_KEY_BOUND`` of all rows and
+``HOT_KEY_ROWS`` rows, so there are at most ``HOT_KEY_BOUND`` hot keys -- a proven
+bound -- and those are joined by broadcast, leaving the rows where they are.
+Every other key shuffles as usual and holds fewer than the larger of ``total /
+HOT_KEY_BOUND`` and ``HOT_KEY_ROWS`` rows.  Both branches run at every size.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ from pyspark.sql import functions as F
 
 # At most this many keys are broadcast (key + count: a few MB at most).
 HOT_KEY_BOUND = 100_000
+HOT_KEY_ROWS = 3
 
 
 def hot_keys(counts: DataFrame, key: str, rows_col: str, total_rows: Column) -> DataFrame:
-    """Keys whose row count is at least ``total_rows / HOT_KEY_BOUND``."""
-    return counts.filter(F.col(rows_col) * F.lit(HOT_KEY_BOUND) >= total_rows).select(key)
+    """Keys whose row count is at least ``total_rows / HOT_KEY_BOUND`` and HOT_KEY_ROWS."""
+    return counts.filter((F.col(rows_col) * F.lit(HOT_KEY_BOUND) >= total_rows)
+                         & (F.col(rows_col) >= HOT_KEY_ROWS)).select(key)
 
 
 def join_splitting_hot_keys(big: DataFrame, other: DataFrame, key: str, how: str,

@@ -8,10 +8,11 @@ Semantics (whole-row replacement, NULLs included; by column name):
 * ``noop``    : neither flag -> table unchanged
 
 Physical shape: every join is on ``ID`` and only the ``ID`` column of the other
-side takes part, so the wide text columns never cross a shuffle for the key
-test.  The table side is anti-joined against the *incoming* IDs, which AQE
-turns into a broadcast when the measured batch is small, so the table itself
-is then only scanned, not shuffled.  The incoming key must be unique and
+side takes part.  With ``batch_rows``, the measured size of a staged batch (see
+``measured``), up to ``BROADCAST_IDS`` incoming IDs are broadcast, and the table is
+only scanned.  Without it, or beyond that bound, the planner decides; it sees
+no more than an estimate, so it may shuffle the whole table by ``ID`` (AQE turns
+the join into a broadcast only after that shuffle is written).  The incoming key must be unique and
 non-null (the staging primary key): ``guard_unique_keys`` (lazy, fails the job)
 or ``check_unique_keys`` (eager, lists at most 20 keys) enforce it with one
 aggregation (partial counts per task, so a hot key cannot overload one task).
@@ -25,31 +26,44 @@ from pyspark.sql import functions as F
 from ..schema import COLUMN_NAMES
 
 
+# Incoming IDs that are broadcast at most (about 100 bytes each on an executor).
+BROADCAST_IDS = 1_000_000
+
+
 class DuplicateKeyError(ValueError):
     pass
 
 
-def _ids(df: DataFrame, key: str) -> DataFrame:
-    return df.select(key)
+def measured(staged: DataFrame) -> dict[str, int]:
+    """``batch_rows`` of a staged (checkpointed or written) batch, as a keyword
+    for the functions below: one count over the staged files."""
+    return {"batch_rows": staged.count()}
+
+
+def _ids(df: DataFrame, key: str, batch_rows: int | None = None) -> DataFrame:
+    ids = df.select(key)
+    return F.broadcast(ids) if batch_rows is not None and batch_rows <= BROADCAST_IDS else ids
 
 
-def known_ids(incoming: DataFrame, table: DataFrame, key: str = "ID") -> DataFrame:
-    """IDs of the batch that the table already holds.  The table's ID column
-    is the probe side and the batch's IDs the build side, so a small batch is
-    broadcast (AQE, measured size) and the big table is only scanned; the
-    result is at most as large as the batch."""
-    return _ids(table, key).join(_ids(incoming, key), key, "left_semi")
+def known_ids(incoming: DataFrame, table: DataFrame, key: str = "ID",
+              batch_rows: int | None = None) -> DataFrame:
+    """IDs of the batch that the table already holds: the table's ID column is
+    the probe side and the batch's IDs the build side; the result is at most
+    as large as the batch."""
+    return table.select(key).join(_ids(incoming, key, batch_rows), key, "left_semi")
 
 
-def existing_keys(incoming: DataFrame, table: DataFrame, key: str = "ID") -> DataFrame:
+def existing_keys(incoming: DataFrame, table: DataFrame, key: str = "ID",
+                  batch_rows: int | None = None) -> DataFrame:
     """``ID IN (SELECT ID FROM table)``."""
-    return incoming.join(known_ids(incoming, table, key), key, "left_semi")
+    return incoming.join(known_ids(incoming, table, key, batch_rows), key, "left_semi")
 
 
-def new_keys(incoming: DataFrame, table: DataFrame, key: str = "ID") -> DataFrame:
+def new_keys(incoming: DataFrame, table: DataFrame, key: str = "ID",
+             batch_rows: int | None = None) -> DataFrame:
     """``ID NOT IN (SELECT ID FROM table)`` for a non-null key (plain anti join
     against the batch's known IDs; the null-aware form could only broadcast)."""
-    return incoming.join(known_ids(incoming, table, key), key, "left_anti")
+    return incoming.join(known_ids(incoming, table, key, batch_rows), key, "left_anti")
 
 
 def duplicate_keys(df: DataFrame, key: str = "ID") -> DataFrame:
@@ -76,10 +90,11 @@ def guard_unique_keys(incoming: DataFrame, key: str = "ID") -> DataFrame:
 
 
 def merge(table: DataFrame, incoming: DataFrame, insert_new: bool = True,
-          update_existing: bool = False, key: str = "ID", validate: str | None = "lazy"
-          ) -> DataFrame:
+          update_existing: bool = False, key: str = "ID", validate: str | None = "lazy",
+          batch_rows: int | None = None) -> DataFrame:
     """``validate``: ``"lazy"`` (fail the job), ``"eager"`` (raise
-    ``DuplicateKeyError`` now, listing keys) or ``None``."""
+    ``DuplicateKeyError`` now, listing keys) or ``None``.  ``batch_rows``: the
+    measured number of incoming rows, if known."""
     if not (insert_new or update_existing):
         return table
     if validate == "eager":
@@ -88,12 +103,12 @@ def merge(table: DataFrame, incoming: DataFrame, insert_new: bool = True,
         incoming = guard_unique_keys(incoming, key)
     incoming = incoming.select(*table.columns)
     if insert_new and update_existing:
-        kept = table.join(_ids(incoming, key), key, "left_anti")
+        kept = table.join(_ids(incoming, key, batch_rows), key, "left_anti")
         return kept.unionByName(incoming)
     if insert_new:
-        return table.unionByName(new_keys(incoming, table, key))
-    kept = table.join(_ids(incoming, key), key, "left_anti")
-    return kept.unionByName(existing_keys(incoming, table, key))
+        return table.unionByName(new_keys(incoming, table, key, batch_rows))
+    kept = table.join(_ids(incoming, key, batch_rows), key, "left_anti")
+    return kept.unionByName(existing_keys(incoming, table, key, batch_rows))
 
 
 def merge_into_table(incoming: DataFrame, table_name: str, insert_new: bool = True,

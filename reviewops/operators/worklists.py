@@ -36,8 +36,9 @@ def unanswered(table: DataFrame, since: _dt.date | None = None) -> DataFrame:
 
 
 def top_n(df: DataFrame, n: int | None, *order: Column) -> DataFrame:
-    """``TOP n``; ``ID`` breaks ties so the pick is repeatable."""
-    if not n:
+    """``TOP n``; ``ID`` breaks ties so the pick is repeatable.  ``None`` means all
+    rows, 0 none."""
+    if n is None:
         return df
     return df.orderBy(*order, F.asc("ID")).limit(n)
 
@@ -111,9 +112,12 @@ def translate_candidates(table: DataFrame, num: int | None = None) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Refresh work-list.  The three selections are evaluated as flags in ONE scan
-# of the table; only the oldest-n pick needs a top-n, whose IDs (n rows, a
-# proven bound) are broadcast back.
+# Refresh work-list.  IDs first, wide rows last: the date and flag columns alone
+# are scanned for the picks, and the wide scan then keeps only rows that a
+# pushed-down filter (date ranges) or the oldest-n IDs select.
+
+# IDs of an oldest-n pick that are broadcast at most; a larger n joins plainly.
+BROADCAST_IDS = 100_000
 
 BUCKETS = ("new", "sensitive", "oldest")
 
@@ -126,7 +130,9 @@ def _refresh_flags(table: DataFrame, asof: _dt.date, oldest_count: int) -> DataF
     else:
         ids = refresh_oldest_n(table.select("ID", "RefreshDate"), oldest_count) \
             .select("ID", F.lit(True).alias("_old"))
-        flagged = table.join(F.broadcast(ids), "ID", "left") \
+        if oldest_count <= BROADCAST_IDS:
+            ids = F.broadcast(ids)
+        flagged = table.join(ids, "ID", "left") \
             .withColumn("_old", F.coalesce(_c("_old"), F.lit(False)))
     new = (_c("ReviewDate") == F.date_sub(F.lit(asof), S.NEW_REVIEW_REFRESH_DELAY)) \
         & _online_or_unknown()
@@ -159,13 +165,15 @@ def refresh_worklist_distinct(table: DataFrame, asof: _dt.date,
             .select(*[_c(c) for c in S.COLUMN_NAMES], bucket.alias("bucket")))
 
 
-def mark_posted(table: DataFrame, posted: DataFrame) -> DataFrame:
+def mark_posted(table: DataFrame, posted: DataFrame, posted_rows: int | None = None) -> DataFrame:
     """Set ``ResponsePostedYesNo = 'Yes'`` on every table row whose ID was
     posted; all other rows unchanged.  Full rows come from the table, so a
     narrow posting frame can never replace a wide row.  One left join against
-    the distinct posted IDs (AQE broadcasts them when the measured set is
-    small)."""
+    the distinct posted IDs, which are broadcast where their measured number
+    (``posted_rows``) is within the bound."""
     ids = posted.select("ID").distinct().withColumn("_posted", F.lit(True))
+    if posted_rows is not None and posted_rows <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
     j = table.join(ids, "ID", "left")
     return j.select(*[F.when(_c("_posted"), F.lit("Yes")).otherwise(_c(c)).alias(c)
                       if c == "ResponsePostedYesNo" else _c(c) for c in table.columns])

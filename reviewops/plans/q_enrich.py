@@ -20,6 +20,8 @@ from .q_worklists import SINCE
 from .registry import register
 
 ASOF = "DATE '2024-01-31'"
+# The ledger holds a reply and a completion answer for every review.
+BOTH_KINDS = "both_kinds AS (SELECT * FROM answers, (VALUES ('reply'), ('completion')) AS k(kind))"
 UNANSWERED = ("rows AS (SELECT * FROM reviews WHERE ((Response = '' OR Response IS NULL)"
               " AND ReviewDate >= DATE '2024-01-11') OR ApprovalStatus = 'Regenerate')")
 JOINED = ("j AS (SELECT rows.*, a.status AS _status, "
@@ -101,33 +103,33 @@ def q_translation_requests(spark, sf):
 # -- answers -------------------------------------------------------------------
 
 @register("choice_content", with_reviews(
-    "SELECT ID, json_extract_string('{\"choices\":[{\"message\":' || json_object('content', content)"
-    " || '}]}', '$.choices[0].message.content') AS content FROM answers", G.ANSWERS_CTE))
+    "SELECT ID, kind, json_extract_string('{\"choices\":[{\"message\":' || json_object('content', content)"
+    " || '}]}', '$.choices[0].message.content') AS content FROM both_kinds", G.ANSWERS_CTE, BOTH_KINDS))
 def q_choice_content(spark, sf):
-    a = model_answers(spark, sf).filter(F.col("kind") == "reply")
+    a = model_answers(spark, sf)
     body = F.concat(F.lit('{"choices":[{"message":'), F.to_json(F.struct("content")), F.lit("}]}"))
-    return a.select("ID", AN.choice_content(body).alias("content"))
+    return a.select("ID", "kind", AN.choice_content(body).alias("content"))
 
 
 @register("answer_object", with_reviews(
-    f"SELECT ID, obj IS NOT NULL AS parsed, {G.get('Response')} AS response,"
+    f"SELECT ID, kind, obj IS NOT NULL AS parsed, {G.get('Response')} AS response,"
     f" {G.get('EmpathyScore')} AS empathy, CAST(len(json_keys(obj)) AS INTEGER) AS n_keys"
-    f" FROM (SELECT ID, {G.answer_obj('content')} AS obj FROM answers)", G.ANSWERS_CTE))
+    f" FROM (SELECT ID, kind, {G.answer_obj('content')} AS obj FROM both_kinds)", G.ANSWERS_CTE, BOTH_KINDS))
 def q_answer_object(spark, sf):
-    a = model_answers(spark, sf).filter(F.col("kind") == "reply")
+    a = model_answers(spark, sf)
     obj = AN.answer_object(F.col("content"))
-    return a.select("ID", obj.isNotNull().alias("parsed"), AN.answer_get(obj, "Response").alias("response"),
+    return a.select("ID", "kind", obj.isNotNull().alias("parsed"), AN.answer_get(obj, "Response").alias("response"),
                     AN.answer_get(obj, "EmpathyScore").alias("empathy"),
                     F.when(obj.isNotNull(), F.size(F.map_keys(obj))).alias("n_keys"))
 
 
 @register("unescape_newline", with_reviews(
-    f"SELECT ID, replace({G.get('Response')}, '\\n', {G.NL}) AS response"
-    f" FROM (SELECT ID, {G.answer_obj('content')} AS obj FROM answers)", G.ANSWERS_CTE))
+    f"SELECT ID, kind, replace({G.get('Response')}, '\\n', {G.NL}) AS response"
+    f" FROM (SELECT ID, kind, {G.answer_obj('content')} AS obj FROM both_kinds)", G.ANSWERS_CTE, BOTH_KINDS))
 def q_unescape_newline(spark, sf):
-    a = model_answers(spark, sf).filter(F.col("kind") == "reply")
+    a = model_answers(spark, sf)
     obj = AN.answer_object(F.col("content"))
-    return a.select("ID", TX.unescape_newline(AN.answer_get(obj, "Response")).alias("response"))
+    return a.select("ID", "kind", TX.unescape_newline(AN.answer_get(obj, "Response")).alias("response"))
 
 
 @register("apply_reply", with_reviews(
@@ -164,14 +166,20 @@ _TANS = (
     " source AS content FROM treq"
     " UNION ALL SELECT ID, field, 2, 200, CASE WHEN CAST(split_part(ID, '-', 2) AS BIGINT) % 4 = 3"
     " THEN 'le la les des du et une qui' ELSE"
-    " 'This is the English text of the review and it is from the team' END FROM treq))")
+    " 'This is the English text of the review and it is from the team' END FROM treq"
+    " UNION ALL SELECT ID, field, a, CASE WHEN a < 5 AND CAST(split_part(ID, '-', 2) AS BIGINT) % 8 = 3 THEN 429"
+    " ELSE 200 END, CASE WHEN a < 5 THEN 'le la les des du et une qui' ELSE"
+    " 'This is the English text of the review and it is from the team' END FROM treq, (VALUES (3), (4), (5)) AS v(a)"
+    " WHERE CAST(split_part(ID, '-', 2) AS BIGINT) % 4 = 3))")
 _TGOOD = ("tfirst AS (SELECT ID,"
           " arg_min(content, attempt) FILTER (WHERE field = 'ReviewTextEN') AS _rev,"
-          " arg_min(content, attempt) FILTER (WHERE field = 'ResponseEN') AS _resp FROM tans"
-          " WHERE status BETWEEN 200 AND 299 AND lang = 'EN' AND attempt <= 3 GROUP BY ID)")
+          " arg_min(content, attempt) FILTER (WHERE field = 'ResponseEN') AS _resp FROM (SELECT *,"
+          " row_number() OVER (PARTITION BY ID, field ORDER BY attempt) AS nth FROM tans"
+          " WHERE status BETWEEN 200 AND 299)"
+          " WHERE lang = 'EN' AND nth <= 3 GROUP BY ID)")
 _TERR = ("terr AS (SELECT ID, arg_max(status, attempt) AS _err FROM tans"
-         " WHERE NOT (status BETWEEN 200 AND 299) AND attempt <= 3 GROUP BY ID)")
-_TTRIED = ("ttried AS (SELECT ID, list(DISTINCT field) AS _fields FROM tans WHERE attempt <= 3 GROUP BY ID)")
+         " WHERE NOT (status BETWEEN 200 AND 299) GROUP BY ID)")
+_TTRIED = ("ttried AS (SELECT ID, list(DISTINCT field) AS _fields FROM tans GROUP BY ID)")
 _LABELS_ONLY = G.blank(G.strip_labels())
 _IS_EN = "(Language = 'EN')"
 _REV_NEEDED = f"(NOT coalesce({_IS_EN}, false) AND {G.blank('ReviewTextEN')} AND NOT {_LABELS_ONLY})"
@@ -298,26 +306,70 @@ def q_individuality_score(spark, sf):
 
 
 # The test client answers from the SHA-256 of the request JSON; both engines
-# render the request struct as compact JSON in field order.
-_REQ_JSON = ("to_json({'messages': [{'role': 'user', 'content': content}], 'max_tokens': "
-             f"{S.REPLY_MAX_TOKENS}, 'temperature': 1.0, 'top_p': 0.0, 'n': 1,"
-             " 'presence_penalty': presence_penalty, 'frequency_penalty': 0.0})")
+# render the request struct as compact JSON in field order, nulls left out.
+def _req_json(generation: str) -> str:
+    fixed = ("{'messages': [{'role': 'system', 'content': 'Answer in JSON.'}, {'role': 'user', 'content': content}],"
+             f" 'max_tokens': {S.REPLY_MAX_TOKENS}, 'temperature': 1.0, 'top_p': 0.0, 'n': 1,"
+             " 'presence_penalty': presence_penalty, 'frequency_penalty': 0.0")
+    return (f"CASE WHEN ApprovalStatus = 'Regenerate' THEN to_json({fixed}, 'generation': {generation}}})"
+            f" ELSE to_json({fixed}}}) END")
+
+
+SYSTEM = "Answer in JSON."
+_FIRST_GENERATION = "sha256(coalesce(Response, ''))"
+_ECHO = ("'Sure: {\"Response\": \"Reply ' || substr(h, 1, 12) || '\", \"SensitiveTopic\": \"No\", '"
+         " || '\"EmpathyScore\": 4, \"HelpfulnessScore\": 4, \"IndividualityScore\": 5} bye'")
+_FILLED = (f"filled AS (SELECT * REPLACE (coalesce(Language, upper({G.detect_language()})) AS Language) FROM rows)")
+_ASKED = (f"asked AS (SELECT *, sha256({_req_json(_FIRST_GENERATION)}) AS h FROM (SELECT ID, Response, ApprovalStatus,"
+          f" {_REPLY_CONTENT} AS content, CASE WHEN ApprovalStatus = 'Regenerate' THEN 1.0 ELSE 0.0 END"
+          " AS presence_penalty FROM filled WHERE Language IS NOT NULL))")
+_NUMBER = "CAST(split_part(ID, '-', 2) AS BIGINT)"
+
+
+def _filled(spark, sf):
+    return C.fill_language(C.detect_language(_unanswered(spark, sf))).drop("detected_lang")
+
+
+def _earlier_calls(requests):
+    """A ledger for the requests: by number of the review, none, answered, refused
+    once (429), or failed twice (500)."""
+    n = F.split_part("ID", F.lit("-"), F.lit(2)).cast("long") % 4
+    calls = F.when(n == 1, F.array(F.lit(200))).when(n == 2, F.array(F.lit(429))).when(n == 3, F.array(F.lit(500), F.lit(500)))
+    return E.with_request_hash(requests).select(
+        "ID", "kind", F.lit(None).cast("string").alias("field"), "request_hash", F.posexplode(calls).alias("k", "status")).select(
+        "ID", "kind", "field", "request_hash", (F.col("k") + 1).alias("attempt"), "status", F.lit("earlier").alias("content"))
 
 
 @register("infer_replies", with_reviews(
-    "SELECT ID, 'reply' AS kind, h AS request_hash, 1 AS attempt, 200 AS status,"
-    " 'Sure: {\"Response\": \"Reply ' || substr(h, 1, 12) || '\", \"SensitiveTopic\": \"No\", '"
-    " || '\"EmpathyScore\": 4, \"HelpfulnessScore\": 4, \"IndividualityScore\": 5} bye' AS content"
-    f" FROM (SELECT ID, sha256({_REQ_JSON}) AS h FROM (SELECT ID, {_REPLY_CONTENT} AS content,"
-    " CASE WHEN ApprovalStatus = 'Regenerate' THEN 1.0 ELSE 0.0 END AS presence_penalty"
-    " FROM filled WHERE Language IS NOT NULL))",
-    UNANSWERED,
-    f"filled AS (SELECT * REPLACE (coalesce(Language, upper({G.detect_language()})) AS Language)"
-    " FROM rows)"))
+    f"SELECT ID, 'reply' AS kind, h AS request_hash, CAST(1 + CASE {_NUMBER} % 4 WHEN 2 THEN 1 WHEN 3 THEN 2 ELSE 0 END"
+    f" AS INTEGER) AS attempt, 200 AS status, {_ECHO} AS content FROM asked WHERE {_NUMBER} % 4 <> 1",
+    UNANSWERED, _FILLED, _ASKED))
 def q_infer_replies(spark, sf):
     """Reply requests of the unanswered work-list run through the injected
-    client (``mapInPandas``, Arrow batches); the deterministic test client
-    makes the result a function of the request, so SQL can check it."""
-    rows = C.fill_language(C.detect_language(_unanswered(spark, sf))).drop("detected_lang")
-    return E.infer_replies(E.reply_requests(rows), E.echo_client,
-                           partitions=spark.sparkContext.defaultParallelism)
+    client (``mapInPandas``, Arrow batches) over a ledger that holds answered,
+    refused and failed calls: only what has no 2xx answer is asked, attempts
+    count on.  The deterministic client makes the rest a function of the
+    request, so SQL can check it."""
+    requests = E.reply_requests(_filled(spark, sf), SYSTEM)
+    return E.infer_replies(requests, E.retrying(E.echo_client), _earlier_calls(requests),
+                           partitions=spark.sparkContext.defaultParallelism).drop("field")
+
+
+@register("regenerate_twice", with_reviews(
+    "SELECT ID, first_reply, 'Reply ' || substr(h, 1, 12) AS second_reply, 'Pending' AS ApprovalStatus FROM ("
+    f" SELECT ID, first_reply, sha256({_req_json('sha256(first_reply)')}) AS h"
+    " FROM (SELECT *, 'Reply ' || substr(h, 1, 12) AS first_reply FROM asked WHERE ApprovalStatus = 'Regenerate'))",
+    UNANSWERED, _FILLED, _ASKED))
+def q_regenerate_twice(spark, sf):
+    """Rows marked ``Regenerate`` twice in turn: each round asks anew and takes the
+    answer to its own request, not an earlier one."""
+    rows = _filled(spark, sf).filter("ApprovalStatus = 'Regenerate'")
+    first = E.reply_requests(rows, SYSTEM)
+    ledger = E.infer_replies(first, E.echo_client)
+    once = E.apply_reply(rows, ledger, FIXTURE_ASOF, requests=first)
+    again = once.withColumn("ApprovalStatus", F.lit("Regenerate"))
+    second = E.reply_requests(again, SYSTEM)
+    ledger = ledger.unionByName(E.infer_replies(second, E.echo_client, ledger))
+    twice = E.apply_reply(again, ledger, FIXTURE_ASOF, requests=second)
+    return once.select("ID", F.col("Response").alias("first_reply")).join(
+        twice.select("ID", F.col("Response").alias("second_reply"), "ApprovalStatus"), "ID")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
+from html.entities import name2codepoint
 
 from pyspark.sql import functions as F
 
@@ -16,23 +18,29 @@ from ..schema import CORE_LANGUAGES, FIXTURE_ASOF, WIDTHS
 from ..sources import usage
 from ..sources.feed import feed_scan
 from ..sources.fixtures import feed_pages, page_fetches, reviews
-from ..session import ensure_parallelism
+from ..session import ensure_parallelism, scratch_path
 from ..sources.tables import load
 from . import sqlgen as G
 from .oracle import table_select, with_feed, with_reviews
-from .q_ingest import _INDEED
+from .q_ingest import _GLASSDOOR, _INDEED, _KUNUNU
 from .registry import register
 
-ENT = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-       ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·")]
+# The twin decodes with Python's own table, one reference after each "&".
+_NAMED = "MAP {" + ", ".join(f"{G.q(k)}: {G.q(v)}" for k, v in [
+    *((k, " " if k == "nbsp" else chr(v)) for k, v in sorted(name2codepoint.items())), ("apos", "'")]) + "}"
 
 
 def _html_text_sql(inner: str) -> str:
     t = f"regexp_replace({inner}, '(?i)<br\\s*/?>', {G.NL}, 'g')"
     t = f"regexp_replace({t}, '(?s)<[^>]*>', '', 'g')"
-    for e, ch in ENT:
-        t = f"replace({t}, {G.q(e)}, {G.q(ch)})"
-    return f"replace({t}, '&amp;', '&')"
+    ref = "regexp_extract(p, '^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);', 1)"
+    code = (f"CASE WHEN {ref} LIKE '#x%' OR {ref} LIKE '#X%' THEN TRY_CAST('0x' || {ref}[3:] AS INTEGER)"
+            f" WHEN {ref} LIKE '#%' THEN TRY_CAST({ref}[2:] AS INTEGER) END")
+    char = (f"CASE WHEN {code} = 160 THEN ' ' WHEN {code} BETWEEN 1 AND 1114111 AND NOT {code} BETWEEN 55296 AND 57343"
+            f" THEN chr({code}) ELSE ({_NAMED})[{ref}] END")
+    piece = f"CASE WHEN {char} IS NULL THEN '&' || p ELSE {char} || p[length({ref}) + 2:] END"
+    return (f"(SELECT string_split(t, '&')[1] || array_to_string([{piece} FOR p IN string_split(t, '&')[2:]], '')"
+            f" FROM (SELECT {t} AS t))")
 
 
 def _inner_sql(html: str, open_re: str, tag: str) -> str:
@@ -40,15 +48,20 @@ def _inner_sql(html: str, open_re: str, tag: str) -> str:
     return f"CASE WHEN regexp_matches({html}, {G.q(pat)}) THEN regexp_extract({html}, {G.q(pat)}, 2) END"
 
 
+# References that the pages themselves lack: umlauts, numeric forms, unknown and broken ones.
+REFERENCES = ("f&uuml;r M&auml;nner &#8211; gro&szlig; &#x1F600; &amp;lt; &bogus; & x &#0; &#xD800; &#9999999;"
+              " &nbsp;&apos;&euro")
 ARTICLE = "<(article)(?:\\s[^>]*)?>"
 AD_DIV = '<(div)\\s[^>]*class="ad"[^>]*>'
 
 
 @register("html_block_text", with_reviews(
-    f"SELECT page_id, {_html_text_sql(_inner_sql('html', ARTICLE, 'article'))} AS text FROM pages"))
+    f"SELECT page_id, {_html_text_sql(_inner_sql('html', ARTICLE, 'article'))} AS text FROM"
+    f" (SELECT page_id, replace(html, '</article>', {G.q(REFERENCES + '</article>')}) AS html FROM pages)"))
 def q_html_block_text(spark, sf):
     p = ensure_parallelism(load(spark, sf, "pages"), "page_id")
-    return p.select("page_id", block_text(F.col("html"), Selector(tag="article")).alias("text"))
+    html = F.replace("html", F.lit("</article>"), F.lit(REFERENCES + "</article>"))
+    return p.select("page_id", block_text(html, Selector(tag="article")).alias("text"))
 
 
 # Page structure of the fixture pages: the review is the <article>; Indeed
@@ -145,15 +158,19 @@ USAGE_END = _dt.datetime(2024, 1, 20)
     "SELECT event_id, ts, user_id, event_type, value FROM events"
     " WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'"))
 def q_usage_report_scan(spark, sf):
-    ev = load(spark, sf, "events")
-    return usage.usage_window(ev, USAGE_START, USAGE_END)
+    """The events landed as a compressed report, then read by the report reader."""
+    path = scratch_path(spark, "usage", uuid.uuid4().hex)
+    load(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value").write.option(
+        "compression", "gzip").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+    return usage.usage_window(usage.usage_report_scan(spark, path), USAGE_START, USAGE_END)
 
 
 @register("width_violations", with_feed(
     " UNION ALL ".join(
         f"SELECT ID, '{c}' AS \"column\", {w} AS width, CAST(length({c}) AS INTEGER) AS length FROM t"
         f" WHERE length({c}) > {w}" for c, w in WIDTHS.items()),
-    f"t AS (SELECT {table_select(_INDEED)} FROM feed WHERE lower(portal) = 'indeed')"))
+    f"t AS (SELECT {table_select(_INDEED)} FROM feed WHERE lower(portal) = 'indeed'"
+    f" UNION ALL SELECT {table_select(_GLASSDOOR)} FROM feed WHERE lower(portal) = 'glassdoor'"
+    f" UNION ALL SELECT {table_select(_KUNUNU)} FROM feed WHERE lower(portal) = 'kununu')"))
 def q_width_violations(spark, sf):
-    rows = I.normalize_indeed(feed_scan(feed_pages(spark, sf)), FIXTURE_ASOF)
-    return A.width_violations(rows)
+    return A.width_violations(I.normalize(feed_scan(feed_pages(spark, sf)), FIXTURE_ASOF))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.sql import functions as F
+
 from ..operators import worklists as W
 from ..schema import FIXTURE_ASOF
 from ..sources.fixtures import reviews
@@ -54,10 +56,13 @@ def q_regenerate_rows(spark, sf):
 
 
 @register("limit_n", with_reviews(
-    "SELECT * FROM reviews WHERE ApprovalStatus = 'Regenerate'"))
+    "SELECT 'all' AS pick, ID FROM reviews WHERE ApprovalStatus = 'Regenerate'"
+    " UNION ALL SELECT 'three', ID FROM (SELECT ID FROM reviews WHERE ApprovalStatus = 'Regenerate' ORDER BY ID LIMIT 3)"))
 def q_limit_n(spark, sf):
-    # TOP n without n: the whole selection (the batch-size form is regenerate_rows).
-    return W.regenerate_rows(reviews(spark, sf))
+    """TOP n for n = none given (all rows), 0 (no row) and 3."""
+    r = reviews(spark, sf)
+    pick = lambda name, n: W.regenerate_rows(r, n).select(F.lit(name).alias("pick"), "ID")
+    return pick("all", None).unionByName(pick("none", 0)).unionByName(pick("three", 3))
 
 
 @register("refresh_new", with_reviews(

@@ -341,8 +341,10 @@ EN_TRANSLATION = "This is the English text of the review and it is from the team
 
 
 def translation_answers(spark: SparkSession, sf_dir: str, requests: DataFrame) -> DataFrame:
-    """Two attempts per translation request: the untranslated source (or a
-    failed call), then either an English text or still-foreign text."""
+    """Attempts per translation request: the untranslated source (or a failed
+    call), then either an English text or still-foreign text; the latter is
+    followed by two foreign answers or refused calls, then an English one, which
+    is in time only where the calls were refused."""
     doc = F.split_part(_c("ID"), F.lit("-"), F.lit(2)).cast("long")
     a1 = requests.select("ID", "field",
                          F.lit(1).alias("attempt"),
@@ -351,7 +353,12 @@ def translation_answers(spark: SparkSession, sf_dir: str, requests: DataFrame) -
     a2 = requests.select("ID", "field", F.lit(2).alias("attempt"), F.lit(200).alias("status"),
                          F.when(doc % 4 == 3, F.lit("le la les des du et une qui"))
                          .otherwise(F.lit(EN_TRANSLATION)).alias("content"))
-    return a1.unionByName(a2).withColumn("kind", F.lit("translation"))
+    later = requests.filter(doc % 4 == 3).select(
+        "ID", "field", F.explode(F.array(F.lit(3), F.lit(4), F.lit(5))).alias("attempt")).select(
+        "ID", "field", "attempt",
+        F.when((_c("attempt") < 5) & (doc % 8 == 3), 429).otherwise(200).alias("status"),
+        F.when(_c("attempt") < 5, F.lit("le la les des du et une qui")).otherwise(F.lit(EN_TRANSLATION)).alias("content"))
+    return a1.unionByName(a2).unionByName(later).withColumn("kind", F.lit("translation"))
 
 
 def page_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
