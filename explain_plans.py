@@ -24,7 +24,7 @@ def shape(plan: str) -> dict:
         "reused": len(reused),
         "broadcasts": sum(ln.count("BroadcastExchange") for ln in fresh),
         "joins": len(re.findall(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin)", plan)),
-        "aggregates": len(re.findall(r"(HashAggregate|SortAggregate|ObjectHashAggregate)\(keys=\[[^\]]",
+        "aggregates": len(re.findall(r"(HashAggregate|ObjectHashAggregate|SortAggregate)\(keys?=\[[^\]]",
                                      plan)),
         "windows": len(re.findall(r"\bWindow\b", plan)),
         "python": len(re.findall(r"(ArrowEvalPython|MapInPandas|BatchEvalPython)", plan)),

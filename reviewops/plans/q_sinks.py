@@ -6,12 +6,19 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
-from ..schema import FIXTURE_ASOF
+from pyspark.sql import functions as F
+
+from ..operators import merge as M
+from ..operators import worklists as W
+from ..schema import FIXTURE_ASOF, empty_reviews
 from ..session import scratch_path
-from ..sinks.table import csv_backup, read_csv_backup, read_table
-from ..sources.fixtures import landed_dir, reviews
+from ..sinks.table import (csv_backup, dupes_report, read_csv_backup, read_table, run_log, table_replace_sink,
+                           table_sink)
+from ..sources.fixtures import landed_dir, merge_incoming, merge_target, reviews
 from ..streaming.ingest import stream_ingest
+from .oracle import with_reviews
 from .q_ingest import SINCE
+from .q_merge import INCOMING, TARGET
 from .registry import ORACLE
 from .registry import register
 
@@ -40,3 +47,64 @@ def q_csv_backup(spark, sf):
     path = csv_backup(reviews(spark, sf), _fresh(spark, "backups"),
                       _dt.datetime.combine(FIXTURE_ASOF, _dt.time(7, 0)))
     return read_csv_backup(spark, path)
+
+
+@register("table_sink", ORACLE["merge_insert"])
+def q_table_sink(spark, sf):
+    """New rows appended to a written table, read back."""
+    root = _fresh(spark, "tables")
+    table_replace_sink(merge_target(spark, sf), root)
+    table_sink(M.new_keys(merge_incoming(spark, sf), read_table(spark, root)), root)
+    return read_table(spark, root)
+
+
+@register("table_replace_sink", ORACLE["merge_upsert"])
+def q_table_replace_sink(spark, sf):
+    """A second, clustered version replaces the first; readers see the second only."""
+    root = _fresh(spark, "tables")
+    table_replace_sink(merge_target(spark, sf), root)
+    table_replace_sink(M.merge_upsert(read_table(spark, root), merge_incoming(spark, sf)), root, buckets=4)
+    return read_table(spark, root)
+
+
+@register("dupes_report", with_reviews(
+    "SELECT ID, count(ID) AS id_count, DATE '2024-01-31' AS asof FROM (SELECT ID FROM target UNION ALL"
+    " SELECT ID FROM incoming) GROUP BY ID HAVING count(ID) > 1", TARGET, INCOMING))
+def q_dupes_report(spark, sf):
+    """The written duplicate-key report, read back."""
+    path = _fresh(spark, "reports")
+    both = merge_target(spark, sf).unionByName(merge_incoming(spark, sf))
+    dupes_report(both, path, FIXTURE_ASOF)
+    return spark.read.schema("ID string, id_count long, asof date").option("header", "true").csv(path)
+
+
+@register("run_log", with_reviews(
+    "SELECT TIMESTAMP '2024-01-31 07:00:00' AS ts, stage, ID, reason FROM ("
+    " SELECT 'regenerate' AS stage, ID, 'status ' || ApprovalStatus AS reason FROM reviews"
+    " WHERE ApprovalStatus = 'Regenerate' UNION ALL SELECT 'completion', ID, 'incomplete' FROM reviews"
+    " WHERE NOT (Response = '' OR Response IS NULL) AND SensitiveTopic IS NULL)"))
+def q_run_log(spark, sf):
+    """Two stages' events appended to one log, read back."""
+    path, at = _fresh(spark, "logs"), _dt.datetime.combine(FIXTURE_ASOF, _dt.time(7, 0))
+    r = reviews(spark, sf)
+    run_log(W.regenerate_rows(r).select("ID", F.concat(F.lit("status "), "ApprovalStatus").alias("reason")), path, "regenerate", at)
+    run_log(W.incomplete_rows(r).select("ID", F.lit("incomplete").alias("reason")), path, "completion", at)
+    return spark.read.parquet(path)
+
+
+@register("schema_clone", ORACLE["table_scan"])
+def q_schema_clone(spark, sf):
+    """An empty clone takes the whole table, column by column."""
+    return empty_reviews(spark).unionByName(reviews(spark, sf))
+
+
+@register("duplicate_key_rejects", with_reviews(
+    "SELECT ID, count(*) AS n FROM (SELECT ID FROM target UNION ALL SELECT ID FROM incoming"
+    " UNION ALL SELECT NULL FROM incoming WHERE Location IS NULL) GROUP BY ID HAVING count(*) > 1 OR ID IS NULL",
+    TARGET, INCOMING))
+def q_duplicate_key_rejects(spark, sf):
+    """The keys for which a merge refuses a batch: repeated ones and NULL."""
+    incoming = merge_incoming(spark, sf)
+    batch = (merge_target(spark, sf).select("ID").unionByName(incoming.select("ID"))
+             .unionByName(incoming.filter("Location IS NULL").select(F.lit(None).cast("string").alias("ID"))))
+    return M.duplicate_keys(batch)

@@ -53,10 +53,10 @@ def test_d11_translation_attempts_bounded(spark):
     r = _t(spark, [("x", "DE", "Glassdoor", "Der Text", "")],
            "ID string, Language string, Portal string, ReviewText string, Response string")
     ans = spark.createDataFrame(
-        [("x", "translation", "ReviewTextEN", a, 200, "The text of the team") for a in (4, 5)],
-        E.ANSWER_SCHEMA).withColumn("lang", F.lit("EN"))
+        [("x", "translation", "ReviewTextEN", a, 200, "The text of the team" if a > 3 else "Der Text") for a in range(1, 6)],
+        E.ANSWER_SCHEMA).withColumn("lang", F.when(F.col("attempt") > 3, "EN").otherwise("DE"))
     out = E.apply_translation(r, ans).first()
-    assert out["ReviewTextEN"] is None  # attempts beyond the bound are ignored
+    assert out["ReviewTextEN"] is None  # answers beyond the bound are ignored
 
 
 def test_usage_report_gzip_json(spark, tmpdir_path):
