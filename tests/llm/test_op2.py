@@ -89,7 +89,7 @@ def test_learns_nothing_from_held_out_fold(make_docs):
 
 
 def test_accuracy_and_edges(make_docs):
-    rows = corpus(4)
+    rows = corpus(4, 1600)
     odd = [(900, None, "aa"), (901, "", "aa"), (902, "123 ### --", "bb"), (903, "lomitu" * 100_000, None), (None, "kalo mi tu", "aa"),
            (904, "quxx zzqq wwvv jjyy " * 50, None), rows[0], rows[0]]
     docs = make_docs(rows + odd).withColumn("lang_pred", F.lit("x")).withColumn("score", F.lit(9))
