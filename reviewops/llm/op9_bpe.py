@@ -7,8 +7,8 @@ where the tokenizer's own pre-split leaves one long piece (runs without white sp
 merging one never looks past its end.
 
 Order of work: special tokens, the byte-level pre-split pattern, forced cuts inside each
-piece, merges by rank inside each fragment.  Pieces recur, so each worker keeps what it has
-encoded, up to a fixed number of pieces.
+piece, merges by rank inside each fragment.  Pieces recur, so a group of rows encodes each
+new piece once, and each worker keeps what it has encoded, up to a fixed number of pieces.
 
 The vocabulary file is read on each worker from ``path`` (default: the installed
 ``byte_bpe_50k.json``); it has a fixed size and never travels with the data.
@@ -22,8 +22,10 @@ from __future__ import annotations
 
 import heapq
 import json
+import sys
+from array import array
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,11 @@ from reviewops.llm import common as c
 
 # Fixed value: the byte-level pre-split pattern of the tokenizer files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# Pieces that a worker keeps (each at most KEEP_CHARS long), and pieces encoded at a time.
-KEEP_PIECES, KEEP_CHARS, STRIDE = 1 << 18, 64, 1 << 17
+# Pieces that a worker keeps, and pieces of a long text encoded at a time.
+KEEP_PIECES, STRIDE = 1 << 18, 1 << 17
+# Fragments of up to SHORT bytes are merged by plain lists.  A merge is rank * SPAN + new id.
+SHORT, SPAN, NEVER = 64, 1 << 32, 1 << 62
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 
 
 def _byte_letters() -> dict[str, int]:
@@ -47,11 +52,10 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class Vocabulary(dict):
-    """Piece of text -> its token ids; a piece that is not yet known is encoded on demand."""
+class Vocabulary:
+    """A vocabulary file, and the pieces encoded so far (piece -> ids as bytes)."""
 
     def __init__(self, path: str):
-        super().__init__()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = _byte_letters()
@@ -64,10 +68,11 @@ class Vocabulary(dict):
         for k, i in self.special.items():
             self.token[i] = k.encode()
         self.of_byte = [ids[x] for x, _ in sorted(letters.items(), key=lambda kv: kv[1])]
+        # Rank and result of a merge in one number, so that the least number is the next merge.
         self.merge = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merge[ids[a], ids[b]] = (rank, ids[a + b])
+            self.merge[ids[a], ids[b]] = rank * SPAN + ids[a + b]
         inside = np.zeros((256, 256), dtype=bool)
         for b in plain.values():
             x = np.frombuffer(b, dtype=np.uint8)
@@ -75,60 +80,92 @@ class Vocabulary(dict):
         self.forced = ~inside
         self.split = regex.compile(PATTERN)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        self.known: dict[str, bytes] = {}
 
-    def fragments(self, data: bytes) -> list[bytes]:
-        """``data`` cut wherever no token can reach across."""
-        if len(data) < 2:
-            return [data]
+    def cuts(self, data: bytes) -> np.ndarray:
+        """Places in ``data`` that no token can reach across."""
         x = np.frombuffer(data, dtype=np.uint8)
-        cut = (np.flatnonzero(self.forced[x[:-1], x[1:]]) + 1).tolist()
-        return [data[a:b] for a, b in zip([0, *cut], [*cut, len(data)], strict=True)]
+        return np.flatnonzero(self.forced[x[:-1], x[1:]]) + 1
 
     def merged(self, data: bytes) -> list[int]:
-        """Token ids of one fragment: the pair of least rank, leftmost first, until none is left.
-        Neighbours are kept as links, candidate pairs in a heap."""
+        """Token ids of one fragment: the pair of least rank, leftmost first, until none is left."""
         tok = [self.of_byte[b] for b in data]
-        n = len(tok)
+        if len(tok) > SHORT:
+            return self._merged_long(tok)
+        get = self.merge.get
+        rank = [get(pair, NEVER) for pair in zip(tok, tok[1:], strict=False)]
+        while rank and (least := min(rank)) < NEVER:
+            i = rank.index(least)
+            tok[i:i + 2] = [least % SPAN]
+            del rank[i]
+            if i:
+                rank[i - 1] = get((tok[i - 1], tok[i]), NEVER)
+            if i < len(rank):
+                rank[i] = get((tok[i], tok[i + 1]), NEVER)
+        return tok
+
+    def _merged_long(self, tok: list[int]) -> list[int]:
+        """The same with links between neighbours and a heap of candidate pairs."""
+        n, get = len(tok), self.merge.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*got, i, tok[i], tok[i + 1]) for i in range(n - 1) if (got := self.merge.get((tok[i], tok[i + 1])))]
-        heap = [(rank, i, new, a, b) for rank, new, i, a, b in heap]
+        heap = [(r, i, tok[i], tok[i + 1]) for i in range(n - 1) if (r := get((tok[i], tok[i + 1]))) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, new, a, b = heapq.heappop(heap)
+            r, i, a, b = heapq.heappop(heap)
             j = after[i]
             if tok[i] != a or j >= n or tok[j] != b:
                 continue
-            tok[i], tok[j] = new, -1
+            tok[i], tok[j] = r % SPAN, -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if got := self.merge.get((new, tok[k])):
-                    heapq.heappush(heap, (got[0], i, got[1], new, tok[k]))
-            if (h := before[i]) >= 0 and (got := self.merge.get((tok[h], new))):
-                heapq.heappush(heap, (got[0], h, got[1], tok[h], new))
+                if (r := get((tok[i], tok[k]))) is not None:
+                    heapq.heappush(heap, (r, i, tok[i], tok[k]))
+            if (h := before[i]) >= 0 and (r := get((tok[h], tok[i]))) is not None:
+                heapq.heappush(heap, (r, h, tok[h], tok[i]))
         return [t for t in tok if t >= 0]
 
-    def __missing__(self, piece: str) -> list[int]:
-        found = [t for part in self.fragments(piece.encode()) for t in self.merged(part)]
-        if len(piece) <= KEEP_CHARS:
-            if len(self) >= KEEP_PIECES:
-                self.clear()
-            self[piece] = found
-        return found
-
-    def encode(self, text: str) -> np.ndarray:
-        """Token ids of a whole text."""
-        parts = []
-        for section in self.specials.split(text) if any(s in text for s in self.special) else [text]:
-            if section in self.special:
-                parts.append(np.array([self.special[section]], dtype="<u4"))
-            elif len(section) <= c.PIECE:
-                parts.append(np.fromiter(chain.from_iterable(map(self.__getitem__, self.split.findall(section))), dtype="<u4"))
-            else:
-                pieces = (m.group() for m in self.split.finditer(section))
-                while some := list(islice(pieces, STRIDE)):
-                    parts.append(np.fromiter(chain.from_iterable(map(self.__getitem__, some)), dtype="<u4"))
-        return np.concatenate(parts) if len(parts) != 1 else parts[0]
+    def learn(self, pieces: set[str]) -> None:
+        """Encode what is not yet known: all pieces are cut at once, their fragments merged one by one."""
+        if len(self.known) + len(pieces) > KEEP_PIECES:
+            self.known.clear()
+        new = [p for p in pieces if p not in self.known]
+        if not new:
+            return
+        data = [p.encode() for p in new]
+        ends = np.cumsum([len(d) for d in data])
+        joined = b"".join(data)
+        cut = np.union1d(self.cuts(joined), ends)
+        whole = np.searchsorted(cut, ends, side="right").tolist()
+        cut = cut.tolist()
+        parts = [self.merged(joined[a:b]) for a, b in zip([0, *cut[:-1]], cut, strict=True)]
+        start = 0
+        for piece, end in zip(new, whole, strict=True):
+            ids = parts[start] if end == start + 1 else [t for part in parts[start:end] for t in part]
+            self.known[piece] = array("I", ids).tobytes() if LITTLE else np.array(ids, dtype="<u4").tobytes()
+            start = end
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Token ids of whole texts, as little-endian unsigned 32-bit integers."""
+        out = []
+        for text in texts:
+            ids = []
+            for section in self.specials.split(text) if any(s in text for s in self.special) else [text]:
+                if section in self.special:
+                    ids.append(self.special[section].to_bytes(4, "little"))
+                elif len(section) <= c.PIECE:
+                    ids.append(self.split.findall(section))
+                else:
+                    pieces = (m.group() for m in self.split.finditer(section))
+                    while some := list(islice(pieces, STRIDE)):
+                        ids.append(self._ids([some]))
+            out.append(ids)
+        self.learn(set().union(*(x for ids in out for x in ids if isinstance(x, list))))
+        return [b"".join([x if isinstance(x, bytes) else b"".join(map(self.known.__getitem__, x)) for x in ids]) for ids in out]
+
+    def _ids(self, lists: list[list[str]]) -> bytes:
+        self.learn(set().union(*lists))
+        return b"".join([b"".join(map(self.known.__getitem__, x)) for x in lists])
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.token.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -147,7 +184,7 @@ def _encode(path):
     def run(batches):
         known = vocabulary(path)
         for batch in c.groups(batches, limit=c.GROUP_BYTES // 2):
-            ids = [known.encode(x or "").tobytes() for x in batch.column("_text").to_pylist()]
+            ids = known.encode_all([x or "" for x in batch.column("_text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(ids, pa.binary())], names=["_id", "ids"])
 
     return run

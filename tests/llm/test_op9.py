@@ -27,7 +27,7 @@ def test_vocabulary_equals_library_on_odd_and_random_texts():
     v = vocabulary(None)
     for t in texts:
         ids, decoded = want(t)
-        assert v.encode(t).tolist() == ids, t
+        assert np.frombuffer(v.encode_all([t])[0], "<u4").tolist() == ids, t
         assert v.decode(np.array(ids, dtype="<u4")) == decoded
 
 
@@ -35,10 +35,28 @@ def test_no_token_reaches_across_a_forced_cut():
     v = vocabulary(None)
     assert v.forced.sum() > 0
     for t in ODD:
-        parts = v.fragments(t.encode())
-        assert b"".join(parts) == t.encode()
-        for part in parts:
-            assert b"".join(v.token[i] for i in v.merged(part)) == part
+        data = t.encode()
+        cut = [0, *(v.cuts(data).tolist() if data else []), len(data)]
+        for a, b in zip(cut, cut[1:], strict=False):
+            assert b"".join(v.token[i] for i in v.merged(data[a:b])) == data[a:b]
+    # and whole pieces that hold such a cut encode as the fragments do
+    assert any(len(v.cuts(t.encode())) for t in ODD if t)
+
+
+def test_short_and_long_fragments_merge_alike():
+    r = random.Random(8)
+    v = vocabulary(None)
+    for _ in range(300):
+        data = bytes(r.choice(b"abest theing") for _ in range(r.randrange(1, 60)))
+        assert v.merged(data) == v._merged_long([v.of_byte[b] for b in data])
+
+
+def test_cache_bound_does_not_change_results(monkeypatch):
+    from reviewops.llm import op9_bpe
+
+    monkeypatch.setattr(op9_bpe, "KEEP_PIECES", 3)
+    v = op9_bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    assert [np.frombuffer(x, "<u4").tolist() for x in v.encode_all(ODD)] == [want(t)[0] for t in ODD]
 
 
 def test_long_text(make_docs):
