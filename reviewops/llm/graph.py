@@ -23,11 +23,12 @@ def components(edges: DataFrame) -> DataFrame:
     state = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Minima are staged: a join of two plain shuffles is one that AQE can split at a hub.
+        least = c.stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = (both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .distinct())
         large = c.stage(large, "large")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = c.stage(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.explode(F.array(
             F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         now = c.stage(small.select("e.*").filter("u <> v").distinct(), "small")
