@@ -320,40 +320,38 @@ def individuality_score(df: DataFrame, reply_col: str = "Response",
     ``min_chars`` that occur in at least ``min_replies`` distinct replies):
     >=5 -> 2, 3-4 -> 3, 2 -> 4, <=1 -> 5.
 
-    Shape: replies are keyed by ``sha2`` of their text (duplicate test =
-    one partial-aggregated count); lines are de-duplicated inside each reply
-    before exploding (no shuffle) and keyed by their SHA-256 bytes, so no line
-    text crosses a shuffle; they are counted per line (partial aggregation, so a
-    boiler-plate line shared by a third of all replies is pre-combined in every
-    task), and joined back on the line.  Both join-backs broadcast the hot keys
-    (a reply or line holding >= 1/HOT_KEY_BOUND of the rows; at most
+    Shape: the replies are read once and reduced to hashes -- the reply's SHA-256,
+    the ``(Leer)`` flag and the SHA-256 of each distinct line -- which are staged
+    under ``spark.checkpoint.dir``; no text crosses a shuffle.  Uses per reply and
+    distinct replies per line are partially aggregated counts, so a reply or a
+    boiler-plate line shared by a third of all rows is pre-combined in every
+    task.  A reply used twice has its score already: only replies used once look
+    up their lines.  Both join-backs broadcast the hot keys (at most
     HOT_KEY_BOUND of them) and shuffle only the rest.
     """
     r = F.col(reply_col)
     base = df.select("ID", r.alias("_reply"))
-    texts = base.filter(nonblank(F.col("_reply"))).withColumn(
-        "_h", F.sha2(F.col("_reply"), 256))
-    # the text itself never crosses a shuffle: only its hash and the flag
-    keyed = texts.select("ID", "_h", F.col("_reply").contains("(Leer)").alias("_empty_mark"))
+    long_lines = F.array_distinct(F.filter(
+        F.transform(F.split(F.col("_reply"), "\n"), lambda x: F.trim(x)),
+        lambda x: F.length(x) >= min_chars))
+    texts = base.filter(nonblank(F.col("_reply"))).select(
+        "ID", F.sha2(F.col("_reply"), 256).alias("_h"),
+        F.col("_reply").contains("(Leer)").alias("_empty_mark"),
+        F.transform(long_lines, lambda x: F.unhex(F.sha2(x, 256))).alias("_lks")).checkpoint()
+    keyed = texts.select("ID", "_h", "_empty_mark")
     dup = keyed.groupBy("_h").agg(F.count(F.lit(1)).alias("_uses"))
-    # one reply text may stand for a third of all rows: its key is joined by
-    # broadcast (operators.hotkeys), the rest by shuffle
     hot_h = hot_keys(dup, "_h", "_uses", keyed.agg(F.count(F.lit(1))).scalar())
     with_uses = join_splitting_hot_keys(keyed, dup, "_h", "inner", hot_h)
-    # a line travels through the shuffles as its 32-byte SHA-256, not as text
-    lines = texts.select("ID", "_h", F.explode(F.array_distinct(F.filter(
-        F.transform(F.split(F.col("_reply"), "\n"), lambda x: F.trim(x)),
-        lambda x: F.length(x) >= min_chars))).alias("_line")) \
-        .select("ID", "_h", F.unhex(F.sha2(F.col("_line"), 256)).alias("_lk"))
-    # per line: distinct replies (a text reused by several IDs counts once)
-    # and rows (for the hot-line split); both partially aggregated
-    per_line = (lines.groupBy("_lk", "_h").agg(F.count(F.lit(1)).alias("_c"))
-                .groupBy("_lk").agg(F.count(F.lit(1)).alias("_n"), F.sum("_c").alias("_rows")))
-    hot_lk = hot_keys(per_line, "_lk", "_rows", lines.agg(F.count(F.lit(1))).scalar())
+    # equal replies have equal lines: one row per distinct reply
+    lines = texts.groupBy("_h").agg(F.first("_lks").alias("_lks")).select("_h", F.explode("_lks").alias("_lk"))
+    per_line = lines.groupBy("_lk").agg(F.count(F.lit(1)).alias("_n"))
+    hot_lk = hot_keys(per_line, "_lk", "_n", lines.agg(F.count(F.lit(1))).scalar())
     block_lines = per_line.filter(F.col("_n") >= min_replies).select("_lk")
     blocks = join_splitting_hot_keys(lines, block_lines, "_lk", "left_semi", hot_lk) \
-        .groupBy("ID").agg(F.count(F.lit(1)).alias("_blocks"))
-    scored = with_uses.join(blocks, "ID", "left").select(
+        .groupBy("_h").agg(F.count(F.lit(1)).alias("_blocks"))
+    once = with_uses.filter("_uses = 1").join(blocks, "_h", "left")
+    often = with_uses.filter("_uses > 1").withColumn("_blocks", F.lit(None).cast("long"))
+    scored = once.unionByName(often).select(
         "ID",
         F.when(F.col("_empty_mark") | (F.col("_uses") > 1), F.lit(1.0))
         .when(F.coalesce(F.col("_blocks"), F.lit(0)) >= 5, F.lit(2.0))

@@ -140,3 +140,50 @@ def test_infer_replies_skips_ledger(spark):
     assert first.count() == 2
     again = E.infer_replies(req, E.echo_client, ledger=first.filter(F.col("ID") == "a"))
     assert [r["ID"] for r in again.collect()] == ["b"]
+
+
+def test_failed_calls_are_asked_again_and_counted_on(spark):
+    req = E.reply_requests(schema_conform(spark.createDataFrame(
+        [("a", "DE", "Text"), ("b", "DE", "Text")], "ID string, Language string, ReviewText string")))
+    calls = E.with_request_hash(req).select("ID", "kind", F.lit(None).cast("string").alias("field"), "request_hash")
+    ledger = (calls.filter("ID = 'a'").select("*", F.lit(1).alias("attempt"), F.lit(500).alias("status"), F.lit("x").alias("content"))
+              .unionByName(calls.filter("ID = 'b'").select("*", F.lit(1).alias("attempt"), F.lit(201).alias("status"),
+                                                           F.lit("y").alias("content"))))
+    out = E.infer_replies(req, E.echo_client, ledger)
+    assert rows(out, "ID", "attempt", "status") == [("a", 2, 200)]
+
+
+def test_retrying_asks_only_what_failed():
+    import pandas as pd
+
+    seen = []
+
+    def client(pdf):
+        seen.append(list(pdf["ID"]))
+        ok = (pdf["ID"] != "b") | (len(seen) > 2)
+        return pd.DataFrame({"ID": pdf["ID"], "kind": "reply", "field": None, "request_hash": pdf["request_hash"],
+                             "attempt": 1, "status": ok.map({True: 200, False: 429}), "content": "c"})
+
+    waits = []
+    out = E.retrying(client, 3, waits.append)(pd.DataFrame({"ID": ["a", "b"], "request_hash": ["1", "2"]}))
+    assert seen == [["a", "b"], ["b"], ["b"]] and waits == [1, 2]
+    assert list(zip(out["ID"], out["attempt"], out["status"])) == [("a", 1, 200), ("b", 1, 429), ("b", 2, 429), ("b", 3, 200)]
+
+
+def test_system_message_is_part_of_the_request(spark):
+    table = schema_conform(spark.createDataFrame([("a", "DE", "Text", "Re")], "ID string, Language string, ReviewText string, Response string"))
+    for build in (E.reply_requests, E.completion_requests, E.translation_requests):
+        hashes = {E.with_request_hash(build(table, s)).first().request_hash for s in (None, "one", "two")}
+        assert len(hashes) == 3
+    first = E.reply_requests(table, "Be kind").first().request.messages
+    assert [(m.role, m.content) for m in first[:1]] == [("system", "Be kind")] and first[1].role == "user"
+
+
+def test_answer_to_an_earlier_request_is_not_applied(spark):
+    table = schema_conform(spark.createDataFrame(
+        [("a", "DE", "Text", "OLD", "Regenerate")], "ID string, Language string, ReviewText string, Response string, ApprovalStatus string"))
+    old = E.with_request_hash(E.reply_requests(table.withColumn("ApprovalStatus", F.lit(None).cast("string"))))
+    ledger = old.select("ID", "kind", F.lit(None).cast("string").alias("field"), "request_hash", F.lit(1).alias("attempt"),
+                        F.lit(200).alias("status"), F.lit('{"Response": "OLD"}').alias("content"))
+    out = E.apply_reply(table, ledger, ASOF, with_outcome=True, requests=E.reply_requests(table))
+    assert rows(out, "Response", "ApprovalStatus", "outcome") == [("OLD", "Regenerate", "no answer")]

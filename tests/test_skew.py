@@ -132,3 +132,32 @@ def test_take_while_with_one_feed_holding_a_third(spark):
     assert {r["i"] for r in got.select("i").collect()} == expected
     plan = _plan(got)
     assert "partial_min" in plan and "CartesianProduct" not in plan
+
+
+def test_place_join_spreads_blank_locations(spark):
+    """A third of the rows has no Location and a third is in one city: blank rows
+    join on keys of their own, so no task of the shuffle join holds them all;
+    the big city is one key, which adaptive execution may split."""
+    from reviewops.operators.merge import schema_conform
+
+    n = 6000
+    df = schema_conform(spark.range(n).select(
+        F.concat(F.lit("r"), F.col("id")).alias("ID"),
+        F.when(F.col("id") % 3 == 1, F.when(F.col("id") % 2 == 0, F.lit("")).otherwise(None))
+        .when(F.col("id") % 3 == 2, "Bonn").otherwise(F.concat(F.lit("p"), F.col("id") % 50)).alias("Location")))
+    places = spark.createDataFrame([("Bonn", "NRW", "DE"), ("p0", "X", "FR"), ("p0", "A", "ES"), ("", "bad", "bad")],
+                                   "place string, state_region string, country string")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = C.geo_enrich(df, places)
+        blank = [r["n"] for r in out.filter("coalesce(Location, '') = ''").groupBy(F.spark_partition_id()).agg(
+            F.count("*").alias("n")).collect()]
+        assert len(blank) >= 6 and max(blank) < 2 * sum(blank) / len(blank)
+        got = {tuple(r) for r in out.select("Location", "StateRegion", "Country").distinct().collect()}
+        assert ("Bonn", "NRW", "DE") in got and ("p0", "A", "ES") in got and (None, None, None) in got and ("", None, None) in got
+        assert out.count() == n
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
