@@ -1,8 +1,8 @@
 """Page refresh: apply fetch results to the refresh work-list.
 
 Fetch results are a ledger ``(ID, attempt, status, html)``; up to 10 attempts
-per review, the first terminal one (2xx or 404) counts -- ``min_by`` over the
-attempts, a partial aggregation.  Per review:
+per review, the first terminal one (2xx or 404) counts -- a minimum over the
+attempts of the work-list's reviews, a partial aggregation.  Per review:
 
 * 404                 -> OnlineYesNo ``No``, RefreshDate = asof
 * 2xx                 -> OnlineYesNo ``Yes``, RefreshDate = asof, and from the page:
@@ -54,14 +54,18 @@ PORTAL_PAGES = {
 
 
 def first_terminal_attempt(fetches: DataFrame, attempts: int = S.REFRESH_ATTEMPTS) -> DataFrame:
-    """``ID, status, html`` of the first attempt that returned 2xx or 404."""
+    """``ID, status, html`` of the first attempt that returned 2xx or 404; picked on
+    numbers and a hash of the page, the page itself is joined last."""
     terminal = F.col("status").between(200, 299) | (F.col("status") == 404)
-    f = fetches.filter(F.col("attempt") <= attempts)
-    return (f.groupBy("ID")
-            .agg(F.min_by(F.struct("status", "html"), F.when(terminal, F.col("attempt"))).alias("_t"),
-                 F.max_by("status", "attempt").alias("_last"))
-            .select("ID", F.coalesce(F.col("_t.status"), F.col("_last")).alias("_status"),
-                    F.col("_t.html").alias("_html")))
+    f = fetches.filter(F.col("attempt") <= attempts).withColumn(
+        "_h", F.coalesce(F.xxhash64("html"), F.lit(0)))
+    picked = (f.groupBy("ID")
+              .agg(F.min(F.when(terminal, F.struct("attempt", "status", "_h"))).alias("_t"),
+                   F.max(F.struct("attempt", "status")).alias("_last"))
+              .select("ID", F.coalesce(F.col("_t.status"), F.col("_last.status")).alias("_status"),
+                      F.col("_t.attempt").alias("attempt"), F.col("_t._h").alias("_h")))
+    pages = f.filter(terminal).select("ID", "attempt", "_h", "html").dropDuplicates(["ID", "attempt", "_h"])
+    return picked.join(pages, ["ID", "attempt", "_h"], "left").select("ID", "_status", F.col("html").alias("_html"))
 
 
 def page_parser(pages: dict[str, PortalPage]):
@@ -97,7 +101,9 @@ def page_parser(pages: dict[str, PortalPage]):
 
 def apply_refresh(rows: DataFrame, fetches: DataFrame, asof: _dt.date,
                   pages: dict[str, PortalPage] = PORTAL_PAGES) -> DataFrame:
-    j = rows.join(first_terminal_attempt(fetches), "ID", "left")
+    # the ledger holds all fetches: only those of the work-list go further
+    wanted = fetches.join(rows.select("ID"), "ID", "left_semi")
+    j = rows.join(first_terminal_attempt(wanted), "ID", "left")
     status, html = F.col("_status"), F.col("_html")
     ok2xx = status.between(200, 299)
     gone = status == 404
