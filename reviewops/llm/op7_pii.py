@@ -4,7 +4,8 @@
    base expressions (leftmost, non-overlapping per kind; a match that fails its test is
    dropped, not retried).
 2. Every mention (a seed, or another token of 5 to 64 characters with a digit or ``@``) induces
-   two lexical patterns: the two words before it, and the word before with the word after.
+   two lexical patterns: the two words before it, and the word before with the word after
+   (fewer at a text's ends).
 3. Distinct (pattern, instance) pairs are a graph that Spark scores in rounds: a pattern's
    confidence is the sum of its instances' scores over their number plus one; an instance
    that is no seed scores ``1 - product(1 - confidence)`` over its trusted patterns.  A pattern is
@@ -118,7 +119,9 @@ def patterns(text: str, start: int, end: int) -> list[str]:
     before = [w for x in text[max(0, start - CONTEXT):start].split() if (w := _word(x))]
     after = [w for x in text[end:end + CONTEXT].split() if (w := _word(x))]
     a, b = (["^", "^"] + before)[-2:]
-    return [f"{a} {b} _", f"{b} _ {(after or ['$'])[0]}"]
+    z = (after or ["$"])[0]
+    # A pattern needs a word: the mere start or end of a text says nothing.
+    return [f"{a} {b} _"] * (b != "^") + [f"{b} _ {z}"] * ((b, z) != ("^", "$"))
 
 
 def _scan(batches):
