@@ -60,7 +60,8 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR, id_col: str = "doc_id",
     some = _with_chunks(text.filter(F.col("_text").contains("\n")), divisor)
     hashed = some.select("_k", "_j", F.explode(F.transform(many, lambda p: F.struct(
         p.alias("pos"), F.xxhash64(F.array_join(_chunk(p), "\n")).alias("h")))).alias("e")).select("_k", "_j", "e.*")
-    again = hashed.groupBy("h").count().filter("count > 1").select("h")
+    # Aggregates are staged before they are joined, so that AQE can split a hot key of the join.
+    again = c.stage(hashed.groupBy("h").count().filter("count > 1").select("h"), "again")
     chosen = hashed.join(again, "h", "left_semi").groupBy("_k", "_j").agg(F.collect_set("pos").alias("at"))
 
     # Same columns of the text as in the last join, so that both read one shuffle of it.
@@ -69,7 +70,7 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR, id_col: str = "doc_id",
             p.alias("pos"), F.array_join(_chunk(p), "\n").alias("chunk")))).alias("e")).select("_k", "_j", "_id", "e.*")
     found = c.stage(found.select("chunk", F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_k").alias("k"),
                                                    F.col("_j").alias("j"), "pos").alias("place")), "chunks")
-    first = found.groupBy("chunk").agg(F.min("place").alias("first"))
+    first = c.stage(found.groupBy("chunk").agg(F.min("place").alias("first")), "first")
     gone = (found.join(first, "chunk").filter(~F.col("place").eqNullSafe(F.col("first")))
             .groupBy(F.col("place.k").alias("_k"), F.col("place.j").alias("_j")).agg(F.collect_set("place.pos").alias("gone")))
 
