@@ -169,7 +169,7 @@ def substring_dedup(docs: DataFrame, min_words: int = 35, id_col: str = "doc_id"
     # Level 2: classes of equal runs round an anchor.
     runs = alive.groupBy("h", "r").agg(F.count("*").alias("n"), F.min(F.struct("_k", "_j", "a")).alias("one"))
     runs = c.stage(runs, "runs")
-    mixed = runs.groupBy("h").count().filter("count > 1").select("h")
+    mixed = c.stage(runs.groupBy("h").count().filter("count > 1").select("h"), "mixed")
     whole = alive.join(runs.filter("n > 1").select("h", "r"), ["h", "r"], "left_semi").select("_k", "_j", "a")
 
     # Level 3: one member of each class, where an anchor has several.
