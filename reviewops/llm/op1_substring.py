@@ -4,22 +4,25 @@ A window is ``min_words`` consecutive words of one document.  Every word covered
 window whose word sequence starts at any other place (another document or elsewhere in
 the same one) is removed; windows are judged on the input.
 
-Levels.  A window of ``n`` words can repeat only if its windows of half that length
-repeat, so repeats are found bottom-up and only what repeats at one length is extended:
-
-1. Length ``s = ceil(n / 2)``.  Of the ``n - s + 1`` windows of ``s`` words inside a window
-   of ``n``, the one with the least hash is its *anchor*; equal windows have equal anchors,
-   so counting anchors alone (about ``2 / (n - s + 2)`` of all positions) loses nothing.
-   Anchors seen once end here.
-2. Length ``n``, all windows round a surviving anchor at once: the run of words that they
-   span together (``2n - s`` words, less at a document's ends) is one candidate.  Where the
-   whole run repeats, all of its windows do.
-3. Length ``n``, one by one, only where an anchor repeats but its run does not (the rims of
-   a repeated passage): the windows of that anchor and of one member of every class of
-   equal runs with the same anchor are counted.  Nothing longer needs a look: what a
-   window of ``2n`` words covers is covered by its windows of ``n``.
-
-Windows are compared by 128 bits of hash (anchor and run, or two window hashes).
+Levels.  A window can repeat only if its windows of half that length repeat, so repeats
+are found bottom-up and only windows that repeat at one length are extended to twice it (9,
+18 and 35 words for windows of 35):
+
+1. A quarter (``s`` words).  Of the windows of ``s`` words inside a window of ``n``, the one with the
+   least hash is its *anchor*; equal windows have equal anchors, so counting anchors alone
+   (about ``2 / (n - s + 2)`` of all positions) loses nothing.  Anchors seen once end here.
+   All windows of ``n`` words round an anchor span one run (``2n - s`` words, less at a
+   document's ends).  Where that whole run repeats, all of them do, and their document
+   needs no further level there: this settles the inside of every repeated passage.
+2. A half.  Of the other anchors (the rims of repeated passages), with one member of every
+   class of equal runs that shares the anchor, the two windows of half the length that
+   begin and end with the anchor are counted: every window of ``n`` words round it holds
+   one of the two.  Anchors with neither repeated end here.
+3. The whole length.  What survives is extended to the windows of ``n`` words, and these are
+   counted.  Nothing longer needs a look: what a window of ``2n`` words covers is covered by
+   its windows of ``n``.
+
+Windows are judged equal by 128 bits of hash (anchor and run, or two window hashes).
 
 Cost: two reads of the text, and one shuffle of it by row key that both later steps use;
 besides that, hashes of anchors only.  Counts are combined before the shuffle, so a
@@ -39,11 +42,17 @@ from pyspark.sql import functions as F
 
 from reviewops.llm import common as c
 
-ANCHORS = "h long, r long, _k long, _j int, a int"
+ANCHORS = "h long, r long, _k long, _j int, a int, before long, after long"
 WINDOWS = "w1 long, w2 long, _k long, _j int, i int"
 KEPT = "_id {id}, n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept binary"
 
 
+def _sizes(n: int) -> tuple[int, int]:
+    """Half and quarter of a window's length, rounded up."""
+    half = (n + 1) // 2
+    return half, (half + 1) // 2
+
+
 def _anchor_of_windows(seeds: np.ndarray, per_window: int) -> np.ndarray:
     """For every window, the place of its leftmost least seed."""
     view = np.lib.stride_tricks.sliding_window_view(seeds, per_window)
@@ -55,18 +64,23 @@ def _prepare(data: bytes, n: int):
     words = c.word_hashes(data)
     if len(words) < n:
         return None
-    s = (n + 1) // 2
+    _, s = _sizes(n)
     run = c.RunHash(words)
     seeds = run.windows(s)
     return words, run, seeds, _anchor_of_windows(seeds, n - s + 1)
 
 
 def _emit_anchors(n: int):
-    s = (n + 1) // 2
+    half, s = _sizes(n)
+
+    def hashes(run, start, end, there):
+        """Hashes of the runs that are there, null for the others."""
+        found = run(np.where(there, start, 0), np.where(there, end, 0))
+        return pa.array(c.signed(found), mask=~there)
 
     def emit(batches):
         for batch in c.groups(batches):
-            out = [[], [], [], []]
+            out = [[], [], [], [], []]
             rows = []
             for row, data in enumerate(c.raw(batch.column("_text"))):
                 if (got := _prepare(data, n)) is None:
@@ -78,12 +92,16 @@ def _emit_anchors(n: int):
                 out[0].append(seeds[at])
                 out[1].append(c.mix(c.RunHash(words, salt=1)(left, right) + place))
                 out[2].append(at)
+                out[3].append(hashes(run, at + s - half, at + s, at + s >= half))
+                out[4].append(hashes(run, at, at + half, at + half <= len(words)))
                 rows.append((row, len(at)))
             take = np.repeat([r for r, _ in rows], [m for _, m in rows]).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c.signed(c.spread(out[0], np.uint64))), pa.array(c.signed(c.spread(out[1], np.uint64))),
                  batch.column("_k").take(pa.array(take)), batch.column("_j").take(pa.array(take)),
-                 pa.array(c.spread(out[2], np.int64).astype(np.int32))], names=["h", "r", "_k", "_j", "a"])
+                 pa.array(c.spread(out[2], np.int64).astype(np.int32)),
+                 *[pa.concat_arrays(x) if x else pa.array([], pa.int64()) for x in out[3:]]],
+                names=["h", "r", "_k", "_j", "a", "before", "after"])
 
     return emit
 
@@ -112,7 +130,7 @@ def _emit_windows(n: int):
 
 
 def _apply(n: int):
-    s = (n + 1) // 2
+    _, s = _sizes(n)
 
     def apply(batches):
         for batch in c.groups(batches):
@@ -166,15 +184,19 @@ def substring_dedup(docs: DataFrame, min_words: int = 35, id_col: str = "doc_id"
     repeated = c.stage(anchors.groupBy("h").count().filter("count > 1").select("h"), "repeated")
     alive = c.stage(anchors.join(repeated, "h", "left_semi"), "anchors")
 
-    # Level 2: classes of equal runs round an anchor.
-    runs = alive.groupBy("h", "r").agg(F.count("*").alias("n"), F.min(F.struct("_k", "_j", "a")).alias("one"))
+    # Still level 1: classes of equal runs round an anchor.
+    runs = alive.groupBy("h", "r").agg(F.count("*").alias("n"), F.min(F.struct("_k", "_j", "a", "before", "after")).alias("one"))
     runs = c.stage(runs, "runs")
-    mixed = c.stage(runs.groupBy("h").count().filter("count > 1").select("h"), "mixed")
     whole = alive.join(runs.filter("n > 1").select("h", "r"), ["h", "r"], "left_semi").select("_k", "_j", "a")
 
-    # Level 3: one member of each class, where an anchor has several.
-    rim = runs.join(mixed, "h", "left_semi").select("one.*", (F.col("n") == 1).alias("open"))
-    at = rim.groupBy("_k", "_j").agg(F.collect_list("a").alias("at"))
+    # Level 2: one member of each class, where an anchor has several.
+    mixed = c.stage(runs.groupBy("h").count().filter("count > 1").select("h"), "mixed")
+    halves = c.stage(runs.join(mixed, "h", "left_semi").select("one.*").select(
+        "_k", "_j", "a", F.explode(F.array("before", "after")).alias("w")).filter("w IS NOT NULL"), "halves")
+    repeated = c.stage(halves.groupBy("w").count().filter("count > 1").select("w"), "repeated")
+
+    # Level 3: the windows round what is left.
+    at = halves.join(repeated, "w", "left_semi").groupBy("_k", "_j").agg(F.collect_set("a").alias("at"))
     # Same columns of the text as in the last join, so that both read one shuffle of it.
     windows = (text.join(at, ["_k", "_j"]).select("_k", "_j", "_id", "_text", "at")
                .mapInArrow(_emit_windows(n), WINDOWS))
