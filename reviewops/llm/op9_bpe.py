@@ -183,7 +183,7 @@ def vocabulary(path: str | None) -> Vocabulary:
 def _encode(path):
     def run(batches):
         known = vocabulary(path)
-        for batch in c.groups(batches, limit=c.GROUP_BYTES // 2):
+        for batch in c.groups(batches, limit=c.GROUP_BYTES // 4):
             ids = known.encode_all([x or "" for x in batch.column("_text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(ids, pa.binary())], names=["_id", "ids"])
 
