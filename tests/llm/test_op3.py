@@ -6,6 +6,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from reviewops.llm import graph
 from reviewops.llm import op3_simhash as op3
 from reviewops.llm.graph import components
 
@@ -76,9 +77,14 @@ def test_long_text_in_pieces_equals_whole():
     assert op3.fingerprint(text.encode(), 4) == spec_fingerprint(text)
 
 
-def test_components_of_chains_hubs_and_loops(spark):
+@pytest.mark.parametrize("held", [200_000, 2])
+def test_components_of_chains_hubs_and_loops(spark, monkeypatch, held):
+    monkeypatch.setattr(graph, "HELD", held)
     edges = [(i, i + 1) for i in range(1, 60)] + [(1000, k) for k in range(1001, 1200)] + [(5, 5), (70, 60), (60, 70)]
-    out = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    frame = spark.createDataFrame(edges, "u long, v long").repartition(7)
+    out = {r.node: r.root for r in components(frame).collect()}
+    named = components(frame.selectExpr("lpad(u, 5, '0') AS u", "lpad(v, 5, '0') AS v"))
+    assert {int(r.node): int(r.root) for r in named.collect()} == out and named.count() == len(out)
     assert {out[k] for k in range(1, 61)} | {out[70]} == {1}
     assert {out[k] for k in range(1000, 1200)} == {1000}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
