@@ -19,7 +19,6 @@ from ..functions.text import blank_or_null, nonblank, strip_labels
 from ..schema import CORE_LANGUAGES, NEGATIVE_ASPECTS, POSITIVE_ASPECTS
 from .hotkeys import hot_keys, join_splitting_hot_keys
 
-TOKEN_SPLIT = r"[^\p{L}]+"
 
 # Distinctive function words per core language (each word in
 # one list only).  Order of languages = tie-break order.
@@ -92,13 +91,6 @@ BLOCK_MIN_CHARS = 20
 BLOCK_MIN_REPLIES = 2
 
 
-def tokens(text: Column) -> Column:
-    """Lower-cased maximal letter runs of a text (used where the tokens
-    themselves are needed; counting uses ``count_words``)."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), TOKEN_SPLIT),
-                    lambda t: t != "")
-
-
 def _esc(w: str) -> str:
     return "".join("\\" + ch if ch in r".^$*+?()[]{}|\/" else ch for ch in w)
 

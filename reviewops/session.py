@@ -9,6 +9,7 @@ used as-is.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -56,14 +57,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         # A machine-local folder is only valid when driver and executors
         # share the machine; a cluster must name a shared folder.
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir is unset: set it to a folder on shared "
                              "storage that every executor can reach")
         current = tempfile.mkdtemp(prefix="reviewops-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     try:
-        spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # already set / not allowed in connect mode
+        # Spark makes a new subfolder at every call, so it is told once
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # not allowed in connect mode
         pass
     return current
 
