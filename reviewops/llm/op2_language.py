@@ -100,7 +100,7 @@ class Model:
     floor: np.ndarray                               # probability of a character that a language never showed
     logistic: tuple[float, float] = (0.0, 1.0)
     limits: np.ndarray | None = None                # by length class: highest cross-entropy accepted
-    min_score: float = 0.25
+    min_score: float = 0.05
 
     def word_costs(self, words: list[str]) -> np.ndarray:
         """Negative log probability of each word (rows) in each language."""
@@ -237,7 +237,7 @@ def fold_of(id_col: str) -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", hash_bits: int = 20,
-          accept: float = 0.9999, slack: float = 0.25, min_score: float = 0.25) -> Model:
+          accept: float = 0.9999, slack: float = 0.25, min_score: float = 0.05) -> Model:
     """The model, from the labelled documents outside fold 2."""
     spark = docs.sparkSession
     rows = docs.select(F.col(text_col).cast("string").alias("_text"), F.col(lang_col).cast("string").alias("lang"),

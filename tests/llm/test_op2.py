@@ -90,14 +90,14 @@ def test_learns_nothing_from_held_out_fold(make_docs):
 
 def test_accuracy_and_edges(make_docs):
     rows = corpus(4, 1600)
-    odd = [(900, None, "aa"), (901, "", "aa"), (902, "123 ### --", "bb"), (903, "lomitu" * 100_000, None), (None, "kalo mi tu", "aa"),
-           (904, "quxx zzqq wwvv jjyy " * 50, None), rows[0], rows[0]]
+    odd = [(9000, None, "aa"), (9010, "", "aa"), (9020, "123 ### --", "bb"), (9030, "lomitu" * 100_000, None), (None, "kalo mi tu", "aa"),
+           (9040, "quxx zzqq wwvv jjyy " * 50, None), rows[0], rows[0]]
     docs = make_docs(rows + odd).withColumn("lang_pred", F.lit("x")).withColumn("score", F.lit(9))
     out = op2.predict(docs, op2.train(docs)).collect()
     assert len(out) == len(rows) + len(odd) and all(0 <= r.score <= 1 for r in out)
     by = {r._id: r for r in out}
-    assert [by[k].lang_pred for k in (900, 901, 902)] == ["und"] * 3 and by[902].rejected
-    assert by[903].lang_pred == "aa" and by[904].rejected
+    assert [by[k].lang_pred for k in (9000, 9010, 9020)] == ["und"] * 3 and by[9020].rejected
+    assert by[9030].lang_pred == "aa" and by[9040].rejected
     test = [(by[i].lang_pred == lang) for i, t, lang in rows if fold(i) == 2 and len(t) > 20]
     assert sum(test) / len(test) > 0.97
     assert sum(by[i].rejected for i, _, _ in rows) <= 2
