@@ -1,20 +1,8 @@
-import sys
-from pathlib import Path
-
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
-
-from reviewops.session import get_session  # noqa: E402
-
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    return get_session("local[4]", 8)
-
-
 @pytest.fixture(scope="session")
 def sf():
     return "/root/testdata/sf0.001"

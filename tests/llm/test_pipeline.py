@@ -1,16 +1,9 @@
-import sys
-from pathlib import Path
-
 from pyspark.sql import functions as F
 
 import corpus_pipeline as p
 from reviewops.llm import op2_language as op2
 
-sys.path.insert(0, str(Path(__file__).parent))
-import test_op3  # noqa: E402
-import test_op4  # noqa: E402
-import test_op6  # noqa: E402
-import test_op9  # noqa: E402
+from . import test_op3, test_op4, test_op6, test_op9
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
