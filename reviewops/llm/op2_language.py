@@ -41,7 +41,7 @@ from reviewops.llm import common as c
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 ORDER = 4
 # Distinct words that a task holds before it turns them into counts; words scored at once.
-HELD_WORDS = 200_000
+HELD_WORDS, SCORED_WORDS = 50_000, 10_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 # Calibration histogram: width of a cross-entropy bin (nats), of a margin bin, least support.
 CE_BIN, MARGIN_BIN, SUPPORT = 0.05, 0.25, 50
@@ -188,7 +188,7 @@ def judge(model: Model, texts: list[str | None]):
     total = np.zeros((len(texts), len(model.langs)))
     if known and model.langs:
         words = list(known)
-        costs = np.concatenate([model.word_costs(words[k:k + HELD_WORDS]) for k in range(0, len(words), HELD_WORDS)])
+        costs = np.concatenate([model.word_costs(words[k:k + SCORED_WORDS]) for k in range(0, len(words), SCORED_WORDS)])
         size = np.fromiter(map(len, words), dtype=np.float64, count=len(words)) + 1
         for row, own in enumerate(numbers):
             if own:
@@ -205,7 +205,7 @@ def judge(model: Model, texts: list[str | None]):
 def _histogram(shared):
     def run(batches):
         model = shared.value
-        for batch in c.groups(batches):
+        for batch in c.groups(batches, limit=c.GROUP_BYTES // 4):
             n, best, ce, margin = judge(model, batch.column("_text").to_pylist())
             right = np.array([model.langs[b] == lang for b, lang in zip(best, batch.column("lang").to_pylist(), strict=True)])
             cells = Counter(zip(right.tolist(), _length_class(n).tolist(), (ce / CE_BIN).astype(int).tolist(),
@@ -287,7 +287,7 @@ def rejects(model: Model, texts: list[str | None]):
 def _predict(shared):
     def run(batches):
         names = np.array([*shared.value.langs, "und"], dtype=object)
-        for batch in c.groups(batches):
+        for batch in c.groups(batches, limit=c.GROUP_BYTES // 4):
             gone, best, score, ce = rejects(shared.value, batch.column("_text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), batch.column("_k"), batch.column("_j"), pa.array(names[best], pa.string()), pa.array(score),
@@ -312,7 +312,7 @@ def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
 
     def run(batches):
         for batch in batches:
-            for part in c.groups([batch], batch.schema.names[at]):
+            for part in c.groups([batch], batch.schema.names[at], c.GROUP_BYTES // 4):
                 gone, *_ = rejects(shared.value, part.column(at).to_pylist())
                 yield part.filter(pa.array(~gone))
 

@@ -38,7 +38,7 @@ from reviewops.llm import common as c
 # Fixed value: the byte-level pre-split pattern of the tokenizer files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Pieces that a worker keeps, and pieces of a long text encoded at a time.
-KEEP_PIECES, STRIDE = 1 << 18, 1 << 17
+KEEP_PIECES, STRIDE = 1 << 16, 1 << 16
 # Fragments of up to SHORT bytes are merged by plain lists.  A merge is rank * SPAN + new id.
 SHORT, SPAN, NEVER = 64, 1 << 32, 1 << 62
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
@@ -190,6 +190,20 @@ def _encode(path):
     return run
 
 
+def _round_trip(path):
+    def run(batches):
+        known = vocabulary(path)
+        for batch in c.groups(batches, limit=c.GROUP_BYTES // 4):
+            ids = known.encode_all([x or "" for x in batch.column("_text").to_pylist()])
+            texts = [known.decode(np.frombuffer(x, dtype="<u4")) for x in ids]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(ids, pa.binary()), pa.array(texts, pa.string())],
+                                             names=["_id", "ids", "decoded"])
+        known.known.clear()
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def _decode(path):
     def run(batches):
         known = vocabulary(path)
@@ -216,6 +230,13 @@ def bpe_decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_i
     return rows.mapInArrow(_decode(path), f"_id {kind}, ids binary, decoded string").withColumnRenamed("_id", id_col)
 
 
+def bpe_round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``bpe_decode(bpe_encode(docs))`` in one pass, so that a task needs one Python worker."""
+    rows = c.keyed(docs, id_col, text_col).select("_id", "_text")
+    kind = rows.schema["_id"].dataType.simpleString()
+    return rows.mapInArrow(_round_trip(path), f"_id {kind}, ids binary, decoded string").withColumnRenamed("_id", id_col)
+
+
 def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return decoded.select(id_col, F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
                           F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
@@ -223,4 +244,4 @@ def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def op9_bpe(spark, sf_dir: str) -> DataFrame:
     """Encode and decode every whole text of ``documents``."""
-    return digests(bpe_decode(bpe_encode(spark.read.parquet(f"{sf_dir}/documents.parquet"))))
+    return digests(bpe_round_trip(spark.read.parquet(f"{sf_dir}/documents.parquet")))

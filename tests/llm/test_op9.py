@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reviewops.llm.op9_bpe import bpe_decode, bpe_encode, op9_bpe, vocabulary
+from reviewops.llm.op9_bpe import bpe_decode, bpe_encode, bpe_round_trip, op9_bpe, vocabulary
 
 LIB = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 ODD = ["", " ", "\n\n  x", "a b   c", "\x1c\x1d\x1f x\x85y​z", "don't I'LL we've 'S", "日本語テキスト、混ぜる", "😀👩‍👩‍👧 a😀",
@@ -71,6 +71,7 @@ def test_operator_edges(make_docs):
     out = bpe_decode(bpe_encode(docs)).collect()
     have = sorted((str(r.doc_id), np.frombuffer(r.ids, "<u4").tolist(), r.decoded) for r in out)
     assert have == sorted((str(d), *want(t)) for d, t in rows)
+    assert sorted(map(str, bpe_round_trip(docs).collect())) == sorted(map(str, out))
     assert bpe_decode(bpe_encode(make_docs([]))).collect() == []
 
 
