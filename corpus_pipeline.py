@@ -21,7 +21,7 @@ from reviewops.llm.op2_language import keep_known, train
 from reviewops.llm.op3_simhash import one_of_each_group
 from reviewops.llm.op4_benchmark import clean_documents
 from reviewops.llm.op6_lines import dedup_documents
-from reviewops.llm.op9_bpe import bpe_decode, bpe_encode, digests
+from reviewops.llm.op9_bpe import bpe_round_trip, digests
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return digests(bpe_decode(bpe_encode(docs)))
+    return digests(bpe_round_trip(docs))
 
 
 STAGES = [("language", language), ("lines", lines), ("near_duplicates", near_duplicates), ("benchmark", benchmark), ("tokens", tokens)]
