@@ -38,7 +38,7 @@ from reviewops.llm import common as c
 # Fixed value: the byte-level pre-split pattern of the tokenizer files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Pieces that a worker keeps, and pieces of a long text encoded at a time.
-KEEP_PIECES, STRIDE = 1 << 16, 1 << 16
+KEEP_PIECES, STRIDE = 1 << 18, 1 << 16
 # Fragments of up to SHORT bytes are merged by plain lists.  A merge is rank * SPAN + new id.
 SHORT, SPAN, NEVER = 64, 1 << 32, 1 << 62
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
