@@ -17,6 +17,9 @@ counts, fold 3 for calibration, never fold 2):
 * Calibration is a histogram over all documents of its fold: the score is a logistic function
   of the margin to the second language; a text is rejected where its cross-entropy is beyond
   what (nearly) all labelled texts of its length have, or its score is below ``min_score``.
+* A length with too few labelled texts is held against chance: what the letters of the text's
+  language cost when each is drawn by its frequency alone, with two standard errors for the
+  length.  So there is a finite limit at every length, however small the corpus.
 
 The language with the least cross-entropy per character wins (ties: first by name).
 
@@ -98,8 +101,9 @@ class Model:
     grams: list[tuple[np.ndarray, np.ndarray]]      # by order: hashes, probability by language (0: not seen)
     contexts: list[tuple[np.ndarray, np.ndarray]]   # by order: hashes, weight of the next lower order
     floor: np.ndarray                               # probability of a character that a language never showed
+    chance: np.ndarray | None = None                # mean and spread of a character's cost by its frequency, by language
     logistic: tuple[float, float] = (0.0, 1.0)
-    limits: np.ndarray | None = None                # by length class: highest cross-entropy accepted
+    limits: np.ndarray | None = None                # by length class and language: highest cross-entropy accepted
     min_score: float = 0.05
 
     def word_costs(self, words: list[str]) -> np.ndarray:
@@ -164,6 +168,35 @@ def _estimate(a: np.ndarray, last: np.ndarray, n: np.ndarray):
     return grams, contexts, floor
 
 
+def _chance(last: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    """Mean and standard deviation of the cost of a character drawn by its frequency."""
+    p = np.bincount(np.unique(last, return_inverse=True)[1], n)
+    p = p / p.sum()
+    mean = -(p * np.log(p)).sum()
+    return float(mean), float(np.sqrt(max((p * np.log(p) ** 2).sum() - mean ** 2, 0.0)))
+
+
+def _limits(cells, chance: np.ndarray, accept: float, slack: float) -> np.ndarray:
+    """Highest cross-entropy accepted, by length class and language, from the calibration histogram."""
+    found = np.full(CLASSES, np.nan)
+    for size, own in cells.groupby("size"):
+        by_ce = own.groupby("ce")["n"].sum().sort_index()
+        if by_ce.sum() >= SUPPORT:
+            inside = by_ce.cumsum() >= accept * by_ce.sum()
+            found[size] = (int(inside.idxmax()) + 1) * CE_BIN * (1 + slack)
+    have = np.flatnonzero(~np.isnan(found))
+    error = 2 * chance[1] / np.sqrt(2.0 ** np.arange(CLASSES))[:, None]
+    limits = chance[0] * (1 + slack) + error
+    for size in range(CLASSES):
+        shorter, longer = have[have <= size], have[have >= size]
+        if len(shorter):
+            # A class with few texts takes over from the next shorter one, whose texts vary more.
+            limits[size] = found[shorter[-1]]
+        elif len(longer):
+            limits[size] = np.maximum(limits[size], found[longer[0]])
+    return limits
+
+
 def _together(parts: list[tuple[np.ndarray, np.ndarray]], absent: float):
     """Sorted hashes of all languages, and a column of values for each."""
     keys = np.unique(np.concatenate([k for k, _ in parts]))
@@ -250,11 +283,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     langs = sorted(folded["lang"].unique())
     if not langs:
         return Model([], [], [], np.empty(0))
-    parts = [_estimate(own["a"].to_numpy().view(np.uint64), own["b"].to_numpy().astype(np.uint64), own["n"].to_numpy())
+    parts = [(*_estimate(own["a"].to_numpy().view(np.uint64), own["b"].to_numpy().astype(np.uint64), own["n"].to_numpy()),
+              _chance(own["b"].to_numpy(), own["n"].to_numpy()))
              for own in (folded[folded["lang"] == lang].sort_values(["a", "b"]) for lang in langs)]
     model = Model(langs, [_together([p[0][o] for p in parts], 0.0) for o in range(ORDER)],
                   [_together([p[1][o] for p in parts], 1.0) for o in range(ORDER)], np.array([p[2] for p in parts]),
-                  min_score=min_score)
+                  np.array([p[3] for p in parts]).T, min_score=min_score)
 
     cells = (rows.filter("fold = 3").select("_text", "lang")
              .mapInArrow(_histogram(spark.sparkContext.broadcast(model)), "right boolean, size int, ce int, margin int, n long")
@@ -262,14 +296,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if len(cells):
         model.logistic = _logistic(cells["margin"].to_numpy() * MARGIN_BIN + MARGIN_BIN / 2, cells["right"].to_numpy(float),
                                    cells["n"].to_numpy(float))
-        # A class with few texts takes over from the next shorter one, whose texts vary more.
-        model.limits, last = np.full(CLASSES, np.inf), np.inf
-        for size in range(CLASSES):
-            by_ce = cells[cells["size"] == size].groupby("ce")["n"].sum().sort_index()
-            if by_ce.sum() >= SUPPORT:
-                inside = by_ce.cumsum() >= accept * by_ce.sum()
-                last = (int(inside.idxmax()) + 1) * CE_BIN * (1 + slack)
-            model.limits[size] = last
+    model.limits = _limits(cells, model.chance, accept, slack)
     return model
 
 
@@ -279,7 +306,7 @@ def rejects(model: Model, texts: list[str | None]):
     n, best, ce, margin = judge(model, texts)
     some = (n > 0) & bool(model.langs)
     score = np.where(some, model.score(margin), 0.0)
-    limit = np.inf if model.limits is None else model.limits[_length_class(n)]
+    limit = np.inf if model.limits is None else model.limits[_length_class(n), best]
     return (~some | (ce > limit) | (score < model.min_score), np.where(some, best, len(model.langs)), score,
             np.where(some, ce, 0.0))
 

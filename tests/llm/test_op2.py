@@ -103,6 +103,29 @@ def test_accuracy_and_edges(make_docs):
     assert sum(by[i].rejected for i, _, _ in rows) <= 2
 
 
+def test_short_foreign_and_random_texts_are_rejected_at_two_sizes(spark, sf):
+    r = random.Random(5)
+    other = ["Сегодня утром мы пошли на рынок и купили свежие овощи, хлеб и молоко для всей семьи, потом вернулись домой",
+             "Dzisiaj rano poszliśmy na targ i kupiliśmy świeże warzywa, chleb oraz mleko dla całej rodziny, potem wróciliśmy",
+             "今天早上我们去了市场买了新鲜的蔬菜面包和牛奶给全家人然后我们回到家里一起做了午饭孩子们在院子里玩得很开心"]
+    other += [" ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randrange(4, 9))) for _ in range(30)) for _ in range(10)]
+    short = [t[:size] for t in other for size in (20, 40, 80, 200)]
+    for at in (sf, sf.replace("0.001", "0.01")):
+        docs = spark.read.parquet(f"{at}/documents.parquet")
+        model = op2.train(docs)
+        assert np.isfinite(model.limits).all()
+        assert op2.rejects(model, short)[0].all()
+        clean = [d.text[:size] for d in docs.collect() if fold(d.doc_id) == 2 for size in (20, 40, 80, 200)]
+        assert op2.rejects(model, clean)[0].mean() < 0.01
+
+
+def test_limits_are_finite_without_a_calibration_text(make_docs):
+    rows = [r for r in corpus(6) if fold(r[0]) < 2]
+    model = op2.train(make_docs(rows))
+    assert np.isfinite(model.limits).all()
+    assert op2.rejects(model, ["Сегодня утром мы пошли", "kalo mi tu"])[0].tolist() == [True, False]
+
+
 def test_empty_and_unlabelled(make_docs):
     assert op2.predict(make_docs([]), op2.train(make_docs([]))).collect() == []
     docs = make_docs([(1, "ka lo", None)])
