@@ -12,8 +12,9 @@ counts, fold 3 for calibration, never fold 2):
   discount per order from the numbers of types seen once and twice.
 * The model of each order is a sorted array of hashes for all languages together, with one
   row of probabilities (or of interpolation weights) for each hash, found by binary search.
-  Types of one language are folded to ``hash_bits`` bits, so the model that is broadcast has at
-  most ``2**hash_bits`` types for each language however large the corpus is.
+  Every type is kept.  Arrays of more than ``4 * 2**hash_bits`` values (types times languages)
+  are not broadcast: the same probabilities are tables by gram then, the 4-grams of the
+  distinct words of the texts are joined to them, and costs are summed by word and by text.
 * Calibration is a histogram over all documents of its fold: the score is a logistic function
   of the margin to the second language; a text is rejected where its cross-entropy is beyond
   what (nearly) all labelled texts of its length have, or its score is below ``min_score``.
@@ -31,7 +32,7 @@ is ``und``; equal rows get equal results; an empty table gives no rows.
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ HELD_WORDS, SCORED_WORDS = 50_000, 10_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 # Calibration histogram: width of a cross-entropy bin (nats), of a margin bin, least support.
 CE_BIN, MARGIN_BIN, SUPPORT = 0.05, 0.25, 50
+# Bits of ``a`` that a gram of each order has (three, two, one or no code points before the last).
+MASKS = {order: (1 << 21 * (order - 1)) - 1 for order in range(1, ORDER + 1)}
 # Classes of length: powers of two of the number of characters.
 CLASSES = 40
 
@@ -69,15 +72,20 @@ def _gram_keys(x: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
     return key
 
 
+def _pack(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The 4-gram at each place: three code points in ``a``, the last in ``b``."""
+    return (x[at - 3] << np.uint64(42)) | (x[at - 2] << np.uint64(21)) | x[at - 1], x[at]
+
+
 def _count_types(batches):
-    """4-gram types with their counts: three code points in ``a``, the last in ``b``."""
+    """4-gram types with their counts."""
 
     def flush(lang, words):
         x, at, start = _stream(list(words))
         weight = np.repeat(np.fromiter(words.values(), dtype=np.int64), np.diff(np.r_[start, len(at)]))
-        a = (x[at - 3] << np.uint64(42)) | (x[at - 2] << np.uint64(21)) | x[at - 1]
-        order = np.lexsort((x[at], a))
-        a, b, weight = a[order], x[at][order], weight[order]
+        a, b = _pack(x, at)
+        order = np.lexsort((b, a))
+        a, b, weight = a[order], b[order], weight[order]
         first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
         return pa.RecordBatch.from_arrays(
             [pa.array([lang] * len(first)), pa.array(c.signed(a[first])), pa.array(b[first].astype(np.int32)),
@@ -105,6 +113,8 @@ class Model:
     logistic: tuple[float, float] = (0.0, 1.0)
     limits: np.ndarray | None = None                # by length class and language: highest cross-entropy accepted
     min_score: float = 0.05
+    # By order, for a model too large for arrays: (lang, a, b, p) and (lang, a, weight).
+    tables: list[tuple[DataFrame, DataFrame]] | None = None
 
     def word_costs(self, words: list[str]) -> np.ndarray:
         """Negative log probability of each word (rows) in each language."""
@@ -226,20 +236,36 @@ def judge(model: Model, texts: list[str | None]):
         for row, own in enumerate(numbers):
             if own:
                 n[row], total[row] = size[own].sum(), costs[own].sum(axis=0)
-    else:
-        return n, np.zeros(len(texts), dtype=np.int64), n, n
+    return (n, *_standing(n, total))
+
+
+def _standing(n: np.ndarray, total: np.ndarray):
+    """Index of the best language, cross-entropy and margin from the cost in each language."""
+    if not total.shape[1]:
+        return np.zeros(len(n), dtype=np.int64), np.zeros(len(n)), np.zeros(len(n))
     mean = total / np.maximum(n, 1)[:, None]
     best = mean.argmin(axis=1)
     ordered = np.sort(mean, axis=1)
-    gap = ordered[:, 1] - ordered[:, 0] if len(model.langs) > 1 else np.zeros(len(texts))
-    return n, best, ordered[:, 0], gap * np.sqrt(n)
+    gap = ordered[:, 1] - ordered[:, 0] if total.shape[1] > 1 else np.zeros(len(n))
+    return best, ordered[:, 0], gap * np.sqrt(n)
+
+
+def _judged(model: Model, batches):
+    """``judge`` of groups of rows, which have their texts or what ``_with_costs`` adds."""
+    if model.grams or not model.langs:
+        for batch in c.groups(batches, limit=c.GROUP_BYTES // 4):
+            yield batch, judge(model, batch.column("_text").to_pylist())
+        return
+    for batch in batches:
+        if batch.num_rows:
+            n = batch.column("_n").to_numpy(zero_copy_only=False)
+            yield batch, (n, *_standing(n, np.array(batch.column("_total").to_pylist())))
 
 
 def _histogram(shared):
     def run(batches):
         model = shared.value
-        for batch in c.groups(batches, limit=c.GROUP_BYTES // 4):
-            n, best, ce, margin = judge(model, batch.column("_text").to_pylist())
+        for batch, (n, best, ce, margin) in _judged(model, batches):
             right = np.array([model.langs[b] == lang for b, lang in zip(best, batch.column("lang").to_pylist(), strict=True)])
             cells = Counter(zip(right.tolist(), _length_class(n).tolist(), (ce / CE_BIN).astype(int).tolist(),
                                 np.minimum(margin / MARGIN_BIN, 400).astype(int).tolist(), (n > 0).tolist(), strict=True))
@@ -250,6 +276,114 @@ def _histogram(shared):
     return run
 
 
+def _tables(types: DataFrame, langs: list[str]):
+    """``_estimate`` and ``_chance`` as tables: by order, probabilities and weights; the floors; the chances."""
+    spark, levels = types.sparkSession, {ORDER: types}
+    for order in range(ORDER - 1, 0, -1):
+        levels[order] = c.stage(levels[order + 1].groupBy("lang", _masked("a", order).alias("a"), "b")
+                                .agg(F.count(F.lit(1)).alias("n")), f"types{order}")
+    out, floor = [], {}
+    for order in range(1, ORDER + 1):
+        sizes = levels[order].groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"),
+                                                  F.count(F.lit(1)).alias("types")).collect()
+        d = {r.lang: r.once / (r.once + 2 * r.twice) if r.once and r.twice else 0.5 for r in sizes}
+        base = {r.lang: 1 / (r.types + 1) for r in sizes}
+        per = spark.createDataFrame([(x, d[x], base[x]) for x in langs], "lang string, d double, base double")
+        contexts = c.stage(levels[order].groupBy("lang", "a").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+                           .join(F.broadcast(per), "lang").withColumn("weight", F.col("d") * F.col("kinds") / F.col("total")), "contexts")
+        grams = levels[order].join(contexts, ["lang", "a"])
+        if order == 1:
+            floor = {r.lang: r.weight * r.base for r in contexts.collect()}
+        else:
+            lower = out[-1][0].select("lang", F.col("a").alias("_a"), "b", F.col("p").alias("base"))
+            grams = grams.drop("base").withColumn("_a", _masked("a", order - 1)).join(lower, ["lang", "_a", "b"])
+        grams = c.stage(grams.select("lang", "a", "b", ((F.col("n") - F.col("d")) / F.col("total") + F.col("weight") * F.col("base")).alias("p")),
+                        "grams")
+        out.append((grams, contexts.select("lang", "a", "weight")))
+    log = F.log("n")
+    letters = types.groupBy("lang", "b").agg(F.sum("n").alias("n")).groupBy("lang").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * log).alias("one"), F.sum(F.col("n") * log * log).alias("two")).collect()
+    mean = {r.lang: float(np.log(r.n) - r.one / r.n) for r in letters}
+    square = {r.lang: float(r.two / r.n - 2 * np.log(r.n) * r.one / r.n + np.log(r.n) ** 2) for r in letters}
+    return (out, np.array([floor[x] for x in langs]),
+            np.array([(mean[x], max(square[x] - mean[x] ** 2, 0.0) ** 0.5) for x in langs]).T)
+
+
+def _masked(name: str, order: int) -> Column:
+    return F.col(name).bitwiseAND(F.lit(MASKS[order]).cast("long"))
+
+
+def _words(batches):
+    """The words of each text with their numbers."""
+    schema = pa.schema([("_h", pa.int64()), ("_g", pa.int32()), ("word", pa.string()), ("n", pa.int64())])
+    for batch in c.groups(batches, limit=c.GROUP_BYTES // 4):
+        counts = [Counter(WORD.findall(t.lower())) for t in batch.column("_text").to_pylist()]
+        row = np.repeat(np.arange(len(counts)), [len(x) for x in counts])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("_h").take(pa.array(row)), batch.column("_g").take(pa.array(row)), pa.array([w for x in counts for w in x], pa.string()),
+             pa.array([k for x in counts for k in x.values()], pa.int64())], schema=schema)
+
+
+def _word_grams(batches):
+    """The 4-grams of each word with their numbers."""
+    for batch in c.groups(batches, "word", c.GROUP_BYTES // 4):
+        words = batch.column("word").to_pylist()
+        x, at, start = _stream(words)
+        a, b = _pack(x, at)
+        row = np.repeat(np.arange(len(words)), np.diff(np.r_[start, len(at)]))
+        order = np.lexsort((b, a, row))
+        a, b, row = a[order], b[order], row[order]
+        first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        own = pa.array(row[first])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("w").take(own), batch.column("v").take(own), pa.array(c.signed(a[first])), pa.array(b[first].astype(np.int32)),
+             pa.array(np.diff(np.r_[first, len(a)]))], names=["w", "v", "a", "b", "n"])
+
+
+def _word_costs_joined(words: DataFrame, model: Model) -> DataFrame:
+    """``w, v`` of every word with ``size`` (its characters and its end) and ``c0, c1, ...``, its cost in each language."""
+    spark, costs = words.sparkSession, [f"c{k}" for k in range(len(model.langs))]
+    grams = c.stage(words.dropDuplicates(["w", "v"]).mapInArrow(_word_grams, "w long, v int, a long, b int, n long"), "word-grams")
+    floors = spark.createDataFrame(list(zip(model.langs, map(float, model.floor), strict=True)), "lang string, p double")
+    cost = grams.select("a", "b").distinct().crossJoin(F.broadcast(floors))
+    for order, (seen, contexts) in enumerate(model.tables, 1):
+        cost = cost.withColumn("_a", _masked("a", order))
+        if order > 1:
+            cost = cost.join(contexts.withColumnRenamed("a", "_a"), ["lang", "_a"], "left").withColumn(
+                "p", F.coalesce("weight", F.lit(1.0)) * F.col("p")).drop("weight")
+        cost = cost.join(seen.select("lang", F.col("a").alias("_a"), "b", F.col("p").alias("own")), ["lang", "_a", "b"], "left").withColumn(
+            "p", F.coalesce("own", "p")).drop("own", "_a")
+    cost = c.stage(cost.groupBy("a", "b").agg(*[F.max(F.when(F.col("lang") == x, -F.log("p"))).alias(k)
+                                               for k, x in zip(costs, model.langs, strict=True)]), "gram-costs")
+    return c.stage(grams.join(cost, ["a", "b"]).groupBy("w", "v").agg(
+        F.sum("n").alias("size"), *[F.sum(F.col("n") * F.col(k)).alias(k) for k in costs]), "word-costs")
+
+
+def _text_key(text: Column) -> list[Column]:
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    return [F.xxhash64(text).alias("_h"), F.hash(text).alias("_g")]
+
+
+def _text_costs(texts: DataFrame, model: Model) -> DataFrame:
+    """``_h, _g`` of every distinct ``_text`` with a letter, ``_n`` and ``_total``, its cost in each language."""
+    rows = texts.select(*_text_key(F.col("_text")), F.coalesce("_text", F.lit("")).alias("_text")).dropDuplicates(["_h", "_g"])
+    found = c.stage(rows.mapInArrow(_words, "_h long, _g int, word string, n long").select(
+        "_h", "_g", F.xxhash64("word").alias("w"), F.hash("word").alias("v"), "word", "n"), "words")
+    # Staged, so that adaptive execution splits the very common words of the join.
+    costs = _word_costs_joined(found.select("w", "v", "word"), model)
+    return c.stage(found.drop("word").join(costs, ["w", "v"]).groupBy("_h", "_g").agg(
+        F.sum(F.col("n") * F.col("size")).cast("double").alias("_n"),
+        F.array(*[F.sum(F.col("n") * F.col(f"c{k}")) for k in range(len(model.langs))]).alias("_total")), "text-costs")
+
+
+def _with_costs(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows`` with ``_n`` and ``_total`` for their ``_text``."""
+    known = _text_costs(rows.select("_text"), model)
+    zeros = F.array(*[F.lit(0.0)] * len(model.langs))
+    return rows.select(*_text_key(F.col("_text")), *[x for x in rows.columns if x != "_text"]).join(known, ["_h", "_g"], "left").withColumn(
+        "_n", F.coalesce("_n", F.lit(0.0))).withColumn("_total", F.coalesce("_total", zeros))
+
+
 def _logistic(x: np.ndarray, hit: np.ndarray, n: np.ndarray) -> tuple[float, float]:
     """Weighted logistic regression of ``hit`` on ``x``, slightly regularised, by Newton steps."""
     w = np.array([0.0, 0.1])
@@ -277,21 +411,26 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                        fold_of(id_col).alias("fold")).filter("_text IS NOT NULL AND lang IS NOT NULL AND fold <> 2")
     types = (rows.filter("fold < 2").select("_text", "lang").mapInArrow(_count_types, "lang string, a long, b int, n long")
              .groupBy("lang", "a", "b").agg(F.sum("n").alias("n")))
-    folded = (types.groupBy("lang", F.xxhash64("a", "b").bitwiseAND(F.lit((1 << hash_bits) - 1)).alias("h"))
-              .agg(F.sum("n").alias("n"), F.max(F.struct("n", "a", "b")).alias("top"))
-              .select("lang", "top.a", "top.b", "n").toArrow().to_pandas())
-    langs = sorted(folded["lang"].unique())
+    types = c.stage(types, "types")
+    sizes = {r.lang: r["count"] for r in types.groupBy("lang").count().collect()}
+    langs = sorted(sizes)
     if not langs:
         return Model([], [], [], np.empty(0))
-    parts = [(*_estimate(own["a"].to_numpy().view(np.uint64), own["b"].to_numpy().astype(np.uint64), own["n"].to_numpy()),
-              _chance(own["b"].to_numpy(), own["n"].to_numpy()))
-             for own in (folded[folded["lang"] == lang].sort_values(["a", "b"]) for lang in langs)]
-    model = Model(langs, [_together([p[0][o] for p in parts], 0.0) for o in range(ORDER)],
-                  [_together([p[1][o] for p in parts], 1.0) for o in range(ORDER)], np.array([p[2] for p in parts]),
-                  np.array([p[3] for p in parts]).T, min_score=min_score)
-
-    cells = (rows.filter("fold = 3").select("_text", "lang")
-             .mapInArrow(_histogram(spark.sparkContext.broadcast(model)), "right boolean, size int, ce int, margin int, n long")
+    if sum(sizes.values()) * len(langs) > 4 << hash_bits:
+        tables, floor, chance = _tables(types, langs)
+        model = Model(langs, [], [], floor, chance, min_score=min_score, tables=tables)
+    else:
+        counts = types.toArrow().to_pandas()
+        parts = [(*_estimate(own["a"].to_numpy().view(np.uint64), own["b"].to_numpy().astype(np.uint64), own["n"].to_numpy()),
+                  _chance(own["b"].to_numpy(), own["n"].to_numpy()))
+                 for own in (counts[counts["lang"] == lang].sort_values(["a", "b"]) for lang in langs)]
+        model = Model(langs, [_together([p[0][o] for p in parts], 0.0) for o in range(ORDER)],
+                      [_together([p[1][o] for p in parts], 1.0) for o in range(ORDER)], np.array([p[2] for p in parts]),
+                      np.array([p[3] for p in parts]).T, min_score=min_score)
+
+    held = rows.filter("fold = 3").select("_text", "lang")
+    cells = ((held if model.tables is None else _with_costs(held, model))
+             .mapInArrow(_histogram(spark.sparkContext.broadcast(replace(model, tables=None))), "right boolean, size int, ce int, margin int, n long")
              .groupBy("right", "size", "ce", "margin").agg(F.sum("n").alias("n")).toPandas())
     if len(cells):
         model.logistic = _logistic(cells["margin"].to_numpy() * MARGIN_BIN + MARGIN_BIN / 2, cells["right"].to_numpy(float),
@@ -303,7 +442,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def rejects(model: Model, texts: list[str | None]):
     """By text: whether it is rejected, index of its language (one past the last: ``und``), score,
     cross-entropy."""
-    n, best, ce, margin = judge(model, texts)
+    return _verdict(model, *judge(model, texts))
+
+
+def _verdict(model: Model, n, best, ce, margin):
     some = (n > 0) & bool(model.langs)
     score = np.where(some, model.score(margin), 0.0)
     limit = np.inf if model.limits is None else model.limits[_length_class(n), best]
@@ -314,8 +456,8 @@ def rejects(model: Model, texts: list[str | None]):
 def _predict(shared):
     def run(batches):
         names = np.array([*shared.value.langs, "und"], dtype=object)
-        for batch in c.groups(batches, limit=c.GROUP_BYTES // 4):
-            gone, best, score, ce = rejects(shared.value, batch.column("_text").to_pylist())
+        for batch, judged in _judged(shared.value, batches):
+            gone, best, score, ce = _verdict(shared.value, *judged)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), batch.column("_k"), batch.column("_j"), pa.array(names[best], pa.string()), pa.array(score),
                  pa.array(ce), pa.array(gone)],
@@ -327,7 +469,9 @@ def _predict(shared):
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``_id, _k, _j, lang_pred, score, cross_entropy, rejected``."""
     rows = c.keyed(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    if model.tables is not None:
+        rows = _with_costs(rows, model)
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, tables=None))
     kind = rows.schema["_id"].dataType.simpleString()
     return rows.mapInArrow(_predict(shared), f"_id {kind}, _k long, _j int, lang_pred string, score double, "
                                              "cross_entropy double, rejected boolean")
@@ -335,7 +479,18 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is not rejected, with all their columns."""
-    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, tables=None))
+    if model.tables is not None:
+        known = _text_costs(docs.select(F.col(text_col).cast("string").alias("_text")), model)
+
+        def stays(batches):
+            for batch, judged in _judged(shared.value, batches):
+                yield batch.select(["_h", "_g"]).filter(pa.array(~_verdict(shared.value, *judged)[0]))
+
+        kept = known.mapInArrow(stays, "_h long, _g int")
+        h, g = _text_key(F.col(text_col))
+        return docs.join(kept, (h == kept["_h"]) & (g == kept["_g"]), "left_semi")
+    at = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:

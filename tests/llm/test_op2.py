@@ -126,6 +126,29 @@ def test_limits_are_finite_without_a_calibration_text(make_docs):
     assert op2.rejects(model, ["Сегодня утром мы пошли", "kalo mi tu"])[0].tolist() == [True, False]
 
 
+def test_a_model_too_large_for_arrays_keeps_every_type(make_docs):
+    rows = [(i, t + (" 日本語" if i % 5 == 0 else ""), lang) for i, t, lang in corpus(7)]
+    rows += [(9000, None, "aa"), (9010, "", "aa"), (9020, "123 ###", "bb"), (9030, "lomitu" * 20_000, None), (None, "kalo mi tu", "aa"),
+             (9040, "Сегодня утром мы пошли на рынок", None), rows[0], rows[0]]
+    docs = make_docs(rows)
+    small, large = op2.train(docs), op2.train(docs, hash_bits=0)
+    assert small.tables is None and large.tables is not None
+    words = ["kalomi", "ungsch", "ción", "de", "zzz", "éü", "a", "日本", "kaos"]
+    cost = brute_models([(t, lang) for i, t, lang in rows if t and lang and i is not None and fold(i) < 2])
+    frame = docs.sparkSession.createDataFrame([(k, 0, w) for k, w in enumerate(words)], "w long, v int, word string")
+    for r in op2._word_costs_joined(frame, large).collect():
+        assert r["size"] == len(words[r.w]) + 1
+        assert np.allclose([r[f"c{k}"] for k in range(3)], [cost(lang, words[r.w]) for lang in large.langs], rtol=1e-9), words[r.w]
+    assert np.allclose(small.chance, large.chance) and np.allclose(small.limits, large.limits) and np.allclose(small.logistic, large.logistic)
+    one, two = (sorted(map(tuple, op2.predict(docs, m).collect()), key=str) for m in (small, large))
+    assert len(one) == len(two) == len(rows)
+    for x, y in zip(one, two, strict=True):
+        assert x[:4] == y[:4] and x[6] == y[6] and np.allclose(x[4:6], y[4:6], rtol=1e-9)
+    one, two = (sorted(map(tuple, op2.keep_known(docs, m).collect()), key=str) for m in (small, large))
+    assert one == two and 0 < len(one) < len(rows)
+    assert op2.predict(docs.limit(0), large).collect() == []
+
+
 def test_empty_and_unlabelled(make_docs):
     assert op2.predict(make_docs([]), op2.train(make_docs([]))).collect() == []
     docs = make_docs([(1, "ka lo", None)])
