@@ -3,10 +3,10 @@
 1. Seeds: e-mail addresses, IP addresses, card numbers (Luhn) and phone numbers, found by the
    base expressions (leftmost, non-overlapping per kind; a match that fails its test is
    dropped, not retried).
-2. Every mention (a seed, or another token of 5 to 64 characters with a digit or ``@``) induces
+2. Every mention (a seed, or another token of 5 characters or more with a digit or ``@``) induces
    two lexical patterns: the two words before it, and the word before with the word after
    (fewer at a text's ends).
-3. Distinct (pattern, instance) pairs are a graph that Spark scores in rounds: a pattern's
+3. Distinct (pattern, instance) pairs are a graph that Spark scores in rounds, up to the fixpoint: a pattern's
    confidence is the sum of its instances' scores over their number plus one; an instance
    that is no seed scores ``1 - product(1 - confidence)`` over its trusted patterns.  A pattern is
    trusted with at least ``min_support`` distinct seeds and a confidence of ``min_confidence``.
@@ -22,6 +22,8 @@ end exclusive; context spans never overlap base spans; an empty table gives no r
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import re
 
 import pyarrow as pa
@@ -42,8 +44,11 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 DIGITS = re.compile(r"[0-9]+")
 MARK = re.compile(r"[0-9@]")
 SPACE = re.compile(r"\s")
-# Characters around a mention that are read for its words; what is stripped from tokens and words.
+# Characters around a mention that are read at first for its words; the least length of a token, the most
+# that stands in the graph as it is; what is stripped from tokens and words.
 CONTEXT, LEAST, MOST = 200, 5, 64
+# The rounds end when no pattern's confidence grows by more than this.
+STILL = 1e-6
 EDGES = ".,;:!?()[]{}<>\"'`#$%&*|=~^+-/\\_"
 
 
@@ -107,7 +112,7 @@ def tokens(text: str):
         word = text[start:at]
         left = len(word) - len(word.lstrip(EDGES))
         word = word.strip(EDGES)
-        if LEAST <= len(word) <= MOST and MARK.search(word):
+        if LEAST <= len(word) and MARK.search(word):
             yield start + left, start + left + len(word)
 
 
@@ -116,14 +121,33 @@ def _word(word: str) -> str:
 
 
 def patterns(text: str, start: int, end: int) -> list[str]:
-    before = [w for x in text[max(0, start - CONTEXT):start].split() if (w := _word(x))]
-    after = [w for x in text[end:end + CONTEXT].split() if (w := _word(x))]
+    before, after, reach = [], [], CONTEXT
+    while len(before) < 2:
+        at = max(0, start - reach)
+        cut = at > 0 and not text[at - 1].isspace() and not text[at].isspace()
+        before = [w for x in text[at:start].split()[cut:] if (w := _word(x))]
+        if not at:
+            break
+        reach *= 4
+    reach = CONTEXT
+    while not after:
+        to = end + reach
+        cut = to < len(text) and not text[to - 1].isspace() and not text[to].isspace()
+        parts = text[end:to].split()
+        after = [w for x in parts[:len(parts) - cut] if (w := _word(x))]
+        if to >= len(text):
+            break
+        reach *= 4
     a, b = (["^", "^"] + before)[-2:]
     z = (after or ["$"])[0]
     # A pattern needs a word: the mere start or end of a text says nothing.
     return [f"{a} {b} _"] * (b != "^") + [f"{b} _ {z}"] * ((b, z) != ("^", "$"))
 
 
+def _instance(word: str) -> str:
+    return word if len(word) <= MOST else hashlib.sha256(word.encode()).hexdigest() + " "
+
+
 def _scan(batches):
     spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
     mention = pa.list_(pa.struct([("instance", pa.string()), ("seed", pa.bool_()), ("patterns", pa.list_(pa.string())),
@@ -142,7 +166,7 @@ def _scan(batches):
                     k += 1
                 if reach <= s:
                     said.append((s, e, False))
-            mentions.append([{"instance": text[s:e].lower(), "seed": seed, "patterns": patterns(text, s, e), "start": s, "end": e}
+            mentions.append([{"instance": _instance(text[s:e].lower()), "seed": seed, "patterns": patterns(text, s, e), "start": s, "end": e}
                              for s, e, seed in said])
         rows = batch.num_rows
         yield pa.RecordBatch.from_arrays(
@@ -151,25 +175,28 @@ def _scan(batches):
         number += rows
 
 
-def trusted_patterns(edges: DataFrame, min_support: int, min_confidence: float, rounds: int) -> DataFrame:
-    """``pattern, confidence`` of the trusted patterns of ``edges`` (pattern, instance, seed)."""
+def trusted_patterns(edges: DataFrame, min_support: int, min_confidence: float, rounds: int | None = None) -> DataFrame:
+    """``pattern, confidence`` of the trusted patterns of ``edges`` (pattern, instance, seed), at the fixpoint
+    (scores only grow) or after ``rounds``."""
     known = edges.filter("seed").select("instance").distinct().withColumn("score", F.lit(1.0))
-    trusted = None
-    for turn in range(rounds):
+    last = None
+    for turn in itertools.count(1):
         scored = edges.join(known, "instance", "left")
         trusted = c.stage(scored.groupBy("pattern").agg(
             (F.sum(F.coalesce("score", F.lit(0.0))) / (F.count("*") + 1)).alias("confidence"),
             F.sum(F.col("seed").cast("int")).alias("support"))
             .filter((F.col("support") >= min_support) & (F.col("confidence") >= min_confidence)).select("pattern", "confidence"), "patterns")
-        if turn + 1 < rounds:
-            miss = F.sum(F.log(1 - F.least("confidence", F.lit(0.999))))
-            known = c.stage(edges.filter("NOT seed").join(trusted, "pattern").groupBy("instance").agg((1 - F.exp(miss)).alias("score"))
-                            .unionByName(edges.filter("seed").select("instance").distinct().withColumn("score", F.lit(1.0)))
-                            .groupBy("instance").agg(F.max("score").alias("score")), "instances")
-    return trusted
+        now = trusted.agg(F.count("*").alias("n"), F.coalesce(F.sum("confidence"), F.lit(0.0)).alias("sum")).first()
+        if turn == rounds or not now.n or (last and last.n == now.n and now.sum - last.sum <= STILL):
+            return trusted
+        last = now
+        miss = F.sum(F.log(1 - F.least("confidence", F.lit(0.999))))
+        known = c.stage(edges.filter("NOT seed").join(trusted, "pattern").groupBy("instance").agg((1 - F.exp(miss)).alias("score"))
+                        .unionByName(edges.filter("seed").select("instance").distinct().withColumn("score", F.lit(1.0)))
+                        .groupBy("instance").agg(F.max("score").alias("score")), "instances")
 
 
-def find_personal_data(docs: DataFrame, min_support: int = 3, min_confidence: float = 0.5, rounds: int = 3,
+def find_personal_data(docs: DataFrame, min_support: int = 3, min_confidence: float = 0.5, rounds: int | None = None,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``base`` and ``added``, arrays of (kind, start, end) by start,
     then kind."""

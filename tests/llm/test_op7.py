@@ -114,3 +114,22 @@ def test_query(spark, sf):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for _, x, _ in want) for k in range(4)]
         order = [*op7.KINDS, "context"]
         assert r.spans == name(sorted(named + [(s, "context", e) for s, e in added[r.doc_id]], key=lambda x: (x[0], order.index(x[1]))))
+
+
+def test_rounds_go_on_to_the_fixpoint(spark):
+    rows = [(f"p{k}", f"mail{k}{j}@x.de", True) for k in range(6) for j in range(3 + 3 * (k == 0))]
+    for k in range(5):
+        # Instances that link a pattern to the next, which is trusted only with their scores.
+        rows += [(f"p{k + j}", f"id{k}{i}", False) for i in range(3) for j in (0, 1)]
+    edges = spark.createDataFrame(rows, "pattern string, instance string, seed boolean")
+    few, all_ = (op7.trusted_patterns(edges, 3, 0.45, n).collect() for n in (1, None))
+    again = op7.trusted_patterns(edges, 3, 0.45, 40).collect()
+    assert sorted(r.pattern for r in all_) == sorted(r.pattern for r in again) and len(all_) > len(few)
+
+
+def test_long_tokens_and_whole_context_words():
+    long = "k1" * 100
+    assert [long] == [long[s:e] for s, e in op7.tokens(long)]
+    text = "x" + "y" * 300 + " " + "," * 10 + " key abc123 " + "." * 250 + " " + "z" * 400
+    at = text.index("abc123")
+    assert op7.patterns(text, at, at + 6) == [f"x{'y' * 300} key _", f"key _ {'z' * 400}"]
