@@ -12,10 +12,11 @@ from reviewops.llm.op7_pii import op7_pii
 from reviewops.llm.op8_embeddings import op8_embedding_dedup
 from reviewops.llm.op9_bpe import op9_bpe
 from reviewops.llm.op10_urls import op10_url_filter
+from reviewops.llm.op11_phrases import OP11_SQL, op11_phrases
 from reviewops.llm.op12_sentencepiece import op12_sentencepiece
 from reviewops.llm.op13_whitening import op13_whitening
 
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_language, op3_simhash, op4_decontamination, op5_secrets, op6_line_dedup, op7_pii,
-    op8_embedding_dedup, op9_bpe, op10_url_filter, op12_sentencepiece, op13_whitening)}
-ORACLE = {"op4_decontamination": OP4_SQL, "op6_line_dedup": OP6_SQL}
+    op8_embedding_dedup, op9_bpe, op10_url_filter, op11_phrases, op12_sentencepiece, op13_whitening)}
+ORACLE = {"op4_decontamination": OP4_SQL, "op6_line_dedup": OP6_SQL, "op11_phrases": OP11_SQL}
