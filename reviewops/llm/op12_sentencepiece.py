@@ -8,7 +8,8 @@ marked in the original without decoding.
 
 No piece of the vocabulary has a word-space sign after another character, so a merge never reaches
 over the start of a word, and words are encoded one by one: a group of rows encodes each new word
-once, and each worker keeps the words of its last two generations.  (Where a model does have such
+once (taken apart again where two characters stand together in no piece), and each worker keeps the
+words of its last two generations.  (Where a model does have such
 pieces, texts are cut only at characters that no piece joins to a word-space sign.)
 
 The model file is read on each worker from ``path`` (default: the installed ``piece_bpe_32k.model``);
@@ -37,7 +38,7 @@ from reviewops.llm import common as c
 
 SPACE = "▁"
 # Characters of words that a generation of a worker's cache holds, and words of a long text done at a time.
-KEEP_CHARS, STRIDE = 1 << 21, 1 << 16
+KEEP_CHARS, STRIDE = 1 << 22, 1 << 16
 # Words of up to SHORT characters are merged by plain lists.
 SHORT, NEVER = 48, 1 << 30
 # Types of pieces in a model file.
@@ -121,6 +122,13 @@ class Model:
         self.size = np.array(sizes, dtype=np.int64)
         self.spaced = np.array([p.type == 1 and p.piece.startswith(SPACE) for p in m.pieces])
         glued = {a for p in ids for a, b in zip(p, p[1:], strict=False) if b == self.space and a != self.space}
+        # Which characters stand next to each other in some piece (0: a character of no piece).
+        letters = sorted({x for p in ids for x in p})
+        self.number = np.zeros(0x110000, dtype=np.uint16)
+        self.number[[ord(x) for x in letters]] = np.arange(1, len(letters) + 1)
+        self.inside = np.zeros((len(letters) + 1, len(letters) + 1), dtype=bool)
+        pairs = {p[i:i + 2] for p in ids for i in range(len(p) - 1)}
+        self.inside[[self.number[ord(x[0])] for x in pairs], [self.number[ord(x[1])] for x in pairs]] = True
         inner = "".join(map(re.escape, sorted(glued)))
         s = re.escape(self.space)
         self.words = re.compile(f"{s}*[^{s}]+(?:(?<=[{inner}]){s}+[^{s}]*)*|{s}+" if glued else f"{s}*[^{s}]+|{s}+")
@@ -225,9 +233,33 @@ class Model:
         come again move to the new one, the rest go at the next change."""
         if self.held > KEEP_CHARS:
             self.older, self.known, self.held = self.known, {}, 0
-        for w in words - self.known.keys():
-            self.known[w] = x if (x := self.older.get(w)) else self.merged(w)
-            self.held += len(w)
+        new = self._unknown(words)
+        if not new:
+            return
+        # Characters next to each other in no piece are never merged: words fall into fragments there, which recur.
+        known, joined, ends = self.known, "".join(new), np.cumsum(list(map(len, new)))
+        x = self.number[np.frombuffer(joined.encode("utf-32-le"), dtype="<u4")]
+        cut = np.union1d(np.flatnonzero(~self.inside[x[:-1], x[1:]]) + 1, ends)
+        last = (np.searchsorted(cut, ends) + 1).tolist()
+        cut = cut.tolist()
+        parts = [joined[a:b] for a, b in zip([0, *cut[:-1]], cut, strict=True)]
+        fresh = self._unknown(set(parts))
+        known.update(zip(fresh, map(self.merged, fresh), strict=True))
+        first = 0
+        for w, end in zip(new, last, strict=True):
+            if end > first + 1:
+                known[w] = b"".join([known[p] for p in parts[first:end]])
+            first = end
+        self.held += len(joined) + sum(map(len, fresh))
+
+    def _unknown(self, words: set[str]) -> list[str]:
+        """What neither generation holds; words of the older one move to the new one."""
+        new, older = words - self.known.keys(), self.older
+        if again := older.keys() & new:
+            self.known.update((w, older[w]) for w in again)
+            self.held += sum(map(len, again))
+            new -= again
+        return list(new)
 
     def _joined(self, words: list[str]) -> bytes:
         return b"".join(map(self.known.__getitem__, words))
