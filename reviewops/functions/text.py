@@ -137,4 +137,4 @@ def ts_literal(value) -> Column:
 
     if isinstance(value, _dt.date) and not isinstance(value, _dt.datetime):
         value = _dt.datetime.combine(value, _dt.time())
-    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return F.lit(value.isoformat(sep=" ", timespec="seconds")).cast("timestamp_ntz")

@@ -2,9 +2,10 @@
 
 The model itself is injected (see ``infer_replies``); everything around it is
 set-based: requests are columns built from the row, answers are a ledger
-(``LEDGER_SCHEMA``) joined back on ``ID`` -- and, where the requests are given, on
-their hash, so that an answer to an earlier request is never applied -- with
-one ``CASE`` per column.  The ledger holds all days: it is first reduced to the
+(``LEDGER_SCHEMA``) joined back on ``ID`` and the hash of the request these rows
+make now, so that an answer to an earlier request is never applied (a ledger
+without hashes, ``ANSWER_SCHEMA``, is joined on ``ID`` alone) -- with one ``CASE``
+per column.  The ledger holds all days: it is first reduced to the
 work-list's IDs and to status and attempt numbers, and only the picked
 attempts' text is fetched.
 
@@ -169,12 +170,22 @@ ANSWER_SCHEMA = T.StructType([f for f in LEDGER_SCHEMA.fields if f.name != "requ
 
 
 def asked(answers: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Ledger rows that answer ``wanted``: those of its IDs, or, where it has them,
-    of its (ID, request hash) pairs."""
-    keys = [k for k in ("ID", "request_hash") if k in wanted.columns]
+    """Ledger rows that answer ``wanted``: those of its IDs and, where it has them,
+    of its fields and request hashes."""
+    keys = [k for k in ("ID", "field", "request_hash") if k in wanted.columns]
     return answers.join(wanted.select(*keys), keys, "left_semi")
 
 
+def _wanted(rows: DataFrame, answers: DataFrame, requests: DataFrame | None, build, system: str | None) -> DataFrame:
+    """What ``asked`` takes: the keys of ``requests``; or, if none are given, of the
+    requests that ``rows`` make now if the ledger says which request it answers, else their IDs."""
+    if requests is None and "request_hash" in answers.columns:
+        requests = build(rows, system)
+    if requests is None:
+        return rows.select("ID")
+    return with_request_hash(requests).select(*[k for k in ("ID", "field", "request_hash") if k != "field" or k in requests.columns])
+
+
 def latest_answer(answers: DataFrame, kind: str) -> DataFrame:
     """Last attempt per ID for one request kind.  The pick is made on numbers and
     a content hash (a total order, so ties cannot flip); its text is joined last."""
@@ -252,8 +263,7 @@ def _reply_steps(asof: _dt.date) -> dict[str, Column]:
 
 
 def _apply(rows: DataFrame, answers: DataFrame, kind: str, steps: dict[str, Column],
-           with_outcome: bool, requests: DataFrame | None) -> DataFrame:
-    wanted = rows.select("ID") if requests is None else with_request_hash(requests).select("ID", "request_hash")
+           with_outcome: bool, wanted: DataFrame) -> DataFrame:
     j = rows.join(latest_answer(asked(answers, wanted), kind), "ID", "left")
     # The answer is parsed once and every key looked up once, each in its own
     # projection: the decision table refers to these columns many times, and
@@ -269,10 +279,12 @@ def _apply(rows: DataFrame, answers: DataFrame, kind: str, steps: dict[str, Colu
 
 
 def apply_reply(rows: DataFrame, answers: DataFrame, asof: _dt.date,
-                with_outcome: bool = False, requests: DataFrame | None = None) -> DataFrame:
-    """Apply reply answers (kind ``reply``) per the decision table above: those to
-    ``requests``, or the last one per ID if no requests are given."""
-    return _apply(rows, answers, "reply", _reply_steps(asof), with_outcome, requests)
+                with_outcome: bool = False, requests: DataFrame | None = None, system: str | None = None) -> DataFrame:
+    """Apply reply answers (kind ``reply``) per the decision table above: the last
+    answer to the request of each row (``requests``, by default those that the rows
+    make with ``system``), or, from a ledger without request hashes, to its ID."""
+    wanted = _wanted(rows, answers, requests, reply_requests, system)
+    return _apply(rows, answers, "reply", _reply_steps(asof), with_outcome, wanted)
 
 
 def _completion_steps() -> dict[str, Column]:
@@ -316,22 +328,27 @@ S_SCORE_KEYS = ("EmpathyScore", "HelpfulnessScore", "IndividualityScore")
 
 
 def apply_completion(rows: DataFrame, answers: DataFrame, with_outcome: bool = False,
-                     requests: DataFrame | None = None) -> DataFrame:
+                     requests: DataFrame | None = None, system: str | None = None) -> DataFrame:
     """Apply completion answers (kind ``completion``): place (only with a
     Location), sensitive flag, aspects, scores as numbers.  The language of
-    rows still without one is filled by ``fill_language`` afterwards."""
-    return _apply(rows, answers, "completion", _completion_steps(), with_outcome, requests)
+    rows still without one is filled by ``fill_language`` afterwards.  Which answers
+    are taken: see ``apply_reply``."""
+    wanted = _wanted(rows, answers, requests, completion_requests, system)
+    return _apply(rows, answers, "completion", _completion_steps(), with_outcome, wanted)
 
 
-def apply_translation(rows: DataFrame, answers: DataFrame,
-                      tries: int = S.TRANSLATION_TRIES) -> DataFrame:
+def apply_translation(rows: DataFrame, answers: DataFrame, tries: int = S.TRANSLATION_TRIES,
+                      requests: DataFrame | None = None, system: str | None = None) -> DataFrame:
     """English rows copy both originals into the EN columns.  Other rows take,
     per field, the first of ``tries`` answers that is verified English (``lang``
     column of the ledger, e.g. from ``text_language``; a failed call uses up no
     try); rating-only review text is copied; a field that never verified sets
     ``DeveloperComment = 'Check lang'``; a failed request sets
-    ``'<code>(translation)'`` (the last failure wins)."""
-    a = asked(answers.filter(_c("kind") == "translation"), rows.select("ID")).withColumn("_h", F.xxhash64("content"))
+    ``'<code>(translation)'`` (the last failure wins).  Tries, failures and texts are
+    those of the field's request as it is now, not of one for an older text; see
+    ``apply_reply`` for which answers are taken."""
+    a = asked(answers.filter(_c("kind") == "translation"),
+              _wanted(rows, answers, requests, translation_requests, system)).withColumn("_h", F.xxhash64("content"))
     ok = _is_2xx(_c("status"))
     # numbers first: the calls of one field that were answered, in order (a
     # client's bounded retries), the last failure, the fields tried (two at most)
@@ -374,10 +391,12 @@ def apply_translation(rows: DataFrame, answers: DataFrame,
 
 
 def request_errors(rows: DataFrame, answers: DataFrame) -> DataFrame:
-    """Failed requests per ID and kind: last failing status and the comment
-    the apply step writes."""
-    bad = answers.filter(~_is_2xx(_c("status")))
-    last = bad.groupBy("ID", "kind").agg(F.max(F.struct("attempt", "status"))["status"].alias("status"))
+    """Requests that failed at their last attempt, per ID and kind: the last failing
+    status and the comment the apply step writes.  A request that was answered
+    later is none of them; with request hashes each request is judged by itself."""
+    request = [k for k in ("field", "request_hash") if k in answers.columns]
+    last = answers.groupBy("ID", "kind", *request).agg(F.max(F.struct("attempt", "status")).alias("l"))
+    last = last.filter(~_is_2xx(_c("l.status"))).groupBy("ID", "kind").agg(F.max("l")["status"].alias("status"))
     comment = F.when(_c("kind") == "translation",
                      F.concat(_c("status").cast("string"), F.lit("(translation)"))) \
         .otherwise(_c("status").cast("string"))
@@ -395,6 +414,36 @@ def with_request_hash(requests: DataFrame) -> DataFrame:
         .withColumn("request_hash", F.sha2(_c("request_json"), 256))
 
 
+def open_requests(requests: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    """Requests that the ledger holds no 2xx answer for: ``ID``, ``kind``, ``field``,
+    ``request_hash``, ``request_json`` and ``attempts``, the calls made so far.
+
+    The hashed requests are laid down once (``checkpoint``): they are joined twice
+    (to reduce the ledger, and with what is left of it), and their JSON, built from
+    whatever made the rows, would be too much code for one compiled stage."""
+    req = with_request_hash(requests)
+    field = _c("field") if "field" in req.columns else F.lit(None).cast("string")
+    req = req.select("ID", "kind", field.alias("field"), "request_hash", "request_json").checkpoint()
+    if ledger is None:
+        return req.withColumn("attempts", F.lit(0))
+    past = asked(ledger, req.select("ID", "request_hash")).groupBy("ID", "field", "request_hash").agg(
+        F.max("attempt").alias("_past"), F.bool_or(_is_2xx(_c("status"))).alias("_done")) \
+        .select(_c("ID").alias("_i"), _c("field").alias("_f"), _c("request_hash").alias("_r"), "_past", "_done")
+    left = req.join(past, (_c("ID") == _c("_i")) & _c("field").eqNullSafe(_c("_f"))
+                    & (_c("request_hash") == _c("_r")), "left").filter(~F.coalesce(_c("_done"), F.lit(False)))
+    return left.select(*req.columns, F.coalesce("_past", F.lit(0)).cast("int").alias("attempts"))
+
+
+def given_answers(requests: DataFrame, ledger: DataFrame, kind: str = "reply") -> DataFrame:
+    """The last 2xx answer of the ledger to each of ``requests``: ``ID``, ``request_hash``,
+    ``attempt``, ``status``, ``content``."""
+    keys = with_request_hash(requests).select("ID", "request_hash")
+    a = asked(ledger.filter((_c("kind") == kind) & _is_2xx(_c("status"))), keys).withColumn("_h", F.xxhash64("content"))
+    last = a.groupBy("ID", "request_hash").agg(F.max(F.struct("attempt", "status", "_h")).alias("l")).select("ID", "request_hash", "l.*")
+    text = a.select("ID", "request_hash", "attempt", "status", "_h", "content").dropDuplicates(["ID", "request_hash", "attempt", "status", "_h"])
+    return last.join(text, ["ID", "request_hash", "attempt", "status", "_h"]).drop("_h")
+
+
 def infer_replies(requests: DataFrame, client: ClientFn, ledger: DataFrame | None = None,
                   partitions: int | None = None) -> DataFrame:
     """Run ``client`` over requests without an answer in the ledger.
@@ -407,31 +456,20 @@ def infer_replies(requests: DataFrame, client: ClientFn, ledger: DataFrame | Non
     again, their attempts counted on from the ledger's.  ``partitions`` bounds
     the number of concurrent callers.
     """
-    req = with_request_hash(requests)
-    field = _c("field") if "field" in req.columns else F.lit(None).cast("string")
-    req = req.select("ID", "kind", field.alias("field"), "request_hash", "request_json")
-    if ledger is not None:
-        past = asked(ledger, req).groupBy("ID", "field", "request_hash").agg(
-            F.max("attempt").alias("_past"), F.bool_or(_is_2xx(_c("status"))).alias("_done")) \
-            .select(_c("ID").alias("_i"), _c("field").alias("_f"), _c("request_hash").alias("_r"), "_past", "_done")
-        req = req.join(past, (_c("ID") == _c("_i")) & _c("field").eqNullSafe(_c("_f"))
-                       & (_c("request_hash") == _c("_r")), "left") \
-            .filter(~F.coalesce(_c("_done"), F.lit(False)))
-    else:
-        req = req.withColumn("_past", F.lit(0))
-    req = req.select("ID", "kind", "field", "request_hash", "request_json",
-                     F.coalesce("_past", F.lit(0)).cast("int").alias("_past"))
+    req = open_requests(requests, ledger)
     if partitions:
         req = req.repartition(partitions, "ID")
+    keys = ["ID", "_field", "request_hash"]
+
+    def keyed(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.assign(_field=["" if pd.isna(x) else x for x in pdf["field"]])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                out = client(pdf.drop(columns="_past"))
-                past = pdf.set_index(["ID", pdf["field"].fillna(""), "request_hash"])["_past"]
-                keys = list(zip(out["ID"], out["field"].fillna(""), out["request_hash"], strict=True))
-                out = out.assign(attempt=[a + past[k] for a, k in zip(out["attempt"], keys, strict=True)])
-                yield out[[f.name for f in LEDGER_SCHEMA.fields]]
+                past = keyed(pdf)[[*keys, "attempts"]].drop_duplicates(keys)
+                out = keyed(client(pdf.drop(columns="attempts"))).merge(past, on=keys)
+                yield out.assign(attempt=out["attempt"] + out["attempts"])[[f.name for f in LEDGER_SCHEMA.fields]]
 
     return req.mapInPandas(run, LEDGER_SCHEMA)
 
@@ -457,16 +495,6 @@ def retrying(client: ClientFn, tries: int = 3, wait: Callable[[int], None] | Non
     return call
 
 
-def echo_client(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Deterministic stand-in model for tests and fixtures: answers every
-    request with a fixed-shape object derived from its hash."""
-    tag = pdf["request_hash"].str.slice(0, 12)
-    content = ('Sure: {"Response": "Reply ' + tag + '", "SensitiveTopic": "No", '
-               '"EmpathyScore": 4, "HelpfulnessScore": 4, "IndividualityScore": 5} bye')
-    return pd.DataFrame({"ID": pdf["ID"], "kind": pdf["kind"], "field": pdf["field"],
-                         "request_hash": pdf["request_hash"], "attempt": 1, "status": 200, "content": content})
-
-
 def outcome_log(applied: DataFrame) -> DataFrame:
     """Run-log rows ``(ID, reason)`` for rows an apply step left (partly)
     unchanged: failed request, unparsable answer, missing key.  Input is an

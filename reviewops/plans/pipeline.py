@@ -44,8 +44,9 @@ def _language_known(rows: DataFrame, places: DataFrame | None) -> DataFrame:
     return C.fill_language(C.detect_language(rows, places)).drop("detected_lang")
 
 
-def ingest_stage(table: DataFrame, landed: DataFrame, since: _dt.datetime, asof: _dt.date) -> DataFrame:
-    return M.new_keys(I.extract_landed(landed, since, asof), table.select("ID"))
+def ingest_stage(table: DataFrame, landed: DataFrame, since: _dt.datetime | None, asof: _dt.date) -> DataFrame:
+    """``since``: where a feed's take-while ends (``None``: nowhere)."""
+    return M.new_keys(I.extract_landed(landed, since or _dt.datetime.min, asof), table.select("ID"))
 
 
 def refresh_stage(table: DataFrame, fetches: DataFrame, asof: _dt.date,
@@ -55,38 +56,36 @@ def refresh_stage(table: DataFrame, fetches: DataFrame, asof: _dt.date,
     return R.apply_refresh(rows, fetches, asof, pages)
 
 
+# The stages below apply an answer only to the request that the rows make now, if the
+# ledger has request hashes (see ``enrich``).  Rows with a language found here are
+# checkpointed first: the finding is much code, and the requests are built from it again.
+
 def reply_stage(table: DataFrame, answers: DataFrame, asof: _dt.date, lookback_days: int | None = None,
-                with_outcome: bool = False, places: DataFrame | None = None,
-                system: str | None = None, by_request: bool = False) -> DataFrame:
-    """``lookback_days``: how old an unanswered review may be (``None``: any age).
-    ``by_request``: apply only answers to the very requests of these rows (a
-    ledger with request hashes)."""
+                with_outcome: bool = False, places: DataFrame | None = None, system: str | None = None) -> DataFrame:
+    """``lookback_days``: how old an unanswered review may be (``None``: any age)."""
     since = None if lookback_days is None else asof - _dt.timedelta(days=lookback_days)
-    rows = _language_known(W.unanswered(table, since=since), places)
-    requests = E.reply_requests(rows, system) if by_request else None
-    return E.apply_reply(rows, answers, asof, with_outcome=with_outcome, requests=requests)
+    rows = _language_known(W.unanswered(table, since=since), places).checkpoint()
+    return E.apply_reply(rows, answers, asof, with_outcome=with_outcome, system=system)
 
 
 def regenerate_stage(table: DataFrame, answers: DataFrame, asof: _dt.date, n: int | None = None,
-                     system: str | None = None, by_request: bool = False) -> DataFrame:
-    rows = W.regenerate_rows(table, n)
-    requests = E.reply_requests(rows, system) if by_request else None
-    return E.apply_reply(rows, answers, asof, requests=requests)
+                     system: str | None = None) -> DataFrame:
+    return E.apply_reply(W.regenerate_rows(table, n), answers, asof, system=system)
 
 
 def completion_stage(table: DataFrame, answers: DataFrame, n: int | None = None,
-                     places: DataFrame | None = None) -> DataFrame:
+                     places: DataFrame | None = None, system: str | None = None) -> DataFrame:
     """Completion answers applied; then rows still without a language get one."""
-    return _language_known(E.apply_completion(W.incomplete_rows(table, n), answers), places)
+    return _language_known(E.apply_completion(W.incomplete_rows(table, n), answers, system=system), places)
 
 
 def translation_stage(table: DataFrame, translations: DataFrame, n: int | None = None,
-                      places: DataFrame | None = None) -> DataFrame:
+                      places: DataFrame | None = None, system: str | None = None) -> DataFrame:
     """The language found here only decides what is translated; it is not stored."""
     rows = W.translate_candidates(table, n)
-    known = _language_known(rows.withColumn("_stored", F.col("Language")), places)
+    known = _language_known(rows.withColumn("_stored", F.col("Language")), places).checkpoint()
     verified = translations.withColumn("lang", C.text_language(F.col("content")))
-    out = E.apply_translation(known, verified)
+    out = E.apply_translation(known, verified, system=system)
     return out.withColumn("Language", F.col("_stored")).select(*table.columns)
 
 
@@ -99,8 +98,7 @@ def run_batch(spark: SparkSession, table_root: str, answers: DataFrame | None =
               places: DataFrame | None = None, lookback_days: int | None = None,
               regenerate_batch: int | None = None, completion_batch: int | None = None,
               translate_batch: int | None = None, oldest_count: int = S.OLD_REVIEW_REFRESH_COUNT,
-              by_request: bool = False, system: str | None = None,
-              merge_table: str | None = None) -> dict:
+              system: str | None = None, merge_table: str | None = None) -> dict:
     """Run the batch; returns the number of rows of each stage, the ``errors`` by
     stage, and ``version``, the version written.
 
@@ -136,14 +134,13 @@ def run_batch(spark: SparkSession, table_root: str, answers: DataFrame | None =
             errors[stage] = f"{type(failure).__name__}: {failure}"
             log(spark.createDataFrame([(None, f"stage failed: {errors[stage][:500]}")], "ID string, reason string"), stage)
 
-    run("ingest", landed is not None, lambda t: ingest_stage(t, landed, since or _dt.datetime.min, asof))
+    run("ingest", landed is not None, lambda t: ingest_stage(t, landed, since, asof))
     run("refresh", fetches is not None, lambda t: refresh_stage(t, fetches, asof, pages, oldest_count))
     run("reply", answers is not None, lambda t: reply_stage(
-        t, answers, asof, lookback_days, bool(log_path), places, system, by_request))
-    run("regenerate", answers is not None, lambda t: regenerate_stage(
-        t, answers, asof, regenerate_batch, system, by_request))
-    run("completion", answers is not None, lambda t: completion_stage(t, answers, completion_batch, places))
-    run("translate", translations is not None, lambda t: translation_stage(t, translations, translate_batch, places))
+        t, answers, asof, lookback_days, bool(log_path), places, system))
+    run("regenerate", answers is not None, lambda t: regenerate_stage(t, answers, asof, regenerate_batch, system))
+    run("completion", answers is not None, lambda t: completion_stage(t, answers, completion_batch, places, system))
+    run("translate", translations is not None, lambda t: translation_stage(t, translations, translate_batch, places, system))
     if patch is not None and merge_table is not None:
         M.merge_into_table(patch, merge_table, update_existing=True)
     elif patch is not None:

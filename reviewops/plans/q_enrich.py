@@ -305,8 +305,7 @@ def q_individuality_score(spark, sf):
     return C.individuality_score(reviews(spark, sf))
 
 
-# The test client answers from the SHA-256 of the request JSON; both engines
-# render the request struct as compact JSON in field order, nulls left out.
+# Both engines render the request struct as compact JSON in field order, nulls left out.
 def _req_json(generation: str) -> str:
     fixed = ("{'messages': [{'role': 'system', 'content': 'Answer in JSON.'}, {'role': 'user', 'content': content}],"
              f" 'max_tokens': {S.REPLY_MAX_TOKENS}, 'temperature': 1.0, 'top_p': 0.0, 'n': 1,"
@@ -317,8 +316,6 @@ def _req_json(generation: str) -> str:
 
 SYSTEM = "Answer in JSON."
 _FIRST_GENERATION = "sha256(coalesce(Response, ''))"
-_ECHO = ("'Sure: {\"Response\": \"Reply ' || substr(h, 1, 12) || '\", \"SensitiveTopic\": \"No\", '"
-         " || '\"EmpathyScore\": 4, \"HelpfulnessScore\": 4, \"IndividualityScore\": 5} bye'")
 _FILLED = (f"filled AS (SELECT * REPLACE (coalesce(Language, upper({G.detect_language()})) AS Language) FROM rows)")
 _ASKED = (f"asked AS (SELECT *, sha256({_req_json(_FIRST_GENERATION)}) AS h FROM (SELECT ID, Response, ApprovalStatus,"
           f" {_REPLY_CONTENT} AS content, CASE WHEN ApprovalStatus = 'Regenerate' THEN 1.0 ELSE 0.0 END"
@@ -327,32 +324,42 @@ _NUMBER = "CAST(split_part(ID, '-', 2) AS BIGINT)"
 
 
 def _filled(spark, sf):
-    return C.fill_language(C.detect_language(_unanswered(spark, sf))).drop("detected_lang")
+    """Checkpointed, as the pipeline's stages do: requests are built from these rows more than once."""
+    return C.fill_language(C.detect_language(_unanswered(spark, sf))).drop("detected_lang").checkpoint()
 
 
-def _earlier_calls(requests):
+def _earlier_calls(requests, answers):
     """A ledger for the requests: by number of the review, none, answered, refused
-    once (429), or failed twice (500)."""
+    once (429), or failed twice (500).  The answer is the stored one of the ID."""
     n = F.split_part("ID", F.lit("-"), F.lit(2)).cast("long") % 4
     calls = F.when(n == 1, F.array(F.lit(200))).when(n == 2, F.array(F.lit(429))).when(n == 3, F.array(F.lit(500), F.lit(500)))
-    return E.with_request_hash(requests).select(
-        "ID", "kind", F.lit(None).cast("string").alias("field"), "request_hash", F.posexplode(calls).alias("k", "status")).select(
-        "ID", "kind", "field", "request_hash", (F.col("k") + 1).alias("attempt"), "status", F.lit("earlier").alias("content"))
+    return E.with_request_hash(requests).join(answers.filter("kind = 'reply'").select("ID", "content"), "ID").select(
+        "ID", "kind", F.lit(None).cast("string").alias("field"), "request_hash", F.posexplode(calls).alias("k", "status"),
+        F.col("content")).select("ID", "kind", "field", "request_hash", (F.col("k") + 1).alias("attempt"), "status",
+                                 F.when(F.col("status") == 200, F.col("content")).alias("content"))
 
 
 @register("infer_replies", with_reviews(
-    f"SELECT ID, 'reply' AS kind, h AS request_hash, CAST(1 + CASE {_NUMBER} % 4 WHEN 2 THEN 1 WHEN 3 THEN 2 ELSE 0 END"
-    f" AS INTEGER) AS attempt, 200 AS status, {_ECHO} AS content FROM asked WHERE {_NUMBER} % 4 <> 1",
-    UNANSWERED, _FILLED, _ASKED))
+    f"SELECT ID, 'reply' AS kind, h AS request_hash, CAST(CASE {_NUMBER} % 4 WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END AS INTEGER) AS attempts,"
+    f" CASE WHEN {_NUMBER} % 4 = 1 THEN a.content END AS content FROM asked JOIN answers a USING (ID)",
+    G.ANSWERS_CTE, UNANSWERED, _FILLED, _ASKED))
 def q_infer_replies(spark, sf):
-    """Reply requests of the unanswered work-list run through the injected
-    client (``mapInPandas``, Arrow batches) over a ledger that holds answered,
-    refused and failed calls: only what has no 2xx answer is asked, attempts
-    count on.  The deterministic client makes the rest a function of the
-    request, so SQL can check it."""
+    """Around the model call: the reply requests of the unanswered work-list against
+    a ledger of answered, refused and failed calls.  Rows without content are the
+    requests that ``infer_replies`` would send, with the calls made so far; the
+    others were answered, and the answer is that of their own request."""
     requests = E.reply_requests(_filled(spark, sf), SYSTEM)
-    return E.infer_replies(requests, E.retrying(E.echo_client), _earlier_calls(requests),
-                           partitions=spark.sparkContext.defaultParallelism).drop("field")
+    ledger = _earlier_calls(requests.drop("content"), model_answers(spark, sf)).checkpoint()
+    todo = E.open_requests(requests, ledger).select("ID", "kind", "request_hash", "attempts", F.lit(None).cast("string").alias("content"))
+    return todo.unionByName(E.given_answers(requests, ledger).select(
+        "ID", F.lit("reply").alias("kind"), "request_hash", F.col("attempt").alias("attempts"), "content"))
+
+
+def _answers_to(requests):
+    """Stand-in ledger: one answered call per request, told apart by its hash."""
+    return E.with_request_hash(requests).select(
+        "ID", "kind", F.lit(None).cast("string").alias("field"), "request_hash", F.lit(1).alias("attempt"), F.lit(200).alias("status"),
+        F.concat(F.lit('{"Response": "Reply '), F.substring("request_hash", 1, 12), F.lit('"}')).alias("content"))
 
 
 @register("regenerate_twice", with_reviews(
@@ -361,15 +368,68 @@ def q_infer_replies(spark, sf):
     " FROM (SELECT *, 'Reply ' || substr(h, 1, 12) AS first_reply FROM asked WHERE ApprovalStatus = 'Regenerate'))",
     UNANSWERED, _FILLED, _ASKED))
 def q_regenerate_twice(spark, sf):
-    """Rows marked ``Regenerate`` twice in turn: each round asks anew and takes the
-    answer to its own request, not an earlier one."""
+    """Rows marked ``Regenerate`` twice in turn: each round makes a new request and takes
+    the answer to it out of a ledger that holds the answers of all rounds."""
     rows = _filled(spark, sf).filter("ApprovalStatus = 'Regenerate'")
-    first = E.reply_requests(rows, SYSTEM)
-    ledger = E.infer_replies(first, E.echo_client)
-    once = E.apply_reply(rows, ledger, FIXTURE_ASOF, requests=first)
+    ledger = _answers_to(E.reply_requests(rows, SYSTEM))
+    once = E.apply_reply(rows, ledger, FIXTURE_ASOF, system=SYSTEM).checkpoint()
     again = once.withColumn("ApprovalStatus", F.lit("Regenerate"))
-    second = E.reply_requests(again, SYSTEM)
-    ledger = ledger.unionByName(E.infer_replies(second, E.echo_client, ledger))
-    twice = E.apply_reply(again, ledger, FIXTURE_ASOF, requests=second)
+    ledger = ledger.unionByName(_answers_to(E.reply_requests(again, SYSTEM)))
+    twice = E.apply_reply(again, ledger, FIXTURE_ASOF, system=SYSTEM)
     return once.select("ID", F.col("Response").alias("first_reply")).join(
         twice.select("ID", F.col("Response").alias("second_reply"), "ApprovalStatus"), "ID")
+
+
+# -- a ledger with answers to earlier requests --------------------------------
+# Every ID has a later call that answers an earlier request; the request as it is now
+# was answered (or failed) for two IDs of three.
+
+_CURRENT = f"now AS (SELECT * FROM answers WHERE {_NUMBER} % 3 <> 0)"
+_STALE = ('{"Response": "OLD", "SensitiveTopic": "Yes", "StateRegion": "OLD", "Country": "OLD", "MainpositiveAspect": "OLD",'
+          ' "MainAreaofImprovement": "OLD", "EmpathyScore": 1, "HelpfulnessScore": 1, "IndividualityScore": 1}')
+
+
+def _joined_now(rows: str) -> str:
+    return (f"j AS (SELECT {rows}.*, a.status AS _status, {G.answer_obj('a.content')} AS obj FROM {rows}"
+            " LEFT JOIN now a USING (ID))")
+
+
+def _with_stale(requests, answers, stale):
+    """``answers`` (by ID, kind and, if both have one, field) under the hash of their request, and a
+    later answered call of an earlier request with ``stale``."""
+    keys = ["ID", "kind", *[k for k in ("field",) if k in requests.columns]]
+    asked = E.with_request_hash(requests).select(*keys, "request_hash")
+    field = F.col("field") if "field" in keys else F.lit(None).cast("string")
+    n = F.split_part("ID", F.lit("-"), F.lit(2)).cast("long")
+    now = answers.filter(n % 3 != 0).join(asked, keys).select("ID", "kind", field.alias("field"), "request_hash", "attempt", "status", "content")
+    old = asked.select("ID", "kind", field.alias("field"), F.sha2(F.concat(F.lit("earlier "), "request_hash"), 256).alias("request_hash"),
+                       F.lit(9).alias("attempt"), F.lit(200).alias("status"), F.lit(stale).alias("content"))
+    return now.unionByName(old).checkpoint()
+
+
+@register("apply_reply_by_request", with_reviews(
+    f"SELECT {G.row_select(G.reply_steps(ASOF))} FROM j", G.ANSWERS_CTE, UNANSWERED, _FILLED, _CURRENT, _joined_now("filled")))
+def q_apply_reply_by_request(spark, sf):
+    rows = _filled(spark, sf)
+    ledger = _with_stale(E.reply_requests(rows, SYSTEM).drop("content"), model_answers(spark, sf), _STALE)
+    return E.apply_reply(rows, ledger, FIXTURE_ASOF, system=SYSTEM)
+
+
+@register("apply_completion_by_request", with_reviews(
+    f"SELECT {G.row_select(G.completion_steps())} FROM j", G.ANSWERS_CTE, _INCOMPLETE, _CURRENT, _joined_now("rows")))
+def q_apply_completion_by_request(spark, sf):
+    rows = W.incomplete_rows(reviews(spark, sf))
+    ledger = _with_stale(E.completion_requests(rows, SYSTEM), model_answers(spark, sf), _STALE)
+    return E.apply_completion(rows, ledger, system=SYSTEM)
+
+
+@register("apply_translation_by_request", with_reviews(
+    f"SELECT {G.row_select(_TRANSLATION_OUT)} FROM rows LEFT JOIN tfirst USING (ID)"
+    " LEFT JOIN terr USING (ID) LEFT JOIN ttried USING (ID)",
+    _TRANSLATE_ROWS, _TREQ.replace("treq AS", "treq0 AS"), f"treq AS (SELECT * FROM treq0 WHERE {_NUMBER} % 3 <> 0)",
+    _TANS, _TGOOD, _TERR, _TTRIED))
+def q_apply_translation_by_request(spark, sf):
+    rows = W.translate_candidates(reviews(spark, sf))
+    req = E.translation_requests(rows, SYSTEM)
+    ledger = _with_stale(req, translation_answers(spark, sf, req), "This is the OLD text of the review and it is from the team")
+    return E.apply_translation(rows, ledger.withColumn("lang", C.text_language(F.col("content"))), system=SYSTEM)

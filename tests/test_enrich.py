@@ -2,6 +2,8 @@
 import datetime as dt
 import json
 
+import pandas as pd
+
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -12,6 +14,19 @@ from reviewops.operators.merge import schema_conform
 ASOF = dt.date(2024, 1, 31)
 
 
+def _echo():
+    def client(pdf):
+        """Stand-in model: answers every request with a text that names its hash."""
+        return pd.DataFrame({"ID": pdf["ID"], "kind": pdf["kind"], "field": pdf["field"], "request_hash": pdf["request_hash"],
+                             "attempt": 1, "status": 200, "content": "Reply " + pdf["request_hash"].str.slice(0, 12)})
+
+    return client
+
+
+# A local function travels to the workers by value (they cannot import tests).
+echo_client = _echo()
+
+
 def _rows(spark, data):
     df = spark.createDataFrame(
         data, "ID string, ApprovalStatus string, Location string, Response string, ReviewDate date")
@@ -136,9 +151,9 @@ def test_language_detection(spark):
 def test_infer_replies_skips_ledger(spark):
     req = spark.createDataFrame([("a", "x"), ("b", "y")], "ID string, t string").select(
         "ID", F.lit("reply").alias("kind"), F.struct(F.col("t")).alias("request"))
-    first = E.infer_replies(req, E.echo_client, partitions=2)
+    first = E.infer_replies(req, echo_client, partitions=2)
     assert first.count() == 2
-    again = E.infer_replies(req, E.echo_client, ledger=first.filter(F.col("ID") == "a"))
+    again = E.infer_replies(req, echo_client, ledger=first.filter(F.col("ID") == "a"))
     assert [r["ID"] for r in again.collect()] == ["b"]
 
 
@@ -149,7 +164,7 @@ def test_failed_calls_are_asked_again_and_counted_on(spark):
     ledger = (calls.filter("ID = 'a'").select("*", F.lit(1).alias("attempt"), F.lit(500).alias("status"), F.lit("x").alias("content"))
               .unionByName(calls.filter("ID = 'b'").select("*", F.lit(1).alias("attempt"), F.lit(201).alias("status"),
                                                            F.lit("y").alias("content"))))
-    out = E.infer_replies(req, E.echo_client, ledger)
+    out = E.infer_replies(req, echo_client, ledger)
     assert rows(out, "ID", "attempt", "status") == [("a", 2, 200)]
 
 
@@ -187,3 +202,70 @@ def test_answer_to_an_earlier_request_is_not_applied(spark):
                         F.lit(200).alias("status"), F.lit('{"Response": "OLD"}').alias("content"))
     out = E.apply_reply(table, ledger, ASOF, with_outcome=True, requests=E.reply_requests(table))
     assert rows(out, "Response", "ApprovalStatus", "outcome") == [("OLD", "Regenerate", "no answer")]
+
+
+def _ledger(requests, attempt, status, content):
+    field = F.col("field") if "field" in requests.columns else F.lit(None).cast("string")
+    return E.with_request_hash(requests).select("ID", "kind", field.alias("field"), "request_hash", F.lit(attempt).alias("attempt"),
+                                                F.lit(status).alias("status"), F.lit(content).alias("content"))
+
+
+def test_a_ledger_with_hashes_is_never_joined_by_id_alone(spark):
+    """No requests are given: they are built from the rows."""
+    table = schema_conform(spark.createDataFrame(
+        [("a", "DE", "Text", "OLD", "Regenerate")], "ID string, Language string, ReviewText string, Response string, ApprovalStatus string"))
+    stale = _ledger(E.reply_requests(table.withColumn("ApprovalStatus", F.lit(None).cast("string"))), 7, 200, '{"Response": "OLD"}')
+    assert rows(E.apply_reply(table, stale, ASOF), "Response", "ApprovalStatus") == [("OLD", "Regenerate")]
+    both = stale.unionByName(_ledger(E.reply_requests(table), 1, 200, '{"Response": "NEW"}'))
+    assert rows(E.apply_reply(table, both, ASOF), "Response", "ApprovalStatus") == [("NEW", "Pending")]
+    # the same messages under another system message are another request
+    assert rows(E.apply_reply(table, both, ASOF, system="Be kind"), "Response") == [("OLD",)]
+    done = schema_conform(spark.createDataFrame([("a", "Text", "now")], "ID string, ReviewText string, Response string"))
+    old = _ledger(E.completion_requests(done.withColumn("Response", F.lit("before"))), 5, 200, '{"SensitiveTopic": "Yes"}')
+    assert rows(E.apply_completion(done, old), "SensitiveTopic") == [(None,)]
+    new = old.unionByName(_ledger(E.completion_requests(done), 1, 200, '{"SensitiveTopic": "No"}'))
+    assert rows(E.apply_completion(done, new), "SensitiveTopic") == [("No",)]
+
+
+def test_translation_of_an_older_text_is_not_stored(spark):
+    table = schema_conform(spark.createDataFrame([("a", "DE", "Der Text", "Neue Antwort")],
+                                                 "ID string, Language string, ReviewText string, Response string"))
+    before = E.translation_requests(table.withColumn("Response", F.lit("Alte Antwort"))).filter("field = 'ResponseEN'")
+    now = E.translation_requests(table).filter("field = 'ResponseEN'")
+    for attempts in ((1, 1), (9, 1)):
+        ledger = _ledger(before, attempts[0], 200, "This is the old reply of the team").unionByName(
+            _ledger(now, attempts[1], 200, "This is the new reply of the team"))
+        out = E.apply_translation(table, ledger.withColumn("lang", F.lit("EN")))
+        assert rows(out, "ResponseEN", "DeveloperComment") == [("This is the new reply of the team", None)]
+    # failures and used-up tries of the older request do not count either
+    ledger = _ledger(before, 1, 500, None).unionByName(_ledger(before, 2, 200, "Alt"))
+    out = E.apply_translation(table, ledger.withColumn("lang", F.lit("DE")))
+    assert rows(out, "ResponseEN", "DeveloperComment") == [(None, None)]
+
+
+def test_request_errors_lists_only_what_never_succeeded(spark):
+    table = schema_conform(spark.createDataFrame([(i,) for i in "abc"], "ID string"))
+    data = [("a", "reply", "h1", 1, 500), ("a", "reply", "h1", 2, 200), ("b", "reply", "h1", 1, 200), ("b", "reply", "h2", 1, 429),
+            ("c", "translation", "h1", 1, 500), ("c", "translation", "h1", 2, 503), ("x", "reply", "h1", 1, 500)]
+    ledger = spark.createDataFrame([(i, k, None, h, n, s, None) for i, k, h, n, s in data], E.LEDGER_SCHEMA)
+    assert rows(E.request_errors(table, ledger)) == [("b", "reply", 429, "429"), ("c", "translation", 503, "503(translation)")]
+
+
+def test_open_requests_compile(spark, capfd):
+    """Requests over detected languages stay under the size that Spark can compile."""
+    from conftest import SF001
+    from reviewops.plans import QUERIES
+
+    for key in ("infer_replies", "regenerate_twice", "apply_reply_by_request"):
+        assert QUERIES[key](spark, SF001).count() > 0
+    err = capfd.readouterr().err
+    assert "grows beyond 64 KB" not in err
+
+
+def test_given_answers_are_those_of_the_request(spark):
+    table = schema_conform(spark.createDataFrame([("a", "DE", "T"), ("b", "DE", "T")], "ID string, Language string, ReviewText string"))
+    req = E.reply_requests(table)
+    ledger = _ledger(req, 1, 200, "first").unionByName(_ledger(req, 2, 200, "second")).unionByName(_ledger(req.filter("ID = 'a'"), 3, 500, "x"))
+    ledger = ledger.unionByName(_ledger(E.reply_requests(table, "other"), 4, 200, "other"))
+    assert rows(E.given_answers(req, ledger), "ID", "attempt", "content") == [("a", 2, "second"), ("b", 2, "second")]
+    assert E.open_requests(req, ledger).count() == 0 and E.open_requests(E.reply_requests(table, "new"), ledger).count() == 2

@@ -98,3 +98,26 @@ def test_merge_of_a_measured_batch_shuffles_no_table_row(spark, tmpdir_path):
             assert not wide
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_batch_without_since_takes_whole_feeds(spark, tmpdir_path):
+    roots = [os.path.join(tmpdir_path, x) for x in ("none", "min")]
+    out = []
+    for root, since in zip(roots, (None, dt.datetime(1900, 1, 1))):
+        T.table_replace_sink(reviews(spark, SF001), root)
+        out.append(run_batch(spark, root, asof=ASOF, landed=feed_pages(spark, SF001), since=since))
+    assert "errors" not in out[0] and out[0]["ingest"] == out[1]["ingest"] > 0
+
+
+def test_batch_does_not_close_a_regeneration_with_an_old_answer(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "table")
+    table = schema_conform(spark.createDataFrame(
+        [("a", "DE", "Indeed", "Text", "OLD", "Regenerate")],
+        "ID string, Language string, Portal string, ReviewText string, Response string, ApprovalStatus string"))
+    T.table_replace_sink(table, root)
+    first = E.with_request_hash(E.reply_requests(table.withColumn("ApprovalStatus", F.lit(None).cast("string"))))
+    ledger = first.select("ID", "kind", F.lit(None).cast("string").alias("field"), "request_hash", F.lit(1).alias("attempt"),
+                          F.lit(200).alias("status"), F.lit('{"Response": "OLD"}').alias("content"))
+    out = run_batch(spark, root, ledger, asof=ASOF)
+    assert "errors" not in out
+    assert rows(T.read_table(spark, root), "Response", "ApprovalStatus") == [("OLD", "Regenerate")]
