@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -7,28 +8,37 @@ from reviewops.llm import op6_lines
 from reviewops.llm.op6_lines import DIVISOR, line_dedup, op6_line_dedup
 
 
-def chunks(text):
+def pair_counts(rows):
+    return Counter(p for _, t in rows for x in [(t or "").split("\n")] for p in zip(x, x[1:], strict=False))
+
+
+def chunks(text, count):
     lines = (text or "").split("\n")
     h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
-    out, now = [], []
-    for i, line in enumerate(lines):
-        now.append(line)
-        if i + 1 == len(lines) or (i >= 1 and (31 * h[i - 1] + h[i]) % DIVISOR == 0):
-            out.append(now)
-            now = []
+    runs = [[0]]
+    for i in range(1, len(lines)):
+        runs[-1].append(i) if count[lines[i - 1], lines[i]] > 1 else runs.append([i])
+    out = []
+    for run in runs:
+        zero = [i for i in run[1:] if (31 * h[i - 1] + h[i]) % DIVISOR == 0]
+        ends = [i for i in zero if i - 1 not in zero and i < run[-1] - 1] + [run[-1]]
+        start = run[0]
+        for e in ends:
+            out.append(lines[start:e + 1])
+            start = e + 1
     return out
 
 
 def brute(rows):
-    """Kept text of each row; equal rows are one document."""
-    first = {}
-    docs = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0))
-    for d, t in docs:
-        for pos, part in enumerate(chunks(t)):
-            first.setdefault("\n".join(part), (d, t, pos))
+    """Kept text of each row; of equal rows one is the first."""
+    count, first = pair_counts(rows), {}
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
+    for i in order:
+        for pos, part in enumerate(chunks(rows[i][1], count)):
+            first.setdefault("\n".join(part), (i, pos))
     out = []
-    for d, t in rows:
-        kept = [x for pos, p in enumerate(chunks(t)) if len(p) == 1 or first["\n".join(p)] == (d, t, pos) for x in p]
+    for i, (d, t) in enumerate(rows):
+        kept = [x for pos, p in enumerate(chunks(t, count)) if len(p) == 1 or first["\n".join(p)] == (i, pos) for x in p]
         n = len((t or "").split("\n"))
         out.append((d, n, n - len(kept), "\n".join(kept)))
     return sorted(out, key=str)
@@ -60,11 +70,37 @@ def test_against_brute_force(make_docs):
         assert sum(r[2] for r in want) > 20
 
 
-def test_a_shift_moves_no_boundary_beyond_the_window():
+def test_a_shift_moves_no_boundary_beyond_the_rim():
     lines = [f"s{i}" for i in range(200)]
-    whole = chunks("\n".join(lines))
-    shifted = chunks("\n".join(["new", "lines", "here", *lines]))
-    assert whole[3:] == shifted[-len(whole[3:]):]
+    texts = ["\n".join(lines), "\n".join(["new", "lines", "here", *lines]), "\n".join(lines)]
+    count = pair_counts([(0, t) for t in texts])
+    whole, shifted = chunks(texts[0], count), chunks(texts[1], count)
+    assert shifted[3:] == whole and min(map(len, whole)) == 2
+    count["here", "s0"] = 2  # now the run starts three lines earlier
+    assert chunks(texts[1], count)[-len(whole) + 2:] == whole[2:]
+
+
+def test_short_shared_passages_go(make_docs):
+    """A notice of three lines in fifty texts stays once; passages of two lines and more, too."""
+    r = random.Random(7)
+    rows = [(i, "\n".join([f"own {i}", "A notice", "of three", "lines", f"more {i}"])) for i in range(50)]
+    passages = [[f"p{k} {j}" for j in range(2 + k % 9)] for k in range(30)]
+    rows += [(100 + i, "\n".join([f"x{i}", *r.choice(passages), f"y{i}", *r.choice(passages), f"z{i}"])) for i in range(300)]
+    out = {x[0]: x for x in got(line_dedup(make_docs(rows)))}
+    assert sum(out[i][2] for i in range(50)) == 147 and out[0][2] == 0
+    kept = sum(x[1] - x[2] for i, x in out.items() if i >= 100)
+    assert kept == 3 * 300 + sum(len(p) for p in passages)
+
+
+def test_one_of_equal_rows_stays(spark, make_docs):
+    rows = [(1, "a\nb\nc")] * 3 + [(2, "other\na\nb\nc"), (3, "one")] + [(3, "one")]
+    assert [x[2] for x in got(line_dedup(make_docs(rows)))] == [0, 3, 3, 3, 0, 0] and got(line_dedup(make_docs(rows))) == brute(rows)
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert sorted(x[2] for x in con.execute(op6_lines.OP6_SQL).fetchall()) == [0, 0, 0, 3, 3, 3]
 
 
 def test_empty_odd_columns_and_long_text(make_docs):
