@@ -36,7 +36,7 @@ from reviewops.llm import common as c
 from reviewops.llm import filters as cqf
 
 # Words of a shard (beyond it, up to one piece of a text), and keys of a bucket or rows of a window group.
-SHARD_WORDS, GROUP_KEYS = 1 << 21, 1 << 20
+SHARD_WORDS, GROUP_KEYS = 1 << 20, 1 << 20
 PIECE = c.PIECE
 LONGEST = 4
 _CAPITALS, _BREAKS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b".,;:!?\x0b\x0c\r"
@@ -45,6 +45,15 @@ _P, _Q = ["p1", "p2", "p3", "p4"], ["q1", "q2", "q3", "q4"]
 _U = np.uint64
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers byte by byte, all low bytes first: the high ones are nearly all zero and compress away."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 class _Book(dict):
     """Numbers of one language's words; all languages of a shard share the running number."""
 
@@ -84,13 +93,13 @@ class _Shard:
         """The shard as a row, and the words before a text that goes on in the next one."""
         codes = np.concatenate(self.codes)
         counts = np.bincount(codes[self.head:], minlength=len(self.listed) + 1)[1:]
-        langs, words = zip(*self.listed, strict=True) if self.listed else ((), ())
-        cols = [pa.array([number]), pa.array([self.head], pa.int32()), pa.array([codes.astype("<u4").tobytes()], pa.binary()),
-                pa.array([langs], pa.list_(pa.string())), pa.array([words], pa.list_(pa.binary())), pa.array([counts.tolist()], pa.list_(pa.int64()))]
+        keys = [len(x := lang.encode()).to_bytes(4) + x + word for lang, word in self.listed]
+        cols = [pa.array([number]), pa.array([self.head], pa.int32()), pa.array([_planes(codes)], pa.binary()),
+                pa.array([keys], pa.list_(pa.binary())), pa.array([counts.tolist()], pa.list_(pa.int64()))]
         tail = codes[1 - LONGEST:]
         since = np.flatnonzero(tail == 0)
         before = [self.listed[x - 1] for x in tail[since[-1] + 1 if len(since) else 0:].tolist()]
-        return pa.RecordBatch.from_arrays(cols, names=["shard", "head", "codes", "langs", "words", "counts"]), before
+        return pa.RecordBatch.from_arrays(cols, names=["shard", "head", "codes", "keys", "counts"]), before
 
 
 def _shards(words: int, piece_bytes: int):
@@ -138,7 +147,7 @@ def _count_pairs(width: int, lead: int):
     def run(shards: pa.Table, ids: pa.Table) -> pa.Table:
         if not shards.num_rows or not ids.num_rows:
             return _out(None, None, [], [])
-        head, codes = shards["head"][0].as_py(), np.frombuffer(shards["codes"][0].as_py(), dtype="<u4")
+        head, codes = shards["head"][0].as_py(), _numbers(shards["codes"][0].as_py())
         of = np.zeros(int(codes.max()) + 1, dtype=_U)
         of[ids["at"].to_numpy() + 1] = ids["id"].to_numpy().astype(_U)
         x = of[codes]
@@ -150,7 +159,7 @@ def _count_pairs(width: int, lead: int):
             counts = np.ones(len(a), dtype=np.int64)
             counts[:head - 1] = 0
             counts = counts[real]
-        return _out(shards["shard"][0].as_py(), head, *_buckets(a[real], b[real], width, lead, counts), [x.astype("<u4").tobytes()])
+        return _out(shards["shard"][0].as_py(), head, *_buckets(a[real], b[real], width, lead, counts), [_planes(x)])
 
     return run
 
@@ -161,7 +170,7 @@ def _count_longer(width: int, lead: int):
     def run(shards: pa.Table, pairs: pa.Table) -> pa.Table:
         if not shards.num_rows or not pairs.num_rows:
             return _out(None, None, [], [])
-        head, x = shards["head"][0].as_py(), np.frombuffer(shards["data"][0].as_py(), dtype="<u4").astype(_U)
+        head, x = shards["head"][0].as_py(), _numbers(shards["data"][0].as_py()).astype(_U)
         known = np.sort(np.concatenate([np.frombuffer(p, dtype="<u8") for p in pairs["data"].to_pylist()]))
         pair = x[:-1] << _U(width) | x[1:]
         ok = known[np.minimum(np.searchsorted(known, pair), len(known) - 1)] == pair
@@ -215,26 +224,29 @@ def _vocabulary(words: DataFrame, least: int) -> DataFrame:
     interleaved."""
     often = words.filter(F.col("f") >= least)
     parts = 1 + often.count() // GROUP_KEYS
-    often = often.withColumn("part", F.pmod(F.xxhash64("lang", "word"), F.lit(parts)))
-    number = F.row_number().over(Window.partitionBy("part").orderBy("lang", "word")).cast("long")
-    return c.stage(often.select("lang", "word", "f", ((number - 1) * parts + F.col("part") + 1).alias("id")), "phrase-ids")
+    often = often.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)))
+    number = F.row_number().over(Window.partitionBy("part").orderBy("key")).cast("long")
+    return c.stage(often.select("key", "lang", "word", "f", ((number - 1) * parts + F.col("part") + 1).alias("id")), "phrase-ids")
 
 
 def _counts(docs: DataFrame, text_col: str, lang_col: str, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All words with their counts, the vocabulary, and frequent phrases (ids in ``p1..p4``, 0 for none)."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("_lang"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    shards = c.stage(rows.mapInArrow(_shards(SHARD_WORDS, PIECE), "shard long, head int, codes binary, langs array<string>, "
-                                     "words array<binary>, counts array<long>"), "phrase-shards")
-    books = shards.select("shard", F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("at", "w")).select(
-        "shard", "at", F.col("w.langs").alias("lang"), F.col("w.words").alias("word"), F.col("w.counts").alias("f"))
-    words = c.stage(books.groupBy("lang", "word").agg(F.sum("f").alias("f")), "phrase-words")
+    shards = c.stage(rows.mapInArrow(_shards(SHARD_WORDS, PIECE), "shard long, head int, codes binary, keys array<binary>, counts array<long>"),
+                     "phrase-shards")
+    books = shards.select("shard", F.posexplode(F.arrays_zip("keys", "counts")).alias("at", "w")).select(
+        "shard", "at", F.col("w.keys").alias("key"), F.col("w.counts").alias("f"))
+    # A key is the length of the language, the language and the word.
+    words = books.groupBy("key").agg(F.sum("f").alias("f")).withColumn("n", F.conv(F.hex(F.substring("key", 1, 4)), 16, 10).cast("int"))
+    words = c.stage(words.select("key", F.expr("decode(substring(key, 5, n), 'UTF-8')").alias("lang"), F.expr("substring(key, 5 + n)").alias("word"), "f"),
+                    "phrase-words")
     vocabulary = _vocabulary(words, least)
     total, top = words.agg(F.sum("f")).first()[0] or 0, vocabulary.agg(F.max("id")).first()[0] or 1
     width = top.bit_length()
     if width > 32:
         raise ValueError("over four billion words reach the least count")
-    ids = books.join(vocabulary.select("lang", "word", "id"), ["lang", "word"]).select(F.col("shard").alias("of"), "at", "id")
+    ids = books.join(vocabulary.select("key", "id"), "key").select(F.col("shard").alias("of"), "at", "id")
     # Buckets for about GROUP_KEYS keys each, were every word the start of another pair.
     lead = min((total // GROUP_KEYS).bit_length(), 2 * width)
     laid = c.stage(shards.select("shard", "head", "codes").groupBy("shard").cogroup(ids.groupBy("of")).applyInArrow(
@@ -327,19 +339,21 @@ WITH pieces AS (
   SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM (
     SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
-grams AS (
+grams AS MATERIALIZED (
   SELECT lang, m, phrase, count(*) AS a FROM (
     SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM (
       SELECT lang, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i
       FROM pieces, (VALUES (1), (2), (3), (4)) AS sizes(m) WHERE len(w) >= m)) GROUP BY lang, m, phrase),
 totals AS (SELECT lang, sum(a) AS n FROM grams WHERE m = 1 GROUP BY lang),
-cand AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM grams WHERE m > 1 AND a >= 30),
-cuts AS (SELECT lang, m, phrase, a, w, unnest(generate_series(1, m - 1)) AS k FROM cand),
+cand AS MATERIALIZED (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM grams WHERE m > 1 AND a >= 30),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS left_part, array_to_string(w[k + 1:m], ' ') AS right_part
+  FROM (SELECT lang, m, phrase, a, w, unnest(generate_series(1, m - 1)) AS k FROM cand)),
+often AS (SELECT lang, phrase, a FROM grams WHERE a >= 30),
 scored AS (
   SELECT c.lang, c.phrase, c.a, l.a AS l, r.a AS r, (2000000::HUGEINT * c.a) // (l.a + r.a) AS score,
     row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (2000000::HUGEINT * c.a) // (l.a + r.a), k) AS pick
-  FROM cuts c JOIN grams l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
-  JOIN grams r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:c.m], ' ')),
+  FROM cuts c JOIN often l ON l.lang = c.lang AND l.phrase = c.left_part JOIN often r ON r.lang = c.lang AND r.phrase = c.right_part),
 inside AS (
   SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS longer FROM (
     SELECT lang, w, a, s, unnest(generate_series(1, m - s + 1)) AS i FROM cand, (VALUES (2), (3)) AS sizes(s) WHERE s < m)

@@ -67,7 +67,7 @@ def test_long_text_over_many_shards_and_buckets(make_docs, monkeypatch):
     rows = [(prose(r, 6000, 20).replace(". ", " "), "en"), ("go on " * 700, "en"), (prose(r, 300, 10), None)]
     docs = make_docs([(i, t, lang) for i, (t, lang) in enumerate(rows)]).coalesce(1)
     shards = docs.selectExpr("coalesce(lang, 'und') as _lang", "text as _text").mapInArrow(
-        op._shards(50, 90), "shard long, head int, codes binary, langs array<string>, words array<binary>, counts array<long>")
+        op._shards(50, 90), "shard long, head int, codes binary, keys array<binary>, counts array<long>")
     assert shards.count() > 20 and shards.filter("head = 3").count() > 10
     assert got(op.mine_phrases(docs, least=5)) == brute(rows, 5)
 
