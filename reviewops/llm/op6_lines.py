@@ -4,7 +4,8 @@ Lines end at ``\\n``.  Two neighbouring lines that stand together at only one pl
 lie in no repeated chunk, so every text is cut between them; what is left in one piece, a run, holds
 repeated pairs only.  Each line has a 28-bit hash (from its MD5); a rolling hash weighs the hashes of
 a line and the one before, and inside a run a chunk ends after every line where it is zero modulo
-``divisor``.  A boundary right after another, after the first or before the last line of a run does not
+``divisor``, or, where lines alternate or one is repeated (the hashes before and after are equal), after
+every second line.  A boundary right after another, after the first or before the last line of a run does not
 count, so chunks of a run have two lines at least.  A boundary depends on a few lines around it and
 on how often their pairs occur, so lines put in or taken out elsewhere do not move it.
 
@@ -47,7 +48,8 @@ def _with_chunks(text: DataFrame, divisor: int) -> DataFrame:
         return F.coalesce(F.get("pairs", i - 1), F.lit(False))
 
     def zero(i):
-        return (WEIGHTS[0] * F.get("hashes", i - 2) + WEIGHTS[1] * F.get("hashes", i - 1)) % divisor == 0
+        rolled = WEIGHTS[0] * F.get("hashes", i - 2) + WEIGHTS[1] * F.get("hashes", i - 1)
+        return F.when(F.get("hashes", i - 2) == F.get("hashes", i), i % 2 == 0).otherwise(rolled % divisor == 0)
 
     return text.withColumn("ends", F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: ~pair(i) | (
         pair(i - 1) & pair(i + 1) & zero(i) & ~(pair(i - 2) & zero(i - 1)))))
@@ -73,8 +75,9 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR, id_col: str = "doc_id",
         F.collect_set(F.struct("pos", F.coalesce("twice", F.lit(False)).alias("twice"))).alias("p")).filter(F.exists("p", lambda x: x["twice"]))
     pairs = c.stage(pairs.select("_k", "_j", F.array_sort("p")["twice"].alias("pairs")), "pairs")
 
-    # Same columns of the text as in the last join, so that both read one shuffle of it.
-    found = _with_chunks(text.join(pairs, ["_k", "_j"]).select("_k", "_j", "_id", "_text", "_row", "_none", "pairs"), divisor)
+    # Same columns of the text as in the last join, so that both read one shuffle of it.  The hints keep
+    # the plan of large tables at every size; a hot key is still split.
+    found = _with_chunks(text.join(pairs.hint("merge"), ["_k", "_j"]).select("_k", "_j", "_id", "_text", "_row", "_none", "pairs"), divisor)
     many = F.filter(F.sequence(F.lit(0), F.size("ends") - 1), lambda p: F.size(_chunk(p)) > 1)
     found = found.select("_k", "_j", "_id", F.explode(F.transform(many, lambda p: F.struct(
         p.alias("pos"), F.array_join(_chunk(p), "\n").alias("chunk")))).alias("e")).select("_k", "_j", "_id", "e.*")
@@ -84,7 +87,7 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR, id_col: str = "doc_id",
     gone = (found.join(first, "chunk").filter(~F.col("place").eqNullSafe(F.col("first")))
             .groupBy(F.col("place.k").alias("_k"), F.col("place.j").alias("_j")).agg(F.collect_set("place.pos").alias("gone")))
 
-    out = _with_chunks(text.join(pairs.join(gone, ["_k", "_j"]), ["_k", "_j"], "left"), divisor)
+    out = _with_chunks(text.join(pairs.join(gone, ["_k", "_j"]).hint("merge"), ["_k", "_j"], "left"), divisor)
     keep = F.array_except(F.sequence(F.lit(0), F.size("ends") - 1), "gone")
     kept = F.flatten(F.transform(keep, _chunk))
     out = out.select("_k", "_j", "_id", "_row", "_none", F.size("lines").cast("long").alias("n_lines"), F.when(
@@ -132,7 +135,8 @@ l AS (SELECT doc_id, r, unnest(lines) AS line, unnest(range(1, len(lines) + 1))
 t AS (SELECT *, CAST(('0x' || substr(md5(line), 1, 7)) AS BIGINT) AS h,
       lead(line) OVER w AS next FROM l WINDOW w AS (PARTITION BY r ORDER BY i)),
 g AS (SELECT *, next IS NOT NULL AND count(*) OVER (PARTITION BY line, next) > 1 AS pair FROM t),
-z AS (SELECT *, coalesce(({WEIGHTS[0]} * lag(h) OVER w + {WEIGHTS[1]} * h) % {DIVISOR} = 0, false) AS zero,
+z AS (SELECT *, CASE WHEN lag(h) OVER w = lead(h) OVER w THEN i % 2 = 0
+      ELSE coalesce(({WEIGHTS[0]} * lag(h) OVER w + {WEIGHTS[1]} * h) % {DIVISOR} = 0, false) END AS zero,
       coalesce(lag(pair) OVER w, false) AS p1, coalesce(lag(pair, 2) OVER w, false) AS p2, coalesce(lead(pair) OVER w, false) AS n1
       FROM g WINDOW w AS (PARTITION BY r ORDER BY i)),
 e AS (SELECT *, NOT pair OR (p1 AND n1 AND zero AND NOT (p2 AND coalesce(lag(zero) OVER w, false))) AS ending

@@ -20,7 +20,7 @@ def chunks(text, count):
         runs[-1].append(i) if count[lines[i - 1], lines[i]] > 1 else runs.append([i])
     out = []
     for run in runs:
-        zero = [i for i in run[1:] if (31 * h[i - 1] + h[i]) % DIVISOR == 0]
+        zero = [i for i in run[1:] if (i % 2 if h[i - 1:i] == h[i + 1:i + 2] else (31 * h[i - 1] + h[i]) % DIVISOR == 0)]
         ends = [i for i in zero if i - 1 not in zero and i < run[-1] - 1] + [run[-1]]
         start = run[0]
         for e in ends:
@@ -92,6 +92,12 @@ def test_short_shared_passages_go(make_docs):
     assert kept == 3 * 300 + sum(len(p) for p in passages)
 
 
+def test_a_line_repeated_or_alternating_in_a_text(make_docs):
+    rows = [(1, "\n".join(["same"] * 91)), (2, "\n".join(["tick", "tock"] * 40 + ["end"]))]
+    assert got(line_dedup(make_docs(rows))) == brute(rows)
+    assert [x[2] for x in brute(rows)] == [86, 78]
+
+
 def test_one_of_equal_rows_stays(spark, make_docs):
     rows = [(1, "a\nb\nc")] * 3 + [(2, "other\na\nb\nc"), (3, "one")] + [(3, "one")]
     assert [x[2] for x in got(line_dedup(make_docs(rows)))] == [0, 3, 3, 3, 0, 0] and got(line_dedup(make_docs(rows))) == brute(rows)
