@@ -117,9 +117,13 @@ def feed_cuts(pages: DataFrame) -> DataFrame:
 def rows_before_cuts(pages: DataFrame, cuts: DataFrame) -> DataFrame:
     """Feed rows of ``page_window`` pages up to their feed's cut: pages after the
     cut page go, the cut page itself already ends at its old review."""
-    kept = (pages.join(cuts, FEED_KEYS, "left")
-            .filter(_c("cut_page").isNull() | (_c("page") <= _c("cut_page"))))
-    return typed_reviews(kept.select(*PAGE_KEYS, F.explode("items").alias("i"))
+    return page_rows(pages.join(cuts, FEED_KEYS, "left")
+                     .filter(_c("cut_page").isNull() | (_c("page") <= _c("cut_page"))))
+
+
+def page_rows(pages: DataFrame) -> DataFrame:
+    """Feed rows of ``page_window`` pages."""
+    return typed_reviews(pages.select(*PAGE_KEYS, F.explode("items").alias("i"))
                          .select(*PAGE_KEYS, "i.pos", "i.raw"))
 
 
@@ -218,14 +222,19 @@ def normalize(feed: DataFrame, asof: _dt.date, keep: tuple[str, ...] = ()) -> Da
     return _to_table(feed.filter(_p().isin(VALID)), cols, keep)
 
 
-def first_in_feed_order(window: DataFrame, asof: _dt.date) -> DataFrame:
-    """Table rows of the windowed feed rows, the first occurrence per ID in the
-    order in which runs fetch: run, portal, language, page, position."""
+def in_feed_order(window: DataFrame, asof: _dt.date) -> DataFrame:
+    """Table rows of the windowed feed rows with ``_ord``, their place in the order in
+    which runs fetch: run, portal, language, page, position."""
     lang = F.array_position(F.array(*[F.lit(x) for x in LANGUAGE_ORDER]), F.lower("lang"))
     order = F.struct(_c("run_id"), _p().alias("portal"),
                      F.coalesce(F.nullif(lang, F.lit(0)), F.lit(len(LANGUAGE_ORDER) + 1)).alias("nth"),
                      _c("lang"), _c("page"), _c("pos"), _c("raw"))
-    return dedupe_incoming(normalize(window.withColumn("_ord", order), asof, keep=("_ord",)), "_ord")
+    return normalize(window.withColumn("_ord", order), asof, keep=("_ord",))
+
+
+def first_in_feed_order(window: DataFrame, asof: _dt.date) -> DataFrame:
+    """Table rows of the windowed feed rows, the first occurrence per ID in feed order."""
+    return dedupe_incoming(in_feed_order(window, asof), "_ord")
 
 
 def extract_landed(landed: DataFrame, since: _dt.datetime, asof: _dt.date) -> DataFrame:

@@ -110,3 +110,65 @@ def test_failed_version_write_does_not_block_retry(spark, tmpdir_path):
     assert T.read_table(spark, root).count() == r.filter(F.col("Portal") == "Indeed").count()
     assert T.table_replace_sink(r.filter(F.col("Portal") == "kununu"), root) == 3
     assert rows(T.read_table(spark, root), "ID") == rows(r.filter(F.col("Portal") == "kununu"), "ID")
+
+
+def _land(folder, pages, start=0):
+    """One file per landed page, in order of modification time."""
+    import json
+
+    os.makedirs(folder, exist_ok=True)
+    for k, (run, page, reviews_) in enumerate(pages, start):
+        path = os.path.join(folder, f"part-{k}.json")
+        with open(path, "w") as f:
+            f.write(json.dumps({"run_id": run, "portal": "kununu", "lang": "all", "page": page,
+                                "body": json.dumps({"reviews": reviews_})}) + "\n")
+        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+
+
+def _review(i, ts="2024-01-29T00:00:00"):
+    return {"id": i, "url": i, "title": i, "datetime": ts, "rating": 4, "text": "t"}
+
+
+def test_micro_batches_read_no_table_and_restarts_go_on(spark, tmpdir_path, monkeypatch):
+    """IDs of the table, of earlier micro-batches and of earlier starts are known from the state alone."""
+    from reviewops.operators.merge import schema_conform
+    from reviewops.streaming import ingest as SI
+
+    landed, root, ckpt = (os.path.join(tmpdir_path, x) for x in ("landed", "table", "ckpt"))
+    T.table_replace_sink(schema_conform(spark.createDataFrame([("old",)], "ID string")), root)
+
+    def no_scan(*a, **k):
+        raise AssertionError("a micro-batch compared IDs with the table")
+
+    def go():
+        stream_ingest(spark, landed, root, SINCE, ASOF, checkpoint=ckpt, files_per_batch=1).awaitTermination(300)
+        return sorted(r.ID for r in T.read_table(spark, root).collect())
+
+    with monkeypatch.context() as m:
+        m.setattr(SI, "new_keys", no_scan)
+        _land(landed, [("r1", 0, [_review("a"), _review("old")]), ("r1", 1, [_review("a"), _review("b")])])
+        assert go() == ["a", "b", "old"]
+        _land(landed, [("r2", 0, [_review("b"), _review("c"), _review("x", "2023-01-01T00:00:00")]), ("r2", 1, [_review("y")])], 2)
+        assert go() == ["a", "b", "c", "old"]
+    # another writer: from now on rows are compared with the table too
+    T.table_sink(schema_conform(spark.createDataFrame([("d",)], "ID string")), root)
+    _land(landed, [("r3", 0, [_review("d"), _review("e")]), ("r2", 2, [_review("z")])], 4)
+    assert go() == ["a", "b", "c", "d", "e", "old"]
+
+
+def test_replayed_micro_batch_appends_nothing_twice(spark, tmpdir_path):
+    """A failure between the table commit and the checkpoint commit: the commit file is missing, so the
+    micro-batch runs again on the state before it."""
+    from reviewops.streaming import ingest as SI
+
+    landed, root, ckpt = (os.path.join(tmpdir_path, x) for x in ("landed", "table", "ckpt"))
+    _land(landed, [("r1", 0, [_review("a")]), ("r1", 1, [_review("b")])])
+    stream_ingest(spark, landed, root, SINCE, ASOF, checkpoint=ckpt, files_per_batch=1).awaitTermination(300)
+    last = max(int(x) for x in os.listdir(os.path.join(ckpt, "commits")) if x.isdigit())
+    os.unlink(os.path.join(ckpt, "commits", str(last)))
+    crc = os.path.join(ckpt, "commits", f".{last}.crc")
+    if os.path.exists(crc):
+        os.unlink(crc)
+    SI._note(spark, ckpt + "-table", "1 1 1")  # and the note was not written either
+    stream_ingest(spark, landed, root, SINCE, ASOF, checkpoint=ckpt, files_per_batch=1).awaitTermination(300)
+    assert sorted(r.ID for r in T.read_table(spark, root).collect()) == ["a", "b"]
