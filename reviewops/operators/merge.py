@@ -91,10 +91,11 @@ def guard_unique_keys(incoming: DataFrame, key: str = "ID") -> DataFrame:
 
 def merge(table: DataFrame, incoming: DataFrame, insert_new: bool = True,
           update_existing: bool = False, key: str = "ID", validate: str | None = "lazy",
-          batch_rows: int | None = None) -> DataFrame:
+          batch_rows: int | None = None, ids: DataFrame | None = None) -> DataFrame:
     """``validate``: ``"lazy"`` (fail the job), ``"eager"`` (raise
     ``DuplicateKeyError`` now, listing keys) or ``None``.  ``batch_rows``: the
-    measured number of incoming rows, if known."""
+    measured number of incoming rows, if known.  ``ids``: the incoming keys (each once
+    or more), where they are cheaper to read than from ``incoming`` (upsert only)."""
     if not (insert_new or update_existing):
         return table
     if validate == "eager":
@@ -103,7 +104,7 @@ def merge(table: DataFrame, incoming: DataFrame, insert_new: bool = True,
         incoming = guard_unique_keys(incoming, key)
     incoming = incoming.select(*table.columns)
     if insert_new and update_existing:
-        kept = table.join(_ids(incoming, key, batch_rows), key, "left_anti")
+        kept = table.join(_ids(incoming if ids is None else ids, key, batch_rows), key, "left_anti")
         return kept.unionByName(incoming)
     if insert_new:
         return table.unionByName(new_keys(incoming, table, key, batch_rows))

@@ -37,7 +37,7 @@ from ..operators import ingest as I
 from ..operators import merge as M
 from ..operators import refresh as R
 from ..operators import worklists as W
-from ..sinks.table import csv_backup, dupes_report, read_table, run_log, table_replace_sink
+from ..sinks.table import csv_backup, dupes_report, read_table, run_log, table_patch_sink, table_replace_sink
 
 
 def _language_known(rows: DataFrame, places: DataFrame | None) -> DataFrame:
@@ -98,11 +98,12 @@ def run_batch(spark: SparkSession, table_root: str, answers: DataFrame | None =
               places: DataFrame | None = None, lookback_days: int | None = None,
               regenerate_batch: int | None = None, completion_batch: int | None = None,
               translate_batch: int | None = None, oldest_count: int = S.OLD_REVIEW_REFRESH_COUNT,
-              system: str | None = None, merge_table: str | None = None) -> dict:
+              system: str | None = None, merge_table: str | None = None, merge_on_read: bool = False) -> dict:
     """Run the batch; returns the number of rows of each stage, the ``errors`` by
     stage, and ``version``, the version written.
 
-    With ``merge_table`` (a catalog table of a row-level format) the patch is
+    With ``merge_on_read`` the batch is written as a patch (``patch``, its number), so the write costs
+    what the batch's rows cost; ``sinks.table.compact`` makes a version of it.  With ``merge_table`` (a catalog table of a row-level format) the patch is
     merged there instead: only files that hold matched keys are rewritten."""
     asof = asof or _dt.date.today()
     at = at or _dt.datetime.combine(asof, _dt.time())
@@ -143,6 +144,8 @@ def run_batch(spark: SparkSession, table_root: str, answers: DataFrame | None =
     run("translate", translations is not None, lambda t: translation_stage(t, translations, translate_batch, places, system))
     if patch is not None and merge_table is not None:
         M.merge_into_table(patch, merge_table, update_existing=True)
+    elif patch is not None and merge_on_read:
+        out["patch"] = table_patch_sink(patch, table_root)
     elif patch is not None:
         out["version"] = table_replace_sink(now(), table_root)
     if errors:

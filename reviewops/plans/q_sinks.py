@@ -12,8 +12,8 @@ from ..operators import merge as M
 from ..operators import worklists as W
 from ..schema import FIXTURE_ASOF, empty_reviews
 from ..session import scratch_path
-from ..sinks.table import (csv_backup, dupes_report, read_csv_backup, read_table, run_log, table_replace_sink,
-                           table_sink)
+from ..sinks.table import (compact, csv_backup, dupes_report, read_csv_backup, read_table, run_log, table_patch_sink,
+                           table_replace_sink, table_sink)
 from ..sources.fixtures import landed_dir, merge_incoming, merge_target, reviews
 from ..streaming.ingest import stream_ingest
 from .oracle import with_reviews
@@ -108,3 +108,42 @@ def q_duplicate_key_rejects(spark, sf):
     batch = (merge_target(spark, sf).select("ID").unionByName(incoming.select("ID"))
              .unionByName(incoming.filter("Location IS NULL").select(F.lit(None).cast("string").alias("ID"))))
     return M.duplicate_keys(batch)
+
+
+# Three patches: all incoming rows, then every second, then every third of them.
+_NUMBER = "CAST(split_part(ID, '-', 2) AS BIGINT)"
+
+
+def _patched(extra: str = "") -> str:
+    step = f"CASE {extra} WHEN {_NUMBER} % 3 = 0 THEN 3 WHEN {_NUMBER} % 2 = 0 THEN 2 ELSE 1 END"
+    return with_reviews(
+        "SELECT * FROM target WHERE ID NOT IN (SELECT ID FROM incoming)"
+        f" UNION ALL SELECT * REPLACE (OverallSatisfaction + {step} AS OverallSatisfaction) FROM incoming", TARGET, INCOMING)
+
+
+def _step(rows, every: int):
+    n = F.split_part("ID", F.lit("-"), F.lit(2)).cast("long")
+    return rows.filter(n % every == 0).withColumn("OverallSatisfaction", F.col("OverallSatisfaction") + every)
+
+
+def _patched_table(spark, sf):
+    root = _fresh(spark, "tables")
+    table_replace_sink(merge_target(spark, sf), root)
+    for every in (1, 2, 3):
+        table_patch_sink(_step(merge_incoming(spark, sf), every), root)
+    return root
+
+
+@register("merge_on_read", _patched())
+def q_merge_on_read(spark, sf):
+    """A table of one version and three patches, read: the newest patch row of an ID, else the version's."""
+    return read_table(spark, _patched_table(spark, sf))
+
+
+@register("merge_compacted", _patched(f"WHEN {_NUMBER} % 5 = 0 THEN 5"))
+def q_merge_compacted(spark, sf):
+    """The same table compacted into a version clustered by ID, patched once more, and read."""
+    root = _patched_table(spark, sf)
+    compact(spark, root, buckets=spark.sparkContext.defaultParallelism)
+    table_patch_sink(_step(merge_incoming(spark, sf), 5), root)
+    return read_table(spark, root)

@@ -12,6 +12,12 @@ sorted by ``ID`` (``repartition(n, 'ID')`` + ``sortWithinPartitions('ID')``):
 Parquet min/max statistics then let key lookups skip row groups.  Skipping the
 shuffle of a later join would need ``bucketBy`` with a persistent catalog,
 which this file-based layout does not assume.
+
+Merge on read: instead of the next version, an upsert may be written as a *patch*
+to the current one (``<root>/patches/version=<n>/patch=<k>/``), which costs what
+its rows cost.  A reader takes the newest patch row of an ID and the version's rows
+of all other IDs; a patch without its marker is not there.  ``compact`` writes
+version and patches as the next version, as a job of its own.
 """
 
 from __future__ import annotations
@@ -24,6 +30,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import ts_literal
 from ..operators.audit import duplicate_ids
+from ..operators.merge import guard_unique_keys, merge_upsert
 from ..schema import REVIEW_SCHEMA
 
 CSV_OPTIONS = {
@@ -60,11 +67,69 @@ def version_path(root: str, v: int) -> str:
     return f"{root.rstrip('/')}/version={v:06d}"
 
 
+def _patch_root(root: str, v: int) -> str:
+    return f"{root.rstrip('/')}/patches/version={v:06d}"
+
+
+def _patches(spark: SparkSession, root: str, v: int, complete_only: bool = True) -> list[int]:
+    fs, p, jvm = _fs(spark, _patch_root(root, v))
+    if not fs.exists(p):
+        return []
+    return sorted(int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
+                  if st.getPath().getName().startswith("patch=") and (not complete_only or fs.exists(
+                      jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))))
+
+
+def patched_rows(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest patch row of every patched ID of the current version (None: no patch).  One partial
+    aggregation over the patches; the base is not read."""
+    v = current_version(spark, root)
+    numbers = _patches(spark, root, v) if v is not None else []
+    if not numbers:
+        return None
+    base = _patch_root(root, v)
+    schema = T.StructType([*REVIEW_SCHEMA.fields, T.StructField("patch", T.IntegerType())])
+    rows = spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/patch={k:06d}" for k in numbers])
+    names = [f.name for f in REVIEW_SCHEMA.fields]
+    if len(numbers) == 1:
+        return rows.select(*names)
+    newest = F.max_by(F.struct(*[x for x in names if x != "ID"]), "patch")
+    return rows.groupBy("ID").agg(newest.alias("_r")).select("ID", "_r.*").select(*names)
+
+
 def read_table(spark: SparkSession, root: str) -> DataFrame:
+    """The current version, patches laid over it.  Patched IDs are counted (they may hold an ID
+    several times, which only makes the count safe) and broadcast while they are few."""
     v = current_version(spark, root)
     if v is None:
         return spark.createDataFrame([], REVIEW_SCHEMA)
-    return spark.read.schema(REVIEW_SCHEMA).parquet(version_path(root, v))
+    base = spark.read.schema(REVIEW_SCHEMA).parquet(version_path(root, v))
+    patched = patched_rows(spark, root)
+    if patched is None:
+        return base
+    ids = spark.read.schema("ID string").parquet(_patch_root(root, v)) \
+        if _patches(spark, root, v) == _patches(spark, root, v, complete_only=False) else patched.select("ID")
+    return merge_upsert(base, patched, validate=None, ids=ids, batch_rows=ids.count()).select(*base.columns)
+
+
+def table_patch_sink(rows: DataFrame, root: str) -> int:
+    """Write ``rows`` (unique, non-null IDs) as the next patch of the current version; returns its number.
+    Rows replace those of their ID or are new.  Nothing of the table is read.  The first
+    write of a table is a version."""
+    spark = rows.sparkSession
+    rows = rows.select(*[f.name for f in REVIEW_SCHEMA.fields])
+    v = current_version(spark, root)
+    if v is None:
+        table_replace_sink(guard_unique_keys(rows), root)
+        return 0
+    k = max(_patches(spark, root, v, complete_only=False), default=0) + 1
+    guard_unique_keys(rows).write.mode("errorifexists").parquet(f"{_patch_root(root, v)}/patch={k:06d}")
+    return k
+
+
+def compact(spark: SparkSession, root: str, buckets: int | None = None) -> int:
+    """Version and patches as the next version (see ``table_replace_sink``)."""
+    return table_replace_sink(read_table(spark, root), root, buckets)
 
 
 def table_replace_sink(df: DataFrame, root: str, buckets: int | None = None) -> int:

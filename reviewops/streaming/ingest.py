@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.ingest import FEED_KEYS, in_feed_order, page_rows, page_window
 from ..operators.merge import new_keys
 from ..session import scratch_path
-from ..sinks.table import _fs, current_version, read_table, table_sink, version_path
+from ..sinks.table import _fs, current_version, read_table, table_sink
 from ..sources.feed import LANDED_SCHEMA
 from .state import PROVIDER, FeedCuts, SeenIds
 
@@ -33,11 +33,11 @@ _PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 
 
 def _files(spark: SparkSession, root: str) -> str:
-    """Version and number of files and bytes of the table, from a listing."""
+    """Version and number of files and bytes of the table (patches included), from a listing."""
     v = current_version(spark, root)
     if v is None:
         return "none"
-    fs, p, _ = _fs(spark, version_path(root, v))
+    fs, p, _ = _fs(spark, root)
     s = fs.getContentSummary(p)
     return f"{v} {s.getFileCount()} {s.getLength()}"
 
