@@ -39,11 +39,49 @@ def width_violations(table: DataFrame, widths: dict[str, int] = WIDTHS) -> DataF
     return (table.select("ID", F.inline(F.filter(checks, lambda s: s["length"] > s["width"]))))
 
 
-def row_diff(before: DataFrame, after: DataFrame, key: str = "ID") -> DataFrame:
+# Bits of a key's hash that name its bucket, level by level.
+TREE_BITS = (12, 20)
+
+
+def _digested(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """``df`` with ``_b`` (hash of the key) and ``_d1, _d2``, 120 bits of the row's SHA-256.  Every value is written
+    with its length, and null apart, so rows of different text never read alike."""
+    texts = [F.col(c).cast("string") for c in [key, *cols]]
+    whole = F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
+    digest = F.sha2(whole, 256)
+    df = df.select("*", F.xxhash64(key).alias("_b"), digest.alias("_d"))
+    return df.select("*", *[F.conv(F.substring("_d", at, 15), 16, 10).cast("decimal(38,0)").alias(n) for at, n in ((1, "_d1"), (16, "_d2"))]).drop("_d")
+
+
+def _bucket(bits: int):
+    return F.shiftrightunsigned("_b", 64 - bits)
+
+
+def unequal_buckets(before: DataFrame, after: DataFrame, bits: int) -> DataFrame:
+    """``bucket``: those whose rows differ, by the number and the sum of the digests (``_digested`` sides).  Each
+    task sends one row per bucket, whatever the number of its rows."""
+    sums = [s.groupBy(_bucket(bits).alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.sum("_d1").alias("d1"), F.sum("_d2").alias("d2"))
+            for s in (before, after)]
+    b, a = (s.select("bucket", F.struct("n", "d1", "d2").alias(x)) for s, x in zip(sums, "ba", strict=True))
+    return b.join(a, "bucket", "full_outer").filter(~F.col("b").eqNullSafe(F.col("a"))).select("bucket")
+
+
+def row_diff(before: DataFrame, after: DataFrame, key: str = "ID", levels: tuple[int, ...] = TREE_BITS) -> DataFrame:
     """Per key: ``added`` / ``removed`` / ``changed`` with the changed column
     names (comma-separated, table order).  Unchanged keys are not listed.
-    One full outer join on the key; of text columns only the SHA-256 takes part."""
+
+    A hash tree over buckets of the key leads to the change: at each level the rows' digests are summed
+    per bucket, and only rows of unequal buckets go on (``checkpoint()`` keeps the list of
+    buckets).  What is left meets in one full outer join on the key; of text columns only
+    the SHA-256 takes part.  So a small change to a large table shuffles bucket sums
+    and the rows of a few buckets; ``levels=()`` joins all rows."""
     cols = [c for c in before.columns if c in after.columns and c != key]
+    if levels:
+        sides = [_digested(df, key, cols) for df in (before, after)]
+        for bits in levels:
+            live = unequal_buckets(*sides, bits).checkpoint()
+            sides = [s.withColumn("bucket", _bucket(bits)).join(live, "bucket", "left_semi").drop("bucket") for s in sides]
+        before, after = (s.select(key, *cols) for s in sides)
 
     def side(df: DataFrame, name: str) -> DataFrame:
         kinds = dict(df.dtypes)
