@@ -1,24 +1,32 @@
 import random
-import re
 
+import regex
 from pyspark.sql import functions as F
 
 from reviewops.llm import op4_benchmark as op4
 
 
-def shingles(text):
-    w = re.findall(r"[^\W_]+", (text or "").lower())
-    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+def words(text):
+    return [w for w in _tokens(text) if w.isalnum()]  # vowel signs beside letters are none
+
+
+def _tokens(text):
+    return regex.findall(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]|[^\W_\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}"
+                         r"\p{Khmer}\p{Myanmar}]+", (text or "").lower())
+
+
+def shingles(text, size=5):
+    w = words(text)
+    return {tuple(w[i:i + size]) for i in range(len(w) - size + 1)}
 
 
 def brute(docs, items):
-    out = []
+    out, queries = [], [(i, size, shingles(x, size)) for i, x in set(items) if (size := min(5, len(words(x))))]
     for d, t in docs:
-        have = shingles(t)
-        for i, x in set(items):
-            q = shingles(x)
-            if q and len(q & have) >= 0.8 * len(q):
-                out.append((d, i, len(q & have), len(q)))
+        have = {size: shingles(t, size) for size in {s for _, s, _ in queries}}
+        for i, size, q in queries:
+            if len(q & have[size]) >= 0.8 * len(q):
+                out.append((d, i, len(q & have[size]), len(q)))
     return sorted(out, key=str)
 
 
@@ -73,6 +81,30 @@ def test_sketch_length_loses_no_item():
         assert least >= len(p) - s.need[i] + 1
 
 
+def test_short_items_and_unspaced_scripts(make_docs, spark, monkeypatch):
+    chinese = "机器学习模型在训练时看到了测试集中的全部题目和答案"
+    items = [(1, "capital of France is"), (2, chinese), (3, "東京"), (4, "one"), (5, "!!"), (6, "ภาษาไทยไม่มีช่องว่างระหว่างคำ")]
+    docs = [(1, "The Capital, of france is Paris"), (2, "前言" + chinese + "后记abc"), (3, "capital of old France is"), (4, "昨日東京へ行った one-two"),
+            (5, chinese[:12] + "别" + chinese[13:]), (6, "เขียน ภาษาไทยไม่มีช่องว่างระหว่างคำ เสมอ"), (7, None), (8, "東 京 ONE")]
+    want = brute(docs, items)
+    assert {(d, i) for d, i, *_ in want} == {(1, 1), (2, 2), (4, 3), (4, 4), (6, 6), (8, 3), (8, 4)}
+    assert got(docs, items, make_docs, spark) == want
+    clean = op4.clean_documents(make_docs(docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(r.doc_id for r in clean.collect()) == [3, 5, 7]
+    monkeypatch.setattr(op4, "BLOCK_SHINGLES", 3)  # every longer item is a block of its own
+    assert got(docs, items, make_docs, spark) == want
+    blocks = op4.clean_documents(make_docs(docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(map(str, blocks.collect())) == sorted(map(str, clean.collect())) and blocks.columns == clean.columns
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    assert sorted(con.execute(op4.OP4_SQL).fetchall(), key=str) == want
+
+
 def test_query_and_sql_twin(spark, sf):
     import duckdb
 
