@@ -112,9 +112,9 @@ def translate_candidates(table: DataFrame, num: int | None = None) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Refresh work-list.  IDs first, wide rows last: the date and flag columns alone
-# are scanned for the picks, and the wide scan then keeps only rows that a
-# pushed-down filter (date ranges) or the oldest-n IDs select.
+# Refresh work-list.  Two scans of wide rows, each behind a filter that reaches the
+# files: the date and flag conditions of the new and the sensitive rows, and, for the oldest
+# rows, the latest date among them.  The oldest-n pick itself scans ID and date alone.
 
 # IDs of an oldest-n pick that are broadcast at most; a larger n joins plainly.
 BROADCAST_IDS = 100_000
@@ -122,47 +122,41 @@ BROADCAST_IDS = 100_000
 BUCKETS = ("new", "sensitive", "oldest")
 
 
-def _refresh_flags(table: DataFrame, asof: _dt.date, oldest_count: int) -> DataFrame:
+def _dated_conds(asof: _dt.date) -> tuple[Column, Column]:
+    new = (_c("ReviewDate") == F.date_sub(F.lit(asof), S.NEW_REVIEW_REFRESH_DELAY)) & _online_or_unknown()
+    return new, _sensitive_cond(asof, S.SENSITIVE_REVIEW_REFRESH_INTERVAL, S.SENSITIVE_REVIEW_REFRESH_FREQUENCY)
+
+
+def _oldest(table: DataFrame, oldest_count: int) -> DataFrame:
     if oldest_count < 0:
-        oldest_flag = (_c("RefreshDate") == table.agg(F.min("RefreshDate")).scalar()) \
-            & _online_or_unknown()
-        flagged = table.withColumn("_old", F.coalesce(oldest_flag, F.lit(False)))
-    else:
-        ids = refresh_oldest_n(table.select("ID", "RefreshDate"), oldest_count) \
-            .select("ID", F.lit(True).alias("_old"))
-        if oldest_count <= BROADCAST_IDS:
-            ids = F.broadcast(ids)
-        flagged = table.join(ids, "ID", "left") \
-            .withColumn("_old", F.coalesce(_c("_old"), F.lit(False)))
-    new = (_c("ReviewDate") == F.date_sub(F.lit(asof), S.NEW_REVIEW_REFRESH_DELAY)) \
-        & _online_or_unknown()
-    sens = _sensitive_cond(asof, S.SENSITIVE_REVIEW_REFRESH_INTERVAL,
-                           S.SENSITIVE_REVIEW_REFRESH_FREQUENCY)
-    return (flagged
-            .withColumn("_new", F.coalesce(new, F.lit(False)))
-            .withColumn("_sens", F.coalesce(sens, F.lit(False))))
+        return refresh_oldest_day(table)
+    picked = refresh_oldest_n(table.select("ID", "RefreshDate"), oldest_count)
+    latest = picked.agg(F.max("RefreshDate")).scalar()
+    ids = picked.select("ID")
+    if oldest_count <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return table.filter(_c("RefreshDate").isNull() | (_c("RefreshDate") <= latest)).join(ids, "ID", "left_semi")
 
 
 def refresh_worklist(table: DataFrame, asof: _dt.date,
                      oldest_count: int = S.OLD_REVIEW_REFRESH_COUNT) -> DataFrame:
     """UNION ALL of new + sensitive + oldest, overlaps kept, with a ``bucket``."""
-    f = _refresh_flags(table, asof, oldest_count)
-    buckets = F.filter(F.array(F.when(_c("_new"), F.lit("new")),
-                               F.when(_c("_sens"), F.lit("sensitive")),
-                               F.when(_c("_old"), F.lit("oldest"))),
-                       lambda b: b.isNotNull())
-    return (f.filter(_c("_new") | _c("_sens") | _c("_old"))
-            .select(*[_c(c) for c in S.COLUMN_NAMES], F.explode(buckets).alias("bucket")))
+    new, sens = _dated_conds(asof)
+    buckets = F.filter(F.array(F.when(new, F.lit("new")), F.when(sens, F.lit("sensitive"))), lambda b: b.isNotNull())
+    cols = [_c(c) for c in S.COLUMN_NAMES]
+    dated = table.filter(new | sens).select(*cols, F.explode(buckets).alias("bucket"))
+    return dated.unionByName(_oldest(table, oldest_count).select(*cols, F.lit("oldest").alias("bucket")))
 
 
 def refresh_worklist_distinct(table: DataFrame, asof: _dt.date,
                               oldest_count: int = S.OLD_REVIEW_REFRESH_COUNT) -> DataFrame:
     """One row per ID (the union above would put an ID twice into a merge whose
     key must be unique); bucket priority new > sensitive > oldest."""
-    f = _refresh_flags(table, asof, oldest_count)
-    bucket = (F.when(_c("_new"), "new").when(_c("_sens"), "sensitive").otherwise("oldest"))
-    return (f.filter(_c("_new") | _c("_sens") | _c("_old"))
-            .select(*[_c(c) for c in S.COLUMN_NAMES], bucket.alias("bucket")))
+    new, sens = _dated_conds(asof)
+    cols = [_c(c) for c in S.COLUMN_NAMES]
+    dated = table.filter(new | sens).select(*cols, F.when(new, "new").otherwise("sensitive").alias("bucket"))
+    rest = _oldest(table, oldest_count).filter(~F.coalesce(new | sens, F.lit(False)))
+    return dated.unionByName(rest.select(*cols, F.lit("oldest").alias("bucket")))
 
 
 def mark_posted(table: DataFrame, posted: DataFrame, posted_rows: int | None = None) -> DataFrame:
