@@ -3,13 +3,15 @@
 1. Seeds: e-mail addresses, IP addresses, card numbers (Luhn) and phone numbers, found by the
    base expressions (leftmost, non-overlapping per kind; a match that fails its test is
    dropped, not retried).
-2. Every mention (a seed, or another token of 5 characters or more with a digit or ``@``) induces
+2. Every mention (a seed, or another token of any length with a digit or ``@``) induces
    two lexical patterns: the two words before it, and the word before with the word after
    (fewer at a text's ends).
 3. Distinct (pattern, instance) pairs are a graph that Spark scores in rounds, up to the fixpoint: a pattern's
    confidence is the sum of its instances' scores over their number plus one; an instance
    that is no seed scores ``1 - product(1 - confidence)`` over its trusted patterns.  A pattern is
-   trusted with at least ``min_support`` distinct seeds and a confidence of ``min_confidence``.
+   trusted with a support (the sum of its instances' scores, a seed being one) of at least
+   ``min_support`` and a confidence of ``min_confidence``; so what one round discovers can make
+   a pattern trusted that no seed ever stood in.
 4. Other tokens that stand in a trusted pattern are personal data of kind ``context``.
 
 Cost: one pass over the text without a shuffle; after that only mentions are moved, as
@@ -44,10 +46,11 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 DIGITS = re.compile(r"[0-9]+")
 MARK = re.compile(r"[0-9@]")
 SPACE = re.compile(r"\s")
-# Characters around a mention that are read at first for its words; the least length of a token, the most
-# that stands in the graph as it is; what is stripped from tokens and words.
-CONTEXT, LEAST, MOST = 200, 5, 64
-# The rounds end when no pattern's confidence grows by more than this.
+# Characters around a mention that are read at first for its words; the longest token that stands in
+# the graph as it is; what is stripped from tokens and words.
+CONTEXT, MOST = 200, 64
+# Sums of scores are compared with this slack, as their order is not fixed; the rounds end when the
+# confidences of the trusted patterns together grow by no more.
 STILL = 1e-6
 EDGES = ".,;:!?()[]{}<>\"'`#$%&*|=~^+-/\\_"
 
@@ -112,7 +115,7 @@ def tokens(text: str):
         word = text[start:at]
         left = len(word) - len(word.lstrip(EDGES))
         word = word.strip(EDGES)
-        if LEAST <= len(word) and MARK.search(word):
+        if MARK.search(word) and any(map(str.isalnum, word)):
             yield start + left, start + left + len(word)
 
 
@@ -177,15 +180,16 @@ def _scan(batches):
 
 def trusted_patterns(edges: DataFrame, min_support: int, min_confidence: float, rounds: int | None = None) -> DataFrame:
     """``pattern, confidence`` of the trusted patterns of ``edges`` (pattern, instance, seed), at the fixpoint
-    (scores only grow) or after ``rounds``."""
+    (scores only grow) or after ``rounds``.  The support of a pattern is the sum of its instances' scores."""
     known = edges.filter("seed").select("instance").distinct().withColumn("score", F.lit(1.0))
     last = None
     for turn in itertools.count(1):
         scored = edges.join(known, "instance", "left")
         trusted = c.stage(scored.groupBy("pattern").agg(
-            (F.sum(F.coalesce("score", F.lit(0.0))) / (F.count("*") + 1)).alias("confidence"),
-            F.sum(F.col("seed").cast("int")).alias("support"))
-            .filter((F.col("support") >= min_support) & (F.col("confidence") >= min_confidence)).select("pattern", "confidence"), "patterns")
+            F.sum(F.coalesce("score", F.lit(0.0))).alias("support"), F.count("*").alias("n"))
+            .withColumn("confidence", F.col("support") / (F.col("n") + 1))
+            .filter((F.col("support") >= min_support - STILL) & (F.col("confidence") >= min_confidence - STILL))
+            .select("pattern", "confidence"), "patterns")
         now = trusted.agg(F.count("*").alias("n"), F.coalesce(F.sum("confidence"), F.lit(0.0)).alias("sum")).first()
         if turn == rounds or not now.n or (last and last.n == now.n and now.sum - last.sum <= STILL):
             return trusted
