@@ -26,7 +26,7 @@ def spec_rule(host, path):
 
 def spec_words(html):
     text = re.sub(r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>|&#?\w+;", " ", html or "", flags=re.A)
-    return Counter(w for w in re.findall(r"[^\W\d_]+", text.lower()) if len(w) <= op10.LONGEST)
+    return Counter(re.findall(r"[^\W\d_]+", text.lower()))
 
 
 def spec_split(name, known, total):
@@ -109,3 +109,29 @@ def test_empty_and_unlabelled(spark):
 def test_query(spark, sf):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").collect()]
     assert sorted((tuple(r) for r in op10.op10_url_filter(spark, sf).collect()), key=str) == brute(rows)
+
+
+LONG = "donaudampfschifffahrtsgesellschaft"
+
+
+def test_names_and_words_of_any_length(spark):
+    stem = LONG[:op10.STEM]
+    rows = [(i, f"http://{h}.net/x", " ".join([LONG] * 50 + ["kasse", stem + "other", stem])) for i, h in enumerate(
+        [LONG, LONG + "kasse", "kasse" + LONG, "q" * 300, stem, stem + "other", LONG + LONG])]
+    have = got(op10.judge_urls(table(spark, rows)))
+    assert have == brute(rows)
+    words = {h.removesuffix(".net"): w.removesuffix(" net") for _, h, *_, w in have}
+    assert words[LONG] == LONG and words[LONG + "kasse"] == f"{LONG} kasse" and words["kasse" + LONG] == f"kasse {LONG}"
+    assert words["q" * 300] == "q" * 300 and words[stem + "other"] == stem + "other" and words[LONG + LONG] == f"{LONG} {LONG}"
+
+
+def test_every_token_has_a_weight_of_its_own(spark):
+    tokens = [(f"p:{k}", k % 2, 1) for k in range(300_000)] + [("p:none", 0, 0)]
+    weights = op10.token_weights(spark.createDataFrame(tokens, "token string, bad long, n long"))
+    by_sign = {r.up: r["count"] for r in weights.groupBy((F.col("weight") > 0).alias("up")).count().collect()}
+    assert by_sign == {True: 150_000, False: 150_000}
+
+
+def test_hot_host_and_path(spark):
+    rows = [(i, "http://bigads.net/de/cheap" if i % 3 else f"http://n{chr(97 + i % 26)}s.com/{'de' if i % 2 else 'fr'}/{i}", "big ads") for i in range(600)]
+    assert got(op10.judge_urls(table(spark, rows))) == brute(rows)
