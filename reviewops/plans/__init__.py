@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import ORACLE, QUERIES
 
-_MODULES = ["q_worklists", "q_merge", "q_ingest", "q_enrich", "q_refresh", "q_sinks"]
+_MODULES = ["q_worklists", "q_merge", "q_ingest", "q_enrich", "q_refresh", "q_sinks", "q_profiles"]
 
 
 def load_all() -> None:
