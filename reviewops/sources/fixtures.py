@@ -9,7 +9,8 @@ with the scale factor.  ``plans`` holds the DuckDB twin of each derivation.
 All joins are keyed by ``doc_id`` so the big side (documents, which carries the
 text) is hash-partitioned once; the conversation reply is fanned out to the ten
 documents it serves instead of joining on ``doc_id div 10`` (which would need a
-second shuffle of the text).
+second shuffle of the text).  Hints keep these joins the same at every size: what they
+shuffle grows with the tables, and no growing table is broadcast.
 """
 
 from __future__ import annotations
@@ -43,8 +44,7 @@ def assistant_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def review_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = ensure_parallelism(
-        load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     labels = load(spark, sf_dir, "labels").select("doc_id", "toxic")
     pages = load(spark, sf_dir, "pages").select(_c("page_id").alias("doc_id"), "url")
     reply = assistant_replies(spark, sf_dir).select(
@@ -52,9 +52,9 @@ def review_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         "reply")
     # nation is the fixed 25-row place dimension: size bound known, broadcast.
     nation = F.broadcast(load(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
-    return (docs.join(labels, "doc_id", "left")
-            .join(pages, "doc_id", "left")
-            .join(reply, "doc_id", "left")
+    return (docs.join(labels.hint("merge"), "doc_id", "left")
+            .join(pages.hint("merge"), "doc_id", "left")
+            .join(reply.hint("merge"), "doc_id", "left")
             .join(nation, (_c("doc_id") % 25) == _c("n_nationkey"), "left")
             .drop("n_nationkey"))
 

@@ -47,7 +47,8 @@ def materialize_path(spark: SparkSession, sf_dir: str, name: str, tables: tuple[
         path = scratch_path(spark, "derived", f"{name}-{fingerprint(spark, sf_dir, tables)}")
         fs, p, jvm = _fs(spark, path)
         if not fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
-            build(spark, sf_dir).write.mode("overwrite").format(fmt).save(path)
+            out = build(spark, sf_dir).write.mode("overwrite").format(fmt)
+            (out.option("compression", "zstd") if fmt == "parquet" else out).save(path)
         _PATHS[key] = path
     return path
 
