@@ -12,7 +12,10 @@ side takes part.  With ``batch_rows``, the measured size of a staged batch (see
 ``measured``), up to ``BROADCAST_IDS`` incoming IDs are broadcast, and the table is
 only scanned.  Without it, or beyond that bound, the planner decides; it sees
 no more than an estimate, so it may shuffle the whole table by ``ID`` (AQE turns
-the join into a broadcast only after that shuffle is written).  The incoming key must be unique and
+the join into a broadcast only after that shuffle is written).  With ``stored``, for
+sides that are Parquet files behind filters and row-local columns, no wide row is shuffled at any
+batch size: IDs meet with the places (file, row number) of their rows, and each scan
+drops or keeps rows by one bit a row (see ``at_ids``).  The incoming key must be unique and
 non-null (the staging primary key): ``guard_unique_keys`` (lazy, fails the job)
 or ``check_unique_keys`` (eager, lists at most 20 keys) enforce it with one
 aggregation (partial counts per task, so a hot key cannot overload one task).
@@ -30,6 +33,11 @@ from ..schema import COLUMN_NAMES
 BROADCAST_IDS = 1_000_000
 
 
+# Rows of one bitmap (4 KB), and bitmaps that are broadcast at most (64 MB, half a billion rows).
+PART_ROWS = 32_768
+BROADCAST_PARTS = 16_384
+
+
 class DuplicateKeyError(ValueError):
     pass
 
@@ -53,6 +61,22 @@ def known_ids(incoming: DataFrame, table: DataFrame, key: str = "ID",
     return table.select(key).join(_ids(incoming, key, batch_rows), key, "left_semi")
 
 
+def at_ids(rows: DataFrame, ids: DataFrame, key: str = "ID", inside: bool = True) -> DataFrame:
+    """Rows of stored Parquet files (read behind filters and row-local columns, one row for a row) whose key is
+    (``inside``) or is not among ``ids``; a NULL key is not.  Only keys and places are shuffled;
+    the places found are laid down (``checkpoint()``) as bitmaps, broadcast while they are few."""
+    row = F.col("_metadata.row_index")
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.expr(f"_metadata.row_index div {PART_ROWS}").alias("_part"),
+                         (row % PART_ROWS).alias("_pos"))
+    marks = placed.select(key, "_file", "_part", "_pos").join(ids.select(key), key, "left_semi") \
+        .groupBy("_file", "_part").agg(F.bitmap_construct_agg("_pos").alias("_bits")).checkpoint()
+    if marks.count() > BROADCAST_PARTS:
+        return rows.join(ids.select(key), key, "left_semi" if inside else "left_anti")
+    byte = F.conv(F.hex(F.substring("_bits", F.expr("_pos div 8 + 1").cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (F.col("_pos") % 8).cast("int")) == 1, F.lit(False))
+    return placed.join(F.broadcast(marks), ["_file", "_part"], "left").filter(hit if inside else ~hit).select(*rows.columns)
+
+
 def existing_keys(incoming: DataFrame, table: DataFrame, key: str = "ID",
                   batch_rows: int | None = None) -> DataFrame:
     """``ID IN (SELECT ID FROM table)``."""
@@ -91,18 +115,25 @@ def guard_unique_keys(incoming: DataFrame, key: str = "ID") -> DataFrame:
 
 def merge(table: DataFrame, incoming: DataFrame, insert_new: bool = True,
           update_existing: bool = False, key: str = "ID", validate: str | None = "lazy",
-          batch_rows: int | None = None, ids: DataFrame | None = None) -> DataFrame:
+          batch_rows: int | None = None, ids: DataFrame | None = None, stored: bool = False) -> DataFrame:
     """``validate``: ``"lazy"`` (fail the job), ``"eager"`` (raise
     ``DuplicateKeyError`` now, listing keys) or ``None``.  ``batch_rows``: the
     measured number of incoming rows, if known.  ``ids``: the incoming keys (each once
-    or more), where they are cheaper to read than from ``incoming`` (upsert only)."""
+    or more), where they are cheaper to read than from ``incoming`` (upsert only).
+    ``stored``: table and incoming rows are read from Parquet files (see ``at_ids``)."""
     if not (insert_new or update_existing):
         return table
     if validate == "eager":
         check_unique_keys(incoming, key)
-    elif validate == "lazy":
+    keys = incoming if ids is None else ids
+    if validate == "lazy":
         incoming = guard_unique_keys(incoming, key)
     incoming = incoming.select(*table.columns)
+    if stored:
+        kept = at_ids(table, keys, key, inside=False) if update_existing else table
+        if not (insert_new and update_existing):
+            incoming = at_ids(incoming, table, key, inside=update_existing)
+        return kept.unionByName(incoming)
     if insert_new and update_existing:
         kept = table.join(_ids(incoming if ids is None else ids, key, batch_rows), key, "left_anti")
         return kept.unionByName(incoming)

@@ -32,20 +32,20 @@ def q_new_keys(spark, sf):
 @register("merge_insert", _sql(
     "SELECT * FROM target UNION ALL SELECT * FROM incoming WHERE ID NOT IN (SELECT ID FROM target)"))
 def q_merge_insert(spark, sf):
-    return M.merge_insert(merge_target(spark, sf), merge_incoming(spark, sf))
+    return M.merge_insert(merge_target(spark, sf), merge_incoming(spark, sf), stored=True)
 
 
 @register("merge_update", _sql(
     "SELECT * FROM target WHERE ID NOT IN (SELECT ID FROM incoming)"
     " UNION ALL SELECT * FROM incoming WHERE ID IN (SELECT ID FROM target)"))
 def q_merge_update(spark, sf):
-    return M.merge_update(merge_target(spark, sf), merge_incoming(spark, sf))
+    return M.merge_update(merge_target(spark, sf), merge_incoming(spark, sf), stored=True)
 
 
 @register("merge_upsert", _sql(
     "SELECT * FROM target WHERE ID NOT IN (SELECT ID FROM incoming) UNION ALL SELECT * FROM incoming"))
 def q_merge_upsert(spark, sf):
-    return M.merge_upsert(merge_target(spark, sf), merge_incoming(spark, sf))
+    return M.merge_upsert(merge_target(spark, sf), merge_incoming(spark, sf), stored=True)
 
 
 @register("merge_noop", _sql("SELECT * FROM target"))
@@ -83,7 +83,7 @@ def q_duplicate_ids(spark, sf):
     " FROM (SELECT * FROM target WHERE ID NOT IN (SELECT ID FROM incoming) UNION ALL SELECT * FROM incoming)"
     " GROUP BY Portal, ApprovalStatus"))
 def q_status_summary(spark, sf):
-    return A.status_summary(M.merge_upsert(merge_target(spark, sf), merge_incoming(spark, sf)))
+    return A.status_summary(M.merge_upsert(merge_target(spark, sf), merge_incoming(spark, sf), stored=True))
 
 
 _DIFF_COLS = [c.strip() for c in COLS.split(",") if c.strip() != "ID"]
@@ -101,5 +101,5 @@ _CHANGED = "concat_ws(',', " + ", ".join(
     "  UNION ALL SELECT * FROM incoming) a ON a.ID = b.ID) WHERE status IS NOT NULL"))
 def q_debug_snapshot(spark, sf):
     before = merge_target(spark, sf)
-    after = M.merge_upsert(before, merge_incoming(spark, sf))
+    after = M.merge_upsert(before, merge_incoming(spark, sf), stored=True)
     return A.row_diff(before, after)
