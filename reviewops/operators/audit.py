@@ -41,6 +41,8 @@ def width_violations(table: DataFrame, widths: dict[str, int] = WIDTHS) -> DataF
 
 # Bits of a key's hash that name its bucket, level by level.
 TREE_BITS = (12, 20)
+# A list of buckets is broadcast at up to so many bits: 2^20 numbers, however large the tables.
+BROADCAST_BITS = 20
 
 
 def _digested(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
@@ -72,7 +74,7 @@ def row_diff(before: DataFrame, after: DataFrame, key: str = "ID", levels: tuple
 
     A hash tree over buckets of the key leads to the change: at each level the rows' digests are summed
     per bucket, and only rows of unequal buckets go on (``checkpoint()`` keeps the list of
-    buckets).  What is left meets in one full outer join on the key; of text columns only
+    buckets, whose number has a bound, so it is broadcast).  What is left meets in one full outer join on the key; of text columns only
     the SHA-256 takes part.  So a small change to a large table shuffles bucket sums
     and the rows of a few buckets; ``levels=()`` joins all rows."""
     cols = [c for c in before.columns if c in after.columns and c != key]
@@ -80,6 +82,8 @@ def row_diff(before: DataFrame, after: DataFrame, key: str = "ID", levels: tuple
         sides = [_digested(df, key, cols) for df in (before, after)]
         for bits in levels:
             live = unequal_buckets(*sides, bits).checkpoint()
+            if bits <= BROADCAST_BITS:
+                live = F.broadcast(live)
             sides = [s.withColumn("bucket", _bucket(bits)).join(live, "bucket", "left_semi").drop("bucket") for s in sides]
         before, after = (s.select(key, *cols) for s in sides)
 
