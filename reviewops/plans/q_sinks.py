@@ -63,7 +63,7 @@ def q_table_replace_sink(spark, sf):
     """A second, clustered version replaces the first; readers see the second only."""
     root = _fresh(spark, "tables")
     table_replace_sink(merge_target(spark, sf), root)
-    table_replace_sink(M.merge_upsert(read_table(spark, root), merge_incoming(spark, sf)), root, buckets=4)
+    table_replace_sink(M.merge_upsert(read_table(spark, root), merge_incoming(spark, sf), stored=True), root, buckets=4)
     return read_table(spark, root)
 
 

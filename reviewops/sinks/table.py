@@ -33,6 +33,9 @@ from ..operators.audit import duplicate_ids
 from ..operators.merge import guard_unique_keys, merge_upsert
 from ..schema import REVIEW_SCHEMA
 
+# Rows of a clustered version that one task sorts and writes, on average, at most.
+FILE_ROWS = 25_000
+
 CSV_OPTIONS = {
     "header": "true", "escape": '"', "quote": '"', "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
@@ -135,11 +138,14 @@ def compact(spark: SparkSession, root: str, buckets: int | None = None) -> int:
 def table_replace_sink(df: DataFrame, root: str, buckets: int | None = None) -> int:
     """Write ``df`` as the next version; returns the new version number.
     The number is past every version folder, complete or not, so a write that
-    died part-way (no ``_SUCCESS``; never read) does not block the retry."""
+    died part-way (no ``_SUCCESS``; never read) does not block the retry.
+    ``buckets`` is the least number of files clustered by ID; where they would hold more than
+    ``FILE_ROWS`` rows each (one count), every one is cut into as many as it takes."""
     spark = df.sparkSession
     v = max(_versions(spark, root, complete_only=False), default=0) + 1
     out = df.select(*[f.name for f in REVIEW_SCHEMA.fields])
     if buckets:
+        buckets *= max(1, -(-out.count() // (buckets * FILE_ROWS)))
         out = out.repartition(buckets, "ID").sortWithinPartitions("ID")
     out.write.mode("errorifexists").parquet(version_path(root, v))
     return v
