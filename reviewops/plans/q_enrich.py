@@ -333,7 +333,9 @@ def _earlier_calls(requests, answers):
     once (429), or failed twice (500).  The answer is the stored one of the ID."""
     n = F.split_part("ID", F.lit("-"), F.lit(2)).cast("long") % 4
     calls = F.when(n == 1, F.array(F.lit(200))).when(n == 2, F.array(F.lit(429))).when(n == 3, F.array(F.lit(500), F.lit(500)))
-    return E.with_request_hash(requests).join(answers.filter("kind = 'reply'").select("ID", "content"), "ID").select(
+    # Only rows with a call, and of the texts only those that are answers, are shuffled.
+    given = answers.filter("kind = 'reply'").filter(n > 0).select("ID", F.when(n == 1, F.col("content")).alias("content"))
+    return E.with_request_hash(requests.filter(n > 0)).join(given, "ID").select(
         "ID", "kind", F.lit(None).cast("string").alias("field"), "request_hash", F.posexplode(calls).alias("k", "status"),
         F.col("content")).select("ID", "kind", "field", "request_hash", (F.col("k") + 1).alias("attempt"), "status",
                                  F.when(F.col("status") == 200, F.col("content")).alias("content"))
